@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chemlake.llm import sentence_pieces, token_counts
+from chemlake.llm import minhash, sentence_pieces, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,11 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near copies among all documents: 3-word shingles, Jaccard similarity of 85 % or more."""
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
 def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every document under the 32k model, as digests; covered: bytes from the first piece's start to the last one's end."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -40,7 +45,7 @@ def piece_digests(encoded: DataFrame) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_token_counts, op9_sentence_pieces)}
+    return {f.__name__: f for f in (op6_token_counts, op8_minhash, op9_sentence_pieces)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -109,12 +109,12 @@ def sequence_hash(words: np.ndarray, salt: int) -> np.uint64:
 
 
 def shingle_set(words: np.ndarray, runs: np.ndarray, size: int) -> np.ndarray:
-    """Sorted distinct shingles of one document; fewer words than `size` count as one shingle, none as none."""
+    """Sorted distinct shingles of one document as bigints; fewer words than `size` are one shingle, none none."""
     if not len(words):
-        return np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64)
     if len(words) < size:
-        return np.array([sequence_hash(words, 7)], np.uint64)
-    return np.unique(runs[: len(words) - size + 1])
+        return signed(np.array([sequence_hash(words, 7)], np.uint64))
+    return np.unique(signed(runs[: len(words) - size + 1]))
 
 
 def signed(x: np.ndarray) -> np.ndarray:
