@@ -8,13 +8,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chemlake.llm import minhash, sentence_pieces, token_counts
+from chemlake.llm import decontaminate, minhash, repeats, sentence_pieces, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the benchmark items of which they hold at least half, in any order of passages."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_leaks(docs, _table(spark, sf_dir, "benchmark"))
+    pairs = found.select("doc_id", F.explode("leaks").alias("leak"))
+    return pairs.select("doc_id", "leak.item_id", "leak.n_words", "leak.n_matched", "leak.n_tiles")
+
+
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentences of eight words or more that an earlier place in the corpus holds already."""
+    return repeats.repeated_units(_table(spark, sf_dir, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document under the 50k byte-level vocabulary."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -45,7 +58,7 @@ def piece_digests(encoded: DataFrame) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_token_counts, op8_minhash, op9_sentence_pieces)}
+    return {f.__name__: f for f in (op3_decontaminate, op4_repeats, op6_token_counts, op8_minhash, op9_sentence_pieces)}
 
 
 def oracle_sql() -> dict[str, str]:
