@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chemlake.llm import decontaminate, minhash, repeats, sentence_pieces, token_counts
+from chemlake.llm import decontaminate, minhash, quality, repeats, sentence_pieces, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,12 @@ def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeated_units(_table(spark, sf_dir, "documents"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents, learnt from the labels outside the held-out fold."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.score_quality(docs, _table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document under the 50k byte-level vocabulary."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -58,7 +64,7 @@ def piece_digests(encoded: DataFrame) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_decontaminate, op4_repeats, op6_token_counts, op8_minhash, op9_sentence_pieces)}
+    return {f.__name__: f for f in (op3_decontaminate, op4_repeats, op5_quality, op6_token_counts, op8_minhash, op9_sentence_pieces)}
 
 
 def oracle_sql() -> dict[str, str]:
