@@ -8,13 +8,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chemlake.llm import decontaminate, minhash, quality, repeats, sentence_pieces, token_counts
+from chemlake.llm import decontaminate, minhash, pii, quality, repeats, sentence_pieces, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base spans as counts and digest, and all spans."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return span_digests(pii.find_personal_data(docs))
+
+
+def span_digests(found: DataFrame) -> DataFrame:
+    base = F.filter("personal", lambda s: s["base"])
+    count = lambda kind: F.size(F.filter("personal", lambda s: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["begin"].cast("string"), s["end"].cast("string"))), ",")
+    return found.select("doc_id", *[count(k) for k in pii.BASE_KINDS], F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("personal")).alias("spans"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and the benchmark items of which they hold at least half, in any order of passages."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -64,7 +77,7 @@ def piece_digests(encoded: DataFrame) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_decontaminate, op4_repeats, op5_quality, op6_token_counts, op8_minhash, op9_sentence_pieces)}
+    return {f.__name__: f for f in (op2_pii, op3_decontaminate, op4_repeats, op5_quality, op6_token_counts, op8_minhash, op9_sentence_pieces)}
 
 
 def oracle_sql() -> dict[str, str]:
