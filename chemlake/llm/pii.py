@@ -14,6 +14,8 @@ from math import exp, log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chemlake.llm.arrays import prefix_fold
+
 #: Kinds in the order in which spans are listed; the first four have base patterns.
 KINDS = ("email", "ip", "card", "phone", "ssn", "secret")
 BASE_KINDS = KINDS[:4]
@@ -51,17 +53,6 @@ LABELERS = ("strict_regex", "checksum", "gazetteer", "boundary")
 ROUNDS = 50
 
 
-def _prefix(values: Column, join) -> Column:
-    """Running fold of an array by an associative function, in log2(size) passes."""
-    passes = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.log2(F.size(values).cast("double"))).cast("int")))
-
-    def once(state: Column, k: Column) -> Column:
-        step = F.pow(F.lit(2.0), k).cast("int")
-        return F.transform(state, lambda x, i: F.when(i >= step, join(F.get(state, i - step), x)).otherwise(x))
-
-    return F.aggregate(passes, values, once)
-
-
 _EMPTY = "array<struct<begin:int,end:int,text:string>>"
 
 
@@ -70,7 +61,7 @@ def matches(text: Column, pattern: str, needs: str) -> Column:
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.split(text, pattern, -1)
     lengths = F.zip_with(found, F.slice(between, 1, F.size(found)), lambda m, b: F.length(m) + F.length(b))
-    ends = _prefix(lengths, lambda a, b: a + b)
+    ends = prefix_fold(lengths, lambda a, b: a + b)
     spans = F.zip_with(found, ends, lambda m, e: F.struct((e - F.length(m)).alias("begin"), e.alias("end"), m.alias("text")))
     none = F.array().cast(_EMPTY)
     held = F.contains(text, F.lit(needs)) if needs == "@" else F.rlike(text, F.lit(needs))
@@ -228,7 +219,7 @@ def find_personal_data(docs: DataFrame, model: Model | None = None, *, text: str
 def masked(text: Column, spans: Column) -> Column:
     """text with each span, or run of overlapping ones, replaced by [KIND] of its first."""
     by_place = F.array_sort(F.transform(spans, lambda s: F.struct(s["begin"].alias("begin"), (-s["end"]).alias("last"), s["kind"].alias("kind"))))
-    reach = _prefix(F.transform(by_place, lambda s: -s["last"]), F.greatest)
+    reach = prefix_fold(F.transform(by_place, lambda s: -s["last"]), F.greatest)
     heads = F.filter(F.transform(by_place, lambda s, i: F.struct(s["begin"].alias("begin"), s["kind"].alias("kind"), (F.when(i == 0, 0).otherwise(F.get(reach, i - 1))).alias("before"), i.alias("at"))), lambda h: (h["at"] == 0) | (h["begin"] >= h["before"]))
     parts = F.transform(heads, lambda h: F.concat(F.substring(text, h["before"] + 1, h["begin"] - h["before"]), F.lit("["), F.upper(h["kind"]), F.lit("]")))
     rest = F.substring(text, F.array_max(reach) + 1, F.length(text) - F.array_max(reach))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chemlake.llm import decontaminate, minhash, pii, quality, repeats, sentence_pieces, token_counts
+from chemlake.llm import chat, decontaminate, html_text, minhash, pii, quality, repeats, sentence_pieces, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +54,12 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op7_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompt and masked completions of every pair of conversations that stand next to each other or share a first turn."""
+    conversations = _table(spark, sf_dir, "conversations")
+    return chat.format_preferences(conversations, chat.natural_pairs(conversations))
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near copies among all documents: 3-word shingles, Jaccard similarity of 85 % or more."""
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, percent=85)
@@ -76,8 +82,14 @@ def piece_digests(encoded: DataFrame) -> DataFrame:
     )
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract_text(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_pii, op3_decontaminate, op4_repeats, op5_quality, op6_token_counts, op8_minhash, op9_sentence_pieces)}
+    return {f.__name__: f for f in (op2_pii, op3_decontaminate, op4_repeats, op5_quality, op6_token_counts, op7_preferences, op8_minhash, op9_sentence_pieces, op10_html_text)}
 
 
 def oracle_sql() -> dict[str, str]:
