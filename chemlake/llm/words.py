@@ -104,8 +104,9 @@ def shingles(words: np.ndarray, size: int) -> np.ndarray:
 def sequence_hash(words: np.ndarray, salt: int) -> np.uint64:
     """Hash of a whole sequence of words, with its length."""
     powers = np.cumprod(np.full(len(words), _MIX[salt % len(_MIX)], dtype=np.uint64), dtype=np.uint64)
-    total = np.add.reduce(words * powers, dtype=np.uint64) + np.uint64(len(words)) * _MIX[(salt + 1) % len(_MIX)]
-    return mix64(np.array([total ^ np.uint64(salt)], np.uint64))[0]
+    total = np.add.reduce(words * powers, dtype=np.uint64, keepdims=True)
+    total += np.array([len(words)], np.uint64) * _MIX[(salt + 1) % len(_MIX)]
+    return mix64(total ^ np.uint64(salt))[0]
 
 
 def shingle_set(words: np.ndarray, runs: np.ndarray, size: int) -> np.ndarray:
