@@ -5,15 +5,15 @@
 2. Inverted lists of retained values: two sets of similarity t share, but for a chance of about 1e-8, at
    least `need` of k retained values, so they meet in a list of one of the k - need + 1 rarest retained values
    of each.  Values are ranked by how many sketches hold them; only these rarest ones enter lists.
-3. The first document of a list is tried with all others (as many pairs as list entries); pairs pass by
-   size and by the similarity that the union's sketch estimates, and links are confirmed on full sets.
+3. The first document of a list is tried with all others; pairs pass by size and by the similarity that the
+   union's sketch estimates, and each document's most similar one is confirmed on full sets.
 4. Lists that still hold several components are searched on: every pair across components in short
-   lists, and blocks against blocks in long ones, so no pair that could join two components is left out.
+   lists, by estimate and then full sets; blocks against blocks on full sets in long ones. So no pair that
+   could join two components is left out, and no group gives rise to all of its pairs.
 """
 
 from __future__ import annotations
 
-from functools import reduce
 from math import sqrt
 
 import numpy as np
@@ -30,7 +30,7 @@ from chemlake.llm.workspace import Workspace
 SKETCH = 32
 #: Standard deviations below the threshold at which an estimate still passes.
 MARGIN = 5.5
-#: Lists of up to so many documents are paired by a self-join, longer ones by blocks of as many.
+#: Lists of up to so many documents are paired by a self-join, longer ones by blocks of about BLOCK.
 SHORT_LIST = 32
 BLOCK = 256
 #: Ids (8 bytes each) of documents to read again that may be broadcast; beyond that they are joined by shuffle.
@@ -52,13 +52,8 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80, doc
     sketches = work.save(source.mapInArrow(_sketcher(shingle, sketch), "doc long, h1 long, h2 long, n long, sketch array<long>"), "sketches")
     groups = sketches.where("n > 0 AND doc IS NOT NULL").groupBy("h1", "h2").agg(F.min("doc").alias("doc"))
     unique = work.save(_representatives(sketches, groups), "unique")
-    links = _links(unique, source, work, shingle, percent, sketch)
-    components = connected_components(links, work, "final") if links is not None else None
-    keyed = groups.withColumnRenamed("doc", "first")
-    if components is not None:
-        keyed = keyed.join(components, F.col("first") == F.col("node"), "left").select("h1", "h2", F.coalesce("component", "first").alias("component"))
-    else:
-        keyed = keyed.select("h1", "h2", F.col("first").alias("component"))
+    components = connected_components(_links(unique, source, work, shingle, percent, sketch), work, "final")
+    keyed = groups.withColumnRenamed("doc", "first").join(components, F.col("first") == F.col("node"), "left").select("h1", "h2", F.coalesce("component", "first").alias("component"))
     whole = sketches.select("doc", "h1", "h2", "n").join(keyed, ["h1", "h2"], "left")
     component = F.when(F.col("doc").isNotNull(), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc")))
     return whole.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc") == component, F.lit(True)).alias("kept"))
@@ -137,108 +132,115 @@ def _alike_in_size(a: str, b: str, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def _links(unique: DataFrame, source: DataFrame, work: Workspace, shingle: int, percent: int, k: int) -> DataFrame | None:
+def _links(unique: DataFrame, source: DataFrame, work: Workspace, shingle: int, percent: int, k: int) -> DataFrame:
+    """(a, b): links enough to join what belongs together."""
     lists = work.save(_lists(unique, percent, k), "lists")
-    lead = lists.groupBy("value").agg(F.min(F.struct("doc", "n")).alias("lead"), F.count("*").alias("size")).where("size > 1")
-    tried = lists.join(lead, "value").select(F.col("lead.doc").alias("a"), F.col("doc").alias("b"), F.col("lead.n").alias("na"), F.col("n").alias("nb"))
-    tried = tried.where((F.col("a") < F.col("b")) & _alike_in_size("na", "nb", percent)).distinct()
-    links = _settle(tried, unique, source, work, "lead", None, shingle, percent, k)
-    known = connected_components(links, work, "met") if links is not None else None
-    if known is not None:
-        lists = lists.join(known, F.col("doc") == F.col("node"), "left").select("value", "doc", "n", F.coalesce("component", "doc").alias("c"))
-    else:
-        lists = lists.withColumn("c", F.col("doc"))
-    mixed = lists.groupBy("value").agg(F.count("*").alias("size"), F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
-    left = work.save(lists.join(mixed.select("value", "size"), "value"), "left")
-    short = left.where(F.col("size") <= SHORT_LIST)
-    pairs = [_pairs_of_short(short, percent)]
-    if left.where(F.col("size") > SHORT_LIST).limit(1).count():
-        pairs.append(_pairs_of_long(left.where(F.col("size") > SHORT_LIST), unique, percent, k))
-    rest = reduce(DataFrame.union, pairs).distinct()
-    more = _settle(rest, unique, source, work, "rest", links, shingle, percent, k)
-    return more
+    lead = lists.groupBy("value").agg(F.min("doc").alias("a"), F.min_by("n", "doc").alias("na"), F.count("*").alias("size")).where("size > 1")
+    tried = lists.join(lead, "value").where((F.col("a") < F.col("doc")) & _alike_in_size("na", "n", percent)).select("a", F.col("doc").alias("b")).distinct()
+    scored = _scored(tried, unique, percent, k)
+    best = work.save(scored.groupBy("b").agg(F.max_by("a", "score").alias("a")).select("a", "b"), "best")
+    links = work.save(_confirmed(best, _sets(best.select(F.col("a").alias("doc")).union(best.select("b")), source, work, shingle, "first"), percent), "links")
+
+    known = connected_components(links, work, "met")
+    placed = lists.join(known, F.col("doc") == F.col("node"), "left").select("value", "doc", "n", F.coalesce("component", "doc").alias("c"))
+    mixed = placed.groupBy("value").agg(F.count("*").alias("size"), F.min("c").alias("low"), F.max("c").alias("high"), F.min("doc").alias("lead")).where("low < high")
+    left = work.save(placed.join(mixed.select("value", "size", "lead"), "value"), "left")
+    pairs = work.save(_scored(_pairs_of_short(left.where(F.col("size") <= SHORT_LIST), percent), unique, percent, k).select("a", "b"), "pairs")
+    long = work.save(left.where(F.col("size") > SHORT_LIST).select("lead", "doc", "c").distinct(), "long")
+    sets = _sets(pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).union(long.select("doc")), source, work, shingle, "second")
+    return links.union(_confirmed(pairs, sets, percent)).union(_links_of_long(long, sets, percent))
 
 
 def _pairs_of_short(lists: DataFrame, percent: int) -> DataFrame:
     """Pairs of documents of different components that share a short list: at most SHORT_LIST for an entry."""
     l, r = (lists.select("value", F.col("doc").alias(x), F.col("n").alias(f"n{x}"), F.col("c").alias(f"c{x}")) for x in "ab")  # noqa: E741
     met = l.join(r, "value").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _alike_in_size("na", "nb", percent))
-    return met.select("a", "b", "na", "nb")
+    return met.select("a", "b").distinct()
 
 
-def _pairs_of_long(lists: DataFrame, unique: DataFrame, percent: int, k: int) -> DataFrame:
-    """The same for long lists: a list is cut into blocks, and each task takes two of them.
+def _scored(pairs: DataFrame, unique: DataFrame, percent: int, k: int) -> DataFrame:
+    """Pairs (a, b) whose estimate may belong to similar sets, with it as score."""
+    one, two = (unique.select(F.col("doc").alias(x), F.col("sketch").alias(f"s{x}")) for x in "ab")
+    scored = pairs.join(two, "b").join(one, "a").withColumn("score", estimate(F.col("sa"), F.col("sb"), k))
+    return scored.where(F.col("score") >= least_estimate(percent, k) - 1e-9).select("a", "b", "score")
 
-    Only pairs across components whose sketches share enough values leave a task, each from the first of the
-    long lists that both documents are in.
-    """
-    need, size = least_estimate(percent, k), F.ceil(F.col("size") / BLOCK).cast("int")
-    every = lists.groupBy("doc").agg(F.sort_array(F.collect_set("value")).alias("values"))
-    blocks = lists.withColumn("blocks", size).withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    tiles = blocks.withColumn("other", other).select("value", "doc", "n", "c", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    tiles = tiles.join(unique.select("doc", "sketch"), "doc").join(every, "doc")
-
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        value, own, opposite = rows["value"].iloc[0], rows[rows.block == rows.i], rows[rows.block == rows.j]
-        same = bool((rows.i == rows.j).all())
-        held: dict[int, list[int]] = {}
-        for at, sketch in enumerate(opposite["sketch"]):
-            for v in sketch:
-                held.setdefault(v, []).append(at)
-        out = []
-        docs, sizes, comps, lists_of = (opposite[x].to_numpy() for x in ("doc", "n", "c", "values"))
-        sketch_sizes = np.array([len(x) for x in opposite["sketch"]], np.int64)
-        for doc, n, c, sketch, values in zip(own["doc"], own["n"], own["c"], own["sketch"], own["values"], strict=True):
-            shared = np.zeros(len(docs), np.int64)
-            for v in sketch:
-                shared[held.get(v, [])] += 1
-            good = (shared >= np.floor(need * np.maximum(len(sketch), sketch_sizes)).clip(1)) & (comps != c)
-            good &= np.minimum(sizes, n) * 100 >= np.maximum(sizes, n) * percent
-            if same:
-                good &= docs > doc
-            mine = set(values)
-            for at in np.flatnonzero(good):
-                if min(mine.intersection(lists_of[at])) == value:
-                    a, b = sorted(((doc, n), (docs[at], sizes[at])))
-                    out.append((a[0], b[0], a[1], b[1]))
-        return pd.DataFrame(out, columns=["a", "b", "na", "nb"]).astype("int64")
-
-    return tiles.groupBy("value", "i", "j").applyInPandas(compare, "a long, b long, na long, nb long")
-
-
-def _settle(tried: DataFrame, unique: DataFrame, source: DataFrame, work: Workspace, name: str, links: DataFrame | None, shingle: int, percent: int, k: int) -> DataFrame | None:
-    """links and those that confirmation on full sets adds from the pairs tried (a, b, na, nb).
-
-    Each document is first tried with its most alike partner; pairs that links have joined by then need no
-    confirmation.  All pairs left between components are confirmed in the last round.
-    """
-    one, two = unique.select(F.col("doc").alias("a"), F.col("sketch").alias("sa")), unique.select(F.col("doc").alias("b"), F.col("sketch").alias("sb"))
-    scored = tried.join(two, "b").join(one, "a").withColumn("score", estimate(F.col("sa"), F.col("sb"), k)).drop("sa", "sb")
-    pairs = work.save(scored.where(F.col("score") >= least_estimate(percent, k) - 1e-9), f"{name}-pairs")
-    if not pairs.limit(1).count():
-        return links
-    ids = work.save(pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct(), f"{name}-ids")
+
+def _sets(ids: DataFrame, source: DataFrame, work: Workspace, shingle: int, name: str) -> DataFrame:
+    """(doc, shingles): the full sets of the documents named, from a second look at their texts."""
+    ids = work.save(ids.distinct(), f"{name}-ids")
     wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    sets = work.save(source.join(wanted, "doc", "left_semi").mapInArrow(_set_maker(shingle), "doc long, shingles array<long>"), f"{name}-sets")
-    turns, tested = (2 if links is None else 3), None
-    for turn in range(turns):
-        chosen = pairs
-        if turn:
-            if links is not None:
-                own = connected_components(links, work, f"{name}-turn{turn}")
-                for x in "ab":
-                    chosen = chosen.join(own.select(F.col("node").alias(x), F.col("component").alias(f"c{x}")), x, "left")
-                chosen = chosen.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b", "score")
-            chosen = chosen.join(tested, ["a", "b"], "left_anti")
-        if turn < turns - 1:
-            chosen = chosen.groupBy("b").agg(F.max(F.struct("score", F.negative("a").alias("a"))).alias("best")).select((-F.col("best.a")).alias("a"), "b")
-        both = chosen.select("a", "b").join(sets.select(F.col("doc").alias("b"), F.col("shingles").alias("sb")), "b").join(sets.select(F.col("doc").alias("a"), F.col("shingles").alias("sa")), "a")
-        shared = F.size(F.array_intersect("sa", "sb"))
-        alike = shared * 100 >= (F.size("sa") + F.size("sb") - shared) * percent
-        result = work.save(both.select("a", "b", alike.alias("alike")), f"{name}-tested{turn}")
-        tested = result.select("a", "b") if tested is None else tested.union(result.select("a", "b"))
-        found = result.where("alike").select("a", "b")
-        links = found if links is None else links.union(found)
-    work.drop(f"{name}-sets")
+    return work.save(source.join(wanted, "doc", "left_semi").mapInArrow(_set_maker(shingle), "doc long, shingles array<long>"), f"{name}-sets")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar."""
+    one, two = (sets.select(F.col("doc").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab")
+    both = pairs.select("a", "b").join(two, "b").join(one, "a").withColumn("shared", F.size(F.array_intersect("sa", "sb")))
+    return both.where(F.col("shared") * 100 >= (F.size("sa") + F.size("sb") - F.col("shared")) * percent).select("a", "b")
+
+
+def _links_of_long(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links across components among documents that share a long list.
+
+    Long lists of one first document go together, as they hold much the same documents.  The largest
+    component of such a group needs no look within, only against the rest; the rest and it are cut into
+    blocks, and a task compares the full sets of two blocks exactly, by products of their incidence matrices.  A task
+    gives no more links than it joins components, so what comes out is bounded by what goes in.
+    """
+    counts = entries.groupBy("lead", "c").agg(F.count("*").alias("n")).groupBy("lead").agg(F.max_by("c", "n").alias("largest"), F.max("n").alias("n"), F.sum("n").alias("all"))
+    blocks = lambda n: F.greatest(F.lit(1), F.ceil(n / BLOCK)).cast("int")
+    sized = entries.join(counts, "lead").select("lead", "doc", "c", (F.col("c") == F.col("largest")).alias("inner"), blocks(F.col("all") - F.col("n")).alias("rest"), blocks(F.col("n")).alias("core"))
+    placed = sized.withColumn("at", F.pmod(F.xxhash64("doc"), F.when(F.col("inner"), F.col("core")).otherwise(F.col("rest"))).cast("int"))
+    upto = lambda n: F.sequence(F.lit(0), n - 1)
+    tile = lambda inner, i, j: F.struct(F.lit(inner).alias("inner"), i.alias("i"), j.alias("j"))
+    within = F.transform(upto(F.col("rest")), lambda j: tile(False, F.least(F.col("at"), j), F.greatest(F.col("at"), j)))
+    against = F.transform(upto(F.col("core")), lambda j: tile(True, F.col("at"), j))
+    core = F.transform(upto(F.col("rest")), lambda i: tile(True, i, F.col("at")))
+    tiles = placed.withColumn("tile", F.explode(F.when(F.col("inner"), core).otherwise(F.concat(within, against))))
+    rows = tiles.select("lead", "tile", "doc", "c", F.when(F.col("tile.inner"), ~F.col("inner")).otherwise(F.col("at") == F.col("tile.i")).alias("first"), F.when(F.col("tile.inner"), F.col("inner")).otherwise(F.col("at") == F.col("tile.j")).alias("second"))
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        links = similar_across(group.doc.to_numpy(), group.c.to_numpy(), [*group.shingles], group["first"].to_numpy(), group.second.to_numpy(), percent)
+        return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
+
+    return rows.join(sets, "doc").groupBy("lead", "tile").applyInPandas(compare, "a long, b long")
+
+
+def similar_across(docs: np.ndarray, components: np.ndarray, sets: list[np.ndarray], first: np.ndarray, second: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Similar pairs of one document of the first block and one of the second, as far as they join components."""
+    one, two = np.flatnonzero(first), np.flatnonzero(second)
+    if not len(one) or not len(two):
+        return []
+    flat = lambda rows: (np.concatenate([sets[i] for i in rows]), np.repeat(np.arange(len(rows)), [len(sets[i]) for i in rows]))
+    (values1, rows1), (values2, rows2) = flat(one), flat(two)
+    common = np.intersect1d(values1, values2)
+    shared = np.zeros((len(one), len(two)), np.float32)
+
+    def columns(values: np.ndarray, rows: np.ndarray, part: np.ndarray, n: int) -> np.ndarray:
+        at = np.minimum(np.searchsorted(part, values), len(part) - 1)
+        hit = part[at] == values
+        matrix = np.zeros((n, len(part)), np.float32)
+        matrix[rows[hit], at[hit]] = 1
+        return matrix
+
+    for start in range(0, len(common), 2048):
+        part = common[start : start + 2048]
+        shared += columns(values1, rows1, part, len(one)) @ columns(values2, rows2, part, len(two)).T
+    sizes = np.array([len(s) for s in sets], np.float64)
+    alike = 100 * shared.astype(np.float64) >= percent * (sizes[one][:, None] + sizes[two][None, :] - shared)
+    alike &= components[one][:, None] != components[two][None, :]
+    root: dict[int, int] = {}
+
+    def find(c: int) -> int:
+        while (up := root.get(c, c)) != c:
+            root[c] = root.get(up, up)
+            c = up
+        return c
+
+    links = []
+    for i, j in np.argwhere(alike):
+        a, b = find(int(components[one[i]])), find(int(components[two[j]]))
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            links.append((int(docs[one[i]]), int(docs[two[j]])))
     return links
