@@ -25,7 +25,7 @@ def registry_cache(registry: DataFrame, order: str = "_row") -> DataFrame:
 
 def live_answers(cache: DataFrame, as_of: Column) -> DataFrame:
     """Cached answers that still hold: successes for ever, refusals 30 days, temporary errors an hour."""
-    age = as_of.cast("long") - F.col("updated_utc").cast("long")
+    age = as_of.cast("long") - F.col("updated_utc").cast("timestamp").cast("long")
     limit = F.when(F.col("status") == "success", F.lit(None).cast("long")).when(F.col("status") == "negative", NEGATIVE_DAYS * 86_400).otherwise(TEMPORARY_HOURS * 3_600)
     return cache.where(limit.isNull() | (age < limit))
 
