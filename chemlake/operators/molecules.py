@@ -216,7 +216,7 @@ TOTALS = {
 def annotate(rows: DataFrame, smiles: str = "smiles") -> DataFrame:
     """rows with the features of their molecules; a SMILES that is none gives Valid 0 and zeros.
 
-    Each distinct SMILES is read once; counting stays on the JVM.
+    Each distinct SMILES is read once; counting stays on the JVM. Columns of rows with a feature's name are replaced.
     """
     each = rows.select(F.col(smiles).alias("_s")).where("_s IS NOT NULL").distinct().withColumn("_m", molecule(F.col("_s")))
     features = feature_columns(F.col("_m"))
@@ -226,8 +226,9 @@ def annotate(rows: DataFrame, smiles: str = "smiles") -> DataFrame:
     counted = counted.withColumn("IsPolyol", (F.col("TotalAlcoholCount") >= 2).cast("int")).withColumn("IsFullySaturated", ((F.col("NumUnsaturatedBonds") == 0) & (F.col("Valid") == 1)).cast("int"))
     counted = counted.withColumn("HighImpactSummary", F.format_string("T1:%d; T2:%d", "HighImpactTier1Count", "HighImpactTier2Count"))
     names = [c for c in counted.columns if c != "_s"]
-    joined = rows.join(counted, F.col(smiles) == F.col("_s"), "left")
-    return joined.select(*[c for c in rows.columns if c not in names], *[F.coalesce(c, F.lit("T1:0; T2:0") if c == "HighImpactSummary" else F.lit(0)).alias(c) for c in names])
+    kept = [c for c in rows.columns if c not in names]
+    joined = rows.select(*kept).join(counted, F.col(smiles) == F.col("_s"), "left")
+    return joined.select(*kept, *[F.coalesce(c, F.lit("T1:0; T2:0") if c == "HighImpactSummary" else F.lit(0)).alias(c) for c in names])
 
 
 def annotate_cleaned(rows: DataFrame, raw: str = "smiles") -> DataFrame:
