@@ -138,3 +138,24 @@ def cache_key(method: Column, url: Column, params: Column) -> Column:
     """Digest of a request: method, address, and parameters (a map) in order."""
     parts = F.array_sort(F.transform(F.map_entries(params), lambda e: F.concat(e["key"], F.lit("="), e["value"])))
     return F.sha2(F.concat_ws(" | ", F.upper(method), url, F.array_join(parts, "&")), 256)
+
+
+def missing_requests(requests: DataFrame, cache: DataFrame) -> DataFrame:
+    """Requests (method, url, params) with their key that the cache (cache_key) does not hold, each once."""
+    keyed = requests.withColumn("cache_key", cache_key(F.col("method"), F.col("url"), F.col("params")))
+    return keyed.join(cache.select("cache_key").distinct(), "cache_key", "left_anti").dropDuplicates(["cache_key"])
+
+
+def discover_until_empty(pages: DataFrame, reference: DataFrame, start: int, width: int, empty: int = 2) -> tuple[DataFrame, int]:
+    """(routes of the pages from `start` on, first id not looked at): windows of ids until `empty` in a row have no candidate.
+
+    What comes to the driver is one count per window.
+    """
+    at, nothing, found = start, 0, None
+    last = pages.agg(F.max("page_id")).first()[0]
+    while nothing < empty and last is not None and at <= last:
+        window = discover(pages.where((F.col("page_id") >= at) & (F.col("page_id") < at + width)), reference)
+        nothing = 0 if window.where("route = 'candidate'").limit(1).count() else nothing + 1
+        at += width
+    found = discover(pages.where((F.col("page_id") >= start) & (F.col("page_id") < at)), reference)
+    return found, at

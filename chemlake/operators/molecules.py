@@ -185,7 +185,9 @@ def feature_columns(mol: Column) -> dict[str, Column]:
         "MolecularWeight": F.aggregate(F.transform(g.atoms, lambda a: F.coalesce(F.try_element_at(weight, a["z"]), F.lit(0.0)) + a["h"] * WEIGHTS["H"]), F.lit(0.0), lambda x, y: x + y),
         "FractionCSP3": F.coalesce(g.count(lambda a: (a["z"] == "C") & g.sp3(a)) / F.nullif(g.count(lambda a: a["z"] == "C"), F.lit(0)), F.lit(0.0)),
     }
+    f |= _aldehyde_columns(g) | _ester_columns(g) | _thiophenol_columns(g) | _alcohol_columns(g) | _ring_columns(g)
     for x in HALOGENS:
+        f[f"HalogenatedPhenolCount_{x}"] = g.count(_on_aromatic_ring(g, _beside(x)))
         f[f"HalogenAtomCount_{x}"] = g.count(_is(x))
         f[f"HalogenatedCarbonCount_{x}"] = g.count(_halogenated(x, None))
         f[f"HalogenatedArylCarbonCount_{x}"] = g.count(_halogenated(x, True))
@@ -193,6 +195,129 @@ def feature_columns(mol: Column) -> dict[str, Column]:
     return f
 
 
+def _beside(element: str):
+    return lambda c: F.exists(c["n"], _is(element))
+
+
+def _on_aromatic_ring(g: Groups, where):
+    """Oxygens on an aromatic ring of which some atom fulfils a condition."""
+    ring_fits = lambda n: F.exists(g.rings, lambda r: F.array_contains(r, n["j"]) & F.forall(r, lambda i: F.get(g.atoms, i)["a"]) & F.exists(r, lambda i: where(F.get(g.atoms, i))))
+    return lambda o: (o["z"] == "O") & F.exists(o["n"], lambda n: (n["z"] == "C") & g.atom(n)["a"] & ring_fits(n))
+
+
+def _aldehyde_columns(g: Groups) -> dict[str, Column]:
+    """Substitution beside the aldehyde carbon; beta positions of rings by their further substituents."""
+    single = lambda a: F.filter(a["n"], lambda n: (n["o"] == SINGLE) & (n["z"] == "C"))
+    alpha_branched = lambda c: F.size(single(g.aldehyde_alpha(c))) >= 3
+    # a beta carbon has the alpha carbon and two more; the aldehyde's own carbon is a carbonyl and so left out
+    beta = lambda c: F.exists(g.aldehyde_alpha(c)["n"], lambda n: (n["z"] == "C") & ~g.carbonyl(g.atom(n)) & (F.size(single(g.atom(n))) - F.when(n["o"] == SINGLE, 1).otherwise(0) >= 2))
+    ring_beta = lambda c: F.least(F.size(F.filter(g.aldehyde_alpha(c)["n"], lambda n: g.atom(n)["r"] & (F.size(g.atom(n)["n"]) > 2))), F.lit(2))
+    open_chain = lambda where: g.count(lambda c: g.aldehyde(c) & ~g.aldehyde_alpha(c)["r"] & where(c))
+    cyclic = lambda low, high: g.count(lambda c: g.aldehyde(c) & g.aldehyde_alpha(c)["r"] & ~g.aldehyde_alpha(c)["a"] & ring_beta(c).between(low, high))
+
+    def audit(c: Column, i: Column) -> Column:
+        alpha = g.aldehyde_alpha(c)
+        tags = F.array(
+            F.concat(F.lit("ald@C"), i.cast("string")),
+            F.when(~alpha["r"], F.when(alpha_branched(c), "alphaSub").when(beta(c), "betaSub").otherwise("noAlphaBetaSub")),
+            F.when(alpha["r"] & ~alpha["a"], F.concat(F.lit("cyclicBetaSub="), ring_beta(c).cast("string"))),
+            F.when(alpha["a"], "aryl").when(alpha["r"], "cyclic-aliph").otherwise("acyclic"),
+            F.when(alpha["a"] | g.has(alpha, DOUBLE, "C"), "ab-unsat"),
+        )
+        return F.when(g.aldehyde(c), F.array_join(F.array_compact(tags), ":"))
+
+    return {
+        "AldehydeCount_AlphaSubstituted": open_chain(alpha_branched), "AldehydeCount_BetaSubstituted": open_chain(lambda c: ~alpha_branched(c) & beta(c)),
+        "AldehydeCount_NoAlphaBetaSub": open_chain(lambda c: ~alpha_branched(c) & ~beta(c)), "CyclicAldehyde_BetaSubCount_0": cyclic(0, 0), "CyclicAldehyde_BetaSubCount_1": cyclic(1, 1),
+        "CyclicAldehyde_BetaSubCount_2": cyclic(2, 2), "CyclicAldehyde_BetaSubstitutedCount": cyclic(1, 2), "CyclicAldehyde_NonBetaSubstitutedCount": cyclic(0, 0),
+        "AldehydeAudit": F.array_join(F.transform(g.atoms, audit), "; "),
+    }
+
+
+def _ester_columns(g: Groups) -> dict[str, Column]:
+    """Sides of malonates, acrylates, and acids with their anions."""
+    acid = lambda c: g.carbonyl(c) & F.exists(c["n"], lambda n: (n["z"] == "O") & (n["o"] == SINGLE) & (g.atom(n)["h"] >= 1))
+    ester = lambda c: g.carbonyl(c) & ~acid(c) & F.exists(c["n"], g.alkoxy)
+    sides = lambda c, kind: F.size(F.filter(c["n"], lambda n: (n["z"] == "C") & (n["o"] == SINGLE) & kind(g.atom(n))))
+    centre = lambda acids, esters: g.count(lambda c: (c["z"] == "C") & (sides(c, acid) == acids) & (sides(c, ester) == esters))
+    # an ester whose carbonyl stands on a carbon with a double bond
+    vinyl = lambda where: g.count(lambda c: g.carbonyl(c) & F.exists(c["n"], g.alkoxy) & F.exists(c["n"], lambda n: (n["z"] == "C") & where(g.atom(n))))
+    hydrogens = lambda a, n: F.exists(a["n"], lambda m: (m["o"] == DOUBLE) & (m["z"] == "C") & (g.atom(m)["h"] == n))
+    diester, half, both = centre(0, 2), centre(1, 1), centre(2, 0)
+    return {
+        "MalonateDiesterCount": diester, "MalonateHalfEsterCount": half, "MalonicAcidCount": both, "MalonateLikeCount": diester + half + both,
+        "AcrylateEsterCount": vinyl(lambda a: (a["h"] == 1) & hydrogens(a, 2)), "MethacrylateEsterCount": vinyl(lambda a: g.has(a, DOUBLE, "C") & (g.number(a, SINGLE, "C") == 2)),
+        "CarboxylicAcidCount_Fragment": g.count(lambda c: g.carbonyl(c) & (g.carbons(c) >= 1) & F.exists(c["n"], lambda n: (n["z"] == "O") & (n["o"] == SINGLE) & ((g.atom(n)["h"] == 1) | (g.atom(n)["q"] == -1)))),
+    }
+
+
+def _thiophenol_columns(g: Groups) -> dict[str, Column]:
+    """Thiophenols by where their ring is substituted: ortho before meta before para."""
+    def at(r: Column, c: Column, step: int) -> Column:
+        """A substituent outside the ring, `step` places from the carbon, either way."""
+        place = lambda d: F.get(r, F.pmod(F.array_position(r, c) - 1 + d, F.size(r)).cast("int"))
+        outside = lambda i: F.exists(F.get(g.atoms, i)["n"], lambda n: ~F.array_contains(r, n["j"]))
+        return outside(place(step)) | outside(place(-step))
+
+    def found(s: Column, where) -> Column:
+        c = F.get(s["n"], F.lit(0))["j"]
+        ring = F.get(F.filter(g.rings, lambda r: F.array_contains(r, c)), F.lit(0))
+        return (s["z"] == "S") & (s["h"] >= 1) & (F.size(s["n"]) == 1) & F.coalesce(g.host(s)["a"] & where(ring, c), F.lit(False))
+
+    return {
+        "Thiophenol_OrthoCount": g.count(lambda s: found(s, lambda r, c: at(r, c, 1))), "Thiophenol_MetaCount": g.count(lambda s: found(s, lambda r, c: ~at(r, c, 1) & at(r, c, 2))),
+        "Thiophenol_ParaCount": g.count(lambda s: found(s, lambda r, c: ~at(r, c, 1) & ~at(r, c, 2) & (F.size(r) >= 6) & at(r, c, 3))),
+    }
+
+
+def _alcohol_columns(g: Groups) -> dict[str, Column]:
+    """Diols, and what each hydroxyl is."""
+    sites = F.filter(F.transform(g.atoms, lambda o: F.when(g.alcohol_site(o), F.get(o["n"], F.lit(0))["j"])), lambda j: j.isNotNull())
+    near = lambda j: F.transform(F.get(g.atoms, j)["n"], lambda n: n["j"])
+    bonded = lambda a, b: F.array_contains(near(a), b)
+    through = lambda a, b: F.exists(F.get(g.atoms, a)["n"], lambda n: (n["z"] == "C") & F.array_contains(near(n["j"]), b))
+    pairs = lambda where: F.aggregate(F.transform(sites, lambda a, i: F.size(F.filter(sites, lambda b, k: (k > i) & where(a, b)))), F.lit(0), lambda x, y: x + y)
+
+    def label(o: Column, i: Column) -> Column:
+        c, j = g.host(o), F.get(o["n"], F.lit(0))["j"].cast("string")
+        place = F.concat(F.lit("@O"), i.cast("string"), F.lit("-C"), j)
+        hemi = g.sp3(c) & F.exists(c["n"], g.alkoxy)
+        carbons = g.carbons(c)
+        kind = F.when(g.alpha_hydroxy(o), "alpha2carbonyl").when(c["a"], "phenol").when(carbons <= 1, "primary").when(carbons == 2, "secondary").otherwise("tertiary")
+        nitrogen = F.get(F.filter(c["n"], lambda n: (n["z"] == "N") & (n["o"] == DOUBLE)), F.lit(0))["j"].cast("string")
+        oxime = F.when(g.hydroxyl(o) & g.oxime(o) & (c["z"] == "C"), F.concat(F.lit("oxime@O"), i.cast("string"), F.lit("-N"), nitrogen, F.lit("-C"), j))
+        enol = F.when(g.enolic(o), F.concat(F.lit("enol"), place))
+        marked = F.when(hemi, F.concat(F.when(c["h"] >= 1, "hemiacetal").otherwise("hemiketal"), place))
+        return F.when(g.alcohol_site(o), F.when(enol.isNotNull(), enol).otherwise(F.concat_ws("; ", marked, F.concat(kind, place)))).otherwise(oxime)
+
+    return {"Vicinal12DiolCount": pairs(bonded), "OneThreeDiolCount": pairs(lambda a, b: ~bonded(a, b) & through(a, b)), "AlcoholAudit": F.array_join(F.transform(g.atoms, label), "; ")}
+
+
+def _ring_columns(g: Groups) -> dict[str, Column]:
+    """Fused rings, isoprene-like units, and kinds of ethers."""
+    aromatic = lambda r: F.forall(r, lambda i: F.get(g.atoms, i)["a"])
+    nitrogens = lambda r: F.size(F.filter(r, lambda i: F.get(g.atoms, i)["z"] == "N"))
+    carbons_only = lambda r: F.forall(r, lambda i: F.get(g.atoms, i)["z"] == "C")
+    indole = lambda r: (F.size(r) == 5) & aromatic(r) & (nitrogens(r) == 1) & F.exists(g.rings, lambda q: (F.size(q) == 6) & aromatic(q) & carbons_only(q) & (F.size(F.array_intersect(r, q)) == 2))
+    # of C=C(C)C: for each end of a double bond, pairs of its other carbons
+    others = lambda a: g.number(a, SINGLE, "C") - F.size(F.filter(a["n"], lambda n: (n["o"] == SINGLE) & (n["z"] == "C") & g.atom(n)["a"]))
+    units = lambda a: F.when((a["z"] == "C") & ~a["a"], g.number(a, DOUBLE, "C") * others(a) * (others(a) - 1) / 2).otherwise(0)
+    two = lambda o: (o["z"] == "O") & ~o["a"] & (F.size(o["n"]) == 2)
+    free = lambda n: (n["z"] == "C") & g.sp3(g.atom(n)) & ~g.atom(n)["r"]
+    aryl = lambda n: (n["z"] == "C") & g.atom(n)["a"]
+    pure = F.forall(g.atoms, lambda a: a["z"].isin("C", "H"))
+    some_aromatic = F.exists(g.atoms, lambda a: a["a"])
+    terpene = F.aggregate(F.transform(g.atoms, units), F.lit(0.0), lambda x, y: x + y).cast("int")
+    ring_count = F.size(g.rings)
+    return {
+        "IndoleCount": F.size(F.filter(g.rings, indole)), "TerpeneLikeUnitCount": terpene, "IsTerpeneHydrocarbon": (pure & (terpene >= 1)).cast("int"),
+        "NumAliphaticRings": F.size(F.filter(g.rings, lambda r: ~aromatic(r))), "HydrocarbonRingCount": F.when(pure, ring_count).otherwise(0),
+        "IsHydrocarbonAromatic": (pure & some_aromatic).cast("int"), "IsHydrocarbonAliphatic": (pure & ~some_aromatic).cast("int"),
+        "EtherAliphaticCount": g.count(lambda o: two(o) & ~o["r"] & F.forall(o["n"], free)), "EtherAromaticCount": g.count(lambda o: two(o) & F.forall(o["n"], aryl)),
+        "EtherMixedCount": g.count(lambda o: two(o) & F.exists(o["n"], aryl) & F.exists(o["n"], free)), "EtherRingCount": g.count(lambda o: two(o) & o["r"]),
+    }
+
+
 def _halogenated(element: str, aromatic: bool | None):
     def where(c: Column) -> Column:
         held = (c["z"] == "C") & F.exists(c["n"], _is(element))
@@ -203,13 +328,15 @@ def _halogenated(element: str, aromatic: bool | None):
 
 # What the totals and the two tiers of strong odorants add up.
 TOTALS = {
-    "TotalAlcoholCount": ("PrimaryAlcoholCount", "SecondaryAlcoholCount", "TertiaryAlcoholCount"),
+    "TotalAlcoholCount": ("PrimaryAlcoholCount", "SecondaryAlcoholCount", "TertiaryAlcoholCount", "PhenolCount", "AlphaHydroxyCarbonylCount", "EnolicOHCount"),
+    "EtherCount": ("EtherCount_Total",),
+    "NitrileFragmentCount": ("NitrileCount",),
     "AmineCount_Total": ("AmineCount_Primary", "AmineCount_Secondary", "AmineCount_Tertiary"),
     "MacroMusks_Total": ("MacroMusks_Ketones", "MacroMusks_Lactones"),
     "TotalSulfurGroupCount": ("ThiolCount", "ThiophenolCount", "AliphaticThiolCount", "DisulfideCount", "ThioesterCount", "ThioetherCount", "SulfoxideCount", "SulfoneCount"),
     "TotalNitrogenGroupCount": ("AmineCount_Total", "NitrileCount", "NitroGroupCount", "PyridineCount", "ThiazoleCount"),
     "HighImpactTier1Count": ("ThiophenolCount", "AliphaticThiolCount", "DisulfideCount", "SulfoxideCount", "SulfoneCount", "HalogenatedPhenolCount", "HalogenatedCarbonCount", "NitroGroupCount", "AlphaBetaUnsaturatedAldehydeCount"),
-    "HighImpactTier2Count": ("EnolicOHCount", "ThioetherCount", "PhenolCount", "NitrileCount"),
+    "HighImpactTier2Count": ("EnolicOHCount", "ThioetherCount", "MalonateLikeCount", "AldehydeCount_AlphaSubstituted", "AldehydeCount_BetaSubstituted", "PhenolCount", "Thiophenol_OrthoCount", "Thiophenol_MetaCount", "Thiophenol_ParaCount", "NitrileCount"),
 }
 
 
@@ -220,7 +347,8 @@ def annotate(rows: DataFrame, smiles: str = "smiles") -> DataFrame:
     """
     each = rows.select(F.col(smiles).alias("_s")).where("_s IS NOT NULL").distinct().withColumn("_m", molecule(F.col("_s")))
     features = feature_columns(F.col("_m"))
-    counted = each.select("_s", F.col("_m").isNotNull().cast("int").alias("Valid"), *[F.coalesce(c, F.lit(0)).alias(n) for n, c in features.items()])
+    counted = each.select("_s", F.col("_m").isNotNull().cast("int").alias("Valid"), *[F.coalesce(c, F.lit("" if n.endswith("Audit") else 0)).alias(n) for n, c in features.items()])
+    counted = counted.withColumn("EsterCount_Open", F.col("EsterCount_Total") - F.col("LactoneCount"))
     for name, parts in TOTALS.items():
         counted = counted.withColumn(name, sum((F.col(p) for p in parts[1:]), F.col(parts[0])))
     counted = counted.withColumn("IsPolyol", (F.col("TotalAlcoholCount") >= 2).cast("int")).withColumn("IsFullySaturated", ((F.col("NumUnsaturatedBonds") == 0) & (F.col("Valid") == 1)).cast("int"))
@@ -228,7 +356,7 @@ def annotate(rows: DataFrame, smiles: str = "smiles") -> DataFrame:
     names = [c for c in counted.columns if c != "_s"]
     kept = [c for c in rows.columns if c not in names]
     joined = rows.select(*kept).join(counted, F.col(smiles) == F.col("_s"), "left")
-    return joined.select(*kept, *[F.coalesce(c, F.lit("T1:0; T2:0") if c == "HighImpactSummary" else F.lit(0)).alias(c) for c in names])
+    return joined.select(*kept, *[F.coalesce(c, F.lit("T1:0; T2:0" if c == "HighImpactSummary" else "" if c.endswith("Audit") else 0)).alias(c) for c in names])
 
 
 def annotate_cleaned(rows: DataFrame, raw: str = "smiles") -> DataFrame:

@@ -25,10 +25,18 @@ CASES = {
     "CN": {"AmineCount_Primary": 1}, "CNC": {"AmineCount_Secondary": 1}, "CN(C)C": {"AmineCount_Tertiary": 1, "AmineCount_Total": 1}, "C[NH3+]": {"AmineCount_Primary": 1}, "CC(=O)N": {"AmineCount_Total": 0, "AmideCount_Total": 1},
     "O=C1CCCN1": {"LactamCount": 1}, "NC(=O)N": {"UreaCount": 1, "AmideCount_Total": 0}, "COC(=O)N": {"UrethaneCount": 1}, "CN=C=O": {"IsocyanateCount": 1, "ImineCount": 0}, "CC=NC": {"ImineCount": 1}, "CC#N": {"NitrileCount": 1},
     "CS": {"ThiolCount": 1, "AliphaticThiolCount": 1}, "Sc1ccccc1": {"ThiophenolCount": 1}, "CSSC": {"DisulfideCount": 1}, "CSC": {"ThioetherCount": 1}, "CC(=O)SC": {"ThioesterCount": 1, "ThioetherCount": 0},
-    "C=CCO": {"AllylicAlcoholCount": 1, "PrimaryAlcoholCount": 1}, "OCc1ccccc1": {"BenzylicAlcoholCount": 1}, "C#CCO": {"PropargylicAlcoholCount": 1}, "C=CO": {"EnolicOHCount": 1, "TotalAlcoholCount": 0},
-    "CC(O)C(C)=O": {"AlphaHydroxyCarbonylCount": 1, "TotalAlcoholCount": 0}, "COC(C)OC": {"AcetalCount": 1}, "COC(C)(C)OC": {"KetalCount": 1}, "COC(OC)OC": {"OrthoesterCount": 1}, "COC(C)O": {"HemiacetalCount": 1}, "COC(C)(C)O": {"HemiketalCount": 1},
+    "C=CCO": {"AllylicAlcoholCount": 1, "PrimaryAlcoholCount": 1}, "OCc1ccccc1": {"BenzylicAlcoholCount": 1}, "C#CCO": {"PropargylicAlcoholCount": 1}, "C=CO": {"EnolicOHCount": 1, "TotalAlcoholCount": 1, "PrimaryAlcoholCount": 0, "AlcoholAudit": "enol@O2-C1"},
+    "CC(O)C(C)=O": {"AlphaHydroxyCarbonylCount": 1, "TotalAlcoholCount": 1, "SecondaryAlcoholCount": 0}, "COC(C)OC": {"AcetalCount": 1}, "COC(C)(C)OC": {"KetalCount": 1}, "COC(OC)OC": {"OrthoesterCount": 1}, "COC(C)O": {"HemiacetalCount": 1}, "COC(C)(C)O": {"HemiketalCount": 1},
     "C1=CC=CC=C1O": {"PhenolCount": 1, "NumAromaticAtoms": 6, "NumAromaticRings": 1}, "C=C(C)C=C": {"NumAlkeneBonds": 2, "IsPureHydrocarbon": 1, "IsFullySaturated": 0}, "C#C": {"NumAlkyneBonds": 1},
-    "OCCO": {"IsPolyol": 1, "TotalAlcoholCount": 2}, "c1ccc2ccccc2c1": {"NumRingsTotal": 2, "NumAromaticRings": 2, "CarbonAtomCount": 10}, "Cc1ccccc1O": {"AlkylPhenolCount": 1}, "ClCC(F)F": {"HalogenatedAlkylCarbonCount_Cl": 1, "HalogenAtomCount_F": 2, "HalogenatedCarbonCount": 2},
+    "CCC(C)C=O": {"AldehydeCount_AlphaSubstituted": 1, "AldehydeCount_BetaSubstituted": 0}, "CC(C)CC=O": {"AldehydeCount_BetaSubstituted": 1, "AldehydeCount_NoAlphaBetaSub": 0, "AldehydeAudit": "ald@C4:betaSub:acyclic"},
+    "CCCC=O": {"AldehydeCount_NoAlphaBetaSub": 1, "AldehydeCount_BetaSubstituted": 0}, "O=CC1CCCCC1C": {"CyclicAldehyde_BetaSubCount_1": 1, "CyclicAldehyde_BetaSubstitutedCount": 1, "CyclicAldehyde_BetaSubCount_0": 0},
+    "COC(=O)CC(=O)OC": {"MalonateDiesterCount": 1, "MalonateLikeCount": 1}, "OC(=O)CC(=O)OC": {"MalonateHalfEsterCount": 1}, "OC(=O)CC(=O)O": {"MalonicAcidCount": 1},
+    "C=CC(=O)OC": {"AcrylateEsterCount": 1, "MethacrylateEsterCount": 0}, "C=C(C)C(=O)OC": {"MethacrylateEsterCount": 1, "AcrylateEsterCount": 0},
+    "Cc1ccccc1S": {"Thiophenol_OrthoCount": 1, "Thiophenol_MetaCount": 0}, "Cc1cccc(S)c1": {"Thiophenol_MetaCount": 1, "Thiophenol_OrthoCount": 0}, "Cc1ccc(S)cc1": {"Thiophenol_ParaCount": 1, "Thiophenol_OrthoCount": 0},
+    "Oc1ccccc1Br": {"HalogenatedPhenolCount_Br": 1, "HalogenatedPhenolCount_Cl": 0}, "c1ccc2[nH]ccc2c1": {"IndoleCount": 1, "AmineCount_Total": 0}, "CC(C)=CCC": {"TerpeneLikeUnitCount": 1, "IsTerpeneHydrocarbon": 1},
+    "OCCCO": {"OneThreeDiolCount": 1, "Vicinal12DiolCount": 0, "AlcoholAudit": "primary@O0-C1; primary@O4-C3"}, "CCOCC": {"EtherAliphaticCount": 1, "EtherRingCount": 0}, "C1CCOC1": {"EtherRingCount": 1, "EtherAliphaticCount": 0},
+    "CC([O-])=O": {"CarboxylicAcidCount_Fragment": 1, "CarboxylicAcidCount": 0}, "C1CCCCC1": {"NumAliphaticRings": 1, "IsHydrocarbonAliphatic": 1, "HydrocarbonRingCount": 1},
+    "OCCO": {"IsPolyol": 1, "TotalAlcoholCount": 2, "Vicinal12DiolCount": 1}, "c1ccc2ccccc2c1": {"NumRingsTotal": 2, "NumAromaticRings": 2, "CarbonAtomCount": 10}, "Cc1ccccc1O": {"AlkylPhenolCount": 1}, "ClCC(F)F": {"HalogenatedAlkylCarbonCount_Cl": 1, "HalogenAtomCount_F": 2, "HalogenatedCarbonCount": 2},
 }
 
 
