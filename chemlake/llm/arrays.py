@@ -1,10 +1,10 @@
-"""Array functions on columns."""
+"""Array functions on columns, and names for columns in passing."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -17,3 +17,11 @@ def prefix_fold(values: Column, join: Callable[[Column, Column], Column]) -> Col
         return F.transform(state, lambda x, i: F.when(i >= step, join(F.get(state, i - step), x)).otherwise(x))
 
     return F.aggregate(passes, values, once)
+
+
+def unused_name(df: DataFrame, name: str) -> str:
+    """A column name that df does not have."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name

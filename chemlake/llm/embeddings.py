@@ -105,6 +105,7 @@ def near_vectors(vectors: DataFrame, *, threshold: float = 0.9, vec_id: str = "v
     found = work.save(tiles.groupBy("tile").applyInPandas(_comparer(threshold), "rep long, size int, digest string, links long, parent long"), "found")
     links = found.groupBy("size", "digest").agg(F.sum("links").alias("links"))
     components = connected_components(found.where("rep <> parent").select(F.col("rep").alias("a"), F.col("parent").alias("b")), work)
+    work.keep_only("keyed", "groups", "found", "components")  # all that the result is read from
     known = groups.join(links, ["size", "digest"], "left").join(components, F.col("rep") == F.col("node"), "left")
     known = known.select("size", "digest", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"), F.coalesce("component", "rep").alias("component"))
     mine = keyed.select("id", "size", "digest").join(known, ["size", "digest"]).select("id", "links", "component")

@@ -53,6 +53,7 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80, doc
     groups = sketches.where("n > 0 AND doc IS NOT NULL").groupBy("h1", "h2").agg(F.min("doc").alias("doc"))
     unique = work.save(_representatives(sketches, groups), "unique")
     components = connected_components(_links(unique, source, work, shingle, percent, sketch), work, "final")
+    work.keep_only("sketches", "final")  # all that the result is read from
     keyed = groups.withColumnRenamed("doc", "first").join(components, F.col("first") == F.col("node"), "left").select("h1", "h2", F.coalesce("component", "first").alias("component"))
     whole = sketches.select("doc", "h1", "h2", "n").join(keyed, ["h1", "h2"], "left")
     component = F.when(F.col("doc").isNotNull(), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc")))
@@ -90,16 +91,13 @@ def _sketcher(shingle: int, k: int):
 def _set_maker(shingle: int):
     def run(batches):
         for batch in batches:
-            flat, sizes = [], []
+            # a slice of documents at a time, as sets take more room than texts
             for first, end, data, offsets in words.text_slices(batch.column(1)):
                 hashes, _, heads = words.word_hashes(data, offsets)
                 runs = words.shingles(hashes, shingle)
-                for i in range(end - first):
-                    flat.append(words.shingle_set(hashes[heads[i] : heads[i + 1]], runs[heads[i] : heads[i + 1]], shingle))
-                    sizes.append(len(flat[-1]))
-            values = np.concatenate(flat) if flat else np.zeros(0, np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.array(values, pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["doc", "shingles"])
+                sets = [words.shingle_set(hashes[heads[i] : heads[i + 1]], runs[heads[i] : heads[i + 1]], shingle) for i in range(end - first)]
+                lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sets)]), pa.int32()), pa.array(np.concatenate(sets), pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), lists], ["doc", "shingles"])
 
     return run
 

@@ -14,7 +14,7 @@ from math import exp, log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chemlake.llm.arrays import prefix_fold
+from chemlake.llm.arrays import prefix_fold, unused_name
 
 #: Kinds in the order in which spans are listed; the first four have base patterns.
 KINDS = ("email", "ip", "card", "phone", "ssn", "secret")
@@ -228,5 +228,6 @@ def masked(text: Column, spans: Column) -> Column:
 
 def mask_personal_data(docs: DataFrame, model: Model | None = None, *, text: str = "text") -> DataFrame:
     """docs with personal data in text replaced by [EMAIL], [IP] and so on; null texts stay null."""
-    found = find_personal_data(docs, model, text=text, out="_personal")
-    return found.withColumn(text, masked(F.col(text), F.col("_personal"))).select(*docs.columns)
+    name = unused_name(docs, "personal")
+    found = find_personal_data(docs, model, text=text, out=name)
+    return found.withColumn(text, masked(F.col(text), F.col(name))).select(*docs.columns)

@@ -18,12 +18,16 @@ from operator import add
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
+
+from chemlake.llm.arrays import unused_name
 
 SPACE = "▁"
 #: Segments kept with their pieces in each Python worker; beyond that the cache starts anew.
-CACHE_SEGMENTS = 400_000
+CACHE_SEGMENTS = 200_000
 CACHE_CHARS = 48
 #: Up to so many characters the lowest pair is found by looking at all of them, beyond that by a heap.
 SHORT, NEVER = 24, 1 << 62
@@ -312,29 +316,28 @@ def _model(model: bytes) -> PieceModel:
 
 
 #: What the encoder gives for a text.
-ENCODED = "struct<ids:array<int>,begins:array<int>,ends:array<int>,decoded:string>"
+ENCODED_FIELDS = "ids array<int>, begins array<int>, ends array<int>, decoded string"
+#: Characters of text whose pieces leave a task at once; a longer text leaves alone.
+PART_CHARS = 1 << 18
 
 
-def piece_encoder(model_path: str):
-    """An Arrow UDF from a text to ENCODED. The model file (about 0.5 MB) travels with the task."""
-    with open(model_path, "rb") as file:
-        model = file.read()
+def _parts(texts: pa.Array):
+    """(first row, end row) of runs of about PART_CHARS."""
+    first = held = 0
+    for i, n in enumerate(pc.utf8_length(texts).to_pylist()):
+        if held and held + n > PART_CHARS:
+            yield first, i
+            first, held = i, 0
+        held += n
+    if first < len(texts):
+        yield first, len(texts)
 
-    @F.arrow_udf(ENCODED)
-    def encode(texts: pa.Array) -> pa.Array:
-        own = _model(model)
-        ids, begins, ends, decoded = [], [], [], []
-        for text in texts:
-            i, b, e = own.encode(text.as_py())
-            ids.append(i)
-            begins.append(b.astype(np.int32))
-            ends.append(e.astype(np.int32))
-            decoded.append(own.decode(i))
-        offsets = pa.array(np.cumsum([0, *map(len, ids)]), pa.int32())
-        lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(x) if x else np.zeros(0, np.int32), pa.int32())) for x in (ids, begins, ends)]
-        return pa.StructArray.from_arrays([*lists, pa.array(decoded, pa.string())], ["ids", "begins", "ends", "decoded"])
 
-    return encode
+def _encoded(own: PieceModel, texts: pa.Array) -> pa.StructArray:
+    found = [own.encode(t.as_py()) for t in texts]
+    offsets = pa.array(np.cumsum([0, *(len(f[0]) for f in found)]), pa.int32())
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([f[k] for f in found]).astype(np.int32), pa.int32())) for k in range(3)]
+    return pa.StructArray.from_arrays([*lists, pa.array([own.decode(f[0]) for f in found], pa.string())], ["ids", "begins", "ends", "decoded"])
 
 
 def piece_decoder(model_path: str):
@@ -357,7 +360,22 @@ def encode_pieces(docs: DataFrame, model_path: str, text: str = "text", out: str
     rows, ties, very long texts and empty tables need no rule.  A column of docs called `out` is replaced;
     others are kept.
     """
-    return docs.withColumn(out, piece_encoder(model_path)(F.coalesce(F.col(text), F.lit(""))))
+    with open(model_path, "rb") as file:
+        model = file.read()  # about 0.5 MB; it travels with the task
+    rest, whole = [c for c in docs.columns if c != out], unused_name(docs, "whole_text")
+
+    def run(batches):
+        own = _model(model)
+        for batch in batches:
+            texts = batch.column(whole)
+            for first, end in _parts(texts):
+                part = batch.slice(first, end - first)
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), _encoded(own, part.column(whole))], names=[*rest, out])
+            pa.default_memory_pool().release_unused()
+
+    kept = docs.select(*rest, F.coalesce(F.col(text), F.lit("")).alias(whole))
+    schema = StructType([*[f for f in docs.schema if f.name != out], StructField(out, StructType.fromDDL(ENCODED_FIELDS))])
+    return kept.mapInArrow(run, schema)
 
 
 def decode_pieces(rows: DataFrame, model_path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:

@@ -12,8 +12,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-#: Bytes of text that are hashed at once; one longer document is a slice of its own.
-SLICE_BYTES = 1 << 20
+#: Bytes of text that are hashed at once (about 80 bytes of memory each); one longer document is a slice of its own.
+SLICE_BYTES = 1 << 18
 
 _RNG = np.random.default_rng(20240229)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -66,6 +66,7 @@ def text_slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nda
         end = min(end, n)
         yield at, end, whole[offsets[at] : offsets[end]], offsets[at : end + 1] - offsets[at]
         at = end
+    pa.default_memory_pool().release_unused()  # executors share their memory with the JVM
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray, table=SPACE_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

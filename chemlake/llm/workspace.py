@@ -31,9 +31,20 @@ class Workspace:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str = "") -> None:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        path, files = self._path(name)
+        files.delete(path, True)
+
+    def keep_only(self, *starts: str) -> None:
+        """Drop the tables whose names begin with none of `starts`."""
+        path, files = self._path("")
+        for found in files.listStatus(path):
+            if not found.getPath().getName().startswith(starts):
+                files.delete(found.getPath(), True)
+
+    def _path(self, name: str):
+        context = self.spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
+        return path, path.getFileSystem(context._jsc.hadoopConfiguration())
 
 
 @atexit.register
