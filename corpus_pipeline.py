@@ -7,13 +7,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chemlake.llm import decontaminate, minhash, pii, quality, sentence_pieces
+from chemlake.llm.arrays import unused_name
 from chemlake.llm.queries import piece_digests
 from chemlake.llm.workspace import Workspace
 
 
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier holds to be good; labels outside the held-out fold train it."""
-    scored = quality.score_quality(docs.withColumnsRenamed({c: f"in_{c}" for c in docs.columns}), spark.read.parquet(f"{sf_dir}/labels.parquet").withColumnRenamed("doc_id", "in_doc_id"), doc_id="in_doc_id", text="in_text")
+    # under other names, so that columns of docs called like the results stay
+    renamed = docs.withColumnsRenamed({c: f"in_{c}" for c in docs.columns})
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").withColumnRenamed("doc_id", "in_doc_id")
+    scored = quality.score_quality(renamed, labels, doc_id="in_doc_id", text="in_text")
     return scored.where("predicted = 1").select(*[F.col(f"in_{c}").alias(c) for c in docs.columns])
 
 
@@ -25,8 +29,9 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold less than half of every benchmark item."""
-    found = decontaminate.find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), out="_leaks")
-    return found.where(F.size("_leaks") == 0).select(*docs.columns)
+    name = unused_name(docs, "leaks")
+    found = decontaminate.find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), out=name)
+    return found.where(F.size(name) == 0).select(*docs.columns)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
