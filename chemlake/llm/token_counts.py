@@ -26,6 +26,23 @@ LIST_CHARS = 4_000_000
 SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+# Letters and numbers of the newest Unicode versions, which the libraries of the vocabulary do not know as such yet.
+NEWER = """
+558 58B-58C 88F C5C CDC 208F 209D-209F A7CE-A7CF A7D2 A7D4 A7DD A7E2 A7F1 AB6C-AB6D 107BB-107BF 10940-10959 10EC5-10EC7 10ED9-10EEE 11B0A 11DB0-11DDB
+11DE0-11DE9 11DF1 1246F 12475-1247F 12550-12686 16EA0-16EB8 16EBB-16ED3 16FF2-16FF6 187F8-187FF 18CD6-18CDA 18D09-18D20 18D80-18DF2 18E00-19191
+191A0-191D2 1B123-1B128 1B168 1D6A6 1DF1F-1DF24 1DF2B-1DF81 1DF90-1DF96 1DFCD-1DFFF 1E6C0-1E6DE 1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED 1E6F0-1E6F4
+1E6FE-1E6FF 2B73A-2B73F 2B81E 2CEA2-2CEAD 323B0-33479 3D000-3FC3F
+"""
+
+
+@functools.cache
+def patterns() -> tuple[regex.Pattern, regex.Pattern, regex.Pattern]:
+    """(the split, a search for newer letters and numbers, the split for texts that hold some)."""
+    newer = "".join("-".join(f"\\U{int(x, 16):08X}" for x in part.split("-")) for part in NEWER.split())
+    careful = SPLIT_PATTERN.replace(r"[^\s\p{L}\p{N}]", rf"(?:[^\s\p{{L}}\p{{N}}]|[{newer}])").replace(r"\p{L}+|", rf"[^\P{{L}}{newer}]+|").replace(r"\p{N}+|", rf"[^\P{{N}}{newer}]+|")
+    return regex.compile(SPLIT_PATTERN), regex.compile(f"[{newer}]"), regex.compile(careful)
+
+
 @functools.cache
 def byte_alphabet() -> dict[int, str]:
     """The printable character that stands for each byte in a byte-level vocabulary."""
@@ -54,7 +71,7 @@ class MergeCounter(dict):
                 raise ValueError("two merges make the same symbol")
         added = sorted((t["content"] for t in spec.get("added_tokens", [])), key=len, reverse=True)
         self.added = regex.compile("|".join(map(regex.escape, added))) if added else None
-        self.split = regex.compile(SPLIT_PATTERN)
+        self.split, self.newer, self.careful = patterns()
 
     def merge(self, data: bytes) -> int:
         """Initial symbols minus merges."""
@@ -101,9 +118,10 @@ class MergeCounter(dict):
         return total + self._words(text[at:] if at else text)
 
     def _words(self, text: str) -> int:
+        split = self.careful if not text.isascii() and self.newer.search(text) else self.split
         if len(text) <= LIST_CHARS:
-            return sum(map(self.__getitem__, self.split.findall(text)))
-        return sum(self[m.group()] for m in self.split.finditer(text))
+            return sum(map(self.__getitem__, split.findall(text)))
+        return sum(self[m.group()] for m in split.finditer(text))
 
 
 @functools.lru_cache(maxsize=2)
