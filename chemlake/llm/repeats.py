@@ -11,50 +11,79 @@ import re
 import struct
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chemlake.llm.workspace import Workspace
 
-UNITS = {
-    "line": re.compile(r"[^\n]+"),
-    "paragraph": re.compile(r"(?:[^\n]|\n(?![^\S\n]*\n))+"),
-    # a line's sentences: up to a mark that white space or the end follows
-    "sentence": re.compile(r"(?:[^\n.!?]+|[.!?]+(?![.!?\s]|\Z))+[.!?]*|[.!?]+"),
-}
+LINE, PARAGRAPH = re.compile(r"[^\n]+"), re.compile(r"(?:[^\n]|\n(?![^\S\n]*\n))+")
+#: Up to a mark that white space or the end follows.
+SENTENCE = re.compile(r"(?:[^\n.!?]+|[.!?]+(?![.!?\s]|\Z))+[.!?]*|[.!?]+")
 #: Units of fewer words repeat by chance and are left alone.
 LEAST_WORDS = 8
+#: Repeated units go if they and their repeated neighbours (no more than GAP characters away) have so many words together:
+#: a heading or a sign-off that many documents share is no repeated passage.
+LEAST_RUN, GAP = 25, 64
 
-_COLUMNS = "doc long, begin int, end int, n_words int, h1 long, h2 long, first int"
 
+def _lines(text: str, least: int):
+    return (m.span() for m in LINE.finditer(text))
 
-def _units(pattern: re.Pattern, least: int):
+
+def _paragraphs(text: str, least: int):
+    return (m.span() for m in PARAGRAPH.finditer(text))
+
+
+def _sentences(text: str, least: int):
+    """Sentences of each line; shorter ones that follow one another go together."""
+    for line in LINE.finditer(text):
+        begin = end = -1
+        for m in SENTENCE.finditer(text, *line.span()):
+            if len(m.group().split()) < least:
+                begin, end = (m.start() if begin < 0 else begin), m.end()
+                continue
+            if begin >= 0:
+                yield begin, end
+                begin = -1
+            yield m.span()
+        if begin >= 0:
+            yield begin, end
+
+
+UNITS = {"line": _lines, "paragraph": _paragraphs, "sentence": _sentences}
+
+_COLUMNS = "doc long, whole long, begin int, end int, n_words int, h1 long, h2 long, first int"
+
+
+def _units(cut, least: int):
     def run(batches):
         for batch in batches:
             rows: list[tuple] = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 text, seen = text.as_py() or "", {}
-                for m in pattern.finditer(text):
-                    unit = m.group()
+                whole = struct.unpack("<q", hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest())[0]
+                for start, stop in cut(text, least):
+                    unit = text[start:stop]
                     normal = unit.lower().split()
                     if len(normal) < least:
                         continue
                     h1, h2 = struct.unpack("<qq", hashlib.blake2b(" ".join(normal).encode("utf-8", "replace"), digest_size=16).digest())
-                    begin = m.start() + len(unit) - len(unit.lstrip())
+                    begin = start + len(unit) - len(unit.lstrip())
                     first = seen.setdefault((h1, h2), begin)
-                    rows.append((doc, begin, m.start() + len(unit.rstrip()), len(normal), h1, h2, first))
-            columns = list(zip(*rows, strict=True)) if rows else [()] * 7
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc", "begin", "end", "n_words", "h1", "h2", "first"])
+                    rows.append((doc, whole, begin, start + len(unit.rstrip()), len(normal), h1, h2, first))
+            columns = list(zip(*rows, strict=True)) if rows else [()] * 8
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc", "whole", "begin", "end", "n_words", "h1", "h2", "first"])
 
     return run
 
 
-def repeated_units(docs: DataFrame, *, unit: str = "sentence", least_words: int = LEAST_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def repeated_units(docs: DataFrame, *, unit: str = "sentence", least_words: int = LEAST_WORDS, least_run: int = LEAST_RUN, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per unit to remove: doc_id, begin, end (code points, end exclusive), n_words, keep_doc_id, keep_begin.
 
     Units are compared in lower case with white space run together; those of fewer than least_words words
-    are left alone.  The kept occurrence is the first by (doc_id, begin).  Rows that share a doc_id are one
+    are left alone, and so are runs of neighbouring repeated units of fewer than least_run words in all.
+    The kept occurrence is the first by (doc_id, begin).  Rows that share a doc_id are one
     document, whose units of equal rank all stay.  Rows without doc_id rank last, and among themselves none
     goes for another.  Null and empty texts have no units.  Other columns of docs are ignored.
     """
@@ -66,18 +95,28 @@ def repeated_units(docs: DataFrame, *, unit: str = "sentence", least_words: int
     joined = units.join(kept, ["h1", "h2"])
     again = F.col("begin") > F.col("first")
     gone = joined.where(again | F.coalesce(F.col("doc") > F.col("keep"), F.col("doc").isNull() & F.col("keep").isNotNull()))
-    return gone.select(
+    return _long_runs(gone, least_run).select(
         F.col("doc").alias("doc_id"), "begin", "end", "n_words",
         F.coalesce("keep", "doc").alias("keep_doc_id"), F.when(F.col("keep").isNotNull(), F.col("keep_begin")).otherwise(F.col("first")).alias("keep_begin"),
     )
 
 
-def without_repeats(docs: DataFrame, *, unit: str = "sentence", least_words: int = LEAST_WORDS) -> DataFrame:
+def _long_runs(gone: DataFrame, least: int) -> DataFrame:
+    """Units of runs of at least `least` words; a window holds the repeated units of one text."""
+    if least <= 0:
+        return gone
+    text = Window.partitionBy("doc", "whole").orderBy("begin")
+    breaks = F.coalesce((F.col("begin") - F.lag("end").over(text) > GAP).cast("int"), F.lit(0))
+    runs = gone.withColumn("_break", breaks).withColumn("_run", F.sum("_break").over(text))
+    return runs.withColumn("_words", F.sum("n_words").over(Window.partitionBy("doc", "whole", "_run"))).where(F.col("_words") >= least).drop("_break", "_run", "_words")
+
+
+def without_repeats(docs: DataFrame, *, unit: str = "sentence", least_words: int = LEAST_WORDS, least_run: int = LEAST_RUN) -> DataFrame:
     """docs with the repeated units cut out of text; kept_spans: the code points of the original that stay.
 
     Rows without doc_id are left as they are.  A column called kept_spans is replaced.
     """
-    gone = repeated_units(docs, unit=unit, least_words=least_words).where("doc_id IS NOT NULL")
+    gone = repeated_units(docs, unit=unit, least_words=least_words, least_run=least_run).where("doc_id IS NOT NULL")
     spans = gone.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("begin", "end"))).alias("_gone"))
     whole = F.struct(F.lit(0).alias("begin"), F.lit(0).alias("end"))
     ends = F.concat(F.array(whole), F.coalesce("_gone", F.array().cast("array<struct<begin:int,end:int>>")))

@@ -13,12 +13,19 @@ def test_equals_brute_force(spark, unit):
     r = random.Random(3)
     known = [" ".join(r.choice("abcdef") * r.randint(1, 3) for _ in range(r.randint(1, 9))) + r.choice(".!?") for _ in range(25)]
     docs = [(i, "".join(r.choice(known).swapcase() + r.choice([" ", "\n", "\n\n", "  "]) for _ in range(r.randint(0, 12)))) for i in range(40)]
-    found = {(x.doc_id, x.begin, x.end, x.keep_doc_id, x.keep_begin) for x in repeats.repeated_units(spark.createDataFrame(docs, "doc_id long, text string"), unit=unit, least_words=4).collect()}
+    found = {(x.doc_id, x.begin, x.end, x.keep_doc_id, x.keep_begin) for x in repeats.repeated_units(spark.createDataFrame(docs, "doc_id long, text string"), unit=unit, least_words=4, least_run=0).collect()}
     split = {"line": r"\n", "paragraph": r"\n\s*\n", "sentence": r"(?<=[.!?])(?=\s)|\n"}[unit]
     seen, want = {}, set()
     for i, text in docs:
         cuts = [0, *[m.start() for m in re.finditer(split, text)], len(text)]
+        parts = []
         for a, b in zip(cuts, cuts[1:], strict=False):
+            short = len(text[a:b].split()) < 4
+            if unit == "sentence" and parts and short and parts[-1][2] and not text[a:b].startswith("\n"):
+                parts[-1] = (parts[-1][0], b, True)  # short sentences of a line go together
+            else:
+                parts.append((a, b, short))
+        for a, b, _ in parts:
             part = text[a:b]
             key = tuple(part.lower().split())
             begin = a + len(part) - len(part.lstrip())
@@ -34,8 +41,16 @@ def test_cut_and_edge_cases(spark):
     line = "a line of eight words that will repeat"
     rows = [(1, f"{line}\nown words", 0), (2, f"Start here\n{line.upper()}\n{line} end", 0), (3, None, 0), (4, "", 0), (None, line, 0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, kept_spans int")
-    got = {x.doc_id: (x.text, [tuple(s) for s in x.kept_spans or []]) for x in repeats.without_repeats(docs, unit="line").collect()}
+    got = {x.doc_id: (x.text, [tuple(s) for s in x.kept_spans or []]) for x in repeats.without_repeats(docs, unit="line", least_run=0).collect()}
     n = len(line)
     assert got == {1: (rows[0][1], [(0, len(rows[0][1]))]), 2: (f"Start here\n\n{line} end", [(0, 11), (11 + n, 16 + 2 * n)]), 3: (None, []), 4: ("", []), None: (line, [(0, n)])}
-    assert {(x.doc_id, x.keep_doc_id) for x in repeats.repeated_units(docs, unit="line").collect()} == {(2, 1), (None, 1)}
+    assert {(x.doc_id, x.keep_doc_id) for x in repeats.repeated_units(docs, unit="line", least_run=0).collect()} == {(2, 1), (None, 1)}
     assert repeats.repeated_units(docs.limit(0)).collect() == []
+
+
+def test_only_long_runs_go(spark):
+    words = lambda k, n: " ".join(f"w{k}x{i}" for i in range(n)) + "."
+    passage, sign_off = f"{words(1, 12)} {words(2, 9)}\n{words(3, 10)}", words(4, 9)
+    rows = [(i, f"{words(10 + i, 20)} {passage} {words(50 + i, 20)}\n{sign_off}") for i in range(3)]
+    out = repeats.repeated_units(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r.doc_id, r.n_words) for r in out.collect()) == sorted((i, n) for i in (1, 2) for n in (12, 9, 10))
