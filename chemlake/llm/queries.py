@@ -42,7 +42,7 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sentences of eight words or more (short ones together), in runs of 25 or more, that an earlier place in the corpus holds already."""
+    """Sentences of eight words or more (short ones together), in runs of 15 or more, that an earlier place in the corpus holds already."""
     return repeats.repeated_units(_table(spark, sf_dir, "documents"))
 
 

@@ -23,7 +23,7 @@ SENTENCE = re.compile(r"(?:[^\n.!?]+|[.!?]+(?![.!?\s]|\Z))+[.!?]*|[.!?]+")
 LEAST_WORDS = 8
 #: Repeated units go if they and their repeated neighbours (no more than GAP characters away) have so many words together:
 #: a heading or a sign-off that many documents share is no repeated passage.
-LEAST_RUN, GAP = 25, 64
+LEAST_RUN, GAP = 15, 64
 
 
 def _lines(text: str, least: int):
