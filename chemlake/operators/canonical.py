@@ -41,9 +41,9 @@ def to_allowlist(df: DataFrame, allowlist: Sequence[str]) -> DataFrame:
 
 def owned_columns(tool: str, allowlist: Sequence[str]) -> list[str]:
     """What a tool may overwrite; an unknown tool nothing."""
-    if tool == "chem_annotator":
+    if tool == "features":
         return [c for c in allowlist if c != KEY]
-    if tool == "physprops":
+    if tool == "properties":
         return [c for c in allowlist if c != KEY and c.startswith(PROPERTY_PREFIXES)]
     return []
 

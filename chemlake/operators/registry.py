@@ -50,7 +50,7 @@ def joinable() -> Column:
 def from_cleaner(exploded: DataFrame) -> DataFrame:
     """Rows of the cleaner's table as registry rows without structure."""
     status = F.when(F.lower("cas_validity").contains("invalid"), "invalid").when(F.col("cas_validity").contains("fixed"), "repaired").otherwise("valid")
-    return exploded.select(F.col("cas").alias("cas_input"), F.col("cas").alias("cas_number_normalized"), status.alias("cas_status"), F.lit("").alias("inchi_key"), F.lit("cas_structurer").alias("resolver_source"), F.col("cas_validity").alias("evidence"))
+    return exploded.select(F.col("cas").alias("cas_input"), F.col("cas").alias("cas_number_normalized"), status.alias("cas_status"), F.lit("").alias("inchi_key"), F.lit("cleaner").alias("resolver_source"), F.col("cas_validity").alias("evidence"))
 
 
 def from_resolver(resolved: DataFrame) -> DataFrame:

@@ -24,20 +24,26 @@ class Run:
     view: DataFrame
 
 
-def run(cells: DataFrame, customer_id: str, seen: str, known_registry: DataFrame, known_map: DataFrame, known_properties: DataFrame, providers: Sequence[tuple[str, DataFrame]] = (), annotate: bool = True) -> Run:
-    """All steps as one lazy plan over tables; nothing is written."""
-    repaired = tokens.repair(tokens.explode_tokens(cells))
+def run(cells: DataFrame, customer_id: str, seen: str, known_registry: DataFrame, known_map: DataFrame, known_properties: DataFrame, folder: str, providers: Sequence[tuple[str, DataFrame]] = (), annotate: bool = True) -> Run:
+    """All steps; each step's table is written under folder, so that the next reads it and a failed run shows where it stopped."""
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+        return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    repaired = keep(tokens.repair(tokens.explode_tokens(cells)), "repaired")
     exploded = tokens.exploded_table(repaired, customer_id, seen)
     asked = repaired.where("status LIKE 'valid%'").groupBy(F.col("fixed").alias("cas")).agg(F.min("row").alias("row"), F.min_by("name", "row").alias("name"))
-    resolved = resolver.resolve(asked, resolver.registry_cache(known_registry.withColumn("_row", F.lit(0))), providers)
+    resolved = keep(resolver.resolve(asked, resolver.registry_cache(known_registry.withColumn("_row", F.lit(0))), providers), "resolved")
     incoming = registry.from_resolver(resolved.where("cas IS NOT NULL").withColumn("cas_validity", F.lit("valid")).withColumn("_row", F.col("row")))
     merged = registry.upsert(known_registry, incoming, seen)
-    mapped = tokens.upsert_customer_map(known_map, tokens.customer_feed(exploded))
+    merged = registry.Merged(*[keep(df, name) for df, name in ((merged.registry, "registry"), (merged.audit, "audit"), (merged.rejected, "rejected"))])
+    mapped = keep(tokens.upsert_customer_map(known_map, tokens.customer_feed(exploded)), "customer_map")
     table = known_properties
     if annotate:
         found = resolved.where("inchi_key IS NOT NULL").groupBy("inchi_key").agg(F.min_by("smiles", "row").alias("smiles"), F.min("row").alias("_row"))
         counted = molecules.annotate(found.withColumn("inchi", F.lit(None).cast("string")))
-        estimated = properties.apply_fallbacks(counted.withColumnsRenamed({"MolecularWeight": "computed_mw", "NumRingsTotal": "computed_ring_count"}))
-        table = canonical.upsert(known_properties, estimated, "chem_annotator", COLUMNS)
+        estimated = keep(properties.apply_fallbacks(counted.withColumnsRenamed({"MolecularWeight": "computed_mw", "NumRingsTotal": "computed_ring_count"})), "features")
+        table = keep(canonical.upsert(known_properties, estimated, "features", COLUMNS), "properties")
     view = canonical.overlay(canonical.cas_view(merged.registry, table), mapped, customer_id)
     return Run(exploded, resolved, merged, mapped, table, view)

@@ -143,7 +143,7 @@ _ALLOWED = ["inchi_key", "inchi", "smiles", "computed_mw", "experimental_logp",
 def db1_upsert(spark, d):
     """Rows of even numbers merged over those of odd ones by the property tool."""
     rows = derive(spark, d, inputs.PROPERTIES)
-    return canonical.upsert(rows.where("_row % 2 = 1"), rows.where("_row % 2 = 0"), "physprops", _ALLOWED)
+    return canonical.upsert(rows.where("_row % 2 = 1"), rows.where("_row % 2 = 0"), "properties", _ALLOWED)
 
 
 def db1_merge_fields(spark, d):

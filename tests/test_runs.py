@@ -46,13 +46,13 @@ def test_missing_requests(spark):
     assert [x.url for x in ingest.missing_requests(r, first.where("url = 'u'")).collect()] == ["v"]
 
 
-def test_customer_run(spark):
+def test_customer_run(spark, tmp_path):
     cells = spark.createDataFrame([(1, "64-17-5 / 170-41-5", "A", "Ethanol"), (2, "67-56-1", "B", "Methanol"), (3, "junk", "C", "?")], "row long, cas string, code string, name string")
     provider = spark.createDataFrame([("64-17-5", "CCO", "", KEY), ("67-56-1", "CO", "", "M" + KEY[1:])], "cas string, smiles string, inchi string, inchi_key string")
     registry = spark.createDataFrame([], ", ".join(f"{c} string" for c in ("cas_input", "cas_number_normalized", "cas_status", "inchi_key", "inchi", "smiles")))
     mapped = spark.createDataFrame([], "customer_id string, timestamp_seen_utc string, code string, name string, cas_number_normalized string, cas_validity string")
     table = spark.createDataFrame([], "inchi_key string, smiles string")
-    out = customer_run.run(cells, "c1", "2024-01-01", registry, mapped, table, [("pubchem", provider)])
+    out = customer_run.run(cells, "c1", "2024-01-01", registry, mapped, table, f"{tmp_path}/run", [("pubchem", provider)])
     assert {(r.cas_number_normalized, r.cas_status) for r in out.registry.registry.collect()} == {("64-17-5", "valid"), ("67-56-1", "valid")}
     view = {r.cas_number_normalized: r for r in out.view.collect()}
     assert view["64-17-5"].TotalAlcoholCount == 1 and view["64-17-5"].customer_id == "c1" and view["67-56-1"].code == "B"

@@ -44,9 +44,9 @@ def test_canonical_merge(spark):
     old = spark.createDataFrame([(KEY, None, 5, 1), ("bad", None, 1, 1)], kind)
     new = spark.createDataFrame([(KEY, "InChI=1", 0, 9), (OTHER, None, None, 7)], kind)
     columns = ["inchi_key", "inchi", "experimental_x", "alcohol_count", "extra"]
-    out = {r.inchi_key: tuple(r)[1:] for r in canonical.upsert(old, new, "physprops", columns).collect()}
+    out = {r.inchi_key: tuple(r)[1:] for r in canonical.upsert(old, new, "properties", columns).collect()}
     assert out == {KEY: ("InChI=1", 0, 1, None), OTHER: (None, None, 7, None)}
-    assert {r.inchi_key: r.alcohol_count for r in canonical.upsert(old, new, "chem_annotator", columns).collect()}[KEY] == 9
+    assert {r.inchi_key: r.alcohol_count for r in canonical.upsert(old, new, "features", columns).collect()}[KEY] == 9
     assert {r.inchi_key: r.experimental_x for r in canonical.upsert(old, new, "stranger", columns).collect()} == {KEY: 5, OTHER: None}
 
 
