@@ -198,6 +198,13 @@ O["listed_substances"] = f"""SELECT {number('(page_id % 60)')} AS cas, string_ag
 O["smiles_clean"] = "SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'CCO' WHEN 1 THEN 'CC(=O)O' WHEN 2 THEN '[Na]' ELSE 'C>C' END AS clean, 'CC' AS cut FROM part"
 
 
+O["best_identifiers"] = f"""SELECT c_custkey AS key, CASE WHEN c_custkey % 3 = 0 THEN {inchikey('c_custkey')} WHEN c_custkey % 2 = 0 THEN {number('c_custkey')} ELSE c_name END AS identifier,
+    CASE WHEN c_custkey % 3 = 0 THEN 'inchikey' WHEN c_custkey % 2 = 0 THEN 'cas' ELSE 'name' END AS identifier_type, CASE WHEN c_custkey % 3 = 0 THEN {inchikey('c_custkey')} WHEN c_custkey % 2 = 0 THEN {number('c_custkey')} ELSE lower(c_name) END AS normalized_input FROM customer"""
+O["dump_rows"] = """SELECT CAST(p_partkey AS VARCHAR) AS a, 'it' || chr(39) || 's (' || p_brand || ')' AS b, CAST(NULL AS VARCHAR) AS c FROM part WHERE p_partkey % 10 <> 0
+    UNION ALL SELECT CAST(p_size AS VARCHAR), '', '7' FROM part WHERE p_partkey % 10 <> 0"""
+O["missing_requests"] = "SELECT DISTINCT sha256('GET | http://x/' || event_type || ' | a=1') AS cache_key, 'http://x/' || event_type AS url FROM events WHERE event_type NOT LIKE 'c%'"
+
+
 def oracle_sql() -> dict[str, str]:
     """The repair ladder, the resolver, accents and molecules are held against plain versions in the tests instead."""
     return dict(O)

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chemlake.functions import cas, mixtures, smiles, text, units
+from chemlake.operators import identifiers as identifiers_of
 from chemlake.operators import canonical, ingest, molecules, properties, registry, resolver, tokens
 from chemlake.plans import inputs
 from chemlake.plans.inputs import derive
+from chemlake.sources import dumps
 
 AS_OF = "2024-06-01T00:00:00Z"
 #: Molecules that keys are mapped to.
@@ -342,8 +344,28 @@ def smiles_clean(spark, d):
     return p.select("p_partkey", smiles.clean_smiles(F.col("raw")).alias("clean"), text.cut_smiles(F.lit("CC|x")).alias("cut"))
 
 
+def best_identifiers(spark, d):
+    """The identifier that each row goes by."""
+    rows = derive(spark, d, f"SELECT c_custkey AS key, CASE WHEN c_custkey % 2 = 0 THEN {inputs.number('c_custkey')} END AS cas, CASE WHEN c_custkey % 3 = 0 THEN {inputs.inchikey('c_custkey')} ELSE 'bad' END AS ik, c_name AS nm FROM {{customer}}")
+    return identifiers_of.best_identifier(rows, {"inchikey": ["ik"], "cas": ["cas"], "name": ["nm"]}).select("key", "identifier", "identifier_type", "normalized_input")
+
+
+def dump_rows(spark, d):
+    """Rows of the INSERT statements of a dump."""
+    dump = derive(spark, d, """SELECT CASE WHEN p_partkey % 10 = 0 THEN 'CREATE TABLE t (a SERIAL);' ELSE 'INSERT INTO t (a, b, c) VALUES (' || CAST(p_partkey AS STRING) || ', ' || chr(39) || 'it' || chr(39) || chr(39) || 's (' || p_brand || ')' || chr(39) || ', NULL), ('
+        || CAST(p_size AS STRING) || ', ' || chr(39) || chr(39) || ', 7);' END AS value FROM {part}""")
+    return dumps.insert_rows(dump, "t", ["a", "b", "c"])
+
+
+def missing_requests(spark, d):
+    """Requests that a cache does not hold."""
+    requests = derive(spark, d, "SELECT 'get' AS method, 'http://x/' || event_type AS url FROM {events}").withColumn("params", F.create_map(F.lit("a"), F.lit("1")))
+    held = requests.where("url LIKE 'http://x/c%'").select(ingest.cache_key(F.col("method"), F.col("url"), F.col("params")).alias("cache_key"))
+    return ingest.missing_requests(requests, held).select("cache_key", "url")
+
+
 QUERIES = (
-    db2_upsert, cas_tokens, cas_validity, cas_recovered, cas_swaps, cas_evidence, cas_repair, cas_fixed_cells, cas_first_tokens, cas_exploded_table, mixture_class, identifiers, ascii_names,
+    db2_upsert, best_identifiers, dump_rows, missing_requests, cas_tokens, cas_validity, cas_recovered, cas_swaps, cas_evidence, cas_repair, cas_fixed_cells, cas_first_tokens, cas_exploded_table, mixture_class, identifiers, ascii_names,
     db2_audit, db2_rejected, db2_summary, db1_dedupe, db1_rejects, db1_upsert, db1_merge_fields, promoted_keys, customer_feed, customer_map, cas_view, cas_view_exportable, cas_view_overlay,
     resolver_cache, resolver_winner, name_rank, cache_ttl, unit_conversion, fallback_estimates, final_fields, canonical_rows, canonical_winners, canonical_audit, henry_lookup,
     solubility_parameters, computed_parameters, page_facts, page_discovery, entities, entity_shadows, json_values, cache_keys, listed_substances, mol_features, smiles_clean,
