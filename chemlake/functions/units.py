@@ -34,13 +34,17 @@ def normal_unit(u: Column) -> Column:
     return F.translate(F.lower(u), "μµ °", "uu")
 
 
+def _once(value: Column, use) -> Column:
+    """use(value) with value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def value_unit(c: Column) -> Column:
     """struct<value, unit> of '<number> <unit>'; both null if the text is something else."""
     shape = rf"^\s*({NUMBER})\s*([^0-9\s].*?)?\s*$"
     t = c.cast("string")
-    unit = F.trim(F.regexp_extract(t, shape, 2))
-    fits = F.rlike(t, F.lit(shape))
-    return F.struct(F.when(fits, F.regexp_extract(t, shape, 1).try_cast("double")).alias("value"), F.when(fits & (unit != ""), unit).alias("unit"))
+    parts = F.struct(F.regexp_extract(t, shape, 1).alias("number"), F.trim(F.regexp_extract(t, shape, 2)).alias("unit"))
+    return _once(parts, lambda p: F.struct(F.when(p["number"] != "", p["number"].try_cast("double")).alias("value"), F.when((p["number"] != "") & (p["unit"] != ""), p["unit"]).alias("unit")))
 
 
 def _worth(table: dict[str, float], unit: Column) -> Column:
@@ -52,10 +56,12 @@ def _struct(value: Column, warning: Column) -> Column:
 
 
 def _converted(c: Column, table: dict[str, float], what: str) -> Column:
-    parsed = value_unit(c)
-    worth = _worth(table, normal_unit(parsed["unit"]))
-    strange = parsed["unit"].isNotNull() & worth.isNull()
-    return _struct(parsed["value"] * F.coalesce(worth, F.lit(1.0)), F.when(strange, F.concat(F.lit(f"Unit conversion: unsupported {what} unit '"), parsed["unit"], F.lit("' (kept raw numeric)"))))
+    def convert(parsed: Column) -> Column:
+        worth = _worth(table, normal_unit(parsed["unit"]))
+        strange = parsed["unit"].isNotNull() & worth.isNull()
+        return _struct(parsed["value"] * F.coalesce(worth, F.lit(1.0)), F.when(strange, F.concat(F.lit(f"Unit conversion: unsupported {what} unit '"), parsed["unit"], F.lit("' (kept raw numeric)"))))
+
+    return _once(value_unit(c), convert)
 
 
 def to_pascal(c: Column) -> Column:
@@ -68,26 +74,31 @@ def to_g_ml(c: Column) -> Column:
 
 
 def to_celsius(c: Column) -> Column:
-    parsed = value_unit(c)
-    v, u = parsed["value"], normal_unit(parsed["unit"])
-    value = F.when(u.isin("k", "degk"), v - 273.15).when(u.isin("f", "degf"), (v - 32.0) * 5.0 / 9.0).otherwise(v)
-    strange = u.isNotNull() & ~u.isin("c", "degc", "k", "degk", "f", "degf")
-    return _struct(value, F.when(strange, F.concat(F.lit("Unit conversion: unsupported temperature unit '"), parsed["unit"], F.lit("' (kept raw numeric)"))))
+    def convert(parsed: Column) -> Column:
+        v, u = parsed["value"], normal_unit(parsed["unit"])
+        value = F.when(u.isin("k", "degk"), v - 273.15).when(u.isin("f", "degf"), (v - 32.0) * 5.0 / 9.0).otherwise(v)
+        strange = u.isNotNull() & ~u.isin("c", "degc", "k", "degk", "f", "degf")
+        return _struct(value, F.when(strange, F.concat(F.lit("Unit conversion: unsupported temperature unit '"), parsed["unit"], F.lit("' (kept raw numeric)"))))
+
+    return _once(value_unit(c), convert)
 
 
 def to_mg_l(c: Column, weight: Column) -> Column:
     """struct<value, warning>; molar units need the molecular weight, ppm counts as mg/L with a warning."""
-    parsed = value_unit(c)
-    v, u = parsed["value"], normal_unit(parsed["unit"])
-    mass, molar = _worth(SOLUBILITY, u), _worth(MOLAR, u)
-    value = F.when(mass.isNotNull(), v * mass).when(molar.isNotNull() & weight.isNotNull(), v / molar * weight * 1000.0).otherwise(v)
-    said = (
-        F.when(u.isNull() | mass.isNotNull(), F.lit(None).cast("string"))
-        .when(u == "ppm", "Unit conversion: treated ppm as mg/L (aqueous approximation)")
-        .when(molar.isNotNull(), F.when(weight.isNull(), F.concat(F.lit("Unit conversion: solubility '"), parsed["unit"], F.lit("' requires MW (missing); kept raw numeric"))))
-        .otherwise(F.concat(F.lit("Unit conversion: unsupported solubility unit '"), parsed["unit"], F.lit("' (kept raw numeric)")))
-    )
-    return _struct(value, said)
+
+    def convert(parsed: Column) -> Column:
+        v, u = parsed["value"], normal_unit(parsed["unit"])
+        mass, molar = _worth(SOLUBILITY, u), _worth(MOLAR, u)
+        value = F.when(mass.isNotNull(), v * mass).when(molar.isNotNull() & weight.isNotNull(), v / molar * weight * 1000.0).otherwise(v)
+        said = (
+            F.when(u.isNull() | mass.isNotNull(), F.lit(None).cast("string"))
+            .when(u == "ppm", "Unit conversion: treated ppm as mg/L (aqueous approximation)")
+            .when(molar.isNotNull(), F.when(weight.isNull(), F.concat(F.lit("Unit conversion: solubility '"), parsed["unit"], F.lit("' requires MW (missing); kept raw numeric"))))
+            .otherwise(F.concat(F.lit("Unit conversion: unsupported solubility unit '"), parsed["unit"], F.lit("' (kept raw numeric)")))
+        )
+        return _struct(value, said)
+
+    return _once(value_unit(c), convert)
 
 
 def strict_pascal(value: Column, unit: Column) -> Column:
