@@ -27,7 +27,7 @@ from chemlake.llm.arrays import unused_name
 
 SPACE = "▁"
 #: Segments kept with their pieces in each Python worker; beyond that the cache starts anew.
-CACHE_SEGMENTS = 200_000
+CACHE_SEGMENTS = 300_000
 CACHE_CHARS = 48
 #: Up to so many characters the lowest pair is found by looking at all of them, beyond that by a heap.
 SHORT, NEVER = 24, 1 << 62
@@ -160,6 +160,24 @@ class Normaliser:
         return "".join(out), np.array([*align, end], np.int64)
 
 
+def _segments(pieces) -> re.Pattern:
+    """Parts of a normalised text that no merge crosses: a cut needs two neighbouring characters that no piece holds.
+
+    Texts are cut before runs of spaces, before punctuation that follows a letter or digit in no piece, and around white space
+    that is in no piece.
+    """
+    pairs = {(a, b) for p in pieces for a, b in zip(p, p[1:], strict=False)}
+    if any(a != SPACE and b == SPACE for a, b in pairs):
+        return re.compile(r"(?s).+")
+    inside = {c for pair in pairs for c in pair}
+    before = {c: {a for a, b in pairs if b == c and a.isalnum()} for c in map(chr, range(33, 127)) if not c.isalnum()}
+    marks = "".join(re.escape(c) for c, found in before.items() if len(found) < 4)
+    joined = "".join(sorted({re.escape(a) for found in before.values() if len(found) < 4 for a in found}))
+    alone = "".join(re.escape(c) for c in "\n\r\t" if c not in inside)
+    more = f"[^{SPACE}{marks}{alone}]+" + (rf"|(?<![^\W_{joined}])[{marks}]" if marks else "")
+    return re.compile(f"{SPACE}*[^{SPACE}{alone}](?:{more})*|{SPACE}+" + (f"|[{alone}]" if alone else ""))
+
+
 class PieceModel(dict):
     """Segment of normalised text -> its ids as packed 4-byte integers."""
 
@@ -191,9 +209,7 @@ class PieceModel(dict):
         self.rank = {p: order[s] for p, s, k in self.pieces if k == NORMAL}  # equal scores have equal ranks
         self.unknown = next((i for i, (_, _, k) in enumerate(self.pieces) if k == UNKNOWN), 0)
         self.byte = {int(p[1:-1], 16): i for i, (p, _, k) in enumerate(self.pieces) if k == BYTE}
-        inner = any(a != SPACE and b == SPACE for p in self.id for a, b in zip(p, p[1:], strict=False))
-        #: No piece holds a space after another character, so merges never cross from one segment to the next.
-        self.segments = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+" if not inner else r"(?s).+")
+        self.segments = _segments(self.id)
         self.raw = [self._raw(i) for i in range(len(self.pieces))]
         decoded = [self.pieces[i][0].replace(SPACE, " ").encode() if r is None else r for i, r in enumerate(self.raw)]
         self.flat, self.size = np.frombuffer(b"".join(decoded), np.uint8), np.array([*map(len, decoded)], np.int64)
