@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from chemlake.llm import repeats
+from chemlake.llm import queries, repeats
 
 
 @pytest.mark.parametrize("unit", ["line", "sentence", "paragraph"])
@@ -54,3 +54,10 @@ def test_only_long_runs_go(spark):
     rows = [(i, f"{words(10 + i, 20)} {passage} {words(50 + i, 20)}\n{sign_off}") for i in range(3)]
     out = repeats.repeated_units(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted((r.doc_id, r.n_words) for r in out.collect()) == sorted((i, n) for i in (1, 2) for n in (12, 9, 10))
+
+
+def test_query_leaves_no_repeated_unit(spark, tmp_path):
+    words = lambda k, n: " ".join(f"w{k}x{i}" for i in range(n)) + "."
+    rows = [(i, f"{words(10 + i, 20)} {words(1, 12)} {words(50 + i, 20)}\n{words(4, 9)}") for i in range(3)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert sorted((r.doc_id, r.n_words) for r in queries.op4_repeats(spark, str(tmp_path)).collect()) == sorted((i, n) for i in (1, 2) for n in (9, 12))
