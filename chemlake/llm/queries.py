@@ -42,8 +42,8 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sentences of eight words or more (short ones together) that an earlier place in the corpus holds already."""
-    return repeats.repeated_units(_table(spark, sf_dir, "documents"), least_run=0)
+    """Sentences, or neighbouring ones with eight words or more together, that an earlier place in the corpus holds already; they may overlap."""
+    return repeats.repeated_units(_table(spark, sf_dir, "documents"), unit="passage", least_run=0)
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Substring dedup by hashing lines, paragraphs or sentences (operator 4).
+"""Substring dedup by hashing lines, paragraphs, sentences or short runs of sentences (operator 4).
 
 Units are normalised and hashed to 128 bits; digests are grouped over all documents; the occurrence that
 comes first by (doc_id, place) stays, the others go, with their places in the original text.
@@ -9,6 +9,8 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -50,7 +52,28 @@ def _sentences(text: str, least: int):
             yield begin, end
 
 
-UNITS = {"line": _lines, "paragraph": _paragraphs, "sentence": _sentences}
+def _passages(text: str, least: int):
+    """From each sentence on, and up to each, the fewest neighbours (over line ends too) that have `least` words together.
+
+    What is cut depends on no text around a passage: each sentence of a repeated run of `least` words or more is in
+    one of these that lies within the run.
+    """
+    spans = [m.span() for line in LINE.finditer(text) for m in SENTENCE.finditer(text, *line.span())]
+    words = [len(text[a:b].split()) for a, b in spans]
+    spans = [s for s, n in zip(spans, words, strict=True) if n]
+    ends = [0, *accumulate(n for n in words if n)]
+    found = set()
+    for i in range(len(spans)):
+        last = bisect_left(ends, ends[i] + least)  # sentences i up to last
+        if last < len(ends):
+            found.add((i, last))
+        first = bisect_right(ends, ends[i + 1] - least) - 1
+        if first >= 0:
+            found.add((first, i + 1))
+    return ((spans[a][0], spans[b - 1][1]) for a, b in sorted(found))
+
+
+UNITS = {"line": _lines, "paragraph": _paragraphs, "sentence": _sentences, "passage": _passages}
 
 _COLUMNS = "doc long, whole long, begin int, end int, n_words int, h1 long, h2 long, first int"
 
@@ -86,7 +109,12 @@ def repeated_units(docs: DataFrame, *, unit: str = "sentence", least_words: int
     The kept occurrence is the first by (doc_id, begin).  Rows that share a doc_id are one
     document, whose units of equal rank all stay.  Rows without doc_id rank last, and among themselves none
     goes for another.  Null and empty texts have no units.  Other columns of docs are ignored.
+
+    Passages (unit="passage") are runs of whole sentences and overlap: a sentence goes if a run of least_words words
+    or more that holds it stands earlier, whatever is around it.  They go without a limit on runs (least_run=0).
     """
+    if unit == "passage" and least_run > 0:
+        raise ValueError("passages overlap: least_run must be 0")
     work = Workspace(docs.sparkSession)
     source = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"))
     units = work.save(source.mapInArrow(_units(UNITS[unit], least_words), _COLUMNS), "units")

@@ -61,3 +61,36 @@ def test_query_leaves_no_repeated_unit(spark, tmp_path):
     rows = [(i, f"{words(10 + i, 20)} {words(1, 12)} {words(50 + i, 20)}\n{words(4, 9)}") for i in range(3)]
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     assert sorted((r.doc_id, r.n_words) for r in queries.op4_repeats(spark, str(tmp_path)).collect()) == sorted((i, n) for i in (1, 2) for n in (9, 12))
+
+
+def _covered(spans):
+    return {(i, at) for i, a, b in spans for at in range(a, b)}
+
+
+def test_passages_cover_what_any_repeated_run_covers(spark):
+    r = random.Random(5)
+    known = [" ".join(r.choice("abcdef") for _ in range(r.randint(1, 6))) + r.choice(".!?") for _ in range(9)]
+    docs = [(i, "".join(r.choice(known) + r.choice([" ", "\n"]) for _ in range(r.randint(0, 12)))) for i in range(40)]
+    found = repeats.repeated_units(spark.createDataFrame(docs, "doc_id long, text string"), unit="passage", least_words=8, least_run=0).collect()
+    seen, want = {}, []
+    for i, text in docs:
+        spans = [m.span() for m in re.finditer(r"[a-f][^.!?]*[.!?]", text)]
+        for k, (a, _) in enumerate(spans):
+            for _, b in spans[k:]:
+                words = tuple(text[a:b].split())
+                if len(words) >= 8 and seen.setdefault(words, (i, a)) != (i, a):
+                    want.append((i, a, b))
+    assert _covered((x.doc_id, x.begin, x.end) for x in found) == _covered(want) and want
+    assert all((x.keep_doc_id, x.keep_begin) == seen[tuple(docs[x.doc_id][1][x.begin : x.end].split())] for x in found)
+    with pytest.raises(ValueError):
+        repeats.repeated_units(spark.createDataFrame(docs, "doc_id long, text string"), unit="passage")
+
+
+def test_query_finds_short_sentences_whatever_is_around(spark, tmp_path):
+    passage = " ".join(" ".join(f"w{k}x{i}" for i in range(6)) + "." for k in range(10))
+    rows = [(1, f"Own start here. {passage} Own end."), (2, f"{passage.replace('. ', '.' + chr(10))} Another end here.")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.op4_repeats(spark, str(tmp_path)).collect()
+    assert _covered((x.doc_id, x.begin, x.end) for x in found) == _covered([(2, 0, len(passage))])
+    cut = {x.doc_id: x.text for x in repeats.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"), unit="passage", least_run=0).collect()}
+    assert cut == {1: rows[0][1], 2: " Another end here."}
