@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 #: The block classifier is fitted on the blocks of about so many pages, drawn by a hash of the page's text.
 FIT_PAGES = 2_000
 #: Costs are in nats: what a block's looks may count at most, what an article element and what its absence in a
-#: page that has one counts for, and the edge between neighbours of one parent.
-MOST_LOOKS, INSIDE, OUTSIDE, SMOOTH = 4.0, 8.0, 6.0, 1.0
+#: page that has one counts for (less than looks, which can outvote them), and the edge between neighbours of one parent.
+MOST_LOOKS, INSIDE, OUTSIDE, SMOOTH = 4.0, 3.0, 3.0, 1.0
 CERTAIN = 1e6
 # Weights of a block's looks before any page is seen (constant, length, links, commas and stops,
 # last character, paragraph, heading, list item), and how many blocks they count for in the fit.
@@ -43,6 +43,8 @@ APART_WORDS = frozenset(
     "footer form login menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promotion related respond search share sharing sidebar signup "
     "social sponsor sponsored subscribe toolbar widget".split()
 )
+# Words in class and id of an article element that is not the page's main text.
+TEASER_WORDS = frozenset("card cards comment comments related teaser teasers".split())
 HEAD_WORDS = frozenset(("header", "masthead"))
 MAIN_WORDS = frozenset(("article", "articlebody", "main"))
 NEGATIONS = frozenset(("no", "has", "with", "without", "not"))
@@ -95,6 +97,12 @@ def _named(attributes: str, inside_main: bool) -> tuple[bool, bool]:
     return apart, main and not apart
 
 
+def _teaser(attributes: str) -> bool:
+    """Whether class or id call an article element a comment, a card or a teaser."""
+    words = [w.lower() for m in ATTRIBUTE.finditer(attributes) for w in WORD.findall(m[2] or m[3] or m[4] or "")]
+    return any(w in TEASER_WORDS and before not in NEGATIONS for before, w in zip(["", *words], words, strict=False))
+
+
 def read_page(html: str | None) -> Page:
     """The blocks of a page in order; element contents that are no text are left out."""
     page, at, nodes = Page(), 0, 0
@@ -149,7 +157,8 @@ def read_page(html: str | None) -> Page:
         apart, main = name in APART or (name == "header" and not top.main), name in MAIN
         if "=" in m[4]:
             said = _named(m[4], top.main)
-            apart, main = apart or (said[0] and not main), main or said[1]
+            main = main and not _teaser(m[4])
+            apart, main = apart or (said[0] and name not in MAIN), main or (said[1] and name not in MAIN)
         page.has_main |= main and not top.apart
         stack.append(_Open(name, nodes, top.apart or apart, top.main or main))
         names[name] += 1

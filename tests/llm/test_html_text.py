@@ -40,3 +40,14 @@ def test_pages_and_edge_cases(spark):
 @pytest.mark.parametrize("html", ["<" * 100_000, "<a " * 100_000, "<div>" * 30_000 + "x" + "</p>" * 30_000, '<a href="' * 50_000, "<script>" * 30_000, "<p>x, y.<div class=ad>q</div>" * 3_000])
 def test_long_pages_end(html):
     html_text.main_text(html, np.zeros(html_text.LOOKS))
+
+
+LONG = "The body of this page, which is a text of some length, says one thing and then another, with commas, and stops. It goes on, as texts do, for a while. So it is."
+
+
+def test_looks_outvote_article_elements():
+    body = f"<div class=post><p>{LONG}</p><p>{LONG}</p></div>"
+    links = "".join(f"<li><a href={i}>Link {i}</a></li>" for i in range(6))
+    for mark in ("<article>", "<article class='teaser card'>", "<article class=comment>"):
+        text = html_text.main_text(f"<body>{body}<div>{mark}<ul>{links}</ul></article></div></body>", html_text.BEFORE)
+        assert text == f"{LONG}\n\n{LONG}", mark
