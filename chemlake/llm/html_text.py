@@ -23,6 +23,9 @@ FIT_PAGES = 2_000
 #: Costs are in nats: what a block's looks may count at most, what an article element and what its absence in a
 #: page that has one counts for (less than looks, which can outvote them), and the edge between neighbours of one parent.
 MOST_LOOKS, INSIDE, OUTSIDE, SMOOTH = 4.0, 3.0, 3.0, 1.0
+#: What a word of class or id counts for that names a part of a page, instead of the article element around it.
+NAMED = 3.0
+#: Of elements and roles that are no main text.
 CERTAIN = 1e6
 # Weights of a block's looks before any page is seen (constant, length, links, commas and stops,
 # last character, paragraph, heading, list item), and how many blocks they count for in the fit.
@@ -30,7 +33,7 @@ BEFORE, STRENGTH = np.array([-1.5, 0.5, -4.0, 1.0, 0.5, 1.0, 1.0, -0.5]), 50.0
 LOOKS = len(BEFORE)
 
 # Names of HTML elements.
-SKIPPED = "script|style|noscript|template|textarea|title|svg|math|iframe|object|select|canvas|audio|video"
+SKIPPED = "script|style|noscript|template|textarea|title|svg|iframe|object|select|canvas|audio|video"
 BLOCKS = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # An open element (left) that an opening tag (right) closes.
@@ -64,6 +67,7 @@ class Block:
     parent: int
     depth: int
     apart: bool
+    named: bool
     main: bool
     tag: str
     linked: int
@@ -74,6 +78,7 @@ class _Open:
     name: str
     node: int
     apart: bool
+    named: bool
     main: bool
 
 
@@ -83,18 +88,22 @@ class Page:
     has_main: bool = False
 
 
-def _named(attributes: str, inside_main: bool) -> tuple[bool, bool]:
-    """Whether class, id or role say (boilerplate, main text)."""
-    apart = main = False
+def _named(attributes: str, inside_main: bool, heading: bool) -> tuple[bool, bool, bool]:
+    """Whether the role says boilerplate, class or id do, and any of them main text. The id of a heading is made of its title."""
+    apart = named = main = False
     for m in ATTRIBUTE.finditer(attributes):
-        before = ""
+        kind, before = m[1].lower(), ""
+        if heading and kind == "id":
+            continue
         for word in WORD.findall(m[2] or m[3] or m[4] or ""):
             word = word.lower()
             if before not in NEGATIONS:
-                apart |= word in APART_WORDS or (word in HEAD_WORDS and not inside_main)
+                hit = word in APART_WORDS or (word in HEAD_WORDS and not inside_main)
+                apart |= hit and kind == "role"
+                named |= hit and kind != "role"
                 main |= word in MAIN_WORDS
             before = word
-    return apart, main and not apart
+    return apart, named, main and not apart and not named
 
 
 def _teaser(attributes: str) -> bool:
@@ -106,7 +115,7 @@ def _teaser(attributes: str) -> bool:
 def read_page(html: str | None) -> Page:
     """The blocks of a page in order; element contents that are no text are left out."""
     page, at, nodes = Page(), 0, 0
-    stack, names = [_Open("", 0, False, False)], Counter()
+    stack, names = [_Open("", 0, False, False, False)], Counter()
     texts: list[str] = []
     links = linked = 0
     html = html or ""
@@ -116,7 +125,7 @@ def read_page(html: str | None) -> Page:
         if texts:
             if text := " ".join(unescape("".join(texts)).split()):
                 top = stack[-1]
-                page.blocks.append(Block(text, top.node, len(stack), top.apart, top.main, top.name, min(linked, len(text))))
+                page.blocks.append(Block(text, top.node, len(stack), top.apart, top.named, top.main, top.name, min(linked, len(text))))
             texts.clear()
             linked = 0
 
@@ -154,13 +163,17 @@ def read_page(html: str | None) -> Page:
             continue
         nodes += 1
         top = stack[-1]
-        apart, main = name in APART or (name == "header" and not top.main), name in MAIN
+        apart, named, main = name in APART or (name == "header" and not top.main), False, name in MAIN
         if "=" in m[4]:
-            said = _named(m[4], top.main)
-            main = main and not _teaser(m[4])
-            apart, main = apart or (said[0] and name not in MAIN), main or (said[1] and name not in MAIN)
-        page.has_main |= main and not top.apart
-        stack.append(_Open(name, nodes, top.apart or apart, top.main or main))
+            by_role, named, by_name = _named(m[4], top.main, name[:1] == "h" and name[1:].isdigit())
+            if main:
+                by_role, named = False, _teaser(m[4])
+                main = not named
+            else:
+                main = by_name
+            apart = apart or by_role
+        page.has_main |= main and not (top.apart or top.named)
+        stack.append(_Open(name, nodes, top.apart or apart, top.named or named, top.main or main))
         names[name] += 1
     if at < len(html):
         texts.append(html[at:])
@@ -179,7 +192,7 @@ def looks(page: Page) -> np.ndarray:
 
 def weak_labels(page: Page) -> np.ndarray:
     """1 in an article element, 0 in an element that is apart or beside an article, -1 where the markup says nothing."""
-    return np.array([0 if b.apart else 1 if b.main else 0 if page.has_main else -1 for b in page.blocks], np.int64)
+    return np.array([0 if b.apart or b.named else 1 if b.main else 0 if page.has_main else -1 for b in page.blocks], np.int64)
 
 
 def fit_looks(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -201,8 +214,8 @@ def capacities(page: Page, weights: np.ndarray) -> tuple[list[float], list[float
     odds = np.clip(looks(page) @ weights, -MOST_LOOKS, MOST_LOOKS).tolist()
     boilerplate, content = [], []
     for b, o in zip(page.blocks, odds, strict=True):
-        boilerplate.append(max(o, 0.0) + (INSIDE if b.main and not b.apart else 0.0))
-        content.append(max(-o, 0.0) + (CERTAIN if b.apart else OUTSIDE if page.has_main and not b.main else 0.0))
+        boilerplate.append(max(o, 0.0) + (INSIDE if b.main and not b.apart and not b.named else 0.0))
+        content.append(max(-o, 0.0) + (CERTAIN if b.apart else NAMED if b.named else OUTSIDE if page.has_main and not b.main else 0.0))
     return boilerplate, content
 
 

@@ -51,3 +51,8 @@ def test_looks_outvote_article_elements():
     for mark in ("<article>", "<article class='teaser card'>", "<article class=comment>"):
         text = html_text.main_text(f"<body>{body}<div>{mark}<ul>{links}</ul></article></div></body>", html_text.BEFORE)
         assert text == f"{LONG}\n\n{LONG}", mark
+
+
+def test_words_of_class_and_id_can_be_outvoted():
+    html = f"<article><h2 id=search-algorithms>Search algorithms, in short.</h2><section id=related-work><p>{LONG}</p></section><div class=long-form><p>With <math><mi>x</mi><mo>=</mo><mn>2</mn></math>. {LONG}</p></div><div class=ad>Buy</div><div role=search>{LONG}</div></article>"
+    assert html_text.main_text(html, html_text.BEFORE) == f"Search algorithms, in short.\n\n{LONG}\n\nWith x=2. {LONG}"
