@@ -33,7 +33,7 @@ LOOSE = {
     "email": r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?(?:\[at\]|\(at\)|\x20at\x20)\x20?[A-Za-z0-9-]{1,63}\x20?(?:\[dot\]|\(dot\)|\x20dot\x20)\x20?[A-Za-z]{2,24}",
     "phone": r"(?<![0-9A-Za-z+.-])\(?[0-9]{2,4}\)?[\x20.-][0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9A-Za-z]|[.-][0-9])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
-    "secret": r"(?i)(?:token|secret|passw(?:or)?d|pwd|api[_-]?key)[\"']?\s{0,3}[:=]\s{0,3}[\"']?[A-Za-z0-9+/_=.-]{12,256}",
+    "secret": r"(?i)(?:token|secret|passw(?:or)?d|pwd|api[_-]?key)[\"']?\s{0,3}[:=]\s{0,3}[\"']?[A-Za-z0-9+/_=.-]{12,}+",
 }
 # What a text must hold for a pattern to be tried.
 NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}

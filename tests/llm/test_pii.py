@@ -74,3 +74,11 @@ def test_added_spans_masking_and_edge_cases(spark):
 def test_masking_of_overlaps(spark):
     spans = F.expr("array(named_struct('kind','a','begin',4,'end',6), named_struct('kind','b','begin',1,'end',3), named_struct('kind','c','begin',2,'end',4), named_struct('kind','d','begin',1,'end',2))")
     assert spark.range(1).select(pii.masked(F.lit("0123456789"), spans)).first()[0] == "0[B][A]6789"
+
+
+def test_long_secrets_are_masked_whole(spark):
+    token = "eyJ" + "aB3.-_" * 170
+    docs = spark.createDataFrame([(i, f"say token = {token[i:]} end") for i in range(30)], "doc_id long, text string")
+    found = sorted(pii.find_personal_data(docs).collect())
+    assert [[(s.kind, s.begin, s.end) for s in x.personal] for x in found] == [[("secret", 4, len(x.text) - 4)] for x in found] and len(token) > 1000
+    assert {x.text for x in pii.mask_personal_data(docs).collect()} == {"say [SECRET] end"}
