@@ -96,9 +96,9 @@ def identifiers(spark, d):
 
 
 def ascii_names(spark, d):
-    """Normal names of the first line of every document."""
-    line = F.substring_index("text", "\n", 1)
-    return _t(spark, d, "documents").select("doc_id", text.resolver_name(line).alias("resolver_name"), F.length(text.without_accents(line)).cast("long").alias("n"), text.entity_name(line).alias("entity_name"))
+    """Normal names of the whole text of every document."""
+    whole = F.col("text")
+    return _t(spark, d, "documents").select("doc_id", text.resolver_name(whole).alias("resolver_name"), F.length(text.without_accents(whole)).cast("long").alias("n"), text.entity_name(whole).alias("entity_name"))
 
 
 def _known(spark, d):
