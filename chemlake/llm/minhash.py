@@ -2,8 +2,8 @@
 
 1. Each text gives the set of its word shingles (64-bit hashes), of which the k smallest are its sketch.
    Texts of one word sequence are one group of copies from here on.
-2. Inverted lists of retained values: two sets of similarity t share, but for a chance of about 1e-8, at
-   least `need` of k retained values, so they meet in a list of one of the k - need + 1 rarest retained values
+2. Inverted lists of retained values: two sets of similarity t share at least `need` of k
+   retained values, but for a chance (binomial) of 3.5e-6 at t = 0.85 (need 17 of 32) and 1.2e-6 at 0.80 (14), so they meet in a list of one of the k - need + 1 rarest retained values
    of each.  Values are ranked by how many sketches hold them; only these rarest ones enter lists.
 3. The first document of a list is tried with all others; pairs pass by size and by the similarity that the
    union's sketch estimates, and each document's most similar one is confirmed on full sets.
