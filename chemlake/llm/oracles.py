@@ -24,6 +24,26 @@ SELECT e.vec_id, coalesce(d.n, 0)::BIGINT AS n_links, least(e.vec_id, coalesce(l
 FROM embeddings e LEFT JOIN degree d ON d.id = e.vec_id LEFT JOIN least l ON l.id = e.vec_id
 """
 
+_BLANK = "[\\x09-\\x0D\\x1C-\\x20\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]"
+
+OP4 = f"""
+WITH cut AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents WHERE text IS NOT NULL
+),
+placed AS (
+    SELECT doc_id, line, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM cut
+),
+units AS (
+    SELECT doc_id, (start + length(regexp_extract(line, '^{_BLANK}*')))::INTEGER AS begin_at, (start + length(regexp_replace(line, '{_BLANK}+$', '')))::INTEGER AS end_at,
+           trim(regexp_replace(lower(line), '{_BLANK}+', ' ', 'g')) AS normal FROM placed
+),
+ranked AS (
+    SELECT *, first_value(doc_id) OVER w AS keep_doc_id, first_value(begin_at) OVER w AS keep_begin, row_number() OVER w AS k FROM units WHERE normal <> ''
+    WINDOW w AS (PARTITION BY normal ORDER BY doc_id NULLS LAST, begin_at)
+)
+SELECT doc_id, begin_at AS "begin", end_at AS "end", len(string_split(normal, ' '))::INTEGER AS n_words, keep_doc_id, keep_begin FROM ranked WHERE k > 1
+"""
+
 OP7 = """
 WITH turns AS (
     SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k,

@@ -1,4 +1,4 @@
-"""Substring dedup by hashing lines, paragraphs, sentences or short runs of sentences (operator 4).
+"""Substring dedup by hashing lines, paragraphs or sentences (operator 4).
 
 Units are normalised and hashed to 128 bits; digests are grouped over all documents; the occurrence that
 comes first by (doc_id, place) stays, the others go, with their places in the original text.
@@ -9,142 +9,82 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
-from bisect import bisect_left, bisect_right
-from itertools import accumulate
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chemlake.llm.workspace import Workspace
 
-LINE, PARAGRAPH = re.compile(r"[^\n]+"), re.compile(r"(?:[^\n]|\n(?![^\S\n]*\n))+")
-#: Up to a mark that white space or the end follows.
-SENTENCE = re.compile(r"(?:[^\n.!?]+|[.!?]+(?![.!?\s]|\Z))+[.!?]*|[.!?]+")
-#: Units of fewer words repeat by chance and are left alone.
-LEAST_WORDS = 8
-#: Repeated units go if they and their repeated neighbours (no more than GAP characters away) have so many words together:
-#: a heading or a sign-off that many documents share is no repeated passage.
-LEAST_RUN, GAP = 15, 64
+#: Ends of a unit's pattern: the line, the blank line, or a mark that white space or the end follows.
+UNITS = {
+    "line": re.compile(r"[^\n]+"),
+    "paragraph": re.compile(r"(?:[^\n]|\n(?![^\S\n]*\n))+"),
+    "sentence": re.compile(r"(?:[^\n.!?]+|[.!?]+(?![.!?\s]|\Z))+[.!?]*|[.!?]+"),
+}
+#: At most so many digests are held to be common ones: those that make up one unit in so many, or more.
+COMMON = 10_000
 
+_COLUMNS = "doc long, begin int, end int, n_words int, h1 long, h2 long, first int"
 
-def _lines(text: str, least: int):
-    return (m.span() for m in LINE.finditer(text))
 
+def _units(pattern: re.Pattern, least: int):
+    kinds = [pa.int64(), *[pa.int32()] * 3, pa.int64(), pa.int64(), pa.int32()]
 
-def _paragraphs(text: str, least: int):
-    return (m.span() for m in PARAGRAPH.finditer(text))
-
-
-def _sentences(text: str, least: int):
-    """Sentences of each line; shorter ones that follow one another go together."""
-    for line in LINE.finditer(text):
-        begin = end = -1
-        for m in SENTENCE.finditer(text, *line.span()):
-            if len(m.group().split()) < least:
-                begin, end = (m.start() if begin < 0 else begin), m.end()
-                continue
-            if begin >= 0:
-                yield begin, end
-                begin = -1
-            yield m.span()
-        if begin >= 0:
-            yield begin, end
-
-
-def _passages(text: str, least: int):
-    """From each sentence on, and up to each, the fewest neighbours (over line ends too) that have `least` words together.
-
-    What is cut depends on no text around a passage: each sentence of a repeated run of `least` words or more is in
-    one of these that lies within the run.
-    """
-    spans = [m.span() for line in LINE.finditer(text) for m in SENTENCE.finditer(text, *line.span())]
-    words = [len(text[a:b].split()) for a, b in spans]
-    spans = [s for s, n in zip(spans, words, strict=True) if n]
-    ends = [0, *accumulate(n for n in words if n)]
-    found = set()
-    for i in range(len(spans)):
-        last = bisect_left(ends, ends[i] + least)  # sentences i up to last
-        if last < len(ends):
-            found.add((i, last))
-        first = bisect_right(ends, ends[i + 1] - least) - 1
-        if first >= 0:
-            found.add((first, i + 1))
-    return ((spans[a][0], spans[b - 1][1]) for a, b in sorted(found))
-
-
-UNITS = {"line": _lines, "paragraph": _paragraphs, "sentence": _sentences, "passage": _passages}
-
-_COLUMNS = "doc long, whole long, begin int, end int, n_words int, h1 long, h2 long, first int"
-
-
-def _units(cut, least: int):
     def run(batches):
         for batch in batches:
             rows: list[tuple] = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                text, seen = text.as_py() or "", {}
-                whole = struct.unpack("<q", hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest())[0]
-                for start, stop in cut(text, least):
-                    unit = text[start:stop]
+                seen: dict[tuple[int, int], int] = {}
+                for m in pattern.finditer(text.as_py() or ""):
+                    unit = m.group()
                     normal = unit.lower().split()
-                    if len(normal) < least:
+                    if not normal or len(normal) < least:
                         continue
-                    h1, h2 = struct.unpack("<qq", hashlib.blake2b(" ".join(normal).encode("utf-8", "replace"), digest_size=16).digest())
-                    begin = start + len(unit) - len(unit.lstrip())
-                    first = seen.setdefault((h1, h2), begin)
-                    rows.append((doc, whole, begin, start + len(unit.rstrip()), len(normal), h1, h2, first))
-            columns = list(zip(*rows, strict=True)) if rows else [()] * 8
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc", "whole", "begin", "end", "n_words", "h1", "h2", "first"])
+                    digest = struct.unpack("<qq", hashlib.blake2b(" ".join(normal).encode("utf-8", "replace"), digest_size=16).digest())
+                    begin = m.start() + len(unit) - len(unit.lstrip())
+                    rows.append((doc, begin, m.start() + len(unit.rstrip()), len(normal), *digest, seen.setdefault(digest, begin)))
+            columns = list(zip(*rows, strict=True)) if rows else [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc", "begin", "end", "n_words", "h1", "h2", "first"])
 
     return run
 
 
-def repeated_units(docs: DataFrame, *, unit: str = "sentence", least_words: int = LEAST_WORDS, least_run: int = LEAST_RUN, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def repeated_units(docs: DataFrame, *, unit: str = "line", least_words: int = 1, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per unit to remove: doc_id, begin, end (code points, end exclusive), n_words, keep_doc_id, keep_begin.
 
-    Units are compared in lower case with white space run together; those of fewer than least_words words
-    are left alone, and so are runs of neighbouring repeated units of fewer than least_run words in all.
-    The kept occurrence is the first by (doc_id, begin).  Rows that share a doc_id are one
-    document, whose units of equal rank all stay.  Rows without doc_id rank last, and among themselves none
-    goes for another.  Null and empty texts have no units.  Other columns of docs are ignored.
-
-    Passages (unit="passage") are runs of whole sentences and overlap: a sentence goes if a run of least_words words
-    or more that holds it stands earlier, whatever is around it.  They go without a limit on runs (least_run=0).
+    Units are compared in lower case with white space run together, whatever their length (least_words asks for
+    more); blank ones are none.  The kept occurrence is the first by (doc_id, begin): of equal units in one document
+    the first place, of equal ones in two the smaller doc_id.  Rows that share a doc_id are one document, whose units
+    of equal rank all stay.  Rows without doc_id rank last, and among themselves none goes for another.  Null and
+    empty texts have no units, and an empty table no rows; very long texts are read whole, a unit at a time.  Other
+    columns of docs are ignored, whatever they are called.
     """
-    if unit == "passage" and least_run > 0:
-        raise ValueError("passages overlap: least_run must be 0")
     work = Workspace(docs.sparkSession)
     source = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"))
     units = work.save(source.mapInArrow(_units(UNITS[unit], least_words), _COLUMNS), "units")
     # aggregated before the shuffle, so a unit that very many documents hold is no heavier than another
-    kept = units.groupBy("h1", "h2").agg(F.min("doc").alias("keep"), F.min_by("first", "doc").alias("keep_begin"), F.count("*").alias("n")).where("n > 1").drop("n")
-    joined = units.join(kept, ["h1", "h2"])
+    counted = units.groupBy("h1", "h2").agg(F.min("doc").alias("keep"), F.min_by("first", "doc").alias("keep_begin"), F.count("*").alias("n"))
+    kept = work.save(counted.where("n > 1"), "kept")
+    least = max(1_000, -(-units.count() // COMMON))
+    # a common digest's units stay where they are; there are COMMON of these digests at most
+    common = F.broadcast(kept.where(F.col("n") >= least))
+    rest = units.join(F.broadcast(common.select("h1", "h2")), ["h1", "h2"], "left_anti").join(kept.where(F.col("n") < least), ["h1", "h2"])
+    joined = units.join(common, ["h1", "h2"]).unionByName(rest)
     again = F.col("begin") > F.col("first")
     gone = joined.where(again | F.coalesce(F.col("doc") > F.col("keep"), F.col("doc").isNull() & F.col("keep").isNotNull()))
-    return _long_runs(gone, least_run).select(
+    return gone.select(
         F.col("doc").alias("doc_id"), "begin", "end", "n_words",
         F.coalesce("keep", "doc").alias("keep_doc_id"), F.when(F.col("keep").isNotNull(), F.col("keep_begin")).otherwise(F.col("first")).alias("keep_begin"),
     )
 
 
-def _long_runs(gone: DataFrame, least: int) -> DataFrame:
-    """Units of runs of at least `least` words; a window holds the repeated units of one text."""
-    if least <= 0:
-        return gone
-    text = Window.partitionBy("doc", "whole").orderBy("begin")
-    breaks = F.coalesce((F.col("begin") - F.lag("end").over(text) > GAP).cast("int"), F.lit(0))
-    runs = gone.withColumn("_break", breaks).withColumn("_run", F.sum("_break").over(text))
-    return runs.withColumn("_words", F.sum("n_words").over(Window.partitionBy("doc", "whole", "_run"))).where(F.col("_words") >= least).drop("_break", "_run", "_words")
-
-
-def without_repeats(docs: DataFrame, *, unit: str = "sentence", least_words: int = LEAST_WORDS, least_run: int = LEAST_RUN) -> DataFrame:
+def without_repeats(docs: DataFrame, *, unit: str = "line", least_words: int = 1) -> DataFrame:
     """docs with the repeated units cut out of text; kept_spans: the code points of the original that stay.
 
-    Rows without doc_id are left as they are.  A column called kept_spans is replaced.
+    Rows without doc_id are left as they are, and null texts stay null.  A column called kept_spans is replaced.
     """
-    gone = repeated_units(docs, unit=unit, least_words=least_words, least_run=least_run).where("doc_id IS NOT NULL")
+    gone = repeated_units(docs, unit=unit, least_words=least_words).where("doc_id IS NOT NULL")
     spans = gone.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("begin", "end"))).alias("_gone"))
     whole = F.struct(F.lit(0).alias("begin"), F.lit(0).alias("end"))
     ends = F.concat(F.array(whole), F.coalesce("_gone", F.array().cast("array<struct<begin:int,end:int>>")))

@@ -8,89 +8,56 @@ import pytest
 from chemlake.llm import queries, repeats
 
 
-@pytest.mark.parametrize("unit", ["line", "sentence", "paragraph"])
-def test_equals_brute_force(spark, unit):
-    r = random.Random(3)
-    known = [" ".join(r.choice("abcdef") * r.randint(1, 3) for _ in range(r.randint(1, 9))) + r.choice(".!?") for _ in range(25)]
-    docs = [(i, "".join(r.choice(known).swapcase() + r.choice([" ", "\n", "\n\n", "  "]) for _ in range(r.randint(0, 12)))) for i in range(40)]
-    found = {(x.doc_id, x.begin, x.end, x.keep_doc_id, x.keep_begin) for x in repeats.repeated_units(spark.createDataFrame(docs, "doc_id long, text string"), unit=unit, least_words=4, least_run=0).collect()}
-    split = {"line": r"\n", "paragraph": r"\n\s*\n", "sentence": r"(?<=[.!?])(?=\s)|\n"}[unit]
+def brute_force(docs, split=r"\n", least=1):
+    """(doc_id, begin, end, keep_doc_id, keep_begin) of each unit that one before it equals."""
     seen, want = {}, set()
-    for i, text in docs:
+    for i, text in sorted(d for d in docs if d[1]):
         cuts = [0, *[m.start() for m in re.finditer(split, text)], len(text)]
-        parts = []
         for a, b in zip(cuts, cuts[1:], strict=False):
-            short = len(text[a:b].split()) < 4
-            if unit == "sentence" and parts and short and parts[-1][2] and not text[a:b].startswith("\n"):
-                parts[-1] = (parts[-1][0], b, True)  # short sentences of a line go together
-            else:
-                parts.append((a, b, short))
-        for a, b, _ in parts:
             part = text[a:b]
             key = tuple(part.lower().split())
             begin = a + len(part) - len(part.lstrip())
-            if len(key) >= 4:
-                if key in seen:
-                    want.add((i, begin, a + len(part.rstrip()), *seen[key]))
-                else:
-                    seen[key] = i, begin
+            if key and len(key) >= least and seen.setdefault(key, (i, begin)) != (i, begin):
+                want.add((i, begin, a + len(part.rstrip()), *seen[key]))
+    return want
+
+
+@pytest.mark.parametrize(("unit", "split", "least"), [("line", r"\n", 1), ("line", r"\n", 4), ("sentence", r"(?<=[.!?])(?=\s)|\n", 1), ("paragraph", r"\n\s*\n", 2)])
+def test_equals_brute_force(spark, unit, split, least):
+    r = random.Random(3)
+    known = [" ".join(r.choice("abcdef") * r.randint(1, 3) for _ in range(r.randint(1, 9))) + r.choice(".!?") for _ in range(25)]
+    docs = [(i, "".join(r.choice(known).swapcase() + r.choice([" ", "\n", "\n\n", "  "]) for _ in range(r.randint(0, 12)))) for i in range(40)]
+    found = {(x.doc_id, x.begin, x.end, x.keep_doc_id, x.keep_begin) for x in repeats.repeated_units(spark.createDataFrame(docs, "doc_id long, text string"), unit=unit, least_words=least).collect()}
+    want = brute_force(docs, split, least)
     assert found == want and want
 
 
+def test_the_query_takes_every_line_of_any_length(spark, tmp_path):
+    r = random.Random(4)
+    lines = ["a", "É b", "é  B ", " x y", "x y", "", "  ", "one two three", *[" ".join(f"w{k}x{i}" for i in range(60)) for k in range(3)]]
+    docs = [(i, "\n".join(r.choice(lines) for _ in range(r.randint(0, 6)))) for i in range(60)] + [(60, None), (61, ""), (62, "long " * 200_000 + "\na")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {(x.doc_id, x.begin, x.end, x.keep_doc_id, x.keep_begin) for x in queries.op4_repeats(spark, str(tmp_path)).collect()}
+    assert found == brute_force(docs) and (62, 1_000_001, 1_000_002) in {x[:3] for x in found}
+
+
+def test_common_lines_equal_brute_force(spark):
+    docs = [(i, f"very common line\nnumber {i // 2}\nvery  COMMON line") for i in range(1_500)]
+    found = {(x.doc_id, x.begin, x.end, x.keep_doc_id, x.keep_begin) for x in repeats.repeated_units(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert found == brute_force(docs) and len(found) == 2 * 1_500 - 1 + 750
+
+
 def test_cut_and_edge_cases(spark):
     line = "a line of eight words that will repeat"
     rows = [(1, f"{line}\nown words", 0), (2, f"Start here\n{line.upper()}\n{line} end", 0), (3, None, 0), (4, "", 0), (None, line, 0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, kept_spans int")
-    got = {x.doc_id: (x.text, [tuple(s) for s in x.kept_spans or []]) for x in repeats.without_repeats(docs, unit="line", least_run=0).collect()}
+    got = {x.doc_id: (x.text, [tuple(s) for s in x.kept_spans or []]) for x in repeats.without_repeats(docs).collect()}
     n = len(line)
     assert got == {1: (rows[0][1], [(0, len(rows[0][1]))]), 2: (f"Start here\n\n{line} end", [(0, 11), (11 + n, 16 + 2 * n)]), 3: (None, []), 4: ("", []), None: (line, [(0, n)])}
-    assert {(x.doc_id, x.keep_doc_id) for x in repeats.repeated_units(docs, unit="line", least_run=0).collect()} == {(2, 1), (None, 1)}
+    assert {(x.doc_id, x.keep_doc_id) for x in repeats.repeated_units(docs).collect()} == {(2, 1), (None, 1)}
     assert repeats.repeated_units(docs.limit(0)).collect() == []
 
 
-def test_only_long_runs_go(spark):
-    words = lambda k, n: " ".join(f"w{k}x{i}" for i in range(n)) + "."
-    passage, sign_off = f"{words(1, 12)} {words(2, 9)}\n{words(3, 10)}", words(4, 9)
-    rows = [(i, f"{words(10 + i, 20)} {passage} {words(50 + i, 20)}\n{sign_off}") for i in range(3)]
-    out = repeats.repeated_units(spark.createDataFrame(rows, "doc_id long, text string"))
-    assert sorted((r.doc_id, r.n_words) for r in out.collect()) == sorted((i, n) for i in (1, 2) for n in (12, 9, 10))
-
-
-def test_query_leaves_no_repeated_unit(spark, tmp_path):
-    words = lambda k, n: " ".join(f"w{k}x{i}" for i in range(n)) + "."
-    rows = [(i, f"{words(10 + i, 20)} {words(1, 12)} {words(50 + i, 20)}\n{words(4, 9)}") for i in range(3)]
-    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    assert sorted((r.doc_id, r.n_words) for r in queries.op4_repeats(spark, str(tmp_path)).collect()) == sorted((i, n) for i in (1, 2) for n in (9, 12))
-
-
-def _covered(spans):
-    return {(i, at) for i, a, b in spans for at in range(a, b)}
-
-
-def test_passages_cover_what_any_repeated_run_covers(spark):
-    r = random.Random(5)
-    known = [" ".join(r.choice("abcdef") for _ in range(r.randint(1, 6))) + r.choice(".!?") for _ in range(9)]
-    docs = [(i, "".join(r.choice(known) + r.choice([" ", "\n"]) for _ in range(r.randint(0, 12)))) for i in range(40)]
-    found = repeats.repeated_units(spark.createDataFrame(docs, "doc_id long, text string"), unit="passage", least_words=8, least_run=0).collect()
-    seen, want = {}, []
-    for i, text in docs:
-        spans = [m.span() for m in re.finditer(r"[a-f][^.!?]*[.!?]", text)]
-        for k, (a, _) in enumerate(spans):
-            for _, b in spans[k:]:
-                words = tuple(text[a:b].split())
-                if len(words) >= 8 and seen.setdefault(words, (i, a)) != (i, a):
-                    want.append((i, a, b))
-    assert _covered((x.doc_id, x.begin, x.end) for x in found) == _covered(want) and want
-    assert all((x.keep_doc_id, x.keep_begin) == seen[tuple(docs[x.doc_id][1][x.begin : x.end].split())] for x in found)
-    with pytest.raises(ValueError):
-        repeats.repeated_units(spark.createDataFrame(docs, "doc_id long, text string"), unit="passage")
-
-
-def test_query_finds_short_sentences_whatever_is_around(spark, tmp_path):
-    passage = " ".join(" ".join(f"w{k}x{i}" for i in range(6)) + "." for k in range(10))
-    rows = [(1, f"Own start here. {passage} Own end."), (2, f"{passage.replace('. ', '.' + chr(10))} Another end here.")]
-    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    found = queries.op4_repeats(spark, str(tmp_path)).collect()
-    assert _covered((x.doc_id, x.begin, x.end) for x in found) == _covered([(2, 0, len(passage))])
-    cut = {x.doc_id: x.text for x in repeats.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"), unit="passage", least_run=0).collect()}
-    assert cut == {1: rows[0][1], 2: " Another end here."}
+def test_rows_that_share_an_id_are_one_document(spark):
+    docs = spark.createDataFrame([(1, "x y\nx y", 1), (1, "x y\nz", 2), (1, "x y\nz", 2), (2, "z", 3)], "doc_id long, text string, begin int")
+    assert sorted(tuple(x)[:2] + (x.keep_doc_id,) for x in repeats.repeated_units(docs).collect()) == [(1, 4, 1), (2, 0, 1)]
