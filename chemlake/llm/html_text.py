@@ -1,8 +1,9 @@
 """Main text of web pages by minimum-cut labelling (operator 10).
 
 A page is read as a sequence of blocks.  A classifier of what a block looks like (length, links, commas and
-so on) gives the cost of calling it content or boilerplate; these costs and what the markup says are
+so on) and of what the markup says of it gives the cost of calling it content or boilerplate; these costs are
 terminal capacities, adjacency and nearness in the DOM are smoothness edges, and a maximum flow separates the blocks.
+Looks, markup and smoothness are weighted by what a sample of pages says of them.
 """
 
 from __future__ import annotations
@@ -18,19 +19,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: The block classifier is fitted on the blocks of about so many pages, drawn by a hash of the page's text.
+#: Weights are fitted on the blocks of about so many pages, drawn by a hash of the page's row.
 FIT_PAGES = 2_000
-#: Costs are in nats: what a block's looks may count at most, what an article element and what its absence in a
-#: page that has one counts for (less than looks, which can outvote them), and the edge between neighbours of one parent.
-MOST_LOOKS, INSIDE, OUTSIDE, SMOOTH = 4.0, 3.0, 3.0, 1.0
-#: What a word of class or id counts for that names a part of a page, instead of the article element around it.
-NAMED = 3.0
+#: Costs are in nats: what a block's looks may count for at most, and an edge.
+MOST_LOOKS, MOST_SMOOTH = 4.0, 1.0
 #: Of elements and roles that are no main text.
 CERTAIN = 1e6
-# Weights of a block's looks before any page is seen (constant, length, links, commas and stops,
-# last character, paragraph, heading, list item), and how many blocks they count for in the fit.
+# Fixed values, before any page is seen: weights of a block's looks (constant, length, links, commas and stops,
+# last character, paragraph, heading, list item); what an article element, its absence in a page that has one, and a word
+# of class or id that names a part of a page count for; and how many blocks all this counts for in the fit.
 BEFORE, STRENGTH = np.array([-1.5, 0.5, -4.0, 1.0, 0.5, 1.0, 1.0, -0.5]), 50.0
-LOOKS = len(BEFORE)
+MARKUP = {"inside": 3.0, "outside": -3.0, "named": -3.0}
+#: For markup, the sample counts as so many blocks, so that looks and neighbours can outvote it however many pages there are.
+MARKUP_BLOCKS = 1_000
+#: Neighbours are told apart by steps between them in the DOM, up to FAR; AROUND: children of one element with others between them.
+FAR, AROUND = 8, 9
+LOOKS, TAGS = len(BEFORE), slice(5, 8)
 
 # Names of HTML elements.
 SKIPPED = "script|style|noscript|template|textarea|title|svg|iframe|object|select|canvas|audio|video"
@@ -64,8 +68,7 @@ WORD = re.compile(r"[a-zA-Z][a-z]*|[A-Z]+")
 @dataclass
 class Block:
     text: str
-    parent: int
-    depth: int
+    node: int
     apart: bool
     named: bool
     main: bool
@@ -84,8 +87,12 @@ class _Open:
 
 @dataclass
 class Page:
+    """Blocks, and of each element its parent and depth."""
+
     blocks: list[Block] = field(default_factory=list)
     has_main: bool = False
+    parents: list[int] = field(default_factory=lambda: [0])
+    depths: list[int] = field(default_factory=lambda: [0])
 
 
 def _named(attributes: str, inside_main: bool, heading: bool) -> tuple[bool, bool, bool]:
@@ -114,7 +121,7 @@ def _teaser(attributes: str) -> bool:
 
 def read_page(html: str | None) -> Page:
     """The blocks of a page in order; element contents that are no text are left out."""
-    page, at, nodes = Page(), 0, 0
+    page, at = Page(), 0
     stack, names = [_Open("", 0, False, False, False)], Counter()
     texts: list[str] = []
     links = linked = 0
@@ -125,7 +132,7 @@ def read_page(html: str | None) -> Page:
         if texts:
             if text := " ".join(unescape("".join(texts)).split()):
                 top = stack[-1]
-                page.blocks.append(Block(text, top.node, len(stack), top.apart, top.named, top.main, top.name, min(linked, len(text))))
+                page.blocks.append(Block(text, top.node, top.apart, top.named, top.main, top.name, min(linked, len(text))))
             texts.clear()
             linked = 0
 
@@ -161,8 +168,9 @@ def read_page(html: str | None) -> Page:
             close(1)
         if name in VOID:
             continue
-        nodes += 1
         top = stack[-1]
+        page.parents.append(top.node)
+        page.depths.append(len(stack))
         apart, named, main = name in APART or (name == "header" and not top.main), False, name in MAIN
         if "=" in m[4]:
             by_role, named, by_name = _named(m[4], top.main, name[:1] == "h" and name[1:].isdigit())
@@ -173,7 +181,7 @@ def read_page(html: str | None) -> Page:
                 main = by_name
             apart = apart or by_role
         page.has_main |= main and not (top.apart or top.named)
-        stack.append(_Open(name, nodes, top.apart or apart, top.named or named, top.main or main))
+        stack.append(_Open(name, len(page.parents) - 1, top.apart or apart, top.named or named, top.main or main))
         names[name] += 1
     if at < len(html):
         texts.append(html[at:])
@@ -190,46 +198,106 @@ def looks(page: Page) -> np.ndarray:
     return np.array(rows, np.float64).reshape(len(rows), LOOKS)
 
 
-def weak_labels(page: Page) -> np.ndarray:
+def state(page: Page, b: Block) -> str:
+    """What the markup says of a block: apart, named, inside or outside of an article, or nothing ('')."""
+    return "apart" if b.apart else "named" if b.named else "inside" if b.main else "outside" if page.has_main else ""
+
+
+def weak_label(says: str) -> int:
     """1 in an article element, 0 in an element that is apart or beside an article, -1 where the markup says nothing."""
-    return np.array([0 if b.apart or b.named else 1 if b.main else 0 if page.has_main else -1 for b in page.blocks], np.int64)
+    return {"inside": 1, "": -1}.get(says, 0)
+
+
+def neighbours(page: Page) -> list[tuple[int, int, int]]:
+    """(block, block, kind) of blocks that follow one another, by steps in the DOM, and of children of one element around others."""
+    out, last = [], {}
+    for i, b in enumerate(page.blocks):
+        around = page.parents[b.node]
+        if i:
+            one, two, steps = page.blocks[i - 1].node, b.node, 0
+            while one != two and steps < FAR:
+                if page.depths[one] >= page.depths[two]:
+                    one = page.parents[one]
+                else:
+                    two = page.parents[two]
+                steps += 1
+            out.append((i - 1, i, steps))
+        if last.get(around, i - 1) != i - 1:
+            out.append((last[around], i, AROUND))
+        last[around] = i
+    return out
+
+
+@dataclass
+class Model:
+    """Weights of looks, of what the markup says, and of edges by kind of neighbours."""
+
+    looks: np.ndarray
+    markup: dict[str, float]
+    smooth: np.ndarray
+
+
+#: Edges before any page is seen: the weaker, the farther apart.
+SMOOTH = np.array([*[1 / (1 + k / 2) for k in range(FAR + 1)], 0.25])
 
 
-def fit_looks(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Logistic weights by Newton's method, drawn to BEFORE."""
+def untrained() -> Model:
+    return Model(BEFORE.copy(), dict(MARKUP), SMOOTH.copy())
+
+
+def fit_looks(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Logistic weights by Newton's method, drawn to BEFORE; row i counts n[i] times.
+
+    Half of each row's count goes to its looks without its tag, so that text in plain div elements is told apart, too.
+    """
     w = BEFORE.copy()
     if len(set(y.tolist())) < 2:
         return w
+    bare = x.copy()
+    bare[:, TAGS] = 0
+    x, y, n = np.concatenate([x, bare]), np.concatenate([y, y]), np.concatenate([n, n]) / 2
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + STRENGTH * np.eye(LOOKS), x.T @ (p - y) + STRENGTH * (w - BEFORE))
+        step = np.linalg.solve((x * (n * p * (1 - p))[:, None]).T @ x + STRENGTH * np.eye(LOOKS), x.T @ (n * (p - y)) + STRENGTH * (w - BEFORE))
         w -= step
         if np.abs(step).max() < 1e-6:
             break
     return w
 
 
-def capacities(page: Page, weights: np.ndarray) -> tuple[list[float], list[float]]:
+def fit_markup(odds: np.ndarray, y: np.ndarray, n: np.ndarray, says: np.ndarray) -> dict[str, float]:
+    """What each kind of markup counts for beside a block's looks: logistic weights, drawn to MARKUP."""
+    out, scale = {}, MARKUP_BLOCKS / max(n.sum(), 1.0)
+    for kind, before in MARKUP.items():
+        own, w = says == kind, before
+        for _ in range(30):
+            p = 1 / (1 + np.exp(-np.clip(odds[own] + w, -30, 30)))
+            slope = scale * (n[own] * (p - y[own])).sum() + STRENGTH * (w - before)
+            w -= slope / (scale * (n[own] * p * (1 - p)).sum() + STRENGTH)
+        out[kind] = float(w)
+    return out
+
+
+def fit_smooth(alike: np.ndarray, unlike: np.ndarray) -> np.ndarray:
+    """Weights of edges by kind: half the log odds of neighbours that have one label, drawn to SMOOTH, MOST_SMOOTH at most."""
+    share = 1 / (1 + np.exp(-2 * SMOOTH))
+    return np.clip(np.log((alike + STRENGTH * share) / (unlike + STRENGTH * (1 - share))) / 2, 0.0, MOST_SMOOTH)
+
+
+def capacities(page: Page, model: Model) -> tuple[list[float], list[float]]:
     """Of each block, the cost of calling it boilerplate and that of calling it content."""
-    odds = np.clip(looks(page) @ weights, -MOST_LOOKS, MOST_LOOKS).tolist()
+    odds = np.clip(looks(page) @ model.looks, -MOST_LOOKS, MOST_LOOKS).tolist()
     boilerplate, content = [], []
     for b, o in zip(page.blocks, odds, strict=True):
-        boilerplate.append(max(o, 0.0) + (INSIDE if b.main and not b.apart and not b.named else 0.0))
-        content.append(max(-o, 0.0) + (CERTAIN if b.apart else NAMED if b.named else OUTSIDE if page.has_main and not b.main else 0.0))
+        says = state(page, b)
+        both = (o, -CERTAIN if says == "apart" else model.markup.get(says, 0.0))
+        boilerplate.append(sum(max(x, 0.0) for x in both))
+        content.append(sum(max(-x, 0.0) for x in both))
     return boilerplate, content
 
 
-def edges(page: Page) -> list[tuple[int, int, float]]:
-    """Neighbours in the page, the weaker the farther apart in depth and parent, and the last block of the same parent."""
-    out, last = [], {}
-    for i, b in enumerate(page.blocks):
-        if i:
-            before = page.blocks[i - 1]
-            out.append((i - 1, i, SMOOTH / (1 + (before.parent != b.parent) + abs(before.depth - b.depth))))
-        if last.get(b.parent, i - 1) != i - 1:
-            out.append((last[b.parent], i, SMOOTH / 2))
-        last[b.parent] = i
-    return out
+def edges(page: Page, model: Model) -> list[tuple[int, int, float]]:
+    return [(i, j, w) for i, j, kind in neighbours(page) if (w := float(model.smooth[kind])) > 0]
 
 
 def minimum_cut(source: list[float], sink: list[float], links: list[tuple[int, int, float]]) -> list[bool]:
@@ -292,53 +360,68 @@ def minimum_cut(source: list[float], sink: list[float], links: list[tuple[int, i
                 break
 
 
-def main_text(html: str | None, weights: np.ndarray) -> str:
+def main_text(html: str | None, model: Model) -> str:
     """Blocks of the page that the cut calls content, in order, with an empty line between them."""
     page = read_page(html)
     if not page.blocks:
         return ""
-    boilerplate, content = capacities(page, weights)
-    kept = minimum_cut(boilerplate, content, edges(page))
+    boilerplate, content = capacities(page, model)
+    kept = minimum_cut(boilerplate, content, edges(page, model))
     return "\n\n".join(b.text for b, keep in zip(page.blocks, kept, strict=True) if keep)
 
 
-def train(pages: DataFrame, html: str = "html") -> np.ndarray:
-    """Weights of the looks, learnt from blocks of which the markup says what they are."""
+_SEEN = "kind string, looks array<double>, label int, n long"
+
+
+def _squares(batches):
+    """Counts of labelled blocks by what the markup says and (rounded, so that blocks alike are one row) by looks, and of
+    labelled neighbours by kind and by whether they have one label."""
+    for batch in batches:
+        seen: Counter = Counter()
+        for text in batch.column(0):
+            page = read_page(text.as_py())
+            says = [state(page, b) for b in page.blocks]
+            labels = [weak_label(x) for x in says]
+            for kind, row, label in zip(says, looks(page).round(1).tolist(), labels, strict=True):
+                if label >= 0:
+                    seen[kind, tuple(row), label] += 1
+            for i, j, kind in neighbours(page):
+                if labels[i] >= 0 and labels[j] >= 0:
+                    seen["edge", (float(kind),), int(labels[i] == labels[j])] += 1
+        keys = [*seen]
+        columns = [pa.array([k[0] for k in keys], pa.string()), pa.array([list(k[1]) for k in keys], pa.list_(pa.float64())), pa.array([k[2] for k in keys], pa.int32()), pa.array([seen[k] for k in keys], pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, ["kind", "looks", "label", "n"])
+
+
+def train(pages: DataFrame, html: str = "html") -> Model:
+    """Weights learnt from blocks of which the markup says what they are, of a bounded sample of pages."""
     total = pages.count()
     share = min(1.0, FIT_PAGES / max(total, 1))
-    sample = pages.select(F.col(html).cast("string").alias("html")).where(F.pmod(F.xxhash64("html"), F.lit(1 << 30)) < share * (1 << 30))
-
-    def squares(batches):
-        # a block's row is rounded, so that blocks that look alike are counted together
-        for batch in batches:
-            seen: Counter = Counter()
-            for text in batch.column(0):
-                page = read_page(text.as_py())
-                for row, label in zip(looks(page).round(1).tolist(), weak_labels(page).tolist(), strict=True):
-                    if label >= 0:
-                        seen[(*row, label)] += 1
-            keys = [*seen]
-            yield pa.RecordBatch.from_arrays([pa.array([list(k[:-1]) for k in keys], pa.list_(pa.float64())), pa.array([k[-1] for k in keys], pa.int32()), pa.array([seen[k] for k in keys], pa.int64())], ["looks", "label", "n"])
-
-    rows = sample.mapInArrow(squares, "looks array<double>, label int, n long").groupBy("looks", "label").agg(F.sum("n").alias("n")).collect()
-    if not rows:
-        return BEFORE.copy()
-    times = np.array([r.n for r in rows])
-    x, y = np.repeat(np.array([r.looks for r in rows]), times, axis=0), np.repeat(np.array([r.label for r in rows]), times)
-    return fit_looks(x, y)
-
-
-def extract_text(pages: DataFrame, weights: np.ndarray | None = None, *, html: str = "html", out: str = "text") -> DataFrame:
+    sample = pages.where(F.pmod(F.xxhash64(*pages.columns), F.lit(1 << 30)) < share * (1 << 30)).select(F.col(html).cast("string").alias("html"))
+    rows = sample.mapInArrow(_squares, _SEEN).groupBy("kind", "looks", "label").agg(F.sum("n").alias("n")).collect()
+    blocks, model, pairs = [r for r in rows if r.kind != "edge"], untrained(), np.zeros((2, len(SMOOTH)))
+    for r in (r for r in rows if r.kind == "edge"):
+        pairs[r.label, int(r.looks[0])] += r.n
+    model.smooth = fit_smooth(pairs[1], pairs[0])
+    if blocks:
+        x, y, n = np.array([r.looks for r in blocks]), np.array([r.label for r in blocks]), np.array([float(r.n) for r in blocks])
+        model.looks = fit_looks(x, y, n)
+        model.markup = fit_markup(np.clip(x @ model.looks, -MOST_LOOKS, MOST_LOOKS), y, n, np.array([r.kind for r in blocks]))
+    return model
+
+
+def extract_text(pages: DataFrame, model: Model | None = None, *, html: str = "html", out: str = "text") -> DataFrame:
     """pages with the main text in `out`: '' where there is none, and for null and empty html.
 
     Character references are decoded; white space inside a block becomes one space; blocks are joined by an
-    empty line.  Pages are looked at one by one and whole; the classifier is trained on pages where no weights
-    are given.  A column called `out` is replaced, others are kept.
+    empty line.  Pages are looked at one by one and whole, so equal rows have equal texts, and very long pages
+    take time in proportion to their blocks; an empty table stays empty.  The model is trained on pages where none is given.
+    A column called `out` is replaced, others are kept.
     """
-    weights = train(pages, html) if weights is None else weights
+    model = train(pages, html) if model is None else model
 
     @F.arrow_udf("string")
     def extract(texts: pa.Array) -> pa.Array:
-        return pa.array([main_text(t.as_py(), weights) for t in texts], pa.string())
+        return pa.array([main_text(t.as_py(), model) for t in texts], pa.string())
 
     return pages.withColumn(out, extract(F.coalesce(F.col(html), F.lit(""))))
