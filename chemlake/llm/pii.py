@@ -1,9 +1,9 @@
 """Personal data by weak supervision, with DataFrame functions only (operator 2).
 
-Strict patterns give the base spans.  Looser patterns propose further candidates; regex, checksum,
-gazetteer and context labelers vote on every candidate; expectation-maximisation over the counted vote
-patterns estimates how reliable each labeler is; the posteriors train a classifier over what a span looks
-like, which decides on the candidates.  Base spans always stay.
+Base patterns give spans that always stay.  Their failed matches and looser patterns propose further candidates.
+Labelers of shape, checksum, gazetteer, cue words and neighbouring words vote on every candidate; expectation-maximisation
+over the counted vote patterns estimates how reliable each labeler is; the posteriors train a classifier over what a
+span looks like, which decides on the candidates.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chemlake.llm.arrays import prefix_fold, unused_name
+from chemlake.llm.workspace import Workspace
 
 #: Kinds in the order in which spans are listed; the first four have base patterns.
 KINDS = ("email", "ip", "card", "phone", "ssn", "secret")
@@ -28,18 +29,40 @@ BASE = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-# Further candidates, which the labelers vote on.
+# Further candidates, which the labelers vote on. No match of one is a match of its base pattern.
 LOOSE = {
-    "email": r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?(?:\[at\]|\(at\)|\x20at\x20)\x20?[A-Za-z0-9-]{1,63}\x20?(?:\[dot\]|\(dot\)|\x20dot\x20)\x20?[A-Za-z]{2,24}",
+    "email": r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+(?:\x20?(?:\[at\]|\(at\)|\x20at\x20)\x20?[A-Za-z0-9-]{1,63}\x20?(?:\[dot\]|\(dot\)|\x20dot\x20)\x20?[A-Za-z]{2,24}|@[A-Za-z0-9-]++(?!\.[A-Za-z0-9-]))",
+    "ip": r"(?<![0-9.])[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?!\.?[0-9])",
     "phone": r"(?<![0-9A-Za-z+.-])\(?[0-9]{2,4}\)?[\x20.-][0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9A-Za-z]|[.-][0-9])",
-    "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
-    "secret": r"(?i)(?:token|secret|passw(?:or)?d|pwd|api[_-]?key)[\"']?\s{0,3}[:=]\s{0,3}[\"']?[A-Za-z0-9+/_=.-]{12,}+",
+    "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}[\x20-][0-9]{2}[\x20-][0-9]{4}(?![0-9A-Za-z-])",
+    "secret": r"(?i)(?:token|secret|passw(?:or)?d|pwd|api[_-]?key)[\"']?\s{0,3}[:=]\s{0,3}[\"']?[A-Za-z0-9+/_=.-]{12,}+|(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}+",
 }
 # What a text must hold for a pattern to be tried.
 NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
-LOOSE_NEEDS = {"email": r"(?i)[\[(\x20]at[\])\x20]", "phone": r"[0-9][\x20.-][0-9]", "ssn": r"[0-9]-[0-9]", "secret": r"[:=]"}
-# Words that announce a kind, looked for in the CONTEXT characters before a span.
+LOOSE_NEEDS = {"email": r"@|(?i)[\[(\x20]dot[\])\x20]", "ip": r"[0-9]\.[0-9]", "phone": r"[0-9][\x20.-][0-9]", "ssn": r"[0-9][\x20-][0-9]", "secret": r"[:=]\s{0,3}[\"']?[A-Za-z0-9+/_=.-]{12}|[A-Za-z0-9+/_-]{32}"}
+#: Kinds whose spans all hold a digit.
+DIGITS = ("ip", "card", "phone", "ssn")
+# The shape of each kind as it is mostly written.
+SHAPES = {
+    "email": r"^[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++(?<=\.[A-Za-z]{2,24})$",
+    "ip": r"^(?:0|[1-9][0-9]{0,2})(?:\.(?:0|[1-9][0-9]{0,2})){3}$",
+    "card": r"^(?:[0-9]{4}([\x20-]?)[0-9]{4}\1[0-9]{4}\1[0-9]{4}|3[0-9]{3}([\x20-]?)[0-9]{6}\2[0-9]{4,5})$",
+    "phone": r"^(?:\+[1-9][0-9]{0,2}[\x20.-]?)?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[\x20.-]?[0-9]{2,4}){2,4}$",
+    "ssn": r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$",
+    "secret": r"(?i)^[a-z_-]+[\"']?\s*[:=]",
+}
+# Names and number ranges that belong to a kind: top-level domains, networks of hosts, card issuers, country
+# codes, issued areas, and forms of keys.
 GAZETTEER = {
+    "email": r"(?i)(?:\.|dot[\])\x20]\x20?)(?:com|net|org|edu|gov|info|io|de|fr|es|uk|it|nl|eu)$",
+    "ip": r"^(?:[1-9][0-9]?|1(?:[013-9][0-9]|2[0-689])|2(?:[01][0-9]|2[0-3]))\.",
+    "card": r"^(?:4|5[\x20-]?[1-5]|3[\x20-]?[47]|6[\x20-]?(?:011|5)|2[\x20-]?(?:22[1-9]|2[3-9]|[3-6]|7[01]|720))",
+    "phone": r"^\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])",
+    "ssn": r"^(?:00[1-9]|0[1-9][0-9]|[1-6][0-9]{2}|7[0-6][0-9]|77[0-2])",
+    "secret": r"(?i)(?:sk-|ghp_|AKIA|eyJ|xox[bp]-)|(?<![0-9a-f])(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64})$",
+}
+# Words that announce a kind, looked for in the CONTEXT characters before a span, or in a secret.
+CUES = {
     "email": "mail|contact|write|courriel|correo",
     "ip": "ip|host|server|address|adresse",
     "card": "card|visa|master|credit|karte|carte|tarjeta|pay",
@@ -49,7 +72,7 @@ GAZETTEER = {
 }
 CONTEXT = 24
 #: Labelers, in the order of their votes. Each votes 1 or 0.
-LABELERS = ("strict_regex", "checksum", "gazetteer", "boundary")
+LABELERS = ("shape", "checksum", "gazetteer", "cue", "neighbours")
 ROUNDS = 50
 
 
@@ -89,42 +112,63 @@ def _passing(kind: str):
     return lambda span: strict(kind, span["text"])
 
 
+def _checked(kind: str, x: Column) -> Column:
+    """Whether the parts of a span are possible: a checksum, ranges of numbers, or, of a secret, letters and digits mixed."""
+    if kind == "email":
+        return ~F.rlike(x, F.lit(r"\.\.|^[.-]|[.-]@|@[.-]|-\."))
+    if kind == "ip":
+        return strict("ip", x)
+    if kind == "card":
+        return F.call_function("luhn_check", _digits(x))
+    if kind == "phone":
+        return F.length(_digits(x)).between(8, 15)
+    if kind == "ssn":
+        return ~F.rlike(x, F.lit(r"^(?:000|666|9)|[\x20-]00[\x20-]|[\x20-]0000$"))
+    value = F.regexp_extract(x, r"[A-Za-z0-9+/_.-]*=*$", 0)
+    return F.rlike(value, F.lit("[0-9].*[0-9].*[0-9]")) & F.rlike(value, F.lit("[A-Za-z].*[A-Za-z].*[A-Za-z]"))
+
+
 def _described(text: Column, kind: str, spans: Column, base: Column | bool) -> Column:
     """Candidates with their votes and looks. A look is 'feature=value', a vote pattern a string of 0 and 1."""
-    gaze = rf"(?i)(?:{GAZETTEER[kind]})[^0-9A-Za-z]*\S{{0,12}}\s*$"
+    cue = rf"(?i)(?:{CUES[kind]})[^0-9A-Za-z]*\S{{0,12}}\s*$"
 
     def one(s: Column) -> Column:
+        x = s["text"]
         before = F.substring(text, F.greatest(s["begin"] - CONTEXT + 1, F.lit(1)), F.least(s["begin"], F.lit(CONTEXT)))
-        edge = F.concat(F.substring(text, s["begin"], F.when(s["begin"] > 0, 1).otherwise(0)), F.lit("|"), F.substring(text, s["end"] + 1, F.lit(1)))
-        digits = F.length(_digits(s["text"]))
-        valid = base(s["text"]) if callable(base) else F.lit(base)
-        check = {"card": F.call_function("luhn_check", _digits(s["text"])), "ssn": ~F.rlike(s["text"], F.lit("^(?:000|666|9)|-00-|-0000$"))}.get(kind, digits.between(8, 15) if kind == "phone" else F.lit(True))
-        cue = F.rlike(F.concat(before, F.when(F.lit(kind == "secret"), s["text"]).otherwise(F.lit(""))), F.lit(gaze if kind != "secret" else f"(?i)(?:{GAZETTEER[kind]})"))
-        clear = ~F.rlike(edge, F.lit(r"^[0-9A-Za-z_]|\|[0-9A-Za-z_]$"))
-        votes = F.concat(*[F.when(F.coalesce(v, F.lit(False)), "1").otherwise("0") for v in (valid, check, cue, clear)])
+        after = F.substring(text, s["end"] + 1, F.lit(CONTEXT))
+        glued = F.rlike(before, F.lit("[0-9A-Za-z_]$")) | F.rlike(after, F.lit("^[0-9A-Za-z_]"))
+        digits = F.length(_digits(x))
+        valid = F.coalesce(base(x), F.lit(False)) if callable(base) else F.lit(base)
+        cued = F.rlike(x, F.lit(f"(?i)^(?:{CUES[kind]})")) if kind == "secret" else F.rlike(before, F.lit(cue))
+        alone = ~F.rlike(before, F.lit(r"[0-9]\S*\s*$")) & ~F.rlike(after, F.lit(r"^\S*\s*\S*[0-9]"))
+        ballot = (F.rlike(x, F.lit(SHAPES[kind])) & ~glued, _checked(kind, x), F.rlike(x, F.lit(GAZETTEER[kind])), cued, alone)
+        votes = F.concat(*[F.when(F.coalesce(v, F.lit(False)), "1").otherwise("0") for v in ballot])
         looks = F.array(
-            F.concat(F.lit("length="), F.least(F.floor(F.log2(F.length(s["text"]).cast("double") + 1)), F.lit(8)).cast("string")),
-            F.concat(F.lit("digits="), F.floor(digits * 4 / F.length(s["text"])).cast("string")),
-            F.concat(F.lit("cue="), F.substring(votes, 3, 1)),
-            F.concat(F.lit("edge="), F.substring(votes, 4, 1)),
-            F.concat(F.lit("check="), F.substring(votes, 2, 1)),
-            F.concat(F.lit("marks="), F.least(F.length(F.regexp_replace(s["text"], "[0-9A-Za-z]", "")), F.lit(6)).cast("string")),
+            F.concat(F.lit("length="), F.least(F.floor(F.log2(F.length(x).cast("double") + 1)), F.lit(8)).cast("string")),
+            F.concat(F.lit("digits="), F.floor(digits * 4 / F.length(x)).cast("string")),
+            F.concat(F.lit("marks="), F.least(F.length(F.regexp_replace(x, "[0-9A-Za-z]", "")), F.lit(6)).cast("string")),
+            F.concat(F.lit("glued="), F.when(glued, "1").otherwise("0")),
+            *[F.concat(F.lit(f"{name}="), F.substring(votes, i + 1, 1)) for i, name in enumerate(LABELERS) if i],
         )
-        return F.struct(F.lit(kind).alias("kind"), s["begin"].alias("begin"), s["end"].alias("end"), F.coalesce(valid, F.lit(False)).alias("base"), votes.alias("votes"), looks.alias("looks"))
+        return F.struct(F.lit(kind).alias("kind"), s["begin"].alias("begin"), s["end"].alias("end"), valid.alias("base"), votes.alias("votes"), looks.alias("looks"))
 
     return F.transform(spans, one)
 
 
+_CANDIDATES = "array<struct<kind:string,begin:int,end:int,base:boolean,votes:string,looks:array<string>>>"
+
+
 def candidates(text: Column) -> Column:
-    """All candidates of a text: base spans, base matches that failed (cards only), and loose matches."""
-    found = []
-    for kind in BASE_KINDS:
-        spans = matches(text, BASE[kind], NEEDS[kind])
-        wanted = F.filter(spans, lambda s: F.length(_digits(s["text"])).between(13, 19)) if kind == "card" else F.filter(spans, _passing(kind))
-        found.append(_described(text, kind, wanted, lambda x, k=kind: strict(k, x)))
-    for kind, pattern in LOOSE.items():
-        found.append(_described(text, kind, matches(text, pattern, LOOSE_NEEDS[kind]), False))
-    return F.concat(*found)
+    """All candidates of a text: matches of the base patterns, also those that fail (cards: of 13 digits or more), and loose matches."""
+    digits, others = [], []
+    for kind, patterns, needs in [*((k, BASE, NEEDS) for k in BASE_KINDS), *((k, LOOSE, LOOSE_NEEDS) for k in LOOSE)]:
+        spans = matches(text, patterns[kind], needs[kind])
+        if patterns is BASE and kind == "card":
+            spans = F.filter(spans, lambda s: F.length(_digits(s["text"])).between(13, 19))
+        base = (lambda x, k=kind: strict(k, x)) if patterns is BASE else False
+        (digits if kind in DIGITS else others).append(_described(text, kind, spans, base))
+    with_digits = F.when(F.rlike(text, F.lit("[0-9]")), F.concat(*digits)).otherwise(F.array().cast(_CANDIDATES))
+    return F.concat(with_digits, *others)
 
 
 @dataclass
@@ -135,13 +179,13 @@ class Model:
     weights: dict[str, float]
 
 
-def train(docs: DataFrame, text: str = "text") -> Model:
-    """Expectation-maximisation, then the classifier, over counts of candidates.
+def train(found: DataFrame, column: str) -> Model:
+    """Expectation-maximisation, then the classifier, over counts of the candidates in an array column.
 
     Counting is Spark's; what comes to the driver is one row per kind, vote pattern and look (a few thousand at most,
     whatever the corpus).
     """
-    rows = docs.select(F.explode(candidates(F.coalesce(F.col(text), F.lit("")))).alias("c"))
+    rows = found.select(F.explode(column).alias("c"))
     counted = rows.groupBy("c.kind", "c.votes", "c.looks").count().collect()
     reliability, weights = {}, {}
     for kind in KINDS:
@@ -193,23 +237,28 @@ def _look_weights(kind: str, rows: list[tuple[float, tuple[str, ...], int]]) ->
 _FOUND = "array<struct<kind:string,begin:int,end:int,base:boolean>>"
 
 
-def find_personal_data(docs: DataFrame, model: Model | None = None, *, text: str = "text", out: str = "personal") -> DataFrame:
-    """docs with the array `out` of spans: kind, begin, end (code points, end exclusive), base.
+def find_personal_data(docs: DataFrame, model: Model | None = None, *, text: str = "text", out: str = "personal", carry: list[str] | None = None) -> DataFrame:
+    """docs (or its columns `carry`) with the array `out` of spans: kind, begin, end (code points, end exclusive), base.
 
-    Spans are listed by kind, then begin.  Further spans are those whose looks the classifier holds to be
-    likelier true than not and that touch no base span and no earlier span of their kind.  A null text is
-    empty and has none.  The model is trained on docs where none is given.  Rows are looked at one by one;
-    a column called `out` is replaced, others are kept.
+    Spans are listed by kind, then begin; spans of different kinds may overlap.  Further spans are those whose looks the
+    classifier holds to be likelier true than not (ties are not) and that touch no base span; numbers must pass their
+    checksum or range, too.  A null or empty text has none.  Texts are read whole, in time linear in their length.  Rows are looked at one by one, so repeated rows have equal spans, and an empty table stays
+    empty.  Where no model is given, candidates are written once, and the model is trained on all of them.  A column
+    called `out` is replaced, others are kept.
     """
-    model = model or train(docs, text)
     whole = F.coalesce(F.col(text), F.lit(""))
+    columns = [c for c in (docs.columns if carry is None else carry) if c != out]
+    every = docs.select(*columns, candidates(whole).alias(out))
+    if model is None:
+        every = Workspace(docs.sparkSession).save(every, "candidates")
+        model = train(every, out)
     weights = F.create_map(*[F.lit(x) for k, w in sorted(model.weights.items()) for x in (k, float(w))]) if model.weights else F.create_map().cast("map<string,double>")
     score = lambda c: F.aggregate(c["looks"], F.coalesce(F.try_element_at(weights, c["kind"]), F.lit(-1.0)), lambda s, look: s + F.coalesce(F.try_element_at(weights, F.concat_ws("|", c["kind"], look)), F.lit(0.0)))
     order = F.create_map(*[F.lit(x) for i, k in enumerate(KINDS) for x in (k, i)])
-    every = docs.withColumn(out, candidates(whole))
     base = F.filter(F.col(out), lambda c: c["base"])
     free = lambda c, others: ~F.exists(others, lambda b: (b["begin"] < c["end"]) & (c["begin"] < b["end"]))
-    more = F.filter(F.col(out), lambda c: ~c["base"] & (score(c) > 0) & free(c, F.filter(F.col(out), lambda b: b["base"])))
+    sound = lambda c: ~c["kind"].isin(*DIGITS) | (F.substring(c["votes"], 2, 1) == "1")
+    more = F.filter(F.col(out), lambda c: ~c["base"] & sound(c) & (score(c) > 0) & free(c, F.filter(F.col(out), lambda b: b["base"])))
     plain = lambda c: F.struct(order[c["kind"]].alias("place"), c["begin"].alias("begin"), c["end"].alias("end"), c["kind"].alias("kind"), c["base"].alias("base"))
     listed = F.array_sort(F.transform(F.concat(base, more), plain))
     named = F.transform(listed, lambda c: F.struct(c["kind"].alias("kind"), c["begin"].alias("begin"), c["end"].alias("end"), c["base"].alias("base")))

@@ -23,7 +23,7 @@ def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: base spans as counts and digest, and all spans."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return span_digests(pii.find_personal_data(docs))
+    return span_digests(pii.find_personal_data(docs, carry=["doc_id"]))
 
 
 def span_digests(found: DataFrame) -> DataFrame:
