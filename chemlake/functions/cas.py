@@ -19,18 +19,23 @@ YEAR_FIRST = r"^(\d{2,7})-(\d{2})-(\d{2})(?:\s+\d{2}:\d{2}:\d{2})?$"
 SLASHED = r"^(\d{1,2})/(\d{1,2})/(\d{2,7})(?:\s+\d{2}:\d{2}:\d{2})?$"
 # Digits next to each digit on the number row or the number pad.
 NEIGHBOURS = {
-    d: "".join(sorted(set(row) | set(pad)))
-    for d, row, pad in (
-        ("0", "19", "2"), ("1", "02", "42"), ("2", "13", "1350"), ("3", "24", "26"), ("4", "35", "751"),
-        ("5", "46", "8462"), ("6", "57", "953"), ("7", "68", "84"), ("8", "79", "795"), ("9", "08", "86"),
-    )
-}
+    "0": "29",
+    "1": "24",
+    "2": "0135",
+    "3": "246",
+    "4": "1357",
+    "5": "2468",
+    "6": "3579",
+    "7": "468",
+    "8": "579",
+    "9": "068",
+}
 
 
 def weighted_sum(digits: Column) -> Column:
     """Digits from the right, times 1, 2, 3 and so on, summed."""
-    reversed_digits = F.filter(F.split(F.reverse(digits), ""), lambda d: d != "")
-    return F.aggregate(F.transform(reversed_digits, lambda d, i: F.try_to_number(d, F.lit("9")).cast("int") * (i + 1)), F.lit(0), lambda a, b: a + b)
+    each = F.filter(F.split(F.reverse(digits), ""), lambda d: d != "")
+    return F.aggregate(F.transform(each, lambda d, i: (F.ascii(d) - 48) * (i + 1)), F.lit(0), lambda a, b: a + b)
 
 
 def check_digit(body: Column) -> Column:
@@ -40,7 +45,7 @@ def check_digit(body: Column) -> Column:
 
 def checksum_holds(cas: Column) -> Column:
     digits = F.regexp_replace(cas, "[^0-9]", "")
-    return check_digit(F.substring(digits, F.lit(1), F.length(digits) - 1)) == F.try_to_number(F.right(digits, F.lit(1)), F.lit("9")).cast("int")
+    return check_digit(F.substring(digits, F.lit(1), F.length(digits) - 1)) == F.ascii(F.right(digits, F.lit(1))) - 48
 
 
 def valid(c: Column) -> Column:

@@ -58,13 +58,15 @@ def _folded(ascii_only: bool):
 
 
 def without_accents(c: Column) -> Column:
-    """Decomposed text without combining marks; other letters stay. Only texts beyond ASCII reach Python."""
-    return F.when(F.rlike(c, F.lit(r"[^\x00-\x7F]")), _folded(False)(c)).otherwise(c)
+    """Decomposed text without combining marks; other letters stay. ASCII texts go to Python as nulls."""
+    beyond = F.rlike(c, F.lit(r"[^\x00-\x7F]"))
+    return F.when(beyond, _folded(False)(F.when(beyond, c))).otherwise(c)
 
 
 def to_ascii(c: Column) -> Column:
     """Decomposed text without anything beyond ASCII."""
-    return F.when(F.rlike(c, F.lit(r"[^\x00-\x7F]")), _folded(True)(c)).otherwise(c)
+    beyond = F.rlike(c, F.lit(r"[^\x00-\x7F]"))
+    return F.when(beyond, _folded(True)(F.when(beyond, c))).otherwise(c)
 
 
 def property_name(c: Column) -> Column:

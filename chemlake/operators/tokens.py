@@ -33,15 +33,18 @@ def evidence(tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
 _NONE = "array<struct<cas:string,via:string>>"
 
 
-def _candidates(t: Column) -> tuple[Column, Column]:
-    """(kind of edit, candidates with the edit that gave each): the first kind that has any."""
+def _with_candidates(rows: DataFrame) -> DataFrame:
+    """rows (token and so on) with kind and found: the first kind of edit that gives valid numbers, and these, with the edit
+    that gave each. Each kind is looked at in a projection of its own, and only where the ones before gave nothing."""
+    t, none = F.col("token"), F.array().cast(_NONE)
     plain = lambda xs: F.transform(F.filter(xs, cas.valid), lambda v: F.struct(v.alias("cas"), v.alias("via")))
-    none = F.array().cast(_NONE)
-    dates = F.when(cas.date_like(t), cas.date_edits(t)).otherwise(none)
-    swapped = plain(cas.swaps(t))
-    near = F.when(F.rlike(t, F.lit(cas.SHAPE)), plain(cas.neighbour_digits(t))).otherwise(none)
-    kind = F.when(F.size(dates) > 0, "date").when(F.size(swapped) > 0, "swap").when(F.size(near) > 0, "near")
-    return kind, F.when(F.size(dates) > 0, dates).when(F.size(swapped) > 0, swapped).otherwise(near)
+    steps = (("date", cas.date_like(t), cas.date_edits(t)), ("swap", F.rlike(t, F.lit("[0-9]-")), plain(cas.swaps(t))), ("near", F.rlike(t, F.lit(cas.SHAPE)), plain(cas.neighbour_digits(t))))
+    out = rows.withColumns({"kind": F.lit(None).cast("string"), "found": none})
+    for kind, fits, edits in steps:
+        out = out.withColumn("_more", F.when(F.col("kind").isNull() & fits, edits).otherwise(none))
+        hit = F.size("_more") > 0
+        out = out.withColumns({"kind": F.when(hit, kind).otherwise(F.col("kind")), "found": F.when(hit, F.col("_more")).otherwise(F.col("found"))}).drop("_more")
+    return out
 
 
 def repair(tokens: DataFrame) -> DataFrame:
@@ -57,16 +60,16 @@ def repair(tokens: DataFrame) -> DataFrame:
     keyed = tokens.withColumns({"code_key": F.coalesce(F.trim("code"), F.lit("")), "name_key": designation_key(F.col("name"))})
     each = keyed.select("token", "code_key", "name_key").distinct()
     hidden = cas.from_date(t)
-    sure = each.withColumn("sure", F.when(cas.valid(t), F.struct(t.alias("fixed"), F.lit("valid").alias("status"))).when(hidden.isNotNull(), F.struct(hidden.alias("fixed"), F.format_string("valid (fixed from: %s)", t).alias("status"))))
-    known, open_ = sure.where("sure IS NOT NULL").select("token", "code_key", "name_key", "sure.*"), sure.where("sure IS NULL").drop("sure")
+    sure = each.withColumn("fixed", F.when(cas.valid(t), t).otherwise(hidden))
+    known = sure.where("fixed IS NOT NULL").select("token", "code_key", "name_key", "fixed", F.when(F.col("fixed") == t, "valid").otherwise(F.format_string("valid (fixed from: %s)", t)).alias("status"))
+    open_ = sure.where("fixed IS NULL")
 
-    kind, found = _candidates(t)
-    asked = open_.select("token", "code_key", "name_key", kind.alias("kind"), found.alias("found"))
-    spread = asked.where("kind IS NOT NULL").select("token", "code_key", "name_key", "kind", F.posexplode("found").alias("place", "c")).select("*", "c.cas", "c.via")
+    asked = _with_candidates(open_.select("token", "code_key", "name_key"))
+    spread = asked.select("token", "code_key", "name_key", "kind", F.posexplode_outer("found").alias("place", "c")).select("token", "code_key", "name_key", "kind", "place", "c.cas", "c.via")
     code_hit = by_code.select(F.col("code").alias("code_key"), "cas", F.lit(2).alias("two"))
     name_hit = by_name.select(F.col("designation").alias("name_key"), "cas", F.lit(1).alias("one"))
     scored = spread.join(code_hit, ["code_key", "cas"], "left").join(name_hit, ["name_key", "cas"], "left").withColumn("score", F.coalesce("two", F.lit(0)) + F.coalesce("one", F.lit(0)))
-    # an edit gives a few dozen candidates at most
+    # an edit gives a few dozen candidates at most; a token without any has one row, without number
     ranked = scored.groupBy("token", "code_key", "name_key", "kind").agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("rank"), "place", "cas", "via"))).alias("r"))
     first, second = F.get("r", F.lit(0)), F.get("r", F.lit(1))
     clear = (first["rank"] < 0) & (second["rank"].isNull() | (second["rank"] > first["rank"]))
@@ -74,18 +77,14 @@ def repair(tokens: DataFrame) -> DataFrame:
     label = F.when(F.col("kind") == "date", F.format_string("valid (fixed via date-edit from: %s; via: %s)", t, first["via"])).when(F.col("kind") == "swap", F.format_string("valid (fixed swap from: %s)", t)).otherwise(F.format_string("valid (fixed adjacent-key from: %s)", t))
     in_order = F.array_sort(F.transform("r", lambda x: F.struct(x["place"].alias("place"), x["cas"].alias("cas"), x["via"].alias("via"))))
     said = F.when(F.col("kind") == "date", F.transform(F.slice(in_order, 1, 5), lambda x: F.format_string("%s (via %s)", x["cas"], x["via"]))).otherwise(F.transform(F.slice("r", 1, 5), lambda x: x["cas"]))
-    chosen = ranked.select(
+    dashed, checked, none = cas.from_digits(F.regexp_replace(t, "[^0-9]", "")), cas.with_check_digit(t), F.col("kind").isNull()
+    chosen = ranked.withColumns({"dashed": F.when(none, dashed), "checked": F.when(none, checked)}).select(
         "token", "code_key", "name_key",
-        F.when(clear | alone, first["cas"]).otherwise(t).alias("fixed"),
-        F.when(clear | alone, label).otherwise(F.format_string("invalid (original: %s; suggestions: %s)", t, F.array_join(said, " | "))).alias("status"),
+        F.when(none, F.coalesce("dashed", "checked", t)).when(clear | alone, first["cas"]).otherwise(t).alias("fixed"),
+        F.when(F.col("dashed").isNotNull(), F.format_string("valid (fixed rehyphenated from: %s)", t)).when(F.col("checked").isNotNull(), F.format_string("valid (fixed checkdigit from: %s)", t))
+        .when(none, F.format_string("invalid (original: %s)", t)).when(clear | alone, label).otherwise(F.format_string("invalid (original: %s; suggestions: %s)", t, F.array_join(said, " | "))).alias("status"),
     )
-
-    dashed, checked = cas.from_digits(F.regexp_replace(t, "[^0-9]", "")), cas.with_check_digit(t)
-    rest = asked.where("kind IS NULL").select(
-        "token", "code_key", "name_key", F.coalesce(dashed, checked, t).alias("fixed"),
-        F.when(dashed.isNotNull(), F.format_string("valid (fixed rehyphenated from: %s)", t)).when(checked.isNotNull(), F.format_string("valid (fixed checkdigit from: %s)", t)).otherwise(F.format_string("invalid (original: %s)", t)).alias("status"),
-    )
-    decided = known.union(chosen).union(rest)
+    decided = known.union(chosen)
     return keyed.join(decided, ["token", "code_key", "name_key"]).select("row", "code", "name", "pos", "token", "fixed", "status")
 
 

@@ -28,7 +28,8 @@ def inchikey(key: str) -> str:
 _PART = f"""(SELECT p_partkey, CAST(p_brand AS STRING) AS p_brand, CAST(p_name AS STRING) AS p_name, CAST(p_partkey + 50 AS STRING) AS head, {number("p_partkey")} AS num, {number("(p_partkey + 1)")} AS nxt FROM {{part}})"""
 _SPOILT = f"""(SELECT p_partkey, p_brand, p_name, nxt, CASE p_partkey % 7 WHEN 0 THEN num WHEN 1 THEN substr(head, 2, 1) || substr(head, 1, 1) || substr(num, 3)
     WHEN 2 THEN substr(num, 1, length(num) - 2) WHEN 3 THEN replace(num, '-', '') WHEN 4 THEN substr(num, 1, length(num) - 1) || '0' || substr(num, length(num))
-    WHEN 5 THEN '0-00-0' ELSE p_brand END AS dirty FROM {_PART} q)"""
+    WHEN 5 THEN '0-00-0' ELSE CASE p_partkey % 3 WHEN 0 THEN substr(head, 2, 1) || substr(head, 1, 1) || substr(num, 3, length(num) - 3) || '0' || substr(num, length(num))
+    WHEN 1 THEN translate(substr(num, 1, 1), '123456789', '456789876') || substr(num, 2) ELSE p_brand END END AS dirty FROM {_PART} q)"""
 
 #: Customer cells: row, cas, code, name.
 CELLS = f"""SELECT p_partkey AS row, CASE p_partkey % 3 WHEN 0 THEN dirty WHEN 1 THEN dirty || ' / ' || nxt ELSE dirty || ';0-00-0' END AS cas, p_brand AS code, p_name AS name FROM {_SPOILT} r"""

@@ -66,6 +66,47 @@ SELECT r.key, coalesce(string_agg(DISTINCT x, ',' ORDER BY x), '') AS swapped FR
 
 O["cas_evidence"] = f"""WITH {_TOKENS}, known AS (SELECT trim(code) AS code, CASE WHEN {_valid('token')} THEN token ELSE (SELECT {_FROM_DATE} FROM (SELECT token AS t)) END AS cas FROM toks) SELECT DISTINCT code, cas FROM known WHERE cas IS NOT NULL AND code <> ''"""
 
+# The repair ladder: distinct tokens of a code and designation, edits of those that are neither valid nor a hidden number.
+_NEXT = "(VALUES ('0', '29'), ('1', '24'), ('2', '0135'), ('3', '246'), ('4', '1357'), ('5', '2468'), ('6', '3579'), ('7', '468'), ('8', '579'), ('9', '068')) n(digit, near)"
+_REPAIR = rf"""{_TOKENS},
+keyed AS (SELECT *, token AS t, coalesce(trim(code), '') AS ck, upper(trim(regexp_replace(name, '\s+', ' ', 'g'))) AS nk FROM toks),
+looked AS (SELECT DISTINCT t, ck, nk, CASE WHEN {_valid('t')} THEN t END AS ok, {_FROM_DATE} AS hid FROM keyed),
+known AS (SELECT DISTINCT ck, nk, coalesce(ok, hid) AS cas FROM looked WHERE coalesce(ok, hid) IS NOT NULL),
+lost AS (SELECT t, ck, nk FROM looked WHERE coalesce(ok, hid) IS NULL),
+texts AS (SELECT DISTINCT t FROM lost),
+edits AS (
+    SELECT t, i AS place, 'swap' AS how, substr(t, 1, i - 1) || substr(t, i + 1, 1) || substr(t, i, 1) || substr(t, i + 2) AS x FROM (SELECT t, unnest(range(1, length(t))) AS i FROM texts)
+    UNION ALL
+    SELECT t, 1000 + i * 10 + j, 'near', substr(t, 1, i - 1) || substr(near, j, 1) || substr(t, i + 1) FROM (SELECT t, i, near, unnest(range(1, length(near) + 1)) AS j FROM (SELECT t, unnest(range(1, length(t) + 1)) AS i FROM texts) JOIN {_NEXT} ON digit = substr(t, i, 1))
+),
+firsts AS (SELECT t, x, min(place) AS place, bool_or(how = 'swap') AS swap, bool_or(how = 'near') AS near FROM edits GROUP BY ALL),
+dated AS (SELECT o AS t, cas, min(place) AS place, arg_min(t, place) AS via FROM (SELECT t AS o, place, x AS t, {_FROM_DATE.replace(' t,', ' x,').replace('(t,', '(x,')} AS cas FROM firsts WHERE regexp_full_match(t, '{_DATE_SHAPE}') OR regexp_full_match(t, '\d{{1,2}}/\d{{1,2}}/\d{{2,7}}')) WHERE cas IS NOT NULL GROUP BY o, cas),
+swapped AS (SELECT t, x AS cas, place, x AS via FROM firsts WHERE swap AND {_valid('x')}),
+neared AS (SELECT t, x AS cas, place, x AS via FROM firsts WHERE near AND regexp_full_match(t, '\d{{1,7}}-\d{{2}}-\d') AND {_valid('x')}),
+found AS (SELECT *, 'date' AS kind FROM dated UNION ALL SELECT *, 'swap' FROM swapped WHERE t NOT IN (SELECT t FROM dated) UNION ALL SELECT *, 'near' FROM neared WHERE t NOT IN (SELECT t FROM dated UNION SELECT t FROM swapped)),
+scored AS (SELECT l.t, l.ck, l.nk, f.kind, f.place, f.cas, f.via,
+    CASE WHEN l.ck <> '' AND EXISTS (SELECT 1 FROM known k WHERE k.ck = l.ck AND k.cas = f.cas) THEN 2 ELSE 0 END + CASE WHEN l.nk <> '' AND EXISTS (SELECT 1 FROM known k WHERE k.nk = l.nk AND k.cas = f.cas) THEN 1 ELSE 0 END AS score FROM lost l JOIN found f ON f.t = l.t),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY t, ck, nk ORDER BY score DESC, place) AS k, row_number() OVER (PARTITION BY t, ck, nk ORDER BY place) AS p FROM scored),
+judged AS (SELECT t, ck, nk, any_value(kind) AS kind, count(*) AS n, max(cas) FILTER (k = 1) AS cas, max(via) FILTER (k = 1) AS via, max(score) FILTER (k = 1) AS best, max(score) FILTER (k = 2) AS next,
+    string_agg(cas, ' | ' ORDER BY k) FILTER (k <= 5) AS byrank, string_agg(cas || ' (via ' || via || ')', ' | ' ORDER BY p) FILTER (p <= 5) AS byplace FROM ranked GROUP BY t, ck, nk),
+taken AS (SELECT *, (best > 0 AND coalesce(next < best, true)) OR (kind = 'swap' AND n = 1) AS sure FROM judged),
+ends AS (SELECT t, ck, nk, CASE WHEN regexp_full_match(d, '\d{{5,10}}') AND {_valid(_cut('d'))} THEN {_cut('d')} END AS dashed, CASE WHEN regexp_full_match(t, '\d{{2,7}}-\d{{2}}') AND {_valid(_TC)} THEN {_TC} END AS checked FROM (SELECT *, {_digits('t')} AS d FROM lost)),
+decided AS (
+    SELECT t, ck, nk, coalesce(ok, hid) AS fixed, CASE WHEN ok IS NOT NULL THEN 'valid' ELSE 'valid (fixed from: ' || t || ')' END AS status FROM looked WHERE coalesce(ok, hid) IS NOT NULL
+    UNION ALL
+    SELECT t, ck, nk, CASE WHEN sure THEN cas ELSE t END, CASE WHEN NOT sure THEN 'invalid (original: ' || t || '; suggestions: ' || CASE kind WHEN 'date' THEN byplace ELSE byrank END || ')'
+        WHEN kind = 'date' THEN 'valid (fixed via date-edit from: ' || t || '; via: ' || via || ')' WHEN kind = 'swap' THEN 'valid (fixed swap from: ' || t || ')' ELSE 'valid (fixed adjacent-key from: ' || t || ')' END FROM taken
+    UNION ALL
+    SELECT t, ck, nk, coalesce(dashed, checked, t), CASE WHEN dashed IS NOT NULL THEN 'valid (fixed rehyphenated from: ' || t || ')' WHEN checked IS NOT NULL THEN 'valid (fixed checkdigit from: ' || t || ')' ELSE 'invalid (original: ' || t || ')' END
+    FROM ends e WHERE NOT EXISTS (SELECT 1 FROM taken x WHERE x.t = e.t AND x.ck = e.ck AND x.nk = e.nk)
+),
+repaired AS (SELECT k.row, k.code, k.name, k.pos::INTEGER AS pos, k.token, d.fixed, d.status FROM keyed k JOIN decided d ON d.t = k.t AND d.ck = k.ck AND d.nk = k.nk)"""
+O["cas_repair"] = f"WITH {_REPAIR} SELECT * FROM repaired"
+O["cas_fixed_cells"] = f"""WITH {_REPAIR} SELECT c.row, coalesce(string_agg(CASE WHEN {_valid('r.fixed')} THEN r.fixed ELSE r.token || ' (invalid)' END, ' / ' ORDER BY r.pos), '') AS fixed_cas FROM cells c LEFT JOIN repaired r ON r.row = c.row GROUP BY c.row"""
+O["cas_first_tokens"] = f"""WITH {_REPAIR} SELECT c.row, c.code, c.name, coalesce(r.fixed, '') AS cas, coalesce(r.status, 'invalid (original: )') AS status
+    FROM cells c LEFT JOIN (SELECT row, arg_min(fixed, pos) AS fixed, arg_min(status, pos) AS status FROM repaired GROUP BY row) r ON r.row = c.row"""
+O["cas_exploded_table"] = f"WITH {_REPAIR} SELECT DISTINCT 'c1' AS customer_id, '2024-06-01T00:00:00Z' AS timestamp_seen_utc, code, name, fixed AS cas, status AS cas_validity FROM repaired"
+
 _BLOCK = "TRY_CAST(split_part(cas, '-', 1) AS BIGINT)"
 _CAS_KIND = "CASE " + " ".join(f"WHEN b >= {low}" + (f" AND b <= {high}" if high else "") + f" THEN '{label}'" for low, high, label in BLOCKS) + " END"
 _NAME_KIND = "CASE " + " ".join(f"WHEN regexp_matches(lower(name), '{parts}') THEN '{label}'" for label, parts in NAME_PARTS.items()) + " END"

@@ -54,7 +54,14 @@ def test_dates_and_edits(spark):
     assert one(spark, cas.with_check_digit, ["64-17", "1392276-61", "6-17"]) == ["64-17-5", next(f"1392276-61-{d}" for d in range(10) if model_valid(f"1392276-61-{d}")), None]
     assert one(spark, cas.from_digits, ["64175", "1234", "64-17-5"]) == ["64-17-5", None, None]
     assert one(spark, cas.swaps, ["ab", "aab", "a", ""]) == [["ba"], ["aab", "aba"], [], []]
-    assert one(spark, cas.neighbour_digits, ["1-"]) == [["0-", "2-", "4-"]]
+    assert one(spark, cas.neighbour_digits, ["1-"]) == [["2-", "4-"]]
+
+
+def test_neighbours_of_all_ten_digits(spark):
+    # left and right on the number row 1234567890, and next to each other on the pad 789 / 456 / 123 / 0
+    row, pad = "1234567890", {"7": (0, 0), "8": (0, 1), "9": (0, 2), "4": (1, 0), "5": (1, 1), "6": (1, 2), "1": (2, 0), "2": (2, 1), "3": (2, 2), "0": (3, 1)}
+    near = lambda a, b: abs(row.index(a) - row.index(b)) == 1 or abs(pad[a][0] - pad[b][0]) + abs(pad[a][1] - pad[b][1]) == 1
+    assert one(spark, cas.neighbour_digits, list("0123456789")) == [[b for b in "0123456789" if near(a, b)] for a in "0123456789"]
 
 
 def repaired(spark, rows):

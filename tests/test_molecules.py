@@ -57,13 +57,14 @@ def test_weights_and_schema(features):
     assert set(features["NOT_A_SMILES"]) == set(features["CCO"]) and features["NOT_A_SMILES"]["HighImpactSummary"] == "T1:0; T2:0"
 
 
-@pytest.mark.parametrize("bad", ["", "C(", "C1CC", "C)", "[C", "C=", "Xx", None])
+@pytest.mark.parametrize("bad", ["", "C(", "C1CC", "C)", "[C", "C=", "Xx", None, "cccc", "CN(C)(C)(C)C"])
 def test_no_molecules(bad):
     assert molecule_of(bad) is None
 
 
 def test_cleaning(spark):
-    rows = [("CCO.[Na]", "CCO"), (" CC ", "CC"), ("[Na].Cl", "[Na]"), ("C.CC", "CC"), ("", None), (None, None)]
+    rows = [("CCO.[Na]", "CCO"), (" CC ", "CC"), ("[Na].Cl", "[Na]"), ("C.CC", "CC"), ("", ""), (None, ""), ("&nbsp;", ""), ("NBSP", ""), ("C=C\t\n", "C=C"), ("C\nC", "CC"), ("C&lt;C", "C<C"), ("CC&#46;O", "CC"), ("[Cl-].[Na+].CCO", "CCO")]
+    rows += [("CCO.CCOC", "CCOC"), ("CCO.NOT_A_SMILES", "CCO"), ("not_smiles.bad", "not_smiles"), ("OS(=O)(=O)O.[Cu]", "OS(=O)(=O)O"), ("..", "")]
     out = spark.createDataFrame(rows, "raw string, want string").select(clean_smiles(F.col("raw")).alias("got"), "want").collect()
     assert [r.got for r in out] == [r.want for r in out]
 
