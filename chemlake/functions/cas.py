@@ -32,26 +32,27 @@ NEIGHBOURS = {
 }
 
 
-def weighted_sum(digits: Column) -> Column:
-    """Digits from the right, times 1, 2, 3 and so on, summed."""
+def _weighted(digits: Column, first: int) -> Column:
+    """Digits from the right, times first, first + 1 and so on, summed."""
     each = F.filter(F.split(F.reverse(digits), ""), lambda d: d != "")
-    return F.aggregate(F.transform(each, lambda d, i: (F.ascii(d) - 48) * (i + 1)), F.lit(0), lambda a, b: a + b)
+    return F.aggregate(F.transform(each, lambda d, i: (F.ascii(d) - 48) * (i + first)), F.lit(0), lambda a, b: a + b)
 
 
 def check_digit(body: Column) -> Column:
     """The check digit that the other digits ask for."""
-    return F.pmod(weighted_sum(body), F.lit(10))
+    return F.pmod(_weighted(body, 1), F.lit(10))
 
 
 def checksum_holds(cas: Column) -> Column:
+    """The last digit, which itself counts nothing, is what the others ask for."""
     digits = F.regexp_replace(cas, "[^0-9]", "")
-    return check_digit(F.substring(digits, F.lit(1), F.length(digits) - 1)) == F.ascii(F.right(digits, F.lit(1))) - 48
+    return F.pmod(_weighted(digits, 0), F.lit(10)) == F.ascii(F.right(digits, F.lit(1))) - 48
 
 
 def valid(c: Column) -> Column:
     """Cleaner's dialect: 1-7, 2 and 1 digits, not all zero, and the checksum."""
     t = F.trim(c)
-    return F.coalesce(F.rlike(t, F.lit(SHAPE)) & F.rlike(t, F.lit("[1-9]")) & checksum_holds(t), F.lit(False))
+    return F.coalesce(F.rlike(t, F.lit(SHAPE)) & (F.translate(t, "0-", "") != "") & checksum_holds(t), F.lit(False))
 
 
 def all_zero(c: Column) -> Column:
@@ -83,15 +84,13 @@ def from_date(c: Column) -> Column:
     """
     t = squeeze(c)
     part = lambda pattern, k: F.regexp_extract(t, pattern, k)
-    first = F.concat_ws("-", part(YEAR_FIRST, 1), part(YEAR_FIRST, 2), F.right(part(YEAR_FIRST, 3), F.lit(1)))
-    first = F.when(F.rlike(t, F.lit(YEAR_FIRST)) & F.rlike(part(YEAR_FIRST, 3), F.lit("^0[1-9]$")) & valid(first), first)
-
-    def slashed(month: Column, day: Column) -> Column:
-        number = F.concat_ws("-", part(SLASHED, 3), F.lpad(month, 2, "0"), F.right(day, F.lit(1)))
-        return F.when(F.rlike(t, F.lit(SLASHED)) & F.rlike(month, F.lit("^(0?[1-9]|1[0-2])$")) & F.rlike(day, F.lit("^0?[1-9]$")) & valid(number), number)
-
     a, b = part(SLASHED, 1), part(SLASHED, 2)
-    return F.coalesce(first, slashed(a, b), slashed(b, a))
+    is_month, is_day = F.lit("^(0?[1-9]|1[0-2])$"), F.lit("^0?[1-9]$")
+    slashed = lambda month, day: F.when(F.rlike(month, is_month) & F.rlike(day, is_day), F.concat_ws("-", part(SLASHED, 3), F.lpad(month, 2, "0"), F.right(day, F.lit(1))))
+    hyphened = F.when(F.rlike(part(YEAR_FIRST, 3), F.lit("^0[1-9]$")), F.concat_ws("-", part(YEAR_FIRST, 1), part(YEAR_FIRST, 2), F.right(part(YEAR_FIRST, 3), F.lit(1))))
+    # a text has one of the two shapes at most
+    one, two = F.coalesce(hyphened, slashed(a, b)), slashed(b, a)
+    return F.when(date_like(c), F.when(valid(one), one).when(valid(two), two))
 
 
 def from_digits(digits: Column) -> Column:
@@ -123,14 +122,6 @@ def neighbour_digits(c: Column) -> Column:
     return F.when(F.length(t) > 0, F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.length(t)), at)))).otherwise(none)
 
 
-def date_edits(c: Column) -> Column:
-    """array<struct<cas, via>>: one edit of a date that then gives a valid number, the first of each number."""
-    t = squeeze(c)
-    hits = F.filter(F.transform(F.array_distinct(F.concat(swaps(t), neighbour_digits(t))), lambda v: F.struct(from_date(v).alias("cas"), v.alias("via"))), lambda h: h["cas"].isNotNull())
-    numbers = F.transform(hits, lambda h: h["cas"])
-    return F.filter(hits, lambda h, i: F.array_position(numbers, h["cas"]) == i + 1)
-
-
 def _head(c: Column) -> Column:
     """Digits without leading zeros; all zeros are 0."""
     return F.regexp_replace(c, "^0+(?=.)", "")

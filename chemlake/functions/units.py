@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # What a unit is worth, by its normal spelling.
@@ -25,26 +25,30 @@ def as_number(c: Column) -> Column:
     return F.when(F.rlike(t, F.lit(f"^{NUMBER}$")), t.try_cast("double"))
 
 
-def safe_log10(c: Column) -> Column:
-    x = as_number(c)
+def log10_positive(x: Column) -> Column:
+    """The logarithm of a double; null unless it is positive."""
     return F.when(x > 0, F.log10(x))
 
 
-def normal_unit(u: Column) -> Column:
-    return F.translate(F.lower(u), "μµ °", "uu")
+def safe_log10(c: Column) -> Column:
+    """The same of a number in text."""
+    return log10_positive(as_number(c))
 
 
-def _once(value: Column, use) -> Column:
-    """use(value) with value computed once, however often it is used."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+def normal_unit(u: Column) -> Column:
+    return F.translate(F.lower(u), "μµ °", "uu")
 
 
-def value_unit(c: Column) -> Column:
-    """struct<value, unit> of '<number> <unit>'; both null if the text is something else."""
+def split_units(rows: DataFrame, *columns: str) -> DataFrame:
+    """rows with number and unit of texts '<number> <unit>' in <column>_number and <column>_unit; both null if the text is
+    something else. A projection of its own, so that each text is looked at once however often its parts are used."""
     shape = rf"^\s*({NUMBER})\s*([^0-9\s].*?)?\s*$"
-    t = c.cast("string")
-    parts = F.struct(F.regexp_extract(t, shape, 1).alias("number"), F.trim(F.regexp_extract(t, shape, 2)).alias("unit"))
-    return _once(parts, lambda p: F.struct(F.when(p["number"] != "", p["number"].try_cast("double")).alias("value"), F.when((p["number"] != "") & (p["unit"] != ""), p["unit"]).alias("unit")))
+    out = {}
+    for c in columns:
+        t = F.col(c).cast("string")
+        out[f"{c}_number"] = F.nullif(F.regexp_extract(t, shape, 1), F.lit("")).try_cast("double")
+        out[f"{c}_unit"] = F.nullif(F.trim(F.regexp_extract(t, shape, 2)), F.lit(""))
+    return rows.withColumns(out)
 
 
 def _worth(table: dict[str, float], unit: Column) -> Column:
@@ -55,50 +59,42 @@ def _struct(value: Column, warning: Column) -> Column:
     return F.struct(value.alias("value"), warning.alias("warning"))
 
 
-def _converted(c: Column, table: dict[str, float], what: str) -> Column:
-    def convert(parsed: Column) -> Column:
-        worth = _worth(table, normal_unit(parsed["unit"]))
-        strange = parsed["unit"].isNotNull() & worth.isNull()
-        return _struct(parsed["value"] * F.coalesce(worth, F.lit(1.0)), F.when(strange, F.concat(F.lit(f"Unit conversion: unsupported {what} unit '"), parsed["unit"], F.lit("' (kept raw numeric)"))))
-
-    return _once(value_unit(c), convert)
+def _converted(number: Column, unit: Column, table: dict[str, float], what: str) -> Column:
+    worth = _worth(table, normal_unit(unit))
+    strange = unit.isNotNull() & worth.isNull()
+    return _struct(number * F.coalesce(worth, F.lit(1.0)), F.when(strange, F.concat(F.lit(f"Unit conversion: unsupported {what} unit '"), unit, F.lit("' (kept raw numeric)"))))
 
 
-def to_pascal(c: Column) -> Column:
+def to_pascal(number: Column, unit: Column) -> Column:
     """struct<value, warning>; without a unit the number is taken to be pascal."""
-    return _converted(c, PRESSURE, "pressure")
+    return _converted(number, unit, PRESSURE, "pressure")
 
 
-def to_g_ml(c: Column) -> Column:
-    return _converted(c, DENSITY, "density")
+def to_g_ml(number: Column, unit: Column) -> Column:
+    """struct<value, warning>; without a unit the number is taken to be g/mL."""
+    return _converted(number, unit, DENSITY, "density")
 
 
-def to_celsius(c: Column) -> Column:
-    def convert(parsed: Column) -> Column:
-        v, u = parsed["value"], normal_unit(parsed["unit"])
-        value = F.when(u.isin("k", "degk"), v - 273.15).when(u.isin("f", "degf"), (v - 32.0) * 5.0 / 9.0).otherwise(v)
-        strange = u.isNotNull() & ~u.isin("c", "degc", "k", "degk", "f", "degf")
-        return _struct(value, F.when(strange, F.concat(F.lit("Unit conversion: unsupported temperature unit '"), parsed["unit"], F.lit("' (kept raw numeric)"))))
+def to_celsius(number: Column, unit: Column) -> Column:
+    """struct<value, warning>; without a unit the number is taken to be Celsius."""
+    v, u = number, normal_unit(unit)
+    value = F.when(u.isin("k", "degk"), v - 273.15).when(u.isin("f", "degf"), (v - 32.0) * 5.0 / 9.0).otherwise(v)
+    strange = u.isNotNull() & ~u.isin("c", "degc", "k", "degk", "f", "degf")
+    return _struct(value, F.when(strange, F.concat(F.lit("Unit conversion: unsupported temperature unit '"), unit, F.lit("' (kept raw numeric)"))))
 
-    return _once(value_unit(c), convert)
 
-
-def to_mg_l(c: Column, weight: Column) -> Column:
+def to_mg_l(number: Column, unit: Column, weight: Column) -> Column:
     """struct<value, warning>; molar units need the molecular weight, ppm counts as mg/L with a warning."""
-
-    def convert(parsed: Column) -> Column:
-        v, u = parsed["value"], normal_unit(parsed["unit"])
-        mass, molar = _worth(SOLUBILITY, u), _worth(MOLAR, u)
-        value = F.when(mass.isNotNull(), v * mass).when(molar.isNotNull() & weight.isNotNull(), v / molar * weight * 1000.0).otherwise(v)
-        said = (
-            F.when(u.isNull() | mass.isNotNull(), F.lit(None).cast("string"))
-            .when(u == "ppm", "Unit conversion: treated ppm as mg/L (aqueous approximation)")
-            .when(molar.isNotNull(), F.when(weight.isNull(), F.concat(F.lit("Unit conversion: solubility '"), parsed["unit"], F.lit("' requires MW (missing); kept raw numeric"))))
-            .otherwise(F.concat(F.lit("Unit conversion: unsupported solubility unit '"), parsed["unit"], F.lit("' (kept raw numeric)")))
-        )
-        return _struct(value, said)
-
-    return _once(value_unit(c), convert)
+    v, u = number, normal_unit(unit)
+    mass, molar = _worth(SOLUBILITY, u), _worth(MOLAR, u)
+    value = F.when(mass.isNotNull(), v * mass).when(molar.isNotNull() & weight.isNotNull(), v / molar * weight * 1000.0).otherwise(v)
+    said = (
+        F.when(u.isNull() | mass.isNotNull(), F.lit(None).cast("string"))
+        .when(u == "ppm", "Unit conversion: treated ppm as mg/L (aqueous approximation)")
+        .when(molar.isNotNull(), F.when(weight.isNull(), F.concat(F.lit("Unit conversion: solubility '"), unit, F.lit("' requires MW (missing); kept raw numeric"))))
+        .otherwise(F.concat(F.lit("Unit conversion: unsupported solubility unit '"), unit, F.lit("' (kept raw numeric)")))
+    )
+    return _struct(value, said)
 
 
 def strict_pascal(value: Column, unit: Column) -> Column:

@@ -71,6 +71,9 @@ def _all_or_none(df: DataFrame, prefix: str) -> tuple[list[Column], Column, Colu
     return [F.when(whole, p) for p in parts], whole, ~whole & some
 
 
+_WITH_UNITS = ("final_boiling_point_c", "final_melting_point_c", "final_vapor_pressure_pa", "final_density_g_ml", "final_water_solubility_mg_l")
+
+
 def canonical_rows(df: DataFrame) -> DataFrame:
     """Rows with a key in canonical units, with logarithms, warnings, review flag, sources and the ranks that pick winners.
 
@@ -80,9 +83,11 @@ def canonical_rows(df: DataFrame) -> DataFrame:
     g = lambda n: _get(df, n)
     weight = units.as_number(g("final_mw"))
     logp, clogp = units.as_number(g("final_logp")), units.as_number(g("final_clogp"))
-    boiling, melting = units.to_celsius(g("final_boiling_point_c")), units.to_celsius(g("final_melting_point_c"))
-    pressure, density = units.to_pascal(g("final_vapor_pressure_pa")), units.to_g_ml(g("final_density_g_ml"))
-    solubility = units.to_mg_l(g("final_water_solubility_mg_l"), weight)
+    df = units.split_units(df, *[c for c in _WITH_UNITS if c in df.columns])
+    parts = lambda n: (_get(df, f"{n}_number").cast("double"), _get(df, f"{n}_unit"))
+    boiling, melting = units.to_celsius(*parts("final_boiling_point_c")), units.to_celsius(*parts("final_melting_point_c"))
+    pressure, density = units.to_pascal(*parts("final_vapor_pressure_pa")), units.to_g_ml(*parts("final_density_g_ml"))
+    solubility = units.to_mg_l(*parts("final_water_solubility_mg_l"), weight)
     values = {"vapor_pressure_Pa_25C": pressure["value"], "density_g_mL_25C": density["value"], "water_solubility_mg_L_25C": solubility["value"]}
     flags = F.array_compact(F.array(*[F.when(values[n].isNotNull() & temperature_state(df, c).isin("missing", "not_25", "invalid"), F.concat(F.lit(f"{n}:"), temperature_state(df, c))) for n, c in AT_25]))
     henry = F.coalesce(units.as_number(g("experimental_henry_constant_mol_m3_pa")), units.as_number(g("henry_constant_mol_m3_pa")))
@@ -107,10 +112,10 @@ def canonical_rows(df: DataFrame) -> DataFrame:
     return df.where(~units.is_missing(F.col("final_inchikey"))).select(
         F.col("final_inchikey").alias("inchi_key"), g("CAS_ID").alias("cas_number"), g("final_smiles").alias("smiles"), named.alias("name_preferred"),
         weight.alias("molecular_weight_g_mol"), F.coalesce(logp, clogp).alias("logP_octanol_water"), units.as_number(g("final_tpsa")).alias("topological_polar_surface_area_A2"),
-        F.lit(None).cast("int").alias("num_heavy_atoms"), pressure["value"].alias("vapor_pressure_Pa_25C"), units.safe_log10(pressure["value"]).alias("log_vapor_pressure_Pa_25C"),
-        henry.alias("henry_constant_mol_m3_Pa_25C"), units.safe_log10(henry).alias("log_henry_constant_mol_m3_Pa_25C"), g("source_henry_constant").alias("source_henry_constant"),
+        F.lit(None).cast("int").alias("num_heavy_atoms"), pressure["value"].alias("vapor_pressure_Pa_25C"), units.log10_positive(pressure["value"]).alias("log_vapor_pressure_Pa_25C"),
+        henry.alias("henry_constant_mol_m3_Pa_25C"), units.log10_positive(henry).alias("log_henry_constant_mol_m3_Pa_25C"), g("source_henry_constant").alias("source_henry_constant"),
         boiling["value"].alias("boiling_point_C"), melting["value"].alias("melting_point_C"), solubility["value"].alias("water_solubility_mg_L_25C"),
-        units.safe_log10(solubility["value"]).alias("log_water_solubility_mg_L_25C"), density["value"].alias("density_g_mL_25C"),
+        units.log10_positive(solubility["value"]).alias("log_water_solubility_mg_L_25C"), density["value"].alias("density_g_mL_25C"),
         *triplet("experimental", measured), F.when(has_measured, g("source_hsp")).alias("source_hsp"), *triplet("computed", computed), F.when(has_computed, g("source_hsp_computed")).alias("source_hsp_computed"),
         F.lit(None).cast("string").alias("physical_state_25C"), F.lit(None).cast("boolean").alias("is_volatile"), (F.size(warnings) > 0).alias("needs_review"),
         F.get(distinct, F.lit(0)).alias("source_primary"), F.get(distinct, F.lit(1)).alias("source_secondary"), F.lit(None).cast("double").alias("confidence_score"),

@@ -13,6 +13,10 @@ from chemlake.functions import cas
 from chemlake.functions.text import squeeze
 
 
+#: Kinds of edits, in the order in which they count: of a date, a swap of neighbours, a neighbouring key.
+DATE, SWAP, NEAR = 1, 2, 3
+
+
 def designation_key(c: Column) -> Column:
     return F.upper(squeeze(c))
 
@@ -30,21 +34,21 @@ def evidence(tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
     return known.where("code <> ''").select("code", "cas").distinct(), known.where("designation <> ''").select("designation", "cas").distinct()
 
 
-_NONE = "array<struct<cas:string,via:string>>"
-
-
-def _with_candidates(rows: DataFrame) -> DataFrame:
-    """rows (token and so on) with kind and found: the first kind of edit that gives valid numbers, and these, with the edit
-    that gave each. Each kind is looked at in a projection of its own, and only where the ones before gave nothing."""
-    t, none = F.col("token"), F.array().cast(_NONE)
-    plain = lambda xs: F.transform(F.filter(xs, cas.valid), lambda v: F.struct(v.alias("cas"), v.alias("via")))
-    steps = (("date", cas.date_like(t), cas.date_edits(t)), ("swap", F.rlike(t, F.lit("[0-9]-")), plain(cas.swaps(t))), ("near", F.rlike(t, F.lit(cas.SHAPE)), plain(cas.neighbour_digits(t))))
-    out = rows.withColumns({"kind": F.lit(None).cast("string"), "found": none})
-    for kind, fits, edits in steps:
-        out = out.withColumn("_more", F.when(F.col("kind").isNull() & fits, edits).otherwise(none))
-        hit = F.size("_more") > 0
-        out = out.withColumns({"kind": F.when(hit, kind).otherwise(F.col("kind")), "found": F.when(hit, F.col("_more")).otherwise(F.col("found"))}).drop("_more")
-    return out
+def _edits(lost: DataFrame) -> DataFrame:
+    """lost (token and so on) with one row per edit that gives a valid number, or one without number if none does: kind
+    (DATE, SWAP or NEAR), place, cas, and via, the edited text."""
+    t, none = F.col("token"), F.array().cast("array<string>")
+    dated, shaped = cas.date_like(t), F.rlike(t, F.lit(cas.SHAPE))
+    texts = F.concat(F.when(F.rlike(t, F.lit("[0-9][-/]")), cas.swaps(t)).otherwise(none), F.array(F.lit("")), F.when(dated | shaped, cas.neighbour_digits(t)).otherwise(none))
+    # the empty text parts swaps from neighbouring keys, and leaves a row where there is no edit
+    spread = lost.withColumns({"_texts": texts, "_dated": dated, "_shaped": shaped}).withColumn("_parted", F.array_position("_texts", "") - 1)
+    spread = spread.select(*lost.columns, "_dated", "_shaped", "_parted", F.posexplode("_texts").alias("place", "via"))
+    v, swapped = F.col("via"), F.col("place") < F.col("_parted")
+    hidden, good = F.when(F.col("_dated"), cas.from_date(v)), cas.valid(v)
+    judged = spread.select(*lost.columns, "place", "via", hidden.alias("_hidden"), good.alias("_good"), swapped.alias("_swap"), "_shaped", (F.col("place") == F.col("_parted")).alias("_last"))
+    kind = F.when(F.col("_hidden").isNotNull(), DATE).when(F.col("_good") & F.col("_swap"), SWAP).when(F.col("_good") & F.col("_shaped"), NEAR)
+    found = judged.withColumn("kind", kind).where("kind IS NOT NULL OR _last")
+    return found.select(*lost.columns, "kind", "place", F.when(F.col("kind") == DATE, F.col("_hidden")).when(F.col("kind").isNotNull(), v).alias("cas"), "via")
 
 
 def repair(tokens: DataFrame) -> DataFrame:
@@ -64,19 +68,21 @@ def repair(tokens: DataFrame) -> DataFrame:
     known = sure.where("fixed IS NOT NULL").select("token", "code_key", "name_key", "fixed", F.when(F.col("fixed") == t, "valid").otherwise(F.format_string("valid (fixed from: %s)", t)).alias("status"))
     open_ = sure.where("fixed IS NULL")
 
-    asked = _with_candidates(open_.select("token", "code_key", "name_key"))
-    spread = asked.select("token", "code_key", "name_key", "kind", F.posexplode_outer("found").alias("place", "c")).select("token", "code_key", "name_key", "kind", "place", "c.cas", "c.via")
+    spread = _edits(open_.select("token", "code_key", "name_key"))
     code_hit = by_code.select(F.col("code").alias("code_key"), "cas", F.lit(2).alias("two"))
     name_hit = by_name.select(F.col("designation").alias("name_key"), "cas", F.lit(1).alias("one"))
     scored = spread.join(code_hit, ["code_key", "cas"], "left").join(name_hit, ["name_key", "cas"], "left").withColumn("score", F.coalesce("two", F.lit(0)) + F.coalesce("one", F.lit(0)))
-    # an edit gives a few dozen candidates at most; a token without any has one row, without number
-    ranked = scored.groupBy("token", "code_key", "name_key", "kind").agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("rank"), "place", "cas", "via"))).alias("r"))
+    # edits of one token, a few dozen at most, in order of place; of a number that several give, the first
+    each = F.when(F.col("cas").isNotNull(), F.struct("place", "kind", "cas", "via", (-F.col("score")).alias("rank")))
+    listed = scored.groupBy("token", "code_key", "name_key").agg(F.array_sort(F.collect_list(each)).alias("all")).withColumn("kind", F.array_min(F.transform("all", lambda x: x["kind"])))
+    listed = listed.withColumn("same", F.filter("all", lambda x: x["kind"] == F.col("kind"))).withColumn("numbers", F.transform("same", lambda x: x["cas"]))
+    listed = listed.withColumn("in_order", F.filter("same", lambda x, i: F.array_position("numbers", x["cas"]) == i + 1))
+    ranked = listed.withColumn("r", F.array_sort(F.transform("in_order", lambda x: F.struct(x["rank"].alias("rank"), x["place"].alias("place"), x["cas"].alias("cas"), x["via"].alias("via")))))
     first, second = F.get("r", F.lit(0)), F.get("r", F.lit(1))
     clear = (first["rank"] < 0) & (second["rank"].isNull() | (second["rank"] > first["rank"]))
-    alone = (F.col("kind") == "swap") & (F.size("r") == 1)
-    label = F.when(F.col("kind") == "date", F.format_string("valid (fixed via date-edit from: %s; via: %s)", t, first["via"])).when(F.col("kind") == "swap", F.format_string("valid (fixed swap from: %s)", t)).otherwise(F.format_string("valid (fixed adjacent-key from: %s)", t))
-    in_order = F.array_sort(F.transform("r", lambda x: F.struct(x["place"].alias("place"), x["cas"].alias("cas"), x["via"].alias("via"))))
-    said = F.when(F.col("kind") == "date", F.transform(F.slice(in_order, 1, 5), lambda x: F.format_string("%s (via %s)", x["cas"], x["via"]))).otherwise(F.transform(F.slice("r", 1, 5), lambda x: x["cas"]))
+    alone = (F.col("kind") == SWAP) & (F.size("r") == 1)
+    label = F.when(F.col("kind") == DATE, F.format_string("valid (fixed via date-edit from: %s; via: %s)", t, first["via"])).when(F.col("kind") == SWAP, F.format_string("valid (fixed swap from: %s)", t)).otherwise(F.format_string("valid (fixed adjacent-key from: %s)", t))
+    said = F.when(F.col("kind") == DATE, F.transform(F.slice("in_order", 1, 5), lambda x: F.format_string("%s (via %s)", x["cas"], x["via"]))).otherwise(F.transform(F.slice("r", 1, 5), lambda x: x["cas"]))
     dashed, checked, none = cas.from_digits(F.regexp_replace(t, "[^0-9]", "")), cas.with_check_digit(t), F.col("kind").isNull()
     chosen = ranked.withColumns({"dashed": F.when(none, dashed), "checked": F.when(none, checked)}).select(
         "token", "code_key", "name_key",

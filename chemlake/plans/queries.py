@@ -218,9 +218,10 @@ def cache_ttl(spark, d):
 
 def unit_conversion(spark, d):
     """Values in canonical units with warnings."""
-    m = derive(spark, d, inputs.MEASURED)
-    p, t, g, s = units.to_pascal(F.col("pressure")), units.to_celsius(F.col("temperature")), units.to_g_ml(F.col("density")), units.to_mg_l(F.col("solubility"), F.col("weight"))
-    return m.select("key", p["value"].alias("pa"), p["warning"].alias("pa_warning"), F.round(t["value"], 6).alias("celsius"), g["value"].alias("g_ml"), F.round(s["value"], 6).alias("mg_l"), s["warning"].alias("mg_l_warning"), F.round(units.safe_log10(p["value"]), 9).alias("log_pa"))
+    m = units.split_units(derive(spark, d, inputs.MEASURED), "pressure", "temperature", "density", "solubility")
+    parts = lambda n: (F.col(f"{n}_number"), F.col(f"{n}_unit"))
+    p, t, g, s = units.to_pascal(*parts("pressure")), units.to_celsius(*parts("temperature")), units.to_g_ml(*parts("density")), units.to_mg_l(*parts("solubility"), F.col("weight"))
+    return m.select("key", p["value"].alias("pa"), p["warning"].alias("pa_warning"), F.round(t["value"], 6).alias("celsius"), g["value"].alias("g_ml"), F.round(s["value"], 6).alias("mg_l"), s["warning"].alias("mg_l_warning"), F.round(units.log10_positive(p["value"]), 9).alias("log_pa"))
 
 
 def fallback_estimates(spark, d):

@@ -79,8 +79,10 @@ def test_mixtures(spark):
 
 def test_units(spark):
     one = lambda c: spark.range(1).select(c.alias("x")).first().x
-    assert one(units.to_pascal(F.lit("2 kPa")))["value"] == 2000.0 and "furlong" in one(units.to_pascal(F.lit("2 furlong")))["warning"]
-    assert one(units.to_celsius(F.lit("212 °F")))["value"] == pytest.approx(100.0) and one(units.to_mg_l(F.lit("2 mM"), F.lit(100.0)))["value"] == pytest.approx(200.0)
+    assert one(units.to_pascal(F.lit(2.0), F.lit("kPa")))["value"] == 2000.0 and "furlong" in one(units.to_pascal(F.lit(2.0), F.lit("furlong")))["warning"]
+    assert one(units.to_celsius(F.lit(212.0), F.lit("°F")))["value"] == pytest.approx(100.0) and one(units.to_mg_l(F.lit(2.0), F.lit("mM"), F.lit(100.0)))["value"] == pytest.approx(200.0)
+    split = units.split_units(spark.createDataFrame([(x,) for x in ("212 °F", "2", "1e3 kPa", "a 2", None, "1-2 g")], "t string"), "t")
+    assert [(r.t_number, r.t_unit) for r in split.collect()] == [(212.0, "°F"), (2.0, None), (1000.0, "kPa"), (None, None), (None, None), (1.0, "-2 g")]
     assert one(units.power_notation(F.lit("1.1&times;10<sup>&#8722;6</sup>"))) == pytest.approx(1.1e-6) and one(units.quantity_mpa05(F.lit('Quantity[18.8, Sqrt["Megapascals"]]'))) == 18.8
     assert one(units.as_number(F.lit("1d"))) is None and one(units.safe_log10(F.lit(0))) is None and one(units.refractive_index(F.lit("1.4-1.6"))) == pytest.approx(1.5)
     assert one(units.temperature_in(F.lit("at 298.15 K"))) == pytest.approx(25.0) and one(units.strict_mg_l(F.lit("1-2"), F.lit("g/L")))["value"] is None
