@@ -64,3 +64,21 @@ def test_reordered_passages_parts_and_edge_cases(spark):
         assert [[(y.item_id, y.n_matched, y.n_tiles) for y in x.leaks] for x in found] == [[(1, 14, 2)], [], [], [], [(1, 14, 1)]]
     assert all(x.leaks == [] for x in decontaminate.find_leaks(docs, items.limit(0)).collect())
     assert decontaminate.find_leaks(docs.limit(0), items).collect() == []
+
+
+def test_repeated_words_and_benchmarks_of_many_parts(spark):
+    r = random.Random(9)
+    items = [(i, " ".join(r.choice("ab") for _ in range(r.randint(5, 30)))) for i in range(40)] + [(100, " ".join(["same"] * 300)), (100, " ".join(["same"] * 300))]
+    docs = [(d, " ".join(r.choice("ab") for _ in range(r.randint(0, 40)))) for d in range(12)] + [(50, " ".join(["same"] * 6_000)), (50, " ".join(["same"] * 6_000)), (51, "long " * 200_000 + "same " * 151), (52, None)]
+    want = {}
+    for d, text in docs[:12]:
+        for i, item in items[:40]:
+            w = item.split()
+            matched = sum(plain_tiles(w, text.split(), 5))
+            if matched and matched >= 0.5 * len(w):
+                want[d, i] = matched
+    want |= {(50, 100): 300, (51, 100): 151}
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for part in (1 << 20, 400):
+        out = decontaminate.find_leaks(*frames, part_bytes=part).collect()
+        assert len(out) == len(docs) and {(x.doc_id, y.item_id): y.n_matched for x in out for y in x.leaks} == want
