@@ -13,7 +13,8 @@ def connected_components(edges: DataFrame, workspace: Workspace, name: str = "co
 
     Alternates the large-star and small-star steps until every node points at its smallest one; each round
     is written to the workspace.  Each step sends a row per edge and takes minima with map-side
-    pre-aggregation, so a node with very many edges adds no more than its edges.  Loops, repeated edges and
+    pre-aggregation; minima are written before edges meet them, so that the join deals edges of its own and Spark
+    splits those of a node with very many.  Loops, repeated edges and
     an empty table are fine; edges with a null end are left out.
     """
     clean = edges.where(F.col("a") != F.col("b"))
@@ -21,8 +22,11 @@ def connected_components(edges: DataFrame, workspace: Workspace, name: str = "co
     state, rounds = _state(current), 0
     while state[0]:
         rounds += 1
-        following = workspace.save(_small_star(_large_star(current)), f"{name}-{rounds}")
+        both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = workspace.save(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), f"{name}-least{rounds}")
+        following = workspace.save(_small_star(_large_star(both, least)), f"{name}-{rounds}")
         workspace.drop(f"{name}-{rounds - 1}")
+        workspace.drop(f"{name}-least{rounds}")
         current, before = following, state
         state = _state(current)
         if state == before:
@@ -36,10 +40,8 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(row)
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(both: DataFrame, least: DataFrame) -> DataFrame:
     """Each larger neighbour of a node is tied to the smallest of the node and its neighbours."""
-    both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
     return both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 

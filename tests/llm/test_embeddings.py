@@ -29,7 +29,7 @@ def brute(rows, threshold):
     return sorted((rows[k][0], links[k], find(rows[k][0]), find(rows[k][0]) == rows[k][0]) for k in range(len(rows)))
 
 
-@pytest.mark.parametrize("tile,pivots", [(1024, 48), (16, 7)])
+@pytest.mark.parametrize("tile,pivots", [(1024, 48), (16, 7), (64, 0)])
 def test_equals_brute_force(spark, tile, pivots):
     r = np.random.default_rng(tile)
     centres = r.normal(size=(6, 16))
@@ -67,3 +67,39 @@ def test_bounds_miss_no_pair():
         for t in (-0.5, 0.1, 0.9):
             may = set(zip(*map(list, embeddings.possible_pairs(a, b, t)), strict=True))
             assert {(i, j) for i in range(60) for j in range(60) if a[i] @ b[j] >= t} <= may
+
+
+def test_long_vectors_and_one_large_group(spark):
+    r = np.random.default_rng(3)
+    centre = r.normal(size=1_500)
+    rows = [(i, [float(x) for x in np.float32(centre + r.normal(size=1_500) * (0.1 if i % 3 else 2.0))]) for i in range(90)]
+    got = embeddings.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), tile=32)
+    assert sorted(map(tuple, got.collect())) == brute(rows, 0.9)
+
+
+def test_pivots_follow_the_visits():
+    r = np.random.default_rng(4)
+    scattered = embeddings.unit(r.normal(size=(2_048, 64)))
+    centres = embeddings.unit(r.normal(size=(256, 64)))
+    clustered = embeddings.unit(centres[r.integers(256, size=2_048)] + r.normal(size=(2_048, 64)) * 0.01)
+    few, many = (len(embeddings._pivots(x, 1e6, 0.4473, 8_192)) for x in (scattered, clustered))
+    assert few < many and many >= 128
+
+
+def test_packed_vectors_are_whole():
+    for x in ([0.5, -1.25], [0.1, 1e300], [1e-300, 3.0]):
+        assert embeddings._unpacked([embeddings._packed(np.array(x)), embeddings._packed(np.array([1.0, 2.0]))], 2).tolist() == [x, [1.0, 2.0]]
+
+
+def test_merged_labels_equal_components():
+    r = random.Random(5)
+    for _ in range(50):
+        n = r.randint(1, 30)
+        label, root = np.arange(n), list(range(n))
+        for _ in range(3):
+            pairs = [(r.randrange(n), r.randrange(n)) for _ in range(r.randint(0, 12))]
+            label = embeddings._merged(label, np.array([a for a, _ in pairs], np.int64), np.array([b for _, b in pairs], np.int64))
+            for a, b in pairs:
+                low, high = sorted((root[a], root[b]))
+                root = [low if x == high else x for x in root]
+        assert all((label[a] == label[b]) == (root[a] == root[b]) for a in range(n) for b in range(n))
