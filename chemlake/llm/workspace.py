@@ -12,13 +12,22 @@ _OPEN: list[Workspace] = []
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; where it is unset (as in tests on one machine), a folder under the system's temporary one."""
+    """spark.checkpoint.dir; where it is unset and Spark runs in one process (as in tests), a folder under the system's temporary one."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return found or f"{tempfile.gettempdir()}/chemlake-checkpoints"
+    if found:
+        return found
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir is unset: name a folder that all executors share")
+    return f"{tempfile.gettempdir()}/chemlake-checkpoints"
 
 
 class Workspace:
-    """Written tables under one new folder; drop() deletes a table that is no longer needed, exit deletes the rest."""
+    """Written tables under one new folder; drop() deletes a table that is no longer needed, exit deletes the rest.
+
+    Results are read from these tables when they are used: a long session writes a result, then drops the workspaces that
+    were opened for it (opened() before, drop_since() after).
+    """
 
     def __init__(self, spark: SparkSession):
         self.spark, self.root = spark, f"{checkpoint_dir(spark).rstrip('/')}/tables-{uuid.uuid4().hex}"
@@ -47,6 +56,19 @@ class Workspace:
         return path, path.getFileSystem(context._jsc.hadoopConfiguration())
 
 
+def opened() -> int:
+    """How many workspaces there are by now."""
+    return len(_OPEN)
+
+
+def drop_since(mark: int, but: Workspace | None = None) -> None:
+    """Drop the workspaces opened since opened() gave `mark`, but for one."""
+    for workspace in _OPEN[mark:]:
+        if workspace is not but:
+            workspace.drop()
+    _OPEN[mark:] = [w for w in _OPEN[mark:] if w is but]
+
+
 @atexit.register
 def _drop_all() -> None:
     for workspace in _OPEN:

@@ -54,10 +54,46 @@ def test_run_equals_the_stages(spark, corpus):
     assert out == {i for i in texts if i < 1000 or i == 4000}
 
 
-def test_nulls_and_clashing_columns(spark, corpus):
+HARD = [(1, None), (None, "a b c"), (2, ""), (3, "tion1 " * 60_000), (4, " ".join(f"tion{i}" for i in range(80))), (4, " ".join(f"tion{i}" for i in range(80)))]
+CLASHES = ["score", "predicted", "held_out", "pieces", "component", "kept", "leaks", "personal", "doc", "value"]
+
+
+@pytest.mark.parametrize("at", range(len(corpus_pipeline.STAGES)))
+def test_nulls_long_texts_repeats_and_clashing_columns(spark, corpus, at):
     path, _ = corpus
-    docs = spark.createDataFrame([(1, None, 1, 2, 3, 4, 5), (None, "a b c", 1, 2, 3, 4, 5), (2, "", 1, 2, 3, 4, 5)], "doc_id long, text string, score int, predicted int, pieces int, component int, leaks int")
-    for _, stage in corpus_pipeline.STAGES[1:4]:
-        out = stage(spark, docs, path)
-        assert out.columns == docs.columns
-        assert out.count() == 3
+    schema = "doc_id long, text string, " + ", ".join(f"{c} int" for c in CLASHES)
+    docs = spark.createDataFrame([(*row, *range(len(CLASHES))) for row in HARD], schema)
+    out = corpus_pipeline.STAGES[at][1](spark, docs, path)
+    found = out.collect()
+    if at == len(corpus_pipeline.STAGES) - 1:
+        assert sorted(str(r.doc_id) for r in found) == sorted(str(i) for i, _ in HARD)
+        assert {r.n_tokens for r in found if r.doc_id in (1, 2)} == {0} and len({tuple(r) for r in found if r.doc_id == 4}) == 1
+        return
+    assert out.columns == docs.columns and {tuple(r)[2:] for r in found} == {tuple(range(len(CLASHES)))}
+    if at:  # the classifier may reject any; its two equal rows go together
+        assert sorted(map(str, (tuple(r)[:2] for r in found))) == sorted(map(str, HARD))
+    assert sum(r.doc_id == 4 for r in found) in (0, 2)
+
+
+@pytest.mark.parametrize("at", range(len(corpus_pipeline.STAGES)))
+def test_empty_tables(spark, corpus, at):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.STAGES[at][1](spark, docs, corpus[0])
+    assert out.collect() == [] and (at == len(corpus_pipeline.STAGES) - 1 or out.columns == docs.columns)
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Session:
+        class conf:
+            get = staticmethod(lambda *_: None)
+
+        class sparkContext:
+            master = "spark://host:7077"
+            getConf = staticmethod(lambda: Session.conf)
+
+    from chemlake.llm import workspace
+
+    with pytest.raises(ValueError):
+        workspace.checkpoint_dir(Session)
+    Session.sparkContext.master = "local[2]"
+    assert workspace.checkpoint_dir(Session).endswith("chemlake-checkpoints")
