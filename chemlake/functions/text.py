@@ -26,8 +26,8 @@ def text_or_null(c: Column) -> Column:
 
 def text_or_empty(c: Column) -> Column:
     """Trimmed text; null and the texts nan, none and null become ''."""
-    t = F.trim(c)
-    return F.when(c.isNull() | F.lower(t).isin("nan", "none", "null"), "").otherwise(t)
+    t = F.coalesce(F.trim(c), F.lit(""))
+    return F.when(F.lower(t).isin("nan", "none", "null"), "").otherwise(t)
 
 
 def normal_inchikey(c: Column) -> Column:

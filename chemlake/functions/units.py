@@ -132,10 +132,30 @@ def refractive_index(c: Column) -> Column:
 
 
 def temperature_in(text: Column) -> Column:
-    """The temperature in Celsius that a text names ('at 20 C', '298 K'); null if none."""
-    shape = r"(?i)([-+]?\d+(?:\.\d+)?)\s*°?\s*(deg\s*)?([CKF])\b"
-    v, u = F.regexp_extract(text, shape, 1).try_cast("double"), F.upper(F.regexp_extract(text, shape, 3))
-    return F.when(F.rlike(text, F.lit(shape)), F.when(u == "K", v - 273.15).when(u == "F", (v - 32.0) * 5.0 / 9.0).otherwise(v))
+    """The temperature in Celsius that a text names ('at 20 C', '298 K'), one in Celsius first; null if none."""
+    low, number = F.lower(text), r"(\d+(?:\.\d+)?)\s*"
+    celsius, kelvin = (F.nullif(F.regexp_extract(low, number + unit, 1), F.lit("")).try_cast("double") for unit in ("(?:°?c|celsius)", r"k\b"))
+    return F.coalesce(celsius, kelvin - 273.15)
+
+
+def first_celsius(text: Column) -> Column:
+    """The first number of a text in Celsius: kelvin (K, k) and Fahrenheit (F, fahrenheit) are converted, all else counts as Celsius."""
+    shape = r"([-+]?\d+(?:\.\d+)?)\s*([Kk]|°?C|°?F|fahrenheit|celsius)?"
+    v = F.nullif(F.regexp_extract(text, shape, 1), F.lit("")).try_cast("double")
+    u = F.replace(F.lower(F.regexp_extract(text, shape, 2)), F.lit("°"), F.lit(""))
+    return F.when(u == "k", v - 273.15).when(u.isin("f", "fahrenheit"), (v - 32.0) * 5.0 / 9.0).otherwise(v)
+
+
+def provider_unit(value: Column, unit: Column) -> Column:
+    """struct<value, warning>: temperatures in Celsius and pressures in pascal by their unit's name (older torr); a value
+    without unit, or of another unit, stays with a warning."""
+    u = F.lower(F.trim(unit))
+    worth = _worth(PRESSURE | {"pascal": 1.0, "pascals": 1.0, "millibar": 100.0, "torr": OLD_TORR, "mmhg": OLD_TORR}, u)
+    kelvin, celsius, fahrenheit = u.isin("k", "kelvin"), u.isin("c", "°c", "celsius"), u.isin("f", "°f", "fahrenheit")
+    changed = F.when(kelvin, value - 273.15).when(fahrenheit, (value - 32.0) * 5.0 / 9.0).otherwise(value * F.coalesce(worth, F.lit(1.0)))
+    strange = F.concat(F.lit("Unknown unit '"), unit, F.lit("' from provider; value kept unconverted."))
+    said = F.when(unit.isNull(), "Missing unit for provider property; value kept raw.").when(~(kelvin | celsius | fahrenheit) & worth.isNull(), strange)
+    return _struct(changed, F.when(value.isNotNull(), said))
 
 
 def quantity_mpa05(c: Column) -> Column:

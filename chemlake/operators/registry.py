@@ -70,11 +70,16 @@ def _appended(values: Column) -> Column:
     return F.aggregate(values, F.lit(""), lambda acc, x: F.when(F.contains(acc, x), acc).when(acc == "", x).otherwise(F.concat(acc, F.lit(" | "), x)))
 
 
-def _texts_in_order(rows: DataFrame, column: str) -> DataFrame:
-    """(key, column): distinct texts by first appearance, appended; equal texts meet before the shuffle to a key."""
-    each = rows.where(F.col(column) != "").groupBy(*KEY, column).agg(F.min("_order").alias("_at"))
-    listed = each.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("_at", column))).alias("xs"))
-    return listed.select(*KEY, _appended(F.transform("xs", lambda x: x[column])).alias(column))
+#: Parts that rows of one key are dealt to before they are folded.
+PARTS = 16
+
+
+def _texts_in_order(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """(key, columns): distinct texts of each column by first appearance, appended; equal texts meet before the shuffle to a key."""
+    named = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("text")) for c in columns]))
+    each = rows.select(*KEY, "_order", named.alias("x")).where("x.text <> ''").groupBy(*KEY, "x.column", "x.text").agg(F.min("_order").alias("_at"))
+    listed = each.groupBy(*KEY).agg(*[F.array_sort(F.collect_list(F.when(F.col("column") == c, F.struct("_at", "text")))).alias(c) for c in columns])
+    return listed.select(*KEY, *[_appended(F.transform(c, lambda x: x["text"])).alias(c) for c in columns])
 
 
 def upsert(known: DataFrame, incoming: DataFrame, as_of: str) -> Merged:
@@ -91,7 +96,8 @@ def upsert(known: DataFrame, incoming: DataFrame, as_of: str) -> Merged:
     judged = new.withColumn("rejected_reason", reason)
     rejected = judged.where("rejected_reason IS NOT NULL").drop("_order").withColumn("rejected_timestamp_utc", F.lit(as_of))
     good = judged.where("rejected_reason IS NULL").drop("rejected_reason")
-    rows = old.unionByName(good)
+    # cleaned once: both folds below read the same exchange, and a key with very many rows is in several parts
+    rows = old.unionByName(good).repartition(*KEY, F.pmod("_order", F.lit(PARTS)))
 
     source_of_best = F.max_by(F.when(F.col("resolver_confidence").isNotNull(), F.col("resolver_source")), F.when(F.col("resolver_confidence").isNotNull(), F.struct("resolver_confidence", -F.col("_order"))))
     folded = rows.groupBy(*KEY).agg(
@@ -99,7 +105,7 @@ def upsert(known: DataFrame, incoming: DataFrame, as_of: str) -> Merged:
         F.max("resolver_confidence").alias("resolver_confidence"), source_of_best.alias("_best"), F.max("resolution_timestamp_utc").alias("resolution_timestamp_utc"),
         F.min("_order").alias("_first"), F.count_if(F.col("_order") >= 0).alias("_new"),
     )
-    merged = folded.join(_texts_in_order(rows, "evidence"), KEY, "left").join(_texts_in_order(rows, "notes"), KEY, "left")
+    merged = folded.join(_texts_in_order(rows, ["evidence", "notes"]), KEY, "left")
     merged = merged.withColumn("resolver_source", F.coalesce(F.when(F.col("_best") != "", F.col("_best")), "resolver_source"))
     whole = merged.select(*[F.coalesce(c, F.lit("")).alias(c) if c != "resolver_confidence" else F.col(c) for c in COLUMNS], "_first", "_new")
 

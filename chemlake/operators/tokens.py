@@ -118,6 +118,20 @@ def first_tokens(cells: DataFrame, repaired: DataFrame) -> DataFrame:
     return cells.select("row", "code", "name").join(first, "row", "left").select("row", "code", "name", F.coalesce("fixed", F.lit("")).alias("cas"), F.coalesce("status", F.lit("invalid (original: )")).alias("status"))
 
 
+def first_valid(firsts: DataFrame, customer_id: str) -> DataFrame:
+    """Rows of first_tokens for a customer, one per (code, name, cas): the first wins."""
+    shown = firsts.withColumn("customer_id", F.lit(customer_id))
+    return first_of(shown, ["customer_id", "code", "name", "cas"], [F.col("row")]).drop("row")
+
+
+def run_counts(cells: DataFrame, exploded: DataFrame, firsts: DataFrame) -> DataFrame:
+    """One row of counts for a run's manifest: rows read, rows of both tables, and distinct numbers of each."""
+    one = cells.agg(F.count("*").alias("rows_input"))
+    for name, table in (("exploded", exploded), ("first_valid", firsts)):
+        one = one.join(F.broadcast(table.agg(F.count("*").alias(f"rows_{name}"), F.count_distinct("cas").alias(f"unique_cas_{name}"))), how="outer", on=F.lit(True))
+    return one
+
+
 def customer_feed(exploded: DataFrame) -> DataFrame:
     """The latest row of each (customer_id, cas) that is not blank or invalid, named as the customer map has it."""
     good = exploded.where((F.trim("cas") != "") & (F.trim("customer_id") != "") & ~F.lower("cas_validity").contains("invalid"))

@@ -44,10 +44,12 @@ INCOMING = f"""SELECT o_orderkey AS _row, CAST(o_orderkey AS STRING) AS cas_inpu
     CASE WHEN o_orderkey % 9 = 1 THEN '' ELSE {inchikey("(o_custkey % 97 + CASE WHEN o_orderkey % 31 = 0 THEN 1000 ELSE 0 END)")} END AS inchi_key,
     CASE WHEN o_orderkey % 4 = 0 THEN 'InChI=' || CAST(o_orderkey % 5 AS STRING) ELSE '' END AS inchi, '' AS smiles,
     CASE WHEN o_orderkey % 2 = 0 THEN 'pubchem' ELSE 'cactus' END AS resolver_source, CAST(o_orderkey % 101 AS DOUBLE) / 100 AS resolver_confidence,
-    '2024-01-' || lpad(CAST(o_orderkey % 28 + 1 AS STRING), 2, '0') AS resolution_timestamp_utc, 'e' || CAST(o_orderkey % 3 AS STRING) AS evidence, '' AS notes, '' AS mixture_type
+    '2024-01-' || lpad(CAST(o_orderkey % 28 + 1 AS STRING), 2, '0') AS resolution_timestamp_utc, 'e' || CAST(o_orderkey % 3 AS STRING) AS evidence,
+    CASE WHEN o_orderkey % 5 = 0 THEN 'n' || CAST(o_orderkey % 4 AS STRING) ELSE '' END AS notes, CASE WHEN o_orderkey % 9 = 1 THEN 'kind ' || CAST(o_orderkey % 2 AS STRING) ELSE '' END AS mixture_type
     FROM {{orders}}"""
 #: Registry rows that are there before.
-KNOWN = f"""SELECT CAST(s_suppkey AS STRING) AS cas_input, {number("s_suppkey")} AS cas_number_normalized, 'valid' AS cas_status, {inchikey("s_suppkey")} AS inchi_key,
+KNOWN = f"""SELECT CAST(s_suppkey AS STRING) AS cas_input, {number("s_suppkey")} AS cas_number_normalized, CASE s_suppkey % 7 WHEN 1 THEN 'ambiguous' WHEN 2 THEN 'mixture' WHEN 3 THEN 'uvcb' ELSE 'valid' END AS cas_status,
+    CASE WHEN s_suppkey % 7 = 2 OR s_suppkey % 11 = 0 THEN '' ELSE {inchikey("s_suppkey")} END AS inchi_key,
     CASE WHEN s_suppkey % 2 = 0 THEN 'InChI=known' ELSE '' END AS inchi, 'CCO' AS smiles, 'table' AS resolver_source, CAST(0.5 AS DOUBLE) AS resolver_confidence,
     '2024-01-15' AS resolution_timestamp_utc, 'seed' AS evidence, '' AS notes, '' AS mixture_type FROM {{supplier}}"""
 
@@ -72,11 +74,26 @@ MEASURED = """SELECT l_orderkey * 8 + l_linenumber AS key, CAST(CAST(l_quantity
 WIDE = f"""SELECT p_partkey AS _row, CASE WHEN p_partkey % 19 = 0 THEN '' ELSE {inchikey("(p_partkey % 400)")} END AS final_inchikey, {number("p_partkey")} AS "CAS_ID", p_name AS normalized_input,
     CASE WHEN p_partkey % 2 = 0 THEN 'name' ELSE 'cas' END AS identifier_type, CAST(p_size AS STRING) AS final_mw, CASE WHEN p_partkey % 3 = 0 THEN CAST(p_size AS STRING) END AS final_logp, '2.5' AS final_clogp,
     CAST(p_size AS STRING) || CASE WHEN p_partkey % 2 = 0 THEN ' kPa' ELSE ' ell' END AS final_vapor_pressure_pa, CAST(p_size AS STRING) || ' K' AS final_boiling_point_c, '0.9' AS final_density_g_ml,
-    CASE WHEN p_partkey % 2 = 0 THEN '25.5' ELSE '20' END AS experimental_density_g_ml_temperature_c, CASE WHEN p_partkey % 4 = 0 THEN 'pubchem' ELSE 'computed' END AS source_mw,
+    CASE WHEN p_partkey % 2 = 0 THEN '25.5' ELSE '20' END AS experimental_density_g_ml_temperature_c, CASE p_partkey % 3 WHEN 0 THEN '25' WHEN 1 THEN '' ELSE '37' END AS experimental_vapor_pressure_pa_temperature_c, CASE WHEN p_partkey % 4 = 0 THEN 'pubchem' ELSE 'computed' END AS source_mw,
     CASE WHEN p_partkey % 5 = 0 THEN 'PubChem' ELSE 'fallback' END AS source_density_g_ml, 'pubchem' AS source_logp, 'computed' AS source_clogp,
     '2024-02-' || lpad(CAST(p_partkey % 28 + 1 AS STRING), 2, '0') AS timestamp FROM {{part}}"""
 
 
+#: Pages with numbers, "Page x of y" and names of groups.
+PAGES = f"""SELECT page_id, replace(html, '<title>', CASE WHEN page_id % 6 = 0 THEN '<title>Family of ' ELSE '<title>' END) || CASE page_id % 4 WHEN 0 THEN '' WHEN 1 THEN ' <p>CAS ' || {number("(page_id % 60)")} || ', ' || {number("(page_id % 7)")} || '</p>'
+    ELSE ' <p>0' || {number("(page_id % 60)")} || ' and ' || {number("(page_id % 60)")} || '. page 2  of ' || CAST(page_id % 9 + 2 AS STRING) || '</p>' END AS html FROM {{pages}}"""
+
+#: Cells of SMILES: two chains, one of them with oxygen at its end, salts, unreadable parts, references and what stands for nothing.
+SMILES = """SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN repeat('C', CAST(p_partkey % 9 + 1 AS INT)) || '.' || repeat('C', p_size % 9 + 1) || 'O' WHEN 1 THEN '[Na+].' || repeat('C', CAST(p_partkey % 9 + 1 AS INT)) || '.[Cl-]'
+    WHEN 2 THEN 'OS(=O)(=O)O.[Cu].no_smiles_at_all' WHEN 3 THEN ' ' || repeat('C', p_size % 9 + 1) || '&#46;O' || chr(10) WHEN 4 THEN CASE p_partkey % 4 WHEN 0 THEN '&nbsp;' ELSE 'nbsp' END
+    ELSE 'bad_' || repeat('x', p_size % 9) || '.' || repeat('y', CAST(p_partkey % 9 + 1 AS INT)) || '_z' END AS raw FROM {part}"""
+
+#: A provider's answers: entries at two depths of sections, with numbers, lists of them, texts and marked-up texts.
+ANSWERS = """SELECT p_partkey, CASE WHEN p_partkey % 10 = 0 THEN translate('<"Fault":1>', '<>', chr(123) || chr(125)) ELSE translate('<"Record":<"Section":[<"Information":[<"Name":"Other">,<"Name":"Boiling Point","Value":<"Number":[' || CAST(p_size + 300 AS STRING) || ',1],"Unit":"K">>],
+"Section":[<"Information":[<"Name":"Boiling Point","Value":<"Number":1,"Unit":"C">>,<"Name":"Vapor Pressure","Value":<"Number":' || CAST(p_size AS STRING) || ',"Unit":"' || CASE p_partkey % 3 WHEN 0 THEN 'kPa' WHEN 1 THEN 'mmHg' ELSE 'ell' END || '">>]>,
+<"Information":[<"Name":"Density","Value":<"String":"' || CAST(p_size % 9 AS STRING) || '">>,<"Name":"Refractive Index","Value":<"StringWithMarkup":[<"String":"1.4' || CAST(p_size % 9 AS STRING) || ' at 20 C">]>>,<"Name":"XLogP (log P)","Value":<"Number":' || CAST(p_size AS STRING) || '.5>>]>]>]>>', '<>', chr(123) || chr(125)) END AS answer FROM {part}"""
+
+
 def spark_sql(text: str) -> str:
     return text.replace('"CAS_ID"', "CAS_ID")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from chemlake.functions import cas, mixtures, smiles, text, units
 from chemlake.operators import identifiers as identifiers_of
-from chemlake.operators import canonical, ingest, molecules, properties, registry, resolver, tokens
+from chemlake.operators import canonical, ingest, molecules, properties, provider, registry, resolver, tokens
 from chemlake.plans import inputs
 from chemlake.plans.inputs import derive
 from chemlake.sources import dumps
@@ -116,7 +116,7 @@ def db2_upsert(spark, d):
 
 def db2_audit(spark, d):
     """Events of the merge."""
-    return _merged(spark, d).audit.drop("timestamp_utc", "details")
+    return _merged(spark, d).audit.drop("timestamp_utc")
 
 
 def db2_rejected(spark, d):
@@ -178,7 +178,7 @@ def _view(spark, d):
 
 def cas_view(spark, d):
     """Registry with properties."""
-    return _view(spark, d)
+    return _view(spark, d).withColumn("alcohol_count", F.col("alcohol_count").cast("double"))
 
 
 def cas_view_exportable(spark, d):
@@ -205,8 +205,8 @@ def resolver_winner(spark, d):
 
 def name_rank(spark, d):
     """Candidates of names by score."""
-    c = derive(spark, d, """SELECT 'n' || CAST(p_partkey % 50 AS STRING) AS name, 'n' || CAST(p_partkey % 50 AS STRING) AS normal, p_partkey AS cid, CASE p_partkey % 4 WHEN 0 THEN 'CCO' WHEN 1 THEN 'CC.Cl' WHEN 2 THEN '[Na]O' ELSE 'CCCCCCO' END AS smiles,
-        'A-B-C' AS inchi_key, 'n' || CAST(p_partkey % 70 AS STRING) AS one, 'other' AS two FROM {part}""").withColumn("synonyms", F.array("one", "two"))
+    c = derive(spark, d, """SELECT 'né' || CAST(p_partkey % 50 AS STRING) AS name, 'né' || CAST(p_partkey % 50 AS STRING) AS normal, p_partkey AS cid, CASE p_partkey % 4 WHEN 0 THEN 'CCO' WHEN 1 THEN 'CC.Cl' WHEN 2 THEN '[Na]O' ELSE 'CCCCCCO' END AS smiles,
+        repeat('A-', CAST(p_partkey % 5 AS INT)) || 'B' || repeat('+', CAST(p_partkey % 3 AS INT)) AS inchi_key, CASE WHEN p_partkey % 3 = 0 THEN 'NÉ' WHEN p_partkey % 3 = 1 THEN 'ne' ELSE 'n' END || CAST(p_partkey % 70 AS STRING) AS one, 'other' AS two FROM {part}""").withColumn("synonyms", F.array("one", "two"))
     return resolver.rank_names(c).select("name", "cid", F.round("score", 6).alias("score"), "rank")
 
 
@@ -228,7 +228,7 @@ def fallback_estimates(spark, d):
     """Estimates where nothing was computed."""
     p = _t(spark, d, "part").select("p_partkey", F.col("p_retailprice").alias("computed_mw"), (F.col("p_size") / 8.0).alias("computed_clogp"), F.when(F.col("p_partkey") % 3 == 0, F.lit(80.0)).alias("experimental_boiling_point_c"), (F.col("p_partkey") % 4).cast("int").alias("computed_ring_count"))
     out = properties.apply_fallbacks(p)
-    return out.select("p_partkey", "computed_boiling_point_c", F.round("computed_vapor_pressure_pa", 1).alias("vapour"), "computed_water_solubility_mg_l", "source_density_g_ml", F.array_join("estimates", ",").alias("estimates"))
+    return out.select("p_partkey", "computed_density_g_ml", "computed_boiling_point_c", F.round("computed_vapor_pressure_pa", 1).alias("vapour"), "computed_water_solubility_mg_l", "source_density_g_ml", F.array_join("estimates", ",").alias("estimates"))
 
 
 def final_fields(spark, d):
@@ -280,7 +280,7 @@ def computed_parameters(spark, d):
 def page_facts(spark, d):
     """Title, class, name and numbers of every page."""
     h = F.col("html")
-    return _t(spark, d, "pages").select("page_id", ingest.title(h).alias("title"), ingest.page_class(h).alias("kind"), ingest.page_name(h).alias("name"), F.array_join(cas.numbers_in(h), ",").alias("numbers"), ingest.last_page(h).alias("last_page"))
+    return derive(spark, d, inputs.PAGES).select("page_id", ingest.title(h).alias("title"), ingest.page_class(h).alias("kind"), ingest.page_name(h).alias("name"), F.array_join(cas.numbers_in(h), ",").alias("numbers"), ingest.last_page(h).alias("last_page"))
 
 
 def page_discovery(spark, d):
@@ -341,8 +341,43 @@ def mol_features(spark, d):
 
 def smiles_clean(spark, d):
     """Cleaned SMILES cells."""
-    p = derive(spark, d, "SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'CCO.[Na]' WHEN 1 THEN ' CC(=O)O ' WHEN 2 THEN '[Na].[K].Cl' ELSE 'C&gt;C' END AS raw FROM {part}")
-    return p.select("p_partkey", smiles.clean_smiles(F.col("raw")).alias("clean"), text.cut_smiles(F.lit("CC|x")).alias("cut"))
+    return derive(spark, d, inputs.SMILES).select("p_partkey", smiles.clean_smiles(F.col("raw")).alias("clean"), text.cut_smiles(F.concat("raw", F.lit("|x|y"))).alias("cut"))
+
+
+def provider_properties(spark, d):
+    """Properties out of a provider's nested answers."""
+    out = provider.properties(derive(spark, d, inputs.ANSWERS))
+    shown = ("boiling_point_c", "vapor_pressure_pa", "density_g_ml", "refractive_index", "logp")
+    return out.select("p_partkey", *[F.round(f"experimental_{p}", 6).alias(p) for p in shown], "source_density_g_ml", "source_melting_point_c", "experimental_refractive_index_temperature_c", "warnings")
+
+
+def provider_units(spark, d):
+    """Values by the provider's units, temperatures in texts, and values whose unit must be known."""
+    m = units.split_units(derive(spark, d, inputs.MEASURED), "pressure", "temperature")
+    p, t, s = units.provider_unit(F.col("pressure_number"), F.col("pressure_unit")), units.provider_unit(F.col("temperature_number"), F.col("temperature_unit")), units.strict_pascal(F.col("pressure_number"), F.col("pressure_unit"))
+    return m.select(
+        "key", F.round(p["value"], 6).alias("pa"), p["warning"].alias("pa_warning"), F.round(t["value"], 6).alias("celsius"), t["warning"].alias("celsius_warning"),
+        F.round(units.first_celsius(F.col("temperature")), 6).alias("first_celsius"), F.round(units.temperature_in(F.col("temperature")), 6).alias("named_celsius"), F.round(s["value"], 6).alias("strict_pa"), s["warning"].alias("strict_warning"),
+    )
+
+
+def cas_first_valid(spark, d):
+    """The customer's first tokens, one row per code, name and number."""
+    cells = derive(spark, d, inputs.CELLS)
+    return tokens.first_valid(tokens.first_tokens(cells, tokens.repair(tokens.explode_tokens(cells))), "c1").select("customer_id", "code", "name", "cas")
+
+
+def cas_run_counts(spark, d):
+    """Counts of a run of the cleaner."""
+    cells = derive(spark, d, inputs.CELLS)
+    repaired = tokens.repair(tokens.explode_tokens(cells))
+    return tokens.run_counts(cells, tokens.exploded_table(repaired, "c1", AS_OF), tokens.first_valid(tokens.first_tokens(cells, repaired), "c1"))
+
+
+def resolver_merge(spark, d):
+    """Cached and new results, the first of each number or input."""
+    rows = lambda m, k: derive(spark, d, f"SELECT p_partkey AS _row, CASE WHEN p_partkey % 5 = 0 THEN '' ELSE {inputs.number('(p_partkey % 300)')} END AS cas, p_brand AS input, p_partkey AS found FROM {{part}} WHERE p_partkey % {m} = {k}")
+    return resolver.keep_first(rows(3, 0), rows(3, 1)).drop("_row")
 
 
 def best_identifiers(spark, d):
@@ -352,9 +387,9 @@ def best_identifiers(spark, d):
 
 
 def dump_rows(spark, d):
-    """Rows of the INSERT statements of a dump."""
-    dump = derive(spark, d, """SELECT CASE WHEN p_partkey % 10 = 0 THEN 'CREATE TABLE t (a SERIAL);' ELSE 'INSERT INTO t (a, b, c) VALUES (' || CAST(p_partkey AS STRING) || ', ' || chr(39) || 'it' || chr(39) || chr(39) || 's (' || p_brand || ')' || chr(39) || ', NULL), ('
-        || CAST(p_size AS STRING) || ', ' || chr(39) || chr(39) || ', 7);' END AS value FROM {part}""")
+    """Rows of the INSERT statements of a dump, some of which span lines."""
+    dump = derive(spark, d, """SELECT CASE WHEN p_partkey % 10 = 0 THEN 'CREATE TABLE t (a SERIAL)' ELSE CASE WHEN p_partkey % 3 = 0 THEN chr(10) || 'insert into public.t' || chr(10) ELSE 'INSERT INTO t ' END || '(a, b, c) VALUES (' || CAST(p_partkey AS STRING) || ', ' || chr(39) || 'it' || chr(39) || chr(39) || 's (' || p_brand || ')' || chr(39) || ', NULL),'
+        || CASE WHEN p_partkey % 2 = 0 THEN chr(10) ELSE ' ' END || '(' || CAST(p_size AS STRING) || ', ' || chr(39) || chr(39) || ', 7)' END AS value FROM {part}""")
     return dumps.insert_rows(dump, "t", ["a", "b", "c"])
 
 
@@ -366,9 +401,9 @@ def missing_requests(spark, d):
 
 
 QUERIES = (
-    db2_upsert, best_identifiers, dump_rows, missing_requests, cas_tokens, cas_validity, cas_recovered, cas_swaps, cas_evidence, cas_repair, cas_fixed_cells, cas_first_tokens, cas_exploded_table, mixture_class, identifiers, ascii_names,
+    db2_upsert, best_identifiers, dump_rows, missing_requests, cas_tokens, cas_validity, cas_recovered, cas_swaps, cas_evidence, cas_repair, cas_fixed_cells, cas_first_tokens, cas_exploded_table, cas_first_valid, cas_run_counts, mixture_class, identifiers, ascii_names,
     db2_audit, db2_rejected, db2_summary, db1_dedupe, db1_rejects, db1_upsert, db1_merge_fields, promoted_keys, customer_feed, customer_map, cas_view, cas_view_exportable, cas_view_overlay,
-    resolver_cache, resolver_winner, name_rank, cache_ttl, unit_conversion, fallback_estimates, final_fields, canonical_rows, canonical_winners, canonical_audit, henry_lookup,
+    resolver_cache, resolver_winner, resolver_merge, name_rank, cache_ttl, unit_conversion, provider_units, provider_properties, fallback_estimates, final_fields, canonical_rows, canonical_winners, canonical_audit, henry_lookup,
     solubility_parameters, computed_parameters, page_facts, page_discovery, entities, entity_shadows, json_values, cache_keys, listed_substances, mol_features, smiles_clean,
 )
 

@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def read_statements(spark: SparkSession, path: str) -> DataFrame:
+    """The statements of a dump (value), which end with a semicolon at the end of a line and may span lines."""
+    return spark.read.option("lineSep", ";\n").text(path)
+
+
 def insert_rows(dump: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
-    """Rows of `INSERT INTO table VALUES (...), (...);` lines of dump (value), all texts.
+    """Rows of the `INSERT INTO table VALUES (...), (...)` statements of dump (value, one statement each), all texts.
 
     Quotes are single and doubled inside a text; NULL is null.  Every other statement is left out, so what a dialect adds
     (CASCADE, SERIAL and the like) needs no attention.

@@ -49,6 +49,23 @@ def read_run(spark: SparkSession, path: str, run_id: str | None = None) -> DataF
     return whole.where(F.col(RUN) == run_id).drop(RUN)
 
 
+def run_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the runs at a path in order; none where there is nothing yet."""
+    place, files = _folder(spark, path)
+    found = [f.getPath().getName() for f in files.listStatus(place)] if files.exists(place) else []
+    return sorted(n.partition("=")[2] for n in found if n.startswith(f"{RUN}="))
+
+
+def drop_run(spark: SparkSession, path: str, run_id: str) -> None:
+    place, files = _folder(spark, f"{path}/{RUN}={run_id}")
+    files.delete(place, True)
+
+
+def _folder(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True)
 

@@ -2,31 +2,44 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from chemlake.operators.tokens import upsert_customer_map
-from chemlake.sources.tables import RUN, read_run, write_run
+from chemlake.sources.tables import RUN, drop_run, read_run, run_names, write_run
+
+
+#: Runs of the map that are kept as its history.
+KEPT_RUNS = 20
 
 
-def run_name(batch: int) -> str:
-    return f"{batch:012d}"
+def run_name(start: int, checkpoint: str, batch: int) -> str:
+    """The run of a batch: runs of later checkpoints follow those of earlier ones."""
+    return f"{start:06d}-{hashlib.sha256(checkpoint.encode()).hexdigest()[:8]}-{batch:012d}"
 
 
-def keep_customer_map(seen: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Merge each micro-batch into the map at path, as one run per batch.
+def keep_customer_map(seen: DataFrame, path: str, checkpoint: str, available_now: bool = True, kept_runs: int = KEPT_RUNS) -> StreamingQuery:
+    """Merge each micro-batch into the map at path, as one run per batch; older runs than the last kept_runs go.
 
-    The latest row wins by its own time, so late and repeated rows change nothing, and a batch that is
-    run again writes the same run again from the run before it.
+    The latest row wins by its own time, so late and repeated rows change nothing.  A batch is merged into the latest
+    run before its own, so one that is run again writes the same run again, and the first batch of a new checkpoint
+    goes on from what is there.
     """
 
     def merge(rows: DataFrame, batch: int) -> None:
         spark = rows.sparkSession
-        known = rows.limit(0)
-        if batch:
-            known = read_run(spark, path, run_name(batch - 1))
-        write_run(upsert_customer_map(known, rows), path, run_name(batch))
+        names = run_names(spark, path)
+        mine = run_name(0, checkpoint, 0)[6:16]
+        starts = [int(n[:6]) for n in names if n[6:16] == mine]
+        own = run_name(starts[0] if starts else max((int(n[:6]) for n in names), default=0) + 1, checkpoint, batch)
+        before = [n for n in names if n < own]
+        known = read_run(spark, path, before[-1]) if before else rows.limit(0)
+        write_run(upsert_customer_map(known, rows), path, own)
+        for name in before[: max(0, len(before) + 1 - kept_runs)]:
+            drop_run(spark, path, name)
 
     writer = seen.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
