@@ -12,10 +12,13 @@ SINGLE, DOUBLE, TRIPLE, AROMATIC = 1, 2, 3, 4
 
 
 class Groups:
-    """Expressions over one molecule column; atoms and neighbours are structs (see functions.smiles)."""
+    """Expressions over a molecule's atoms and rings; atoms and neighbours are structs (see functions.smiles).
 
-    def __init__(self, mol: Column):
-        self.atoms, self.rings = mol["atoms"], mol["rings"]
+    What many features ask of an atom is a field of it by the time they do (see `marked`).
+    """
+
+    def __init__(self, atoms: Column, rings: Column):
+        self.atoms, self.rings = atoms, rings
 
     def atom(self, n: Column) -> Column:
         """The atom that a neighbour is."""
@@ -36,24 +39,26 @@ class Groups:
     def number(a: Column, order: int, element: str) -> Column:
         return F.size(F.filter(a["n"], lambda n: (n["o"] == order) & (n["z"] == element)))
 
-    def carbonyl(self, a: Column) -> Column:
-        return (a["z"] == "C") & self.has(a, DOUBLE, "O")
+    @staticmethod
+    def carbonyl(a: Column) -> Column:
+        return a["carbonyl"]
 
-    def near_carbonyl(self, a: Column) -> Column:
+    @staticmethod
+    def near_carbonyl(a: Column) -> Column:
         """A carbon neighbour is C=O."""
-        return F.exists(a["n"], lambda n: self.carbonyl(self.atom(n)))
+        return a["near_carbonyl"]
 
     @staticmethod
     def sp3(a: Column) -> Column:
-        return ~a["a"] & F.forall(a["n"], lambda n: n["o"] == SINGLE)
+        return a["sp3"]
 
     @staticmethod
     def carbons(a: Column) -> Column:
-        return F.size(F.filter(a["n"], lambda n: n["z"] == "C"))
+        return a["carbons"]
 
     @staticmethod
     def hydroxyl(o: Column) -> Column:
-        return (o["z"] == "O") & (o["h"] == 1) & (o["q"] == 0) & (F.size(o["n"]) == 1)
+        return o["hydroxyl"]
 
     def host(self, o: Column) -> Column:
         """The atom that holds a hydroxyl."""
@@ -64,16 +69,18 @@ class Groups:
         c = self.host(o)
         return ((c["z"] == "N") & self.has(c, DOUBLE, "C")) | ((c["z"] == "C") & self.has(c, DOUBLE, "N"))
 
-    def alcohol_site(self, o: Column) -> Column:
+    @staticmethod
+    def alcohol_site(o: Column) -> Column:
         """A hydroxyl on carbon that is no acid and no oxime."""
-        c = self.host(o)
-        return self.hydroxyl(o) & (c["z"] == "C") & ~self.has(c, DOUBLE, "O") & ~self.oxime(o)
+        return o["site"]
 
-    def enolic(self, o: Column) -> Column:
-        return self.has(self.host(o), DOUBLE, "C")
+    @staticmethod
+    def enolic(o: Column) -> Column:
+        return o["enolic"]
 
-    def alpha_hydroxy(self, o: Column) -> Column:
-        return self.sp3(self.host(o)) & self.near_carbonyl(self.host(o))
+    @staticmethod
+    def alpha_hydroxy(o: Column) -> Column:
+        return o["alpha_hydroxy"]
 
     def beside(self, c: Column, order: int) -> Column:
         """An sp3 carbon next to a carbon with such a bond to carbon."""
@@ -84,12 +91,14 @@ class Groups:
         o = self.atom(n)
         return (n["z"] == "O") & (n["o"] == SINGLE) & (o["h"] == 0) & (self.carbons(o) == 2)
 
-    def ether(self, o: Column) -> Column:
-        return (o["z"] == "O") & (F.size(o["n"]) == 2) & (self.carbons(o) == 2) & ~o["a"] & ~F.exists(o["n"], lambda n: self.carbonyl(self.atom(n)))
+    @staticmethod
+    def ether(o: Column) -> Column:
+        return o["ether"]
 
-    def ester(self, c: Column) -> Column:
+    @staticmethod
+    def ester(c: Column) -> Column:
         """C(=O)-O-C that is no anhydride."""
-        return self.carbonyl(c) & F.exists(c["n"], lambda n: self.alkoxy(n) & (F.size(F.filter(self.atom(n)["n"], lambda m: self.carbonyl(self.atom(m)))) == 1))
+        return c["ester"]
 
     def lactone(self, c: Column) -> Column:
         return self.ester(c) & F.exists(c["n"], lambda n: self.alkoxy(n) & n["r"])
@@ -98,16 +107,16 @@ class Groups:
         """A carbonyl carbon with so many single-bonded nitrogens and oxygens."""
         return self.carbonyl(c) & (self.number(c, SINGLE, "N") == nitrogen) & (self.number(c, SINGLE, "O") == oxygen)
 
-    def amine(self, n: Column) -> Column:
-        plain = (n["z"] == "N") & ~n["a"] & F.forall(n["n"], lambda m: m["o"] == SINGLE)
-        bound = F.exists(n["n"], lambda m: ((m["z"] == "C") & (self.has(self.atom(m), DOUBLE, "O") | self.has(self.atom(m), DOUBLE, "S"))) | ((m["z"] == "S") & (self.number(self.atom(m), DOUBLE, "O") >= 2)))
-        return plain & ~bound & n["q"].isin(0, 1)
+    @staticmethod
+    def amine(n: Column) -> Column:
+        return n["amine"]
 
     def amine_of(self, degree: int):
         return lambda n: self.amine(n) & (F.size(n["n"]) == degree) & (n["h"] == 3 - degree + n["q"])
 
-    def aldehyde(self, c: Column) -> Column:
-        return self.carbonyl(c) & (c["h"] == 1) & (F.size(F.filter(c["n"], lambda n: (n["z"] == "C"))) == 1)
+    @staticmethod
+    def aldehyde(c: Column) -> Column:
+        return c["aldehyde"]
 
     def aldehyde_alpha(self, c: Column) -> Column:
         return self.atom(F.get(F.filter(c["n"], lambda n: n["z"] == "C"), F.lit(0)))
@@ -131,9 +140,45 @@ def _is(element: str):
     return lambda m: m["z"] == element
 
 
-def feature_columns(mol: Column) -> dict[str, Column]:
+# Marks of atoms, in steps: each step looks at neighbours' marks of the steps before.
+_FIELDS = ("z", "q", "h", "a", "r", "n")
+_MARKS = (
+    {
+        "carbonyl": lambda g, a: (a["z"] == "C") & g.has(a, DOUBLE, "O"),
+        "sp3": lambda g, a: ~a["a"] & F.forall(a["n"], lambda n: n["o"] == SINGLE),
+        "carbons": lambda g, a: F.size(F.filter(a["n"], lambda n: n["z"] == "C")),
+        "hydroxyl": lambda g, a: (a["z"] == "O") & (a["h"] == 1) & (a["q"] == 0) & (F.size(a["n"]) == 1),
+    },
+    {
+        "near_carbonyl": lambda g, a: F.exists(a["n"], lambda n: g.carbonyl(g.atom(n))),
+        "ether": lambda g, o: (o["z"] == "O") & (F.size(o["n"]) == 2) & (g.carbons(o) == 2) & ~o["a"] & ~F.exists(o["n"], lambda n: g.carbonyl(g.atom(n))),
+        "ester": lambda g, c: g.carbonyl(c) & F.exists(c["n"], lambda n: g.alkoxy(n) & (F.size(F.filter(g.atom(n)["n"], lambda m: g.carbonyl(g.atom(m)))) == 1)),
+        "amine": lambda g, n: (n["z"] == "N") & ~n["a"] & F.forall(n["n"], lambda m: m["o"] == SINGLE) & n["q"].isin(0, 1)
+        & ~F.exists(n["n"], lambda m: ((m["z"] == "C") & (g.carbonyl(g.atom(m)) | g.has(g.atom(m), DOUBLE, "S"))) | ((m["z"] == "S") & (g.number(g.atom(m), DOUBLE, "O") >= 2))),
+        "aldehyde": lambda g, c: g.carbonyl(c) & (c["h"] == 1) & (g.carbons(c) == 1),
+    },
+    {
+        "site": lambda g, o: g.hydroxyl(o) & (g.host(o)["z"] == "C") & ~g.carbonyl(g.host(o)) & ~g.oxime(o),
+        "enolic": lambda g, o: F.coalesce(g.has(g.host(o), DOUBLE, "C"), F.lit(False)),
+        "alpha_hydroxy": lambda g, o: F.coalesce(g.sp3(g.host(o)) & g.near_carbonyl(g.host(o)), F.lit(False)),
+    },
+)
+
+
+def marked(each: DataFrame) -> DataFrame:
+    """each (_m) with _atoms, which have their marks as fields, and _rings; a projection for each step."""
+    out, fields = each.withColumns({"_atoms": F.col("_m")["atoms"], "_rings": F.col("_m")["rings"]}), [*_FIELDS]
+    for marks in _MARKS:
+        g = Groups(F.col("_atoms"), F.col("_rings"))
+        step = lambda a: F.struct(*[a[f].alias(f) for f in fields], *[mark(g, a).alias(name) for name, mark in marks.items()])  # noqa: B023, E731
+        out = out.withColumn("_atoms", F.transform("_atoms", step))
+        fields += [*marks]
+    return out
+
+
+def feature_columns(atoms: Column, rings: Column) -> dict[str, Column]:
     """Features of a molecule by name."""
-    g = Groups(mol)
+    g = Groups(atoms, rings)
     site = g.alcohol_site
     degree = lambda low, high: lambda o: site(o) & ~g.enolic(o) & ~g.alpha_hydroxy(o) & ~g.host(o)["a"] & g.carbons(g.host(o)).between(low, high)
     tagged = lambda where: g.count(lambda o: site(o) & ~g.enolic(o) & where(g.host(o)))
@@ -346,13 +391,14 @@ def annotate(rows: DataFrame, smiles: str = "smiles") -> DataFrame:
     Each distinct SMILES is read once; counting stays on the JVM. Columns of rows with a feature's name are replaced.
     """
     each = rows.select(F.col(smiles).alias("_s")).where("_s IS NOT NULL").distinct().withColumn("_m", molecule(F.col("_s")))
-    features = feature_columns(F.col("_m"))
-    counted = each.select("_s", F.col("_m").isNotNull().cast("int").alias("Valid"), *[F.coalesce(c, F.lit("" if n.endswith("Audit") else 0)).alias(n) for n, c in features.items()])
-    counted = counted.withColumn("EsterCount_Open", F.col("EsterCount_Total") - F.col("LactoneCount"))
-    for name, parts in TOTALS.items():
-        counted = counted.withColumn(name, sum((F.col(p) for p in parts[1:]), F.col(parts[0])))
-    counted = counted.withColumn("IsPolyol", (F.col("TotalAlcoholCount") >= 2).cast("int")).withColumn("IsFullySaturated", ((F.col("NumUnsaturatedBonds") == 0) & (F.col("Valid") == 1)).cast("int"))
-    counted = counted.withColumn("HighImpactSummary", F.format_string("T1:%d; T2:%d", "HighImpactTier1Count", "HighImpactTier2Count"))
+    features = feature_columns(F.col("_atoms"), F.col("_rings"))
+    counted = marked(each).select("_s", F.col("_m").isNotNull().cast("int").alias("Valid"), *[F.coalesce(c, F.lit("" if n.endswith("Audit") else 0)).alias(n) for n, c in features.items()])
+    # totals of totals come in their own step
+    totals = {name: sum((F.col(p) for p in parts[1:]), F.col(parts[0])) for name, parts in TOTALS.items()}
+    later = {n: c for n, c in totals.items() if any(p in TOTALS for p in TOTALS[n])}
+    counted = counted.withColumns({"EsterCount_Open": F.col("EsterCount_Total") - F.col("LactoneCount")} | {n: c for n, c in totals.items() if n not in later}).withColumns(later)
+    saturated = ((F.col("NumUnsaturatedBonds") == 0) & (F.col("Valid") == 1)).cast("int")
+    counted = counted.withColumns({"IsPolyol": (F.col("TotalAlcoholCount") >= 2).cast("int"), "IsFullySaturated": saturated, "HighImpactSummary": F.format_string("T1:%d; T2:%d", "HighImpactTier1Count", "HighImpactTier2Count")})
     names = [c for c in counted.columns if c != "_s"]
     kept = [c for c in rows.columns if c not in names]
     joined = rows.select(*kept).join(counted, F.col(smiles) == F.col("_s"), "left")
