@@ -385,6 +385,33 @@ TOTALS = {
 }
 
 
+# Version of the features, and their names.
+SCHEMA_VERSION = 1
+FEATURES = (
+    "Valid PrimaryAlcoholCount SecondaryAlcoholCount TertiaryAlcoholCount PhenolCount EnolicOHCount AlphaHydroxyCarbonylCount OximeCount "
+    "AllylicAlcoholCount PropargylicAlcoholCount BenzylicAlcoholCount HemiacetalCount HemiketalCount AcetalCount KetalCount OrthoesterCount "
+    "AldehydeCount ArylAldehydeCount CyclicAliphaticAldehydeCount AlphaBetaUnsaturatedAldehydeCount EtherCount_Total EtherCount_Cyclic "
+    "EtherCount_Acyclic EpoxideCount ArylOAlkylEtherCount DiarylEtherCount KetoneCount EsterCount_Total LactoneCount CarboxylicAcidCount ThiolCount "
+    "ThiophenolCount AliphaticThiolCount DisulfideCount ThioesterCount ThioetherCount SulfoxideCount SulfoneCount HalogenAtomCount_Total "
+    "HalogenatedCarbonCount HalogenatedPhenolCount AlkylPhenolCount PyridineCount FuranCount ThiopheneCount ThiazoleCount NitroGroupCount ImineCount "
+    "AmideCount_Total LactamCount UreaCount UrethaneCount IsocyanateCount NitrileCount AmineCount_Primary AmineCount_Secondary AmineCount_Tertiary "
+    "NumAromaticAtoms NumRingsTotal NumAromaticRings NumUnsaturatedBonds_All NumUnsaturatedBonds NumAlkeneBonds NumAlkyneBonds CarbonAtomCount "
+    "IsPureHydrocarbon TotalNitrogenAtomCount TotalSulfurAtomCount MacroMusks_Ketones MacroMusks_Lactones MolecularWeight FractionCSP3 "
+    "AldehydeCount_AlphaSubstituted AldehydeCount_BetaSubstituted AldehydeCount_NoAlphaBetaSub CyclicAldehyde_BetaSubCount_0 "
+    "CyclicAldehyde_BetaSubCount_1 CyclicAldehyde_BetaSubCount_2 CyclicAldehyde_BetaSubstitutedCount CyclicAldehyde_NonBetaSubstitutedCount "
+    "AldehydeAudit MalonateDiesterCount MalonateHalfEsterCount MalonicAcidCount MalonateLikeCount AcrylateEsterCount MethacrylateEsterCount "
+    "CarboxylicAcidCount_Fragment Thiophenol_OrthoCount Thiophenol_MetaCount Thiophenol_ParaCount Vicinal12DiolCount OneThreeDiolCount AlcoholAudit "
+    "IndoleCount TerpeneLikeUnitCount IsTerpeneHydrocarbon NumAliphaticRings HydrocarbonRingCount IsHydrocarbonAromatic IsHydrocarbonAliphatic "
+    "EtherAliphaticCount EtherAromaticCount EtherMixedCount EtherRingCount HalogenatedPhenolCount_F HalogenAtomCount_F HalogenatedCarbonCount_F "
+    "HalogenatedArylCarbonCount_F HalogenatedAlkylCarbonCount_F HalogenatedPhenolCount_Cl HalogenAtomCount_Cl HalogenatedCarbonCount_Cl "
+    "HalogenatedArylCarbonCount_Cl HalogenatedAlkylCarbonCount_Cl HalogenatedPhenolCount_Br HalogenAtomCount_Br HalogenatedCarbonCount_Br "
+    "HalogenatedArylCarbonCount_Br HalogenatedAlkylCarbonCount_Br HalogenatedPhenolCount_I HalogenAtomCount_I HalogenatedCarbonCount_I "
+    "HalogenatedArylCarbonCount_I HalogenatedAlkylCarbonCount_I EsterCount_Open TotalAlcoholCount EtherCount NitrileFragmentCount AmineCount_Total "
+    "MacroMusks_Total TotalSulfurGroupCount HighImpactTier1Count HighImpactTier2Count TotalNitrogenGroupCount IsPolyol IsFullySaturated "
+    "HighImpactSummary"
+).split()
+
+
 def annotate(rows: DataFrame, smiles: str = "smiles") -> DataFrame:
     """rows with the features of their molecules; a SMILES that is none gives Valid 0 and zeros.
 

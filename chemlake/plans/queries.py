@@ -336,7 +336,7 @@ def _molecules(spark, d):
 
 def mol_features(spark, d):
     """Features of the molecule of every part."""
-    return molecules.annotate(_molecules(spark, d))
+    return molecules.annotate(_molecules(spark, d)).withColumns({"MolecularWeight": F.round("MolecularWeight", 3), "FractionCSP3": F.round("FractionCSP3", 6)})
 
 
 def smiles_clean(spark, d):

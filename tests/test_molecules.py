@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chemlake.functions.smiles import clean_smiles, molecule_of
-from chemlake.operators.molecules import annotate
+from chemlake.operators.molecules import FEATURES, annotate
 
 CASES = {
     "CCO": {"Valid": 1, "PrimaryAlcoholCount": 1, "TotalAlcoholCount": 1, "PhenolCount": 0},
@@ -72,3 +72,7 @@ def test_cleaning(spark):
 def test_null_and_repeated_rows(spark):
     out = annotate(spark.createDataFrame([(1, None, 5), (2, "CCO", 5), (2, "CCO", 5)], "i int, smiles string, Valid int")).collect()
     assert sorted((r.i, r.Valid, r.PrimaryAlcoholCount) for r in out) == [(1, 0, 0), (2, 1, 1), (2, 1, 1)]
+
+
+def test_features_are_the_schema(spark):
+    assert [c for c in annotate(spark.createDataFrame([("C",)], "smiles string")).columns if c != "smiles"] == FEATURES and len(set(FEATURES)) == len(FEATURES)
