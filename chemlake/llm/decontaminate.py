@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from chemlake.llm import words
 from chemlake.llm.arrays import unused_name
-from chemlake.llm.workspace import Workspace
+from chemlake.llm.workspace import Workspace, small_batches
 
 #: Words of the shortest run that counts as a match, and the share of an item that must be matched.
 LEAST = 5
@@ -166,6 +166,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, least: int = LEAST, cov
     the benchmark are one item; items that share an id with different texts may both be listed.  Texts are looked at
     whole and one by one, so repeated rows have equal leaks; a column called `out` is replaced, others are kept.
     """
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("item_text")).distinct()
     total = items.agg(F.sum(F.octet_length("item_text"))).first()[0] or 0

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chemlake.llm.components import connected_components
-from chemlake.llm.workspace import Workspace
+from chemlake.llm.workspace import Workspace, small_batches
 
 #: Vectors of the bounded sample that pivots are taken from (some kB each), and pivots at most.
 SAMPLE, MOST_PIVOTS = 2_048, 1_024
@@ -114,6 +114,7 @@ def near_vectors(vectors: DataFrame, *, threshold: float = 0.9, vec_id: str = "v
     are compared in smaller tiles.  Ties (a cosine of the threshold) are links.  Other columns are ignored.  The number
     of pivots is chosen by the visits of a sample where none is given; the result does not depend on it.
     """
+    small_batches(vectors.sparkSession)
     work = Workspace(vectors.sparkSession)
     source = vectors.select(F.col(vec_id).cast("long").alias("id"), F.col(embedding).cast("array<double>").alias("embedding"))
     keyed = work.save(source.mapInArrow(_keyed, _KEYED), "keyed")

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chemlake.llm.workspace import small_batches
+
 #: Weights are fitted on the blocks of about so many pages, drawn by a hash of the page's row.
 FIT_PAGES = 2_000
 #: Costs are in nats: what a block's looks may count for at most, and an edge.
@@ -418,6 +420,7 @@ def extract_text(pages: DataFrame, model: Model | None = None, *, html: str = "h
     take time in proportion to their blocks; an empty table stays empty.  The model is trained on pages where none is given.
     A column called `out` is replaced, others are kept.
     """
+    small_batches(pages.sparkSession)
     model = train(pages, html) if model is None else model
 
     @F.arrow_udf("string")

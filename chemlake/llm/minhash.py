@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from chemlake.llm import words
 from chemlake.llm.components import connected_components
-from chemlake.llm.workspace import Workspace
+from chemlake.llm.workspace import Workspace, small_batches
 
 #: Retained values of each sketch.
 SKETCH = 32
@@ -46,6 +46,7 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80, doc
     share a doc_id are one document, linked by any of its texts.  A row without doc_id is linked with
     nothing: its component_id is null and it is kept.  Other columns of docs are ignored.
     """
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     work = Workspace(spark)
     source = docs.select(F.col(doc_id).cast("long").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))

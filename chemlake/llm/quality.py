@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chemlake.llm import words
+from chemlake.llm.workspace import small_batches
 
 #: Features are hashed to 2**BITS columns; a model is three arrays of that many numbers at most.
 BITS = 17
@@ -195,6 +196,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.3,
     Labels are learnt from outside the held-out fold only.  Every row is scored on its whole text alone;
     null and empty texts get the score of no features.  Columns of docs with these names are replaced.
     """
+    small_batches(docs.sparkSession)
     model = fit(docs.where(~held_out(F.col(doc_id))), labels, doc_id=doc_id, text=text)
     scored = docs.withColumns({"held_out": held_out(F.col(doc_id)), "score": scorer(docs.sparkSession, model)(F.coalesce(F.col(text), F.lit("")))})
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

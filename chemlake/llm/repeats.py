@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chemlake.llm.workspace import Workspace
+from chemlake.llm.workspace import Workspace, small_batches
 
 #: Ends of a unit's pattern: the line, the blank line, or a mark that white space or the end follows.
 UNITS = {
@@ -60,6 +60,7 @@ def repeated_units(docs: DataFrame, *, unit: str = "line", least_words: int = 1,
     empty texts have no units, and an empty table no rows; very long texts are read whole, a unit at a time.  Other
     columns of docs are ignored, whatever they are called.
     """
+    small_batches(docs.sparkSession)
     work = Workspace(docs.sparkSession)
     source = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"))
     units = work.save(source.mapInArrow(_units(UNITS[unit], least_words), _COLUMNS), "units")

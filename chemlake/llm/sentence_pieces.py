@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from chemlake.llm.arrays import unused_name
+from chemlake.llm.workspace import small_batches
 
 SPACE = "▁"
 #: Segments kept with their pieces in each Python worker; beyond that the cache starts anew.
@@ -376,6 +377,7 @@ def encode_pieces(docs: DataFrame, model_path: str, text: str = "text", out: str
     rows, ties, very long texts and empty tables need no rule.  A column of docs called `out` is replaced;
     others are kept.
     """
+    small_batches(docs.sparkSession)
     with open(model_path, "rb") as file:
         model = file.read()  # about 0.5 MB; it travels with the task
     rest, whole = [c for c in docs.columns if c != out], unused_name(docs, "whole_text")

@@ -15,6 +15,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chemlake.llm.workspace import small_batches
+
 #: Pre-tokens kept with their counts in each Python worker; beyond that the cache starts anew.
 CACHE_WORDS = 500_000
 #: Longer pre-tokens are counted each time, so the cache stays small whatever the texts hold.
@@ -149,6 +151,7 @@ def count_tokens(docs: DataFrame, vocabulary_path: str, limit: int = 1024, text:
     empty tables need no rule, and texts of any length are counted whole.  Columns of docs called n_bytes,
     n_tokens or over_limit are replaced; others are kept.
     """
+    small_batches(docs.sparkSession)
     whole = F.coalesce(F.col(text), F.lit(""))
     counted = docs.withColumns({"n_bytes": F.octet_length(whole).cast("long"), "n_tokens": token_counter(vocabulary_path)(whole)})
     return counted.withColumn("over_limit", F.col("n_tokens") > F.lit(limit))

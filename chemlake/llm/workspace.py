@@ -10,6 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 _OPEN: list[Workspace] = []
 
+#: Bytes of rows that go to Python at once; Spark's own limit would let a batch of long texts take sixteen times this.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's limit on the bytes of an Arrow batch to BATCH_BYTES, if it is higher."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not spark.conf.get(name).rstrip("b").isdigit() or int(spark.conf.get(name).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir; where it is unset and Spark runs in one process (as in tests), a folder under the system's temporary one."""
