@@ -1,7 +1,8 @@
 """Workbooks as a Spark data source: spark.read.format("xlsx"), df.write.format("xlsx").
 
-Every column is text, under the header's names. One file is one partition when read (a sheet holds about a million rows
-at most); each task writes a workbook of its own.
+Every column is text, under the header's names. One file is one partition when read; each task writes a workbook of its
+own, of MOST_ROWS at most. Files appear when the whole write is done, and only then do the ones that they replace go.
+Paths are folders of a file system that driver and executors share under one name.
 Options: path; sheet (name or number; the first sheet where the name is missing and fallback is true).
 """
 
@@ -23,6 +24,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 # Names of the parts of a workbook.
 MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+#: Rows of a sheet, its header among them.
+MOST_ROWS = 1_048_576
 RELATION = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
 
@@ -74,7 +77,7 @@ def read_rows(path: str, sheet: str = "0", fallback: bool = True) -> Iterator[li
 
 
 def write_rows(path: str, sheet: str, header: list[str], rows) -> None:
-    """A workbook of one sheet; it appears under its name when it is whole."""
+    """A workbook of one sheet; it appears under its name when it is whole. More rows than a sheet holds are an error."""
     draft = f"{path}.{uuid.uuid4().hex}.part"
     line = lambda values: "<row>" + "".join("<c/>" if v is None else f'<c t="inlineStr"><is><t xml:space="preserve">{escape(str(v))}</t></is></c>' for v in values) + "</row>"
     with zipfile.ZipFile(draft, "w", zipfile.ZIP_DEFLATED) as book:
@@ -85,7 +88,9 @@ def write_rows(path: str, sheet: str, header: list[str], rows) -> None:
         with book.open("xl/worksheets/sheet1.xml", "w") as part:
             part.write(b'<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>')
             part.write(line(header).encode())
-            for row in rows:
+            for k, row in enumerate(rows, 2):
+                if k > MOST_ROWS:
+                    raise ValueError(f"a sheet holds {MOST_ROWS} rows: write more partitions")
                 part.write(line(row).encode())
             part.write(b"</sheetData></worksheet>")
     os.replace(draft, path)
@@ -111,17 +116,33 @@ class XlsxReader(DataSourceReader):
             yield tuple(row[p] if p is not None and p < len(row) else None for p in places)
 
 
+@dataclass
+class _Written(WriterCommitMessage):
+    draft: str
+
+
 class XlsxWriter(DataSourceWriter):
     def __init__(self, schema: StructType, options: dict, overwrite: bool):
         self.names, self.options = schema.names, dict(options)
         os.makedirs(self.options["path"], exist_ok=True)
-        if overwrite:
-            for f in _files(self.options["path"]):
-                os.remove(f)
+        self.replaced = _files(self.options["path"]) if overwrite else []
 
     def write(self, iterator):
-        write_rows(f"{self.options['path']}/part-{uuid.uuid4().hex}.xlsx", self.options.get("sheet", "Sheet1"), self.names, (tuple(r) for r in iterator))
-        return WriterCommitMessage()
+        draft = f"{self.options['path']}/part-{uuid.uuid4().hex}.xlsx.draft"
+        write_rows(draft, self.options.get("sheet", "Sheet1"), self.names, (tuple(r) for r in iterator))
+        return _Written(draft)
+
+    def commit(self, messages):
+        for m in messages:
+            if m:
+                os.replace(m.draft, m.draft.removesuffix(".draft"))
+        for f in self.replaced:
+            os.remove(f)
+
+    def abort(self, messages):
+        for m in messages:
+            if m and os.path.exists(m.draft):
+                os.remove(m.draft)
 
 
 class XlsxSource(DataSource):

@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from chemlake.functions import mixtures, text, units
-from chemlake.operators import canonical, ingest, properties, registry, resolver
-from chemlake.sources import tables, xlsx
+from chemlake.operators import canonical, ingest, properties, provider, registry, resolver
+from chemlake.sources import dumps, tables, xlsx
 from chemlake.streaming import customer_stream
 
 KEY, OTHER = "ABCDEFGHIJKLMN-OPQRSTUVWX-Y", "BBCDEFGHIJKLMN-OPQRSTUVWX-Y"
@@ -143,3 +143,43 @@ def test_stream_equals_batch(spark, tmp_path):
     for r in rows:
         best[r[:2]] = max(best.get(r[:2], ""), r[2])
     assert {(r.customer_id, r.cas_number_normalized): r.timestamp_seen_utc for r in tables.read_run(spark, f"{tmp_path}/map").collect()} == best
+
+
+def test_a_new_checkpoint_goes_on_from_the_map(spark, tmp_path):
+    kind = "customer_id string, cas_number_normalized string, timestamp_seen_utc string, code string, name string, cas_validity string"
+    for k in range(3):
+        spark.createDataFrame([("c", str(k), "2024-01-01", "x", "n", "valid")], kind).write.parquet(f"{tmp_path}/in{k}")
+        stream = spark.readStream.schema(kind).parquet(f"{tmp_path}/in{k}")
+        customer_stream.keep_customer_map(stream, f"{tmp_path}/map", f"{tmp_path}/check{k}", kept_runs=2).awaitTermination()
+    assert sorted(r.cas_number_normalized for r in tables.read_run(spark, f"{tmp_path}/map").collect()) == ["0", "1", "2"]
+    assert len(tables.run_names(spark, f"{tmp_path}/map")) == 2 and tables.run_names(spark, f"{tmp_path}/none") == []
+
+
+def test_workbooks_are_replaced_when_the_new_ones_are_whole(spark, tmp_path, monkeypatch):
+    xlsx.register(spark)
+    folder = f"{tmp_path}/book"
+    spark.createDataFrame([("1",), ("2",)], "a string").coalesce(1).write.format("xlsx").mode("append").save(folder)
+    bad = spark.createDataFrame([("3",)], "a string").selectExpr("raise_error('no') AS a")
+    with pytest.raises(Exception, match="no"):
+        bad.write.format("xlsx").mode("overwrite").save(folder)
+    read = lambda: sorted(r.a for r in spark.read.format("xlsx").load(folder).collect())
+    assert read() == ["1", "2"]
+    spark.createDataFrame([("4",)], "a string").coalesce(1).write.format("xlsx").mode("overwrite").save(folder)
+    assert read() == ["4"]
+    monkeypatch.setattr(xlsx, "MOST_ROWS", 2)
+    with pytest.raises(ValueError):
+        xlsx.write_rows(f"{folder}/x.xlsx", "s", ["a"], [("1",), ("2",)])
+
+
+def test_provider_answers(spark):
+    answer = '{"Record":{"Section":[{"Information":[{"Name":"Density","Value":{"Number":[0.9,1],"Unit":"g/mL"}}],"Section":[{"Section":[{"Information":[{"Name":"Melting Point","Value":{"StringWithMarkup":[{"String":"77 F"}]}}]}]}]}]}}'
+    rows = spark.createDataFrame([(1, answer), (2, "no json"), (3, None), (4, '{"Record":{}}')], "i int, answer string")
+    out = {r.i: r for r in provider.properties(rows).collect()}
+    assert out[1].experimental_density_g_ml == 0.9 and out[1].experimental_melting_point_c == pytest.approx(25.0) and out[1].source_logp is None and out[1].warnings == ""
+    assert all(out[i].warnings == "no usable entries in the answer" and out[i].experimental_density_g_ml is None for i in (2, 3, 4))
+
+
+def test_statements_span_lines(spark, tmp_path):
+    (tmp_path / "dump.sql").write_text("CREATE TABLE t (a SERIAL)\nCASCADE;\nINSERT INTO t VALUES\n(1, 'a;b'),\n(2, NULL);\n")
+    rows = dumps.insert_rows(dumps.read_statements(spark, f"{tmp_path}/dump.sql"), "t", ["a", "b"])
+    assert sorted((r.a, r.b) for r in rows.collect()) == [("1", "a;b"), ("2", None)]
