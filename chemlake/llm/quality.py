@@ -193,8 +193,10 @@ def held_out(doc_id: Column) -> Column:
 def score_quality(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with held_out, score (0 to 1; higher: label 1 likelier) and predicted (1 if score >= threshold).
 
-    Labels are learnt from outside the held-out fold only.  Every row is scored on its whole text alone;
-    null and empty texts get the score of no features.  Columns of docs with these names are replaced.
+    Labels are learnt from outside the held-out fold only.  Every row is scored on its whole text alone, so equal texts and
+    repeated rows have equal scores, and very long texts are read whole; null and empty texts get the score of no
+    features.  A score of just the threshold is predicted 1.  An empty table stays empty, and without usable labels
+    every score is 0.5.  Columns of docs with these names are replaced.
     """
     small_batches(docs.sparkSession)
     model = fit(docs.where(~held_out(F.col(doc_id))), labels, doc_id=doc_id, text=text)
