@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chemlake.llm import chat, decontaminate, embeddings, html_text, minhash, oracles, pii, quality, repeats, sentence_pieces, token_counts
+from chemlake.llm import chat, decontaminate, embeddings, html_text, minhash, oracles, periodic_runs, pii, quality, repeats, sentence_pieces, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,8 +93,44 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words of every document, after the periods that the query plants in a tenth of them."""
+    docs = with_planted_periods(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return run_digests(periodic_runs.find_runs(docs, least=12))
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """docs with the words of each text whose id hashes to a multiple of ten repeated from some word on; texts without id stay."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    g = F.floor(h / 10)
+    chosen = docs.withColumns({"_g": g, "_words": F.when(h % 10 == 0, words)}).withColumn("_n", F.size("_words").cast("long"))
+    placed = chosen.withColumn("_from", F.when(F.col("_n") > 0, F.col("_g") % F.col("_n")))
+    period = F.lit(1) + F.floor((F.col("_n") - F.col("_from")) / (F.lit(3) + F.col("_g") % 8))
+    measured = placed.withColumn("_p", period)
+    word = lambda i: F.get("_words", F.when(i < F.col("_from"), i).otherwise(F.col("_from") + (i - F.col("_from")) % F.col("_p")).cast("int"))
+    again = F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1), word), " ")
+    return measured.withColumn("text", F.when(F.col("_n") > 0, again).otherwise(F.col("text"))).drop("_g", "_words", "_n", "_from", "_p")
+
+
+def run_digests(found: DataFrame) -> DataFrame:
+    runs = F.col("runs.runs")
+    longest = F.array_min(F.transform(runs, lambda r: F.struct((-r["length"]).alias("minus"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.array_join(F.transform(runs, lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n"))), "")
+    return found.withColumn("best", longest).select(
+        "doc_id",
+        F.size(runs).cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        (-F.col("best.minus")).alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("(-best.minus * 1000) div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2(F.col("runs.collapsed"), 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_vectors, op2_pii, op3_decontaminate, op4_repeats, op5_quality, op6_token_counts, op7_preferences, op8_minhash, op9_sentence_pieces, op10_html_text)}
+    return {f.__name__: f for f in (op1_near_vectors, op2_pii, op3_decontaminate, op4_repeats, op5_quality, op6_token_counts, op7_preferences, op8_minhash, op9_sentence_pieces, op10_html_text, op13_periodic_runs)}
 
 
 def oracle_sql() -> dict[str, str]:
