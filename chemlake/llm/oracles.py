@@ -106,3 +106,31 @@ SELECT z.doc_id, z.n::BIGINT AS n_shingles, least(z.doc_id, coalesce(l.low, z.do
        z.doc_id = least(z.doc_id, coalesce(l.low, z.doc_id)) AS kept
 FROM sizes z LEFT JOIN least l ON l.id = z.doc_id
 """
+
+_DIVERGE = "(p.p::HUGEINT - q.p) * (p.p::HUGEINT - q.p) // (p.p::HUGEINT + q.p)"
+
+OP12 = f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms FROM documents
+),
+words AS (SELECT k, lang, source, unnest(terms) AS term FROM docs),
+kept AS MATERIALIZED (SELECT lang, term FROM words GROUP BY ALL HAVING count(DISTINCT k) >= 10),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+found AS (SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY ALL),
+filled AS (SELECT g.lang, g.source, t.term, coalesce(f.n, 0) AS n FROM groups g JOIN kept t USING (lang) LEFT JOIN found f USING (lang, source, term)),
+shares AS MATERIALIZED (
+    SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER w + 2 * count(*) OVER w) AS p FROM filled WINDOW w AS (PARTITION BY lang, source)
+),
+per_lang AS (SELECT lang, term, sum(n) AS n FROM filled GROUP BY ALL),
+of_lang AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER w + 2 * count(*) OVER w) AS p FROM per_lang WINDOW w AS (PARTITION BY lang)),
+pairs AS (SELECT a.lang, a.source, b.source AS item FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source),
+summed AS (SELECT p.lang, p.source, q.source AS item, sum({_DIVERGE}) AS value FROM shares p JOIN shares q ON p.lang = q.lang AND p.term = q.term AND p.source <> q.source GROUP BY ALL),
+parts AS (
+    SELECT lang, source, 'pair' AS part, item, coalesce(value, 0)::BIGINT AS value FROM pairs LEFT JOIN summed USING (lang, source, item)
+    UNION ALL
+    SELECT p.lang, p.source, 'term', p.term, ({_DIVERGE})::BIGINT FROM shares p JOIN of_lang q USING (lang, term) WHERE p.n > 0 AND p.p > q.p
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM parts)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chemlake.llm import chat, decontaminate, embeddings, html_text, minhash, oracles, periodic_runs, pii, quality, repeats, sentence_pieces, token_counts
+from chemlake.llm import chat, decontaminate, divergence, embeddings, html_text, minhash, oracles, periodic_runs, pii, quality, repeats, sentence_pieces, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,6 +93,11 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How each two sources of a language diverge, and the ten terms that stand out most in each source."""
+    return divergence.audit_sources(_table(spark, sf_dir, "documents"), least_docs=10, top=10)
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of words of every document, after the periods that the query plants in a tenth of them."""
     docs = with_planted_periods(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -130,9 +135,9 @@ def run_digests(found: DataFrame) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_vectors, op2_pii, op3_decontaminate, op4_repeats, op5_quality, op6_token_counts, op7_preferences, op8_minhash, op9_sentence_pieces, op10_html_text, op13_periodic_runs)}
+    return {f.__name__: f for f in (op1_near_vectors, op2_pii, op3_decontaminate, op4_repeats, op5_quality, op6_token_counts, op7_preferences, op8_minhash, op9_sentence_pieces, op10_html_text, op12_source_divergence, op13_periodic_runs)}
 
 
 def oracle_sql() -> dict[str, str]:
     """The other queries are held against plain versions in tests/llm."""
-    return {"op1_near_vectors": oracles.OP1, "op4_repeats": oracles.OP4, "op7_preferences": oracles.OP7, "op8_minhash": oracles.OP8}
+    return {"op1_near_vectors": oracles.OP1, "op4_repeats": oracles.OP4, "op7_preferences": oracles.OP7, "op8_minhash": oracles.OP8, "op12_source_divergence": oracles.OP12}
