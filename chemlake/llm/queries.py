@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chemlake.llm import chat, decontaminate, divergence, embeddings, html_text, minhash, oracles, periodic_runs, pii, quality, repeats, sentence_pieces, token_counts
+from chemlake.llm import chat, decontaminate, divergence, embeddings, html_text, minhash, oracles, periodic_runs, pii, quality, repeats, sentence_pieces, token_counts, token_files
+from chemlake.llm.workspace import Workspace
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,6 +94,14 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document under the 49k vocabulary, each with id 1 at its end, as read back from the token files."""
+    docs = token_files.in_order(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    folder = f"{Workspace(spark).root}/token-files"
+    token_files.write_token_files(token_files.encode_ids(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1), folder)
+    return token_files.read_token_files(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How each two sources of a language diverge, and the ten terms that stand out most in each source."""
     return divergence.audit_sources(_table(spark, sf_dir, "documents"), least_docs=10, top=10)
@@ -135,7 +144,7 @@ def run_digests(found: DataFrame) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_vectors, op2_pii, op3_decontaminate, op4_repeats, op5_quality, op6_token_counts, op7_preferences, op8_minhash, op9_sentence_pieces, op10_html_text, op12_source_divergence, op13_periodic_runs)}
+    return {f.__name__: f for f in (op1_near_vectors, op2_pii, op3_decontaminate, op4_repeats, op5_quality, op6_token_counts, op7_preferences, op8_minhash, op9_sentence_pieces, op10_html_text, op11_token_files, op12_source_divergence, op13_periodic_runs)}
 
 
 def oracle_sql() -> dict[str, str]:
