@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from chemlake.functions import units
 
-_INFO = "Information: array<struct<Name: string, Value: struct<Number: string, Unit: string, String: string, StringWithMarkup: array<struct<String: string>>>>>"
-#: Sections within sections that are read.
-LEVELS = 5
-
 # Properties, and the words that their entries' names hold.
 PROPERTIES = {
     "boiling_point_c": ("boiling",),
@@ -30,34 +26,55 @@ PROPERTIES = {
 }
 
 
-def _schema(levels: int) -> str:
-    return f"struct<{_INFO}" + (f", Section: array<{_schema(levels - 1)}>>" if levels else ">")
+_ENTRY = "struct<name:string,value:string,unit:string,text:string>"
+_FOUND = f"struct<path:array<int>,entry:{_ENTRY}>"
+
+
+def _list(variant: str, path: str) -> str:
+    return f"coalesce(try_variant_get({variant}, '{path}', 'array<variant>'), array())"
 
 
-def _entries(section: Column, levels: int) -> Column:
-    """Entries of a section, then those of its sections in order."""
-    own = F.coalesce(section["Information"], F.array().cast(f"array<{_INFO.partition('array<')[2]}"))
-    if not levels:
-        return own
-    return F.concat(own, F.coalesce(F.flatten(F.transform(section["Section"], lambda s: _entries(s, levels - 1))), F.array().cast(f"array<{_INFO.partition('array<')[2]}")))
+def _entry(e: str) -> str:
+    """SQL: an entry's number (the first one of a list) with its unit, else its text, else its first marked-up text."""
+    is_number = lambda v: f"schema_of_variant({v}) RLIKE '^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL)'"
+    as_text = lambda v: f"CAST(try_variant_get({v}, '$', 'double') AS STRING)"
+    value = f"variant_get({e}, '$.Value')"
+    first = f"get(filter(transform({_list(e, '$.Value.Number')}, n -> IF({is_number('n')}, {as_text('n')}, NULL)), n -> n IS NOT NULL), 0)"
+    single = f"try_variant_get({e}, '$.Value.Number', 'string')"
+    plain = f"coalesce(try_variant_get({e}, '$.Value.String', 'string'), try_variant_get({e}, '$.Value.StringWithMarkup[0].String', 'string'))"
+    number = f"CASE WHEN schema_of_variant(variant_get({e}, '$.Value.Number')) LIKE 'ARRAY%' THEN {first} WHEN {is_number(f"variant_get({e}, '$.Value.Number')")} THEN {as_text(f"variant_get({e}, '$.Value.Number')")} ELSE {single} END"
+    has, unit = f"try_variant_get({e}, '$.Value.Number', 'variant') IS NOT NULL", f"try_variant_get({e}, '$.Value.Unit', 'string')"
+    fields = f"'name', lower(try_variant_get({e}, '$.Name', 'string')), 'value', IF({has}, {number}, {plain}), 'unit', IF({has}, {unit}, NULL), 'text', IF({has}, concat_ws(' ', {number}, {unit}), {plain})"
+    return f"IF(schema_of_variant({value}) LIKE 'OBJECT%', named_struct({fields}), NULL)"
 
 
-def information(answer: Column) -> Column:
-    """array<struct<name, value, unit, text>> of a JSON answer, its Record's entries in depth-first order; empty for anything else.
+def _walked(answer: str, sections: str) -> str:
+    """SQL: the entries of sections and of all sections in them, at any depth, each section's own before those of its sections.
 
-    Of an entry the number (the first of several) with its unit counts, else the text, else the first marked-up text.
+    A step reads the entries of the sections that are open and opens theirs; there are no more levels than places where
+    the answer names sections.  Paths give the order.
     """
-    record = F.from_json(answer, f"struct<Record: {_schema(LEVELS)}>")["Record"]
-    numbers = lambda v: F.coalesce(F.get(F.from_json(v["Number"], "array<double>"), F.lit(0)), v["Number"].try_cast("double"))
+    opened = f"transform({sections}, (s, k) -> named_struct('path', array(1, k), 'section', s))"
+    entries = f"flatten(transform(w.open, o -> transform({_list('o.section', '$.Information')}, (e, k) -> named_struct('path', concat(o.path, array(0, k)), 'entry', {_entry('e')}))))"
+    deeper = f"flatten(transform(w.open, o -> transform({_list('o.section', '$.Section')}, (s, k) -> named_struct('path', concat(o.path, array(1, k)), 'section', s))))"
+    step = f"IF(size(w.open) = 0, w, named_struct('done', concat(w.done, {entries}), 'open', {deeper}))"
+    walk = f"""aggregate(sequence(1, greatest(1, regexp_count({answer}, '"Section"'))), named_struct('done', CAST(array() AS array<{_FOUND}>), 'open', {opened}), (w, i) -> {step}, w -> w.done)"""
+    return f"transform(array_sort({walk}, (a, b) -> CASE WHEN a.path < b.path THEN -1 WHEN a.path > b.path THEN 1 ELSE 0 END), f -> f.entry)"
 
-    def entry(i: Column) -> Column:
-        v = i["Value"]
-        number, plain = numbers(v).cast("string"), F.coalesce(v["String"], F.get(v["StringWithMarkup"], F.lit(0))["String"])
-        has = v["Number"].isNotNull()
-        return F.struct(F.lower(i["Name"]).alias("name"), F.when(has, number).otherwise(plain).alias("value"), F.when(has, v["Unit"]).alias("unit"), F.when(has, F.concat_ws(" ", number, v["Unit"])).otherwise(plain).alias("text"))
 
-    found = F.filter(F.transform(_entries(record, LEVELS), entry), lambda e: e["value"].isNotNull())
-    return F.coalesce(found, F.array().cast("array<struct<name:string,value:string,unit:string,text:string>>"))
+def information(answers: DataFrame, answer: str, out: str) -> DataFrame:
+    """answers with `out`, array<struct<name, value, unit, text>>: an answer's entries in depth-first order, those without value left out.
+
+    Entries are those of Record's sections, at any depth, or where there are none those of the first compound's sections.
+    Of an entry the number (the first one of a list) with its unit counts, else the text, else the first marked-up text.
+    An answer that is null, no JSON or of another shape has no entries.
+    """
+    read = answers.withColumn("_json", F.expr(f"try_parse_json(CAST({answer} AS STRING))"))
+    record = read.withColumn(out, F.expr(f"filter({_walked(answer, _list('_json', '$.Record.Section'))}, e -> e IS NOT NULL)"))
+    # the other shape is walked only where the first one holds no entry at all
+    compound = f"filter({_walked(answer, _list('_json', '$.PC_Compounds[0].Section'))}, e -> e IS NOT NULL)"
+    both = record.withColumn(out, F.expr(f"IF(size({out}) > 0 OR _json IS NULL, {out}, {compound})"))
+    return both.withColumn(out, F.expr(f"coalesce(filter({out}, e -> e.value IS NOT NULL), CAST(array() AS array<{_ENTRY}>))")).drop("_json")
 
 
 def _normal(prop: str, e: Column) -> Column:
@@ -81,7 +98,7 @@ def properties(answers: DataFrame, answer: str = "answer") -> DataFrame:
 
     The first entry counts whose name holds one of a property's words; its source is named even if its unit gives no value.
     """
-    out = answers.withColumn("_found", information(F.col(answer)))
+    out = information(answers, answer, "_found")
     first = lambda words: F.get(F.filter("_found", lambda e: F.rlike(e["name"], F.lit("|".join(map(re.escape, words))))), F.lit(0))
     firsts = {p: first(words) for p, words in PROPERTIES.items()}
     out = out.withColumns({f"_{p}": e for p, e in firsts.items()})

@@ -88,10 +88,13 @@ SMILES = """SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN repeat('C', CAST(p_
     WHEN 2 THEN 'OS(=O)(=O)O.[Cu].no_smiles_at_all' WHEN 3 THEN ' ' || repeat('C', p_size % 9 + 1) || '&#46;O' || chr(10) WHEN 4 THEN CASE p_partkey % 4 WHEN 0 THEN '&nbsp;' ELSE 'nbsp' END
     ELSE 'bad_' || repeat('x', p_size % 9) || '.' || repeat('y', CAST(p_partkey % 9 + 1 AS INT)) || '_z' END AS raw FROM {part}"""
 
-#: A provider's answers: entries at two depths of sections, with numbers, lists of them, texts and marked-up texts.
-ANSWERS = """SELECT p_partkey, CASE WHEN p_partkey % 10 = 0 THEN translate('<"Fault":1>', '<>', chr(123) || chr(125)) ELSE translate('<"Record":<"Section":[<"Information":[<"Name":"Other">,<"Name":"Boiling Point","Value":<"Number":[' || CAST(p_size + 300 AS STRING) || ',1],"Unit":"K">>],
+#: A provider's answers: entries at two depths of sections and at fourteen, with numbers, lists of them, texts and marked-up texts; some of the second shape.
+ANSWERS = """SELECT p_partkey, CASE WHEN p_partkey % 10 = 0 THEN translate('<"Fault":1>', '<>', chr(123) || chr(125))
+WHEN p_partkey % 10 = 1 THEN translate('<"PC_Compounds":[<"Section":[<"Section":[<"Information":[<"Name":"Melting Point","Value":<"String":"' || CAST(p_size AS STRING) || ' C">>]>]>]>]>', '<>', chr(123) || chr(125)) ELSE translate('<"Record":<"Section":[<"Information":[<"Name":"Other">,<"Name":"Boiling Point","Value":<"Number":[' || CAST(p_size + 300 AS STRING) || ',1],"Unit":"K">>],
 "Section":[<"Information":[<"Name":"Boiling Point","Value":<"Number":1,"Unit":"C">>,<"Name":"Vapor Pressure","Value":<"Number":' || CAST(p_size AS STRING) || ',"Unit":"' || CASE p_partkey % 3 WHEN 0 THEN 'kPa' WHEN 1 THEN 'mmHg' ELSE 'ell' END || '">>]>,
-<"Information":[<"Name":"Density","Value":<"String":"' || CAST(p_size % 9 AS STRING) || '">>,<"Name":"Refractive Index","Value":<"StringWithMarkup":[<"String":"1.4' || CAST(p_size % 9 AS STRING) || ' at 20 C">]>>,<"Name":"XLogP (log P)","Value":<"Number":' || CAST(p_size AS STRING) || '.5>>]>]>]>>', '<>', chr(123) || chr(125)) END AS answer FROM {part}"""
+<"Information":[<"Name":"Density","Value":<"String":"' || CAST(p_size % 9 AS STRING) || '">>,<"Name":"Refractive Index","Value":<"StringWithMarkup":[<"String":"1.4' || CAST(p_size % 9 AS STRING) || ' at 20 C">]>>,<"Name":"XLogP (log P)","Value":<"Number":' || CAST(p_size AS STRING) || '.5>>]>,' || repeat('<"Section":[', 12)
+|| '<"Information":[<"Name":"Aqueous Solubility","Value":<"Number":[null,"n",' || CAST(p_size AS STRING) || '],"Unit":"' || CASE p_partkey % 3 WHEN 0 THEN 'mg/L' WHEN 1 THEN 'g/L' ELSE 'cup' END || '">>,<"Name":"Heat of Vaporization","Value":<"Number":' || CAST(p_size AS STRING)
+|| ',"Unit":"' || CASE p_partkey % 3 WHEN 0 THEN 'kJ/mol' WHEN 1 THEN 'kcal/mol' ELSE 'J' END || '">>]>' || repeat(']>', 12) || ']>]>>', '<>', chr(123) || chr(125)) END AS answer FROM {part}"""
 
 
 def spark_sql(text: str) -> str:

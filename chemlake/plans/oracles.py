@@ -225,11 +225,14 @@ SELECT key, round(v * f, 6) AS pa, CASE WHEN u IS NULL THEN 'Missing unit for pr
     round(CASE k % 5 WHEN 1 THEN v - 273.15::DOUBLE WHEN 2 THEN (v - 32.0::DOUBLE) * 5.0::DOUBLE / 9.0::DOUBLE ELSE v END, 6) AS first_celsius, round(CASE k % 5 WHEN 1 THEN v - 273.15::DOUBLE WHEN 3 THEN v END, 6) AS named_celsius,
     CASE WHEN u IS NOT NULL AND u <> 'furlong' THEN round(v * f, 6) END AS strict_pa, CASE WHEN u IS NULL THEN 'pressure without unit' WHEN u = 'furlong' THEN 'pressure unit not supported: furlong' END AS strict_warning FROM u"""
 O["provider_properties"] = """
-WITH p AS (SELECT p_partkey, p_partkey % 10 <> 0 AS known, p_partkey % 3 AS k, p_size AS n FROM part)
+WITH p AS (SELECT p_partkey, p_partkey % 10 > 1 AS known, p_partkey % 10 = 1 AS second, p_partkey % 3 AS k, p_size AS n FROM part)
 SELECT p_partkey, CASE WHEN known THEN round(n + 300 - 273.15::DOUBLE, 6) END AS boiling_point_c, CASE WHEN known AND k < 2 THEN round(n * CASE k WHEN 0 THEN 1000.0::DOUBLE ELSE 133.322::DOUBLE END, 6) END AS vapor_pressure_pa,
     CASE WHEN known AND n % 9 > 0 AND n % 9 < 5 THEN (n % 9)::DOUBLE END AS density_g_ml, CASE WHEN known THEN 1.4::DOUBLE + (n % 9) / 100.0::DOUBLE END AS refractive_index, CASE WHEN known THEN n + 0.5::DOUBLE END AS logp,
-    CASE WHEN known THEN 'pubchem' END AS source_density_g_ml, NULL::VARCHAR AS source_melting_point_c, CASE WHEN known THEN 20.0::DOUBLE END AS experimental_refractive_index_temperature_c,
-    CASE WHEN NOT known THEN 'no usable entries in the answer' ELSE concat_ws('; ', CASE WHEN k = 2 THEN 'pressure unit not supported: ell' END, CASE WHEN n % 9 = 0 OR n % 9 >= 5 THEN 'density without unit' END) END AS warnings FROM p"""
+    CASE WHEN second THEN n::DOUBLE END AS melting_point_c, CASE WHEN known AND k < 2 THEN n * CASE k WHEN 0 THEN 1.0::DOUBLE ELSE 1000.0::DOUBLE END END AS water_solubility_mg_l,
+    CASE WHEN known AND k < 2 THEN round(n * CASE k WHEN 0 THEN 1.0::DOUBLE ELSE 4.184::DOUBLE END, 6) END AS heat_of_vaporization_kj_mol,
+    CASE WHEN known THEN 'pubchem' END AS source_density_g_ml, CASE WHEN second THEN 'pubchem' END AS source_melting_point_c, CASE WHEN known THEN 20.0::DOUBLE END AS experimental_refractive_index_temperature_c,
+    CASE WHEN second THEN '' WHEN NOT known THEN 'no usable entries in the answer' ELSE concat_ws('; ', CASE WHEN k = 2 THEN 'pressure unit not supported: ell' END, CASE WHEN n % 9 = 0 OR n % 9 >= 5 THEN 'density without unit' END,
+        CASE WHEN k = 2 THEN 'solubility unit not supported: cup' END, CASE WHEN k = 2 THEN 'heat of vaporization unit not supported' END) END AS warnings FROM p"""
 
 O["fallback_estimates"] = """
 WITH p AS (SELECT p_partkey, p_retailprice AS mw, p_size / 8.0::DOUBLE AS c, CASE WHEN p_partkey % 3 = 0 THEN 80.0::DOUBLE END AS e, p_partkey % 4 AS rings FROM part),

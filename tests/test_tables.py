@@ -1,5 +1,7 @@
 """Merges, properties, pages, sources and the stream."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -183,3 +185,26 @@ def test_statements_span_lines(spark, tmp_path):
     (tmp_path / "dump.sql").write_text("CREATE TABLE t (a SERIAL)\nCASCADE;\nINSERT INTO t VALUES\n(1, 'a;b'),\n(2, NULL);\n")
     rows = dumps.insert_rows(dumps.read_statements(spark, f"{tmp_path}/dump.sql"), "t", ["a", "b"])
     assert sorted((r.a, r.b) for r in rows.collect()) == [("1", "a;b"), ("2", None)]
+
+
+def test_provider_answers_of_any_depth_and_shape(spark):
+    """Thirty levels, each with an entry of its own before those below it; lists; the second shape; what is no answer."""
+    number = lambda name, value, unit=None: {"Name": name, "Value": {"Number": value} | ({"Unit": unit} if unit else {})}
+    deep = {"Information": [number("Deepest", 30)]}
+    for k in range(29, 0, -1):
+        deep = {"Section": [deep, {"Information": [number(f"After {k}", k)]}, {"odd": 1}, "text"], "Information": [number(f"Level {k}", k)]}
+    entries = [number("List", [None, "x", True, 2.5, 3]), {"Name": "Text", "Value": {"String": "as is"}}, {"Name": "Marked", "Value": {"StringWithMarkup": [{"String": "m"}, {"String": "n"}]}}, {"Name": "Odd", "Value": 7}, "entry", {"Value": {"Number": 4}}]
+    answers = [
+        (1, json.dumps({"Record": {"Section": [deep]}})),
+        (2, json.dumps({"Record": {"Section": [{"Information": entries}]}})),
+        (3, json.dumps({"PC_Compounds": [{"Section": [{"Section": [{"Information": [number("Flash Point", 9, "C")]}]}]}, {"Section": [{"Information": [number("Other", 1)]}]}]})),
+        (4, json.dumps({"Record": {"Section": []}, "PC_Compounds": [{"Section": [{"Information": [number("Used", 1)]}]}]})),
+        (5, '{"Record": {"Section": [{"Information": '), (6, None), (7, "[]"), (8, '"Section"'), (9, '{"Record": {"Section": {"Information": []}}}'),
+    ]
+    rows = {r.i: [(e.name, e.value, e.unit) for e in r.found] for r in provider.information(spark.createDataFrame(answers, "i int, answer string"), "answer", "found").collect()}
+    assert [n for n, _, _ in rows[1]] == [f"level {k}" for k in range(1, 30)] + ["deepest"] + [f"after {k}" for k in range(29, 0, -1)]
+    assert rows[2] == [("list", "2.5", None), ("text", "as is", None), ("marked", "m", None), (None, "4.0", None)]
+    assert rows[3] == [("flash point", "9.0", "C")] and rows[4] == [("used", "1.0", None)]
+    assert all(rows[i] == [] for i in range(5, 10))
+    out = provider.properties(spark.createDataFrame(answers, "i int, answer string")).where("i = 3").first()
+    assert (out.experimental_flash_point_c, out.source_flash_point_c) == (9.0, "pubchem")
