@@ -19,6 +19,8 @@ from __future__ import annotations
 
 import functools
 import json
+import re
+import unicodedata
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,7 +33,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
+from tokenizers import Tokenizer
 
+from chemlake.llm.token_counts import byte_alphabet
 from chemlake.llm.workspace import small_batches
 
 #: Values in a block, and the share of them that its width holds without exceptions.
@@ -40,8 +44,8 @@ BLOCK, PERCENT = 4096, 95
 CHUNK_BLOCKS = 64
 #: Tokens after which a task goes on in another file.
 FILE_TOKENS = 1 << 26
-#: Words kept with their ids in each Python worker; beyond that the cache starts anew. Longer words are encoded each time.
-CACHE_WORDS, CACHE_BYTES = 300_000, 64
+#: Pieces kept with their ids in each Python worker; beyond that the cache starts anew. Longer ones are encoded each time.
+CACHE_PIECES, CACHE_CHARS = 500_000, 48
 #: Tokens that are handed on at once when files are read.
 READ_TOKENS = 1 << 20
 
@@ -364,43 +368,69 @@ class TokenFiles(DataSource):
 # --- encoding -------------------------------------------------------------------------------------------------------
 
 
-class WordIds(dict):
-    """Word (bytes without ASCII white space) -> its ids as the library gives them, as bytes.
+# The normaliser and the split of the vocabularies that are read piece by piece: lower case, letters together, numbers one by one.
+NORMALISER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+#: Characters of which composing, lower case and kind are plain: printable ones of ASCII and Latin, and white space of ASCII.
+PLAIN = [*range(9, 14), *range(32, 127), *(c for c in range(0xA1, 0x180) if c != 0x130)]
 
-    White space of ASCII parts pre-tokens, and neither the normaliser nor the vocabulary's rules look across it, so a
-    text's ids are those of its words in a row.
+
+class PieceIds(dict):
+    """Pre-token -> its ids as bytes, by the library's merges; texts of plain characters are split here, other words by the library.
+
+    White space parts pre-tokens, and neither the normaliser nor the split looks across it, so a text's ids are those of its words.
     """
 
     def __init__(self, vocabulary: bytes):
         super().__init__()
-        import tokenizers
-
+        self.library = Tokenizer.from_str(vocabulary.decode())
+        self.alphabet = byte_alphabet()
         spec = json.loads(vocabulary)
-        pre = spec.get("pre_tokenizer") or {}
-        kinds = [p.get("type") for p in pre.get("pretokenizers", [])]
-        if kinds != ["Split", "ByteLevel"] or not pre["pretokenizers"][0].get("invert") or spec.get("post_processor"):
-            raise ValueError("a vocabulary that drops white space between pre-tokens is needed")
-        self.library = tokenizers.Tokenizer.from_str(vocabulary.decode())
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids = np.array(self.library.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
-        if len(word) <= CACHE_BYTES:
-            if len(self) >= CACHE_WORDS:
+        rules, pre = (spec.get("normalizer") or {}).get("normalizers"), (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        split = pre[0] == {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True} and [(p.get("type"), p.get("use_regex"), p.get("add_prefix_space")) for p in pre[1:]] == [("ByteLevel", False, False)]
+        self.piecewise = rules == NORMALISER and split and spec["model"]["type"] == "BPE" and not spec.get("post_processor")
+        kinds = {k: "".join(chr(c) for c in PLAIN if unicodedata.category(chr(c))[0] == k) for k in "LN"}
+        self.pieces = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{kinds['L']}]+|[{kinds['N']}]|[^\s{kinds['L']}{kinds['N']}]+").findall
+        added = "".join("|" + re.escape(t["content"]) for t in spec.get("added_tokens", []))
+        self.special = re.compile(f"[^{re.escape(''.join(map(chr, PLAIN)))}]{added}").search
+
+    def _kept(self, key: str, ids: list[int]) -> bytes:
+        data = np.array(ids, "<u4").tobytes()
+        if len(key) <= CACHE_CHARS:
+            if len(self) >= CACHE_PIECES:
                 self.clear()
-            self[word] = ids
-        return ids
+            self[key] = data
+        return data
+
+    def __missing__(self, piece: str) -> bytes:
+        symbols = piece if piece.isascii() else "".join(map(self.alphabet.__getitem__, piece.encode()))
+        return self._kept(piece, [t.id for t in self.library.model.tokenize(symbols)])
+
+    def _word(self, word: str) -> bytes:
+        """The ids of a word that holds other characters or an added token; kept under a name that no piece has."""
+        key = " " + word
+        return self[key] if key in self else self._kept(key, self.library.encode(word, add_special_tokens=False).ids)
+
+    def ids(self, text: str) -> bytes:
+        if not self.piecewise:
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        if not self.special(text):
+            return b"".join(map(self.__getitem__, self.pieces(text.lower())))
+        special, pieces = self.special, self.pieces
+        # split at white space of ASCII alone: what else counts as such is for the library to say
+        return b"".join(self._word(w) if special(w) else b"".join(map(self.__getitem__, pieces(w.lower()))) for w in re.findall(r"[^\t-\r ]+", text))
 
 
 @functools.lru_cache(maxsize=2)
-def _word_ids(vocabulary: bytes) -> WordIds:
-    return WordIds(vocabulary)
+def _piece_ids(vocabulary: bytes) -> PieceIds:
+    return PieceIds(vocabulary)
 
 
 def encode_ids(docs: DataFrame, vocabulary_path: str, *, end_id: int | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, ids): token ids of each whole text under the library and vocabulary, then end_id, as unsigned 32-bit integers.
 
-    Null and empty texts have the end id only.  Texts of any length are encoded whole, word by word.  Each row is
-    encoded by itself; an empty table stays empty, and other columns end here.
+    Null and empty texts have the end id only.  Texts of any length are encoded whole.  Each row is encoded by itself;
+    an empty table stays empty, and other columns end here.
     """
     small_batches(docs.sparkSession)
     with open(vocabulary_path, "rb") as file:
@@ -409,8 +439,8 @@ def encode_ids(docs: DataFrame, vocabulary_path: str, *, end_id: int | None = No
 
     @F.arrow_udf("binary")
     def encode(texts: pa.Array) -> pa.Array:
-        known = _word_ids(vocabulary)
-        return pa.array([b"".join(map(known.__getitem__, (t.as_py() or b"").split())) + tail for t in texts.cast(pa.large_binary())], pa.binary())
+        known = _piece_ids(vocabulary)
+        return pa.array([known.ids(t.as_py() or "") + tail for t in texts], pa.binary())
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), encode(F.coalesce(F.col(text), F.lit(""))).alias("ids"))
 

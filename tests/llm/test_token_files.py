@@ -80,6 +80,17 @@ def test_the_query_equals_the_library(spark, tmp_path):
         start += len(ids)
 
 
+def test_every_character_and_pairs_of_them():
+    """Characters among letters, alone, doubled, and after marks, in either case."""
+    known, library = token_files.PieceIds(open(WORDS, "rb").read()), Tokenizer.from_file(WORDS)
+    assert known.piecewise
+    points = [*range(0x530), *range(0x1E00, 0x2100), *range(0x2C60, 0x2C80), *range(0xA000, 0xD7FF, 37), *range(0xE000, 0x20000, 41)]
+    for point in points:
+        c = chr(point)
+        for text in (f"a{c}1{c}{c} {c}b ", f"X{c}\u0301y'{c}S", f"It's{c}WE'LL,{c}<|startoftext|>{c}"):
+            assert known.ids(text) == np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), hex(point)
+
+
 def test_rows_that_share_an_id_and_many_files(spark, tmp_path):
     """Small partitions stay apart here, so that rows of one id lie in several files."""
     together = "spark.sql.adaptive.coalescePartitions.enabled"
