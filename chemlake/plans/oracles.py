@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from chemlake.functions.mixtures import BLOCKS, NAME_PARTS
-from chemlake.plans import inputs
+from chemlake.plans import inputs, known_structures
 from chemlake.plans.inputs import duck, inchikey, number
 
 
@@ -312,6 +312,20 @@ def _molecules_sql() -> str:
 
 O["mol_features"] = _molecules_sql()
 
+# Parts whose key leaves 2 or 4 of 7 have no text that can be read.
+_N = len(known_structures.SPELLINGS)
+O["completed_structures"] = f"""
+SELECT p_partkey, CASE p_partkey % 7 WHEN 2 THEN '' WHEN 4 THEN 'bad' ELSE canonical END AS smiles, CASE p_partkey % 7 WHEN 5 THEN '' WHEN 2 THEN 'no text' WHEN 4 THEN 'InChI=1S/x' ELSE inchi END AS inchi,
+    CASE WHEN p_partkey % 7 IN (2, 4, 5) THEN '' ELSE inchi_key END AS inchi_key, CASE WHEN p_partkey % 7 NOT IN (2, 4) THEN mw END AS mw,
+    CASE p_partkey % 7 WHEN 2 THEN 'inchi_not_attempted_not_inchi' WHEN 3 THEN 'smiles_parse_failed' WHEN 4 THEN 'smiles_parse_failed' ELSE '' END AS structure_error
+FROM part JOIN {known_structures.structures_sql()} ON s.k = p_partkey % {_N}"""
+_SHOWN = ("mw", "exact_mass", "clogp", "tpsa", "hbd", "hba", "rot_bonds", "ring_count", "fraction_csp3", "molar_refractivity")
+O["computed_descriptors"] = f"""
+SELECT p_partkey, canonical AS computed_smiles, {', '.join(f'{c} AS computed_{c}' for c in _SHOWN)}, CASE WHEN canonical IS NOT NULL THEN 'computed' END AS source_tpsa
+FROM part LEFT JOIN {known_structures.structures_sql()} ON s.k = p_partkey % {_N} AND p_partkey % 7 NOT IN (2, 4)"""
+_MOTIFS = ", ".join("'" + m + "'" for m in known_structures.MOTIF_MOLECULES)
+O["pattern_counts"] = f"SELECT p_partkey, [{_MOTIFS}][p_partkey % {len(known_structures.MOTIF_MOLECULES)} + 1] AS smiles, pattern, n FROM part JOIN {known_structures.motifs_sql()} ON m.k = p_partkey % {len(known_structures.MOTIF_MOLECULES)}"
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(O)

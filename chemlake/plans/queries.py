@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from chemlake.functions import cas, mixtures, smiles, text, units
 from chemlake.operators import identifiers as identifiers_of
-from chemlake.operators import canonical, ingest, molecules, properties, provider, registry, resolver, tokens
-from chemlake.plans import inputs
+from chemlake.operators import canonical, descriptors, ingest, molecules, properties, provider, registry, resolver, structures, tokens
+from chemlake.plans import inputs, known_structures
 from chemlake.plans.inputs import derive
 from chemlake.sources import dumps
 
@@ -339,6 +339,36 @@ def mol_features(spark, d):
     return molecules.annotate(_molecules(spark, d)).withColumns({"MolecularWeight": F.round("MolecularWeight", 3), "FractionCSP3": F.round("FractionCSP3", 6)})
 
 
+def _picked(spark, d, columns: dict[str, list[str]]) -> DataFrame:
+    """Every part with the values of columns at its key's place."""
+    return _t(spark, d, "part").select("p_partkey", *[F.get(F.array(*[F.lit(v) for v in values]), (F.col("p_partkey") % len(values)).cast("int")).alias(name) for name, values in columns.items()])
+
+
+def _spellings(spark, d) -> DataFrame:
+    """Every part's molecule as SMILES, as InChI or as both; some texts cannot be read."""
+    smiles_of, inchi_of = zip(*known_structures.SPELLINGS, strict=True)
+    k = F.col("p_partkey") % 7
+    return _picked(spark, d, {"smiles": list(smiles_of), "inchi": list(inchi_of)}).select(
+        "p_partkey", F.when(k.isin(1, 2), F.lit(None)).when(k == 3, "C(C").when(k == 4, "bad").otherwise(F.concat("smiles", F.lit("|x|"))).alias("smiles"), F.when(k == 5, F.lit(None)).when(k == 2, "no text").when(k == 4, "InChI=1S/x").otherwise(F.col("inchi")).alias("inchi"),
+    )
+
+
+def completed_structures(spark, d):
+    """Canonical SMILES, InChIKey and weight out of SMILES or InChI, and what failed."""
+    return structures.complete_structures(_spellings(spark, d))
+
+
+def computed_descriptors(spark, d):
+    """Masses, logP, refractivity, polar surface and counts of every part's molecule, read from SMILES or InChI."""
+    out = descriptors.describe(_spellings(spark, d), inchi="inchi")
+    return out.select("p_partkey", *[f"computed_{x}" for x in descriptors.DESCRIPTORS], "source_tpsa")
+
+
+def pattern_counts(spark, d):
+    """The patterns that every part's molecule holds, and how often."""
+    return structures.count_patterns(_picked(spark, d, {"smiles": known_structures.MOTIF_MOLECULES}))
+
+
 def smiles_clean(spark, d):
     """Cleaned SMILES cells."""
     return derive(spark, d, inputs.SMILES).select("p_partkey", smiles.clean_smiles(F.col("raw")).alias("clean"), text.cut_smiles(F.concat("raw", F.lit("|x|y"))).alias("cut"))
@@ -404,7 +434,7 @@ QUERIES = (
     db2_upsert, best_identifiers, dump_rows, missing_requests, cas_tokens, cas_validity, cas_recovered, cas_swaps, cas_evidence, cas_repair, cas_fixed_cells, cas_first_tokens, cas_exploded_table, cas_first_valid, cas_run_counts, mixture_class, identifiers, ascii_names,
     db2_audit, db2_rejected, db2_summary, db1_dedupe, db1_rejects, db1_upsert, db1_merge_fields, promoted_keys, customer_feed, customer_map, cas_view, cas_view_exportable, cas_view_overlay,
     resolver_cache, resolver_winner, resolver_merge, name_rank, cache_ttl, unit_conversion, provider_units, provider_properties, fallback_estimates, final_fields, canonical_rows, canonical_winners, canonical_audit, henry_lookup,
-    solubility_parameters, computed_parameters, page_facts, page_discovery, entities, entity_shadows, json_values, cache_keys, listed_substances, mol_features, smiles_clean,
+    solubility_parameters, computed_parameters, page_facts, page_discovery, entities, entity_shadows, json_values, cache_keys, listed_substances, mol_features, completed_structures, computed_descriptors, pattern_counts, smiles_clean,
 )
 
 
