@@ -17,8 +17,8 @@ from chemlake.functions.smiles import ARROW_MOLECULE, MOLECULE, assembled
 
 # Valences of neutral atoms in the order in which they are tried; atoms of other elements take the bonds that they have.
 VALENCES = {"H": (1,), "B": (3,), "C": (4,), "N": (3, 5), "O": (2,), "F": (1,), "Si": (4,), "P": (3, 5), "S": (2, 4, 6), "Cl": (1, 3, 5, 7), "Br": (1, 3, 5), "I": (1, 3, 5, 7), "Se": (2, 4, 6)}
-#: Elements on which a positive or a negative charge is looked for, and the bonds that it adds.
-POSITIVE, NEGATIVE = {"N": 1, "P": 1, "S": 1, "O": 1}, {"O": -1, "S": -1, "N": -1, "C": -1, "F": -1, "Cl": -1, "Br": -1, "I": -1}
+#: Elements on which a positive or a negative charge is looked for, likely ones first, and the bonds that it adds.
+POSITIVE, NEGATIVE = {"N": 1, "P": 1, "S": 1, "O": 1, "C": -1}, {"O": -1, "S": -1, "N": -1, "C": -1, "F": -1, "Cl": -1, "Br": -1, "I": -1, "B": 1}
 
 
 def _parts(layer: str, n: int) -> list[str]:
@@ -131,7 +131,9 @@ def _orders(n: int, bonds: set[tuple[int, int]], open_bonds: list[int]) -> dict[
 
 def _raised(elements: list[str], used: list[int]):
     """The atoms' valences: the least that hold what is bonded, then more and more of the higher ones."""
-    options = [[v for v in VALENCES.get(z, (used[i],)) if v >= used[i]] or [used[i]] for i, z in enumerate(elements)]
+    options = [[v for v in VALENCES.get(z, (used[i],)) if v >= used[i]] for i, z in enumerate(elements)]
+    if not all(options):
+        return
     least = [o[0] for o in options]
     yield least
     several = [(i, v) for i, o in enumerate(options) for v in o[1:]]
@@ -145,7 +147,7 @@ def _raised(elements: list[str], used: list[int]):
 
 
 def _component(formula: str, connected: str, hydrogens: str, charge: int, protons: int):
-    """(atoms, bonds) of one component; None if no bond orders fit."""
+    """(atoms, bonds) of one component; None if its layers disagree or no bond orders fit."""
     elements, total = _formula(formula)
     if not elements:
         return ([["H", charge + protons, 0, False] for _ in range(max(1, total))], {(0, 1): 1} if total == 2 else {}) if total in (1, 2) else None
@@ -153,6 +155,8 @@ def _component(formula: str, connected: str, hydrogens: str, charge: int, proton
     fixed, mobile = _hydrogens(hydrogens, n)
     if not hydrogens and n == 1:
         fixed[0] = total
+    if sum(fixed) + sum(k for k, _ in mobile) != total:
+        return None
     degree = [sum(i in b for b in bonds) for i in range(n)]
     # nitrogens take hydrogens before other elements do
     mobile = [(k, sorted(places, key=lambda i: (elements[i] != "N", i))) for k, places in mobile]
@@ -182,7 +186,8 @@ def _charges(elements, count, degree, charge: int, protons: int):
             states = [([h - (k == i) for k, h in enumerate(hs)], [q - (k == i) for k, q in enumerate(qs)]) for hs, qs in states for i in order if hs[i] and not qs[i]]
     for _ in range(abs(charge)):
         sign = 1 if charge > 0 else -1
-        likely = [i for i in range(n) if elements[i] in (POSITIVE if sign > 0 else NEGATIVE) or elements[i] not in VALENCES] or list(range(n))
+        ranked = list(POSITIVE if sign > 0 else NEGATIVE)
+        likely = sorted((i for i in range(n) if elements[i] in ranked or elements[i] not in VALENCES), key=lambda i: (ranked.index(elements[i]) if elements[i] in ranked else -1, i)) or list(range(n))
         states = [(hs, [q + sign * (k == i) for k, q in enumerate(qs)]) for hs, qs in states for i in likely if n == 1 or not qs[i]]
     yield from states
 
