@@ -15,6 +15,8 @@ KEY = "inchi_key"
 # Names that a key goes by, in the order in which they are believed.
 KEY_NAMES = ("inchi_key", "final_inchikey", "computed_inchikey", "source_inchikey")
 INCHI_NAMES = ("inchi", "final_inchi", "computed_inchi", "source_inchi")
+# Names of identifiers that may stay as they are.
+KEPT_IDENTIFIERS = ("inchi_key", "inchi", "computed_inchi", "final_inchi", "source_inchi", "computed_inchikey", "final_inchikey", "source_inchikey")
 SMILES_NAMES = ("smiles", "final_smiles", "computed_smiles", "source_smiles")
 #: Columns that a tool may overwrite: a prefix list, or everything but the key.
 PROPERTY_PREFIXES = ("experimental_", "computed_", "final_", "source_", "log_", "henry_")
@@ -74,6 +76,26 @@ def dedupe(df: DataFrame, order: str = "_row") -> DataFrame:
     return good.groupBy(KEY).agg(*[first(c) for c in rest]).select(*[c for c in df.columns if c != order])
 
 
+def merge_groups(df: DataFrame, order: str = "_row", times: Sequence[str] = ("timestamp_updated", "timestamp")) -> DataFrame:
+    """One row per key: of each column the first value that is not null, from the latest row to the earliest.
+
+    Of equal times the row of more values comes first, then the smaller `order`; rows without a time that can be read
+    come last.  One aggregate, so that each task sends a row per key.  Null keys are a group of their own.
+    """
+    stamp = next((c for c in times if c in df.columns), None)
+    time = F.col(stamp).try_cast("timestamp") if stamp else F.lit(None).cast("timestamp")
+    rest = [c for c in df.columns if c not in (KEY, order)]
+    values = sum((F.col(c).isNotNull().cast("int") for c in rest), F.lit(0))
+    placed = df.withColumn("_place", F.struct(time.isNull().alias("late"), (-F.unix_micros(time)).alias("time"), (-values).alias("values"), F.col(order).alias("order")))
+    first = lambda c: F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("_place"))).alias(c)
+    return placed.groupBy(KEY).agg(*[first(c) for c in rest]).select(*[c for c in df.columns if c != order])
+
+
+def drop_variant_identifiers(df: DataFrame) -> DataFrame:
+    """df without columns of InChIs and their keys under other names than those of KEPT_IDENTIFIERS."""
+    return df.drop(*[c for c in df.columns if "inchi" in c.lower() and c not in KEPT_IDENTIFIERS])
+
+
 def upsert(known: DataFrame, incoming: DataFrame, tool: str, allowlist: Sequence[str], order: str = "_row") -> DataFrame:
     """Both sides, one row per key: new keys come whole, owned columns take what is not null (also 0 and ''), inchi is filled only."""
     old, new = (to_allowlist(dedupe(x if order in x.columns else x.withColumn(order, F.lit(0)), order), allowlist) for x in (known, incoming))

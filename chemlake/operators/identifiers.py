@@ -13,8 +13,6 @@ from chemlake.functions.text import identifier_type, is_inchikey, looks_like_smi
 # Kinds of identifiers in the order in which they are believed, and parts of names of columns that hold them.
 KINDS = ("smiles", "inchi", "inchikey", "cas", "name")
 NAME_PARTS = {"smiles": ("smiles",), "inchi": ("inchi",), "inchikey": ("inchikey", "inchi_key"), "cas": ("cas",), "name": ("name", "substance", "compound")}
-#: Values of a column that are looked at where its name says nothing.
-LOOKED_AT = 50
 GROUPS = ("experimental", "computed", "final", "source")
 
 
@@ -32,7 +30,7 @@ def kind_by_name(column: str) -> str | None:
 
 
 def candidate_columns(df: DataFrame) -> dict[str, list[str]]:
-    """Columns by kind of identifier: by name, else by what most of their first values look like."""
+    """Columns by kind of identifier: by name, else by what more than half of all their values look like."""
     found: dict[str, list[str]] = {k: [] for k in KINDS}
     open_ = []
     for c, kind in df.dtypes:
@@ -41,9 +39,8 @@ def candidate_columns(df: DataFrame) -> dict[str, list[str]]:
         elif kind == "string":
             open_.append(c)
     if open_:
-        # one bounded look at all columns together
-        first = df.select(*open_).limit(LOOKED_AT)
-        counts = first.agg(*[F.count_if((identifier_type(F.col(c)) == k) & F.col(c).isNotNull()).alias(f"{c}|{k}") for c in open_ for k in KINDS[:-1]], *[F.count(c).alias(f"{c}|n") for c in open_]).first()
+        # one aggregate over all rows and columns
+        counts = df.select(*open_).agg(*[F.count_if((identifier_type(F.col(c)) == k) & F.col(c).isNotNull()).alias(f"{c}|{k}") for c in open_ for k in KINDS[:-1]], *[F.count(c).alias(f"{c}|n") for c in open_]).first()
         for c in open_:
             best = max(KINDS[:-1], key=lambda k: counts[f"{c}|{k}"])
             if counts[f"{c}|{best}"] * 2 > counts[f"{c}|n"]:

@@ -440,3 +440,10 @@ def annotate(rows: DataFrame, smiles: str = "smiles") -> DataFrame:
 
 def annotate_cleaned(rows: DataFrame, raw: str = "smiles") -> DataFrame:
     return annotate(rows.withColumn(raw, clean_smiles(F.col(raw))), raw)
+
+
+def rejected(rows: DataFrame, smiles: str = "smiles") -> DataFrame:
+    """rows without a molecule, and why: empty (null, blank, or what stands for nothing) or invalid."""
+    each = rows.withColumn("_clean", clean_smiles(F.trim(F.coalesce(F.col(smiles), F.lit("")))))
+    reason = F.when(F.col("_clean") == "", "empty").when(molecule(F.col("_clean")).isNull(), "invalid")
+    return each.withColumn("reason", reason).where("reason IS NOT NULL").drop("_clean")

@@ -80,8 +80,7 @@ def rank_names(candidates: DataFrame) -> DataFrame:
     low = F.transform("synonyms", lambda s: F.lower(s))
     plain = F.transform("synonyms", lambda s: F.lower(F.regexp_replace(s, r"[^\x00-\x7F]", "")))
     size = heavy_atoms_guess(F.col("smiles"))
-    sizes = candidates.where("smiles IS NOT NULL AND smiles <> ''").groupBy("name").agg(F.sort_array(F.collect_list(size)).alias("sizes")).select("name", F.get("sizes", F.floor(F.size("sizes") / 2).cast("int")).alias("median"))
-    scored = candidates.join(sizes, "name", "left").withColumn(
+    scored = candidates.join(_upper_medians(candidates.where("smiles IS NOT NULL AND smiles <> ''").select("name", size.alias("size"))), "name", "left").withColumn(
         "score",
         F.when(F.array_contains(low, F.col("normal")) | F.array_contains(plain, F.col("normal")), 1000.0).otherwise(0.0)
         + F.when(F.array_contains(plain, to_ascii(F.col("normal"))) | F.array_contains(plain, to_ascii(F.lower("name"))), 500.0).otherwise(0.0)
@@ -91,7 +90,34 @@ def rank_names(candidates: DataFrame) -> DataFrame:
         - F.when(F.coalesce("smiles", F.lit("")) != "", F.abs(size - F.col("median"))).otherwise(0)
         + 1.0 / (1.0 + F.col("cid")),
     )
-    return scored.withColumn("rank", F.row_number().over(Window.partitionBy("name").orderBy(F.desc("score"), F.asc("cid"))))
+    return _ranked(scored)
+
+
+def _upper_medians(sizes: DataFrame) -> DataFrame:
+    """(name, median): the upper median of each name's sizes, from counts of equal ones; a name has few different sizes, however many rows."""
+    counted = sizes.groupBy("name", "size").agg(F.count("*").alias("n"))
+    running = F.sum("n").over(Window.partitionBy("name").orderBy("size").rowsBetween(Window.unboundedPreceding, 0))
+    total = F.sum("n").over(Window.partitionBy("name"))
+    beyond = counted.withColumns({"_upto": running, "_all": total}).where(F.col("_upto") > F.floor(F.col("_all") / 2))
+    return beyond.groupBy("name").agg(F.min("size").alias("median"))
+
+
+def _ranked(scored: DataFrame) -> DataFrame:
+    """scored with rank by score, then cid, within its name.
+
+    A name's rows are dealt to blocks of scores, in order, of which it has some thousands at most: rows are numbered
+    within their block, and blocks are moved by the counts of those before.  So a very common name is in many tasks.
+    """
+    whole = F.floor("score")
+    part = F.col("score") - whole
+    # parts of one are those of 1 / (1 + cid): by their logarithm, 64 blocks each time that the cid doubles
+    block = F.when(part > 0, F.floor(-F.log2(part) * 64)).otherwise(F.lit(1 << 20))
+    blocks = ["name", "_whole", "_block"]
+    rows = scored.withColumns({"_whole": F.coalesce(whole.cast("long"), F.lit(-(1 << 40))), "_block": F.coalesce(block, F.lit(1 << 21)).cast("long")})
+    before = F.sum("_n").over(Window.partitionBy("name").orderBy(F.desc("_whole"), F.asc("_block")).rowsBetween(Window.unboundedPreceding, -1))
+    moved = rows.groupBy(*blocks).agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(before, F.lit(0)))
+    number = F.row_number().over(Window.partitionBy(*blocks).orderBy(F.desc("score"), F.asc("cid")))
+    return rows.join(moved, blocks).withColumn("rank", (F.col("_before") + number).cast("int")).drop("_whole", "_block", "_n", "_before")
 
 
 def keep_first(known: DataFrame, new: DataFrame) -> DataFrame:

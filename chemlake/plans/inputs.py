@@ -58,6 +58,10 @@ PROPERTIES = f"""SELECT c_custkey AS _row, CASE WHEN c_custkey % 17 = 0 THEN 'ba
     CASE WHEN c_custkey % 3 = 0 THEN CAST(NULL AS STRING) ELSE 'InChI=' || CAST(c_custkey AS STRING) END AS inchi, CASE WHEN c_custkey % 4 = 0 THEN CAST(NULL AS STRING) ELSE c_mktsegment END AS smiles,
     CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_acctbal END AS computed_mw, CASE WHEN c_custkey % 7 = 0 THEN CAST(0.0 AS DOUBLE) END AS experimental_logp, CAST(c_custkey % 3 AS INT) AS alcohol_count FROM {{customer}}"""
 
+#: Rows of a few keys, with times of which some are equal, missing or no times.
+REPEATED = f"""SELECT c_custkey AS _row, {inchikey("(c_custkey % 40)")} AS inchi_key, CASE WHEN c_custkey % 3 > 0 THEN c_name END AS name_preferred, CASE WHEN c_custkey % 5 = 0 THEN c_acctbal END AS computed_mw, CASE WHEN c_custkey % 7 < 3 THEN c_mktsegment END AS smiles,
+    CASE c_custkey % 6 WHEN 0 THEN NULL WHEN 1 THEN 'soon' ELSE '2024-03-' || lpad(CAST(c_custkey % 4 + 1 AS STRING), 2, '0') END AS timestamp_updated, 'x' AS my_inchi, 'y' AS "InChIKey2", 'z' AS final_inchi FROM {{customer}}"""
+
 #: What customers have seen: customer_id, cas_number_normalized, timestamp_seen_utc, code, name, cas_validity.
 SEEN = f"""SELECT 'c' || CAST(o_custkey % 11 AS STRING) AS customer_id, {number("(o_orderkey % 211)")} AS cas_number_normalized, CAST(o_orderdate AS STRING) AS timestamp_seen_utc,
     CAST(o_orderkey AS STRING) AS code, o_orderpriority AS name, CASE WHEN o_orderkey % 6 = 0 THEN 'invalid (original: x)' ELSE 'valid' END AS cas_validity FROM {{orders}}"""
@@ -98,7 +102,7 @@ WHEN p_partkey % 10 = 1 THEN translate('<"PC_Compounds":[<"Section":[<"Section":
 
 
 def spark_sql(text: str) -> str:
-    return text.replace('"CAS_ID"', "CAS_ID")
+    return text.replace('"CAS_ID"', "CAS_ID").replace('"InChIKey2"', "InChIKey2")
 
 
 def derive(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:

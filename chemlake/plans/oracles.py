@@ -312,6 +312,20 @@ def _molecules_sql() -> str:
 
 O["mol_features"] = _molecules_sql()
 
+_ORDER = "TRY_CAST(timestamp_updated AS TIMESTAMP) DESC NULLS LAST, (name_preferred IS NOT NULL)::INT + (computed_mw IS NOT NULL)::INT + (smiles IS NOT NULL)::INT + (timestamp_updated IS NOT NULL)::INT DESC, _row"
+O["merged_groups"] = f"""
+SELECT inchi_key, {', '.join(f"first({c} ORDER BY {_ORDER}) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in ("name_preferred", "computed_mw", "smiles", "timestamp_updated"))}, 'z' AS final_inchi
+FROM ({duck(inputs.REPEATED)}) GROUP BY inchi_key"""
+O["reindexed"] = f"SELECT _row AS key, inchi_key, CAST(NULL AS VARCHAR) AS cas_number, smiles, final_inchi, CAST(NULL AS VARCHAR) AS my_inchi, computed_mw FROM ({duck(inputs.REPEATED)})"
+O["rejected_structures"] = """
+WITH c AS (SELECT p_partkey, p_partkey % 8 AS k FROM part WHERE p_partkey % 8 NOT IN (0, 6))
+SELECT p_partkey, ['', ' ', 'nbsp', 'C(', 'not a smiles', '', 'Zz.Yy'][k] AS smiles, CASE WHEN k <= 3 THEN 'empty' ELSE 'invalid' END AS reason FROM c"""
+O["newest_versions"] = """
+WITH v AS (SELECT p_size, p_partkey % 3 AS a, p_partkey % 13 AS b, p_partkey % 101 AS c FROM part WHERE p_partkey % 11 <> 0),
+n AS (SELECT p_size, max((a * 100 + b) * 1000 + c) AS m, count(*) AS n_versions FROM v GROUP BY p_size)
+SELECT p_size, CASE WHEN m IS NOT NULL THEN (m // 100000)::VARCHAR || '.' || (m // 1000 % 100)::VARCHAR || '.' || (m % 1000)::VARCHAR END AS newest, coalesce(n_versions, 0)::BIGINT AS n_versions
+FROM (SELECT DISTINCT p_size FROM part) LEFT JOIN n USING (p_size)"""
+
 # Parts whose key leaves 2 or 4 of 7 have no text that can be read.
 _N = len(known_structures.SPELLINGS)
 O["completed_structures"] = f"""

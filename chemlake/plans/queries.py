@@ -12,7 +12,7 @@ from chemlake.operators import identifiers as identifiers_of
 from chemlake.operators import canonical, descriptors, ingest, molecules, properties, provider, registry, resolver, structures, tokens
 from chemlake.plans import inputs, known_structures
 from chemlake.plans.inputs import derive
-from chemlake.sources import dumps
+from chemlake.sources import dumps, tables
 
 AS_OF = "2024-06-01T00:00:00Z"
 #: Molecules that keys are mapped to.
@@ -353,6 +353,29 @@ def _spellings(spark, d) -> DataFrame:
     )
 
 
+def merged_groups(spark, d):
+    """Rows of one key filled from the latest on."""
+    return canonical.merge_groups(canonical.drop_variant_identifiers(derive(spark, d, inputs.REPEATED)))
+
+
+def reindexed(spark, d):
+    """Rows without variant identifiers, with the columns of an allowlist in its order."""
+    allowed = ["inchi_key", "cas_number", "smiles", "final_inchi", "my_inchi", "computed_mw"]
+    return canonical.to_allowlist(canonical.drop_variant_identifiers(derive(spark, d, inputs.REPEATED)).withColumn("key", F.col("_row")), ["key", *allowed])
+
+
+def rejected_structures(spark, d):
+    """Cells without a molecule, and why."""
+    return molecules.rejected(_picked(spark, d, {"smiles": ["CCO", "", " ", "nbsp", "C(", "not a smiles", "C1CC1.[Na]", "Zz.Yy"]}))
+
+
+def newest_versions(spark, d):
+    """The newest version of every size, in the order of its numbers; texts that are no versions do not count."""
+    version = F.when(F.col("p_partkey") % 11 == 0, "v1.0").otherwise(F.concat_ws(".", (F.col("p_partkey") % 3).cast("string"), (F.col("p_partkey") % 13).cast("string"), (F.col("p_partkey") % 101).cast("string")))
+    rows = _t(spark, d, "part").select("p_size", version.alias("version")).withColumn("at", tables.version_order(F.col("version")))
+    return rows.groupBy("p_size").agg(F.max_by("version", "at").alias("newest"), F.count("at").alias("n_versions"))
+
+
 def completed_structures(spark, d):
     """Canonical SMILES, InChIKey and weight out of SMILES or InChI, and what failed."""
     return structures.complete_structures(_spellings(spark, d))
@@ -434,7 +457,7 @@ QUERIES = (
     db2_upsert, best_identifiers, dump_rows, missing_requests, cas_tokens, cas_validity, cas_recovered, cas_swaps, cas_evidence, cas_repair, cas_fixed_cells, cas_first_tokens, cas_exploded_table, cas_first_valid, cas_run_counts, mixture_class, identifiers, ascii_names,
     db2_audit, db2_rejected, db2_summary, db1_dedupe, db1_rejects, db1_upsert, db1_merge_fields, promoted_keys, customer_feed, customer_map, cas_view, cas_view_exportable, cas_view_overlay,
     resolver_cache, resolver_winner, resolver_merge, name_rank, cache_ttl, unit_conversion, provider_units, provider_properties, fallback_estimates, final_fields, canonical_rows, canonical_winners, canonical_audit, henry_lookup,
-    solubility_parameters, computed_parameters, page_facts, page_discovery, entities, entity_shadows, json_values, cache_keys, listed_substances, mol_features, completed_structures, computed_descriptors, pattern_counts, smiles_clean,
+    solubility_parameters, computed_parameters, page_facts, page_discovery, entities, entity_shadows, json_values, cache_keys, listed_substances, mol_features, merged_groups, reindexed, rejected_structures, newest_versions, completed_structures, computed_descriptors, pattern_counts, smiles_clean,
 )
 
 

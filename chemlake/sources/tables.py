@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -74,6 +74,13 @@ def write_json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def version_order(version: Column) -> Column:
+    """A semantic version (1.2.10) as numbers that sort as versions do; null for any other text."""
+    numbers = F.split(F.regexp_extract(F.trim(version), r"^(\d{1,9}\.\d{1,9}\.\d{1,9})$", 1), r"\.")
+    part = lambda k: F.get(numbers, F.lit(k)).try_cast("int")
+    return F.when(F.size(numbers) == 3, F.struct(part(0).alias("major"), part(1).alias("minor"), part(2).alias("patch")))
+
+
 def empty(spark: SparkSession, columns: Sequence[str]) -> DataFrame:
     """A table without rows, all texts."""
     return spark.createDataFrame([], StructType([StructField(c, StringType()) for c in columns]))

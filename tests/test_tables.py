@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chemlake.functions import mixtures, text, units
-from chemlake.operators import canonical, ingest, properties, provider, registry, resolver
+from chemlake.operators import canonical, identifiers, ingest, molecules, properties, provider, registry, resolver
 from chemlake.sources import dumps, tables, xlsx
 from chemlake.streaming import customer_stream
 
@@ -208,3 +208,45 @@ def test_provider_answers_of_any_depth_and_shape(spark):
     assert all(rows[i] == [] for i in range(5, 10))
     out = provider.properties(spark.createDataFrame(answers, "i int, answer string")).where("i = 3").first()
     assert (out.experimental_flash_point_c, out.source_flash_point_c) == (9.0, "pubchem")
+
+
+def test_a_name_with_most_rows_is_ranked_in_parts(spark):
+    """Ranks and the upper median of a name that holds nearly all rows, against sorting."""
+    rows = [("hot" if i % 10 else f"n{i % 7}", "ethanol" if i % 3 else "x", None if i % 41 == 0 else i * 7 % 5_000, ["", "C" * (i % 9 + 1), "C.C", None][i % 4], None, ["Ethanol"] if i % 2 else []) for i in range(3_000)]
+    table = spark.createDataFrame(rows, "name string, normal string, cid long, smiles string, inchi_key string, synonyms array<string>")
+    out = resolver.rank_names(table).collect()
+    for name in {r.name for r in out}:
+        mine = sorted((r for r in out if r.name == name and r.cid is not None), key=lambda r: (-r.score, r.cid))
+        assert [r.score for r in sorted(mine, key=lambda r: r["rank"])] == [r.score for r in mine]
+        assert sorted(r["rank"] for r in out if r.name == name) == list(range(1, sum(r.name == name for r in out) + 1))
+        sizes = sorted(len(s.replace(".", "")) for n, _, _, s, _, _ in rows if n == name and s)
+        assert {r.median for r in out if r.name == name} == {sizes[len(sizes) // 2]}
+    plan = resolver.rank_names(table)._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan
+
+
+def test_groups_are_filled_from_the_latest_row_on(spark):
+    rows = [(1, "K", None, "b", "2024-01-01"), (2, "K", 2.0, "c", "2024-02-01"), (3, "K", 3.0, None, "2024-02-01"), (4, "K", None, None, "no time"), (5, "K", 9.0, "z", None), (6, None, 1.0, None, None), (7, "L", None, None, None)]
+    df = spark.createDataFrame(rows, "_row long, inchi_key string, mw double, name string, timestamp_updated string")
+    out = {r.inchi_key: tuple(r)[1:] for r in canonical.merge_groups(df).collect()}
+    assert out == {"K": (2.0, "c", "2024-02-01"), None: (1.0, None, None), "L": (None, None, None)}
+    assert canonical.merge_groups(df.drop("timestamp_updated")).where("inchi_key = 'K'").first().mw == 2.0
+    assert canonical.merge_groups(df.limit(0)).collect() == []
+
+
+def test_versions_sort_as_numbers(spark):
+    rows = spark.createDataFrame([(t,) for t in ("1.2.10", "1.2.9", " 1.10.0 ", "v1.0.0", "1.0", None, "", "1.2.3.4", "99999999999.1.1")], "t string")
+    got = {r.t: tuple(r.v) if r.v else None for r in rows.withColumn("v", tables.version_order(F.col("t"))).collect()}
+    assert got == {"1.2.10": (1, 2, 10), "1.2.9": (1, 2, 9), " 1.10.0 ": (1, 10, 0), **dict.fromkeys(("v1.0.0", "1.0", None, "", "1.2.3.4", "99999999999.1.1"))}
+
+
+def test_kinds_of_columns_are_told_by_all_rows(spark):
+    """The first hundred values of a column look like something else than the thousand after them."""
+    rows = spark.range(1_100).selectExpr("IF(id < 100, 'some words here', '64-17-5') AS a", "IF(id < 100, '64-17-5', 'some words here') AS b")
+    found = identifiers.candidate_columns(rows.coalesce(1))
+    assert found["cas"] == ["a"] and "b" not in found["cas"]
+
+
+def test_rejected_structures(spark):
+    rows = spark.createDataFrame([(1, None, "x"), (2, "", "x"), (3, "CCO", "x"), (4, "C(", "x"), (4, "C(", "x"), (5, " \t", "x")], "i int, smiles string, _other string")
+    assert sorted((r.i, r.reason, r._other) for r in molecules.rejected(rows).collect()) == [(1, "empty", "x"), (2, "empty", "x"), (4, "invalid", "x"), (4, "invalid", "x"), (5, "empty", "x")]
