@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from chemlake.functions.sql_text import api
 from chemlake.functions.text import squeeze
 
 # Shapes of numbers and dates, and what parts the numbers of a cell.
@@ -34,36 +35,42 @@ NEIGHBOURS = {
 
 def _weighted(digits: Column, first: int) -> Column:
     """Digits from the right, times first, first + 1 and so on, summed."""
-    each = F.filter(F.split(F.reverse(digits), ""), lambda d: d != "")
-    return F.aggregate(F.transform(each, lambda d, i: (F.ascii(d) - 48) * (i + first)), F.lit(0), lambda a, b: a + b)
+    x = api(digits)
+    each = x.filter(x.split(x.reverse(digits), ""), lambda d: d != "")
+    return x.aggregate(x.transform(each, lambda d, i: (x.ascii(d) - 48) * (i + first)), x.lit(0), lambda a, b: a + b)
 
 
 def check_digit(body: Column) -> Column:
     """The check digit that the other digits ask for."""
-    return F.pmod(_weighted(body, 1), F.lit(10))
+    x = api(body)
+    return x.pmod(_weighted(body, 1), x.lit(10))
 
 
 def checksum_holds(cas: Column) -> Column:
     """The last digit, which itself counts nothing, is what the others ask for."""
-    digits = F.regexp_replace(cas, "[^0-9]", "")
-    return F.pmod(_weighted(digits, 0), F.lit(10)) == F.ascii(F.right(digits, F.lit(1))) - 48
+    x = api(cas)
+    digits = x.regexp_replace(cas, "[^0-9]", "")
+    return x.pmod(_weighted(digits, 0), x.lit(10)) == x.ascii(x.right(digits, x.lit(1))) - 48
 
 
 def valid(c: Column) -> Column:
     """Cleaner's dialect: 1-7, 2 and 1 digits, not all zero, and the checksum."""
-    t = F.trim(c)
-    return F.coalesce(F.rlike(t, F.lit(SHAPE)) & (F.translate(t, "0-", "") != "") & checksum_holds(t), F.lit(False))
+    x = api(c)
+    t = x.trim(c)
+    return x.coalesce(x.rlike(t, x.lit(SHAPE)) & (x.translate(t, "0-", "") != "") & checksum_holds(t), x.lit(False))
 
 
 def all_zero(c: Column) -> Column:
     """There are digits, and all are zero."""
-    return F.rlike(F.regexp_replace(F.coalesce(c, F.lit("")), "[^0-9]", ""), F.lit("^0+$"))
+    x = api(c)
+    return x.rlike(x.regexp_replace(x.coalesce(c, x.lit("")), "[^0-9]", ""), x.lit("^0+$"))
 
 
 def tokens(cell: Column) -> Column:
     """The numbers of a cell in order; a no-break space parts two CAS numbers only; a pipe parts nothing."""
-    spaced = F.regexp_replace(F.coalesce(cell, F.lit("")), rf"({INNER})\x{{00A0}}({INNER})", "$1 $2")
-    return F.filter(F.transform(F.split(spaced, PARTED), lambda t: F.regexp_replace(t, r"(?U)^\s+|\s+$", "")), lambda t: t != "")
+    x = api(cell)
+    spaced = x.regexp_replace(x.coalesce(cell, x.lit("")), rf"({INNER})\x{{00A0}}({INNER})", "$1 $2")
+    return x.filter(x.transform(x.split(spaced, PARTED), lambda t: x.regexp_replace(t, r"(?U)^\s+|\s+$", "")), lambda t: t != "")
 
 
 def slash_tokens(cell: Column) -> Column:
@@ -73,8 +80,9 @@ def slash_tokens(cell: Column) -> Column:
 
 
 def date_like(c: Column) -> Column:
+    x = api(c)
     t = squeeze(c)
-    return F.rlike(t, F.lit(YEAR_FIRST)) | F.rlike(t, F.lit(SLASHED))
+    return x.rlike(t, x.lit(YEAR_FIRST)) | x.rlike(t, x.lit(SLASHED))
 
 
 def from_date(c: Column) -> Column:
@@ -82,44 +90,49 @@ def from_date(c: Column) -> Column:
 
     Only days 01-09 come from a single check digit. Slashed dates are tried month first, then day first.
     """
+    x = api(c)
     t = squeeze(c)
-    part = lambda pattern, k: F.regexp_extract(t, pattern, k)
+    part = lambda pattern, k: x.regexp_extract(t, pattern, k)
     a, b = part(SLASHED, 1), part(SLASHED, 2)
-    is_month, is_day = F.lit("^(0?[1-9]|1[0-2])$"), F.lit("^0?[1-9]$")
-    slashed = lambda month, day: F.when(F.rlike(month, is_month) & F.rlike(day, is_day), F.concat_ws("-", part(SLASHED, 3), F.lpad(month, 2, "0"), F.right(day, F.lit(1))))
-    hyphened = F.when(F.rlike(part(YEAR_FIRST, 3), F.lit("^0[1-9]$")), F.concat_ws("-", part(YEAR_FIRST, 1), part(YEAR_FIRST, 2), F.right(part(YEAR_FIRST, 3), F.lit(1))))
+    is_month, is_day = x.lit("^(0?[1-9]|1[0-2])$"), x.lit("^0?[1-9]$")
+    slashed = lambda month, day: x.when(x.rlike(month, is_month) & x.rlike(day, is_day), x.concat_ws("-", part(SLASHED, 3), x.lpad(month, 2, "0"), x.right(day, x.lit(1))))
+    hyphened = x.when(x.rlike(part(YEAR_FIRST, 3), x.lit("^0[1-9]$")), x.concat_ws("-", part(YEAR_FIRST, 1), part(YEAR_FIRST, 2), x.right(part(YEAR_FIRST, 3), x.lit(1))))
     # a text has one of the two shapes at most
-    one, two = F.coalesce(hyphened, slashed(a, b)), slashed(b, a)
-    return F.when(date_like(c), F.when(valid(one), one).when(valid(two), two))
+    one, two = x.coalesce(hyphened, slashed(a, b)), slashed(b, a)
+    return x.when(date_like(c), x.when(valid(one), one).when(valid(two), two))
 
 
 def from_digits(digits: Column) -> Column:
     """5 to 10 digits with dashes put in, if that is valid."""
-    number = F.concat_ws("-", F.substring(digits, F.lit(1), F.length(digits) - 3), F.substring(digits, F.length(digits) - 2, F.lit(2)), F.right(digits, F.lit(1)))
-    return F.when(F.rlike(digits, F.lit(r"^\d{5,10}$")) & valid(number), number)
+    x = api(digits)
+    number = x.concat_ws("-", x.substring(digits, x.lit(1), x.length(digits) - 3), x.substring(digits, x.length(digits) - 2, x.lit(2)), x.right(digits, x.lit(1)))
+    return x.when(x.rlike(digits, x.lit(r"^\d{5,10}$")) & valid(number), number)
 
 
 def with_check_digit(c: Column) -> Column:
     """A number that lacks its check digit, with it."""
-    t = F.trim(c)
-    number = F.concat(t, F.lit("-"), check_digit(F.regexp_replace(t, "-", "")).cast("string"))
-    return F.when(F.rlike(t, F.lit(r"^\d{2,7}-\d{2}$")) & valid(number), number)
+    x = api(c)
+    t = x.trim(c)
+    number = x.concat(t, x.lit("-"), check_digit(x.regexp_replace(t, "-", "")).cast("string"))
+    return x.when(x.rlike(t, x.lit(r"^\d{2,7}-\d{2}$")) & valid(number), number)
 
 
 def swaps(c: Column) -> Column:
     """All texts with two neighbouring characters swapped, each once, in order."""
-    t = F.replace(F.trim(c), F.lit(" "), F.lit(""))
-    at = lambda i: F.concat(F.substring(t, F.lit(1), i - 1), F.substring(t, i + 1, F.lit(1)), F.substring(t, i, F.lit(1)), F.substring(t, i + 2, F.length(t)))
-    return F.when(F.length(t) > 1, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(t) - 1), at))).otherwise(F.array().cast("array<string>"))
+    x = api(c)
+    t = x.replace(x.trim(c), x.lit(" "), x.lit(""))
+    at = lambda i: x.concat(x.substring(t, x.lit(1), i - 1), x.substring(t, i + 1, x.lit(1)), x.substring(t, i, x.lit(1)), x.substring(t, i + 2, x.length(t)))
+    return x.when(x.length(t) > 1, x.array_distinct(x.transform(x.sequence(x.lit(1), x.length(t) - 1), at))).otherwise(x.array().cast("array<string>"))
 
 
 def neighbour_digits(c: Column) -> Column:
     """All texts with one digit replaced by a neighbouring one, each once, in order."""
-    t = F.replace(F.trim(c), F.lit(" "), F.lit(""))
-    near = F.create_map(*[x for d, ns in NEIGHBOURS.items() for x in (F.lit(d), F.array(*[F.lit(n) for n in ns]))])
-    none = F.array().cast("array<string>")
-    at = lambda i: F.transform(F.coalesce(F.try_element_at(near, F.substring(t, i, F.lit(1))), none), lambda d: F.concat(F.substring(t, F.lit(1), i - 1), d, F.substring(t, i + 1, F.length(t))))
-    return F.when(F.length(t) > 0, F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.length(t)), at)))).otherwise(none)
+    x = api(c)
+    t = x.replace(x.trim(c), x.lit(" "), x.lit(""))
+    near = x.create_map(*[v for d, ns in NEIGHBOURS.items() for v in (x.lit(d), x.array(*[x.lit(n) for n in ns]))])
+    none = x.array().cast("array<string>")
+    at = lambda i: x.transform(x.coalesce(x.try_element_at(near, x.substring(t, i, x.lit(1))), none), lambda d: x.concat(x.substring(t, x.lit(1), i - 1), d, x.substring(t, i + 1, x.length(t))))
+    return x.when(x.length(t) > 0, x.array_distinct(x.flatten(x.transform(x.sequence(x.lit(1), x.length(t)), at)))).otherwise(none)
 
 
 def _head(c: Column) -> Column:

@@ -7,9 +7,12 @@ the whole over at once.  Only what such expressions need is here.
 from __future__ import annotations
 
 import inspect
+import sys
 from collections.abc import Callable
 from itertools import count
 
+from pyspark.sql import functions
+
 _NUMBERS = count()
 
 
@@ -100,6 +103,9 @@ class Text:
     def cast(self, kind: str) -> Text:
         return Text(f"CAST({self} AS {kind})")
 
+    def contains(self, other) -> Text:
+        return Text(f"contains({self}, {lit(other)})")
+
     def alias(self, name: str) -> Text:
         return Text(f"{self} AS {name}")
 
@@ -154,8 +160,18 @@ def _plain(name: str) -> Callable[..., Text]:
 
 
 filter, transform, exists, forall = map(_over, ("filter", "transform", "exists", "forall"))  # noqa: A001
-array, array_compact, array_contains, array_intersect, array_join, array_position = map(_plain, ("array", "array_compact", "array_contains", "array_intersect", "array_join", "array_position"))
-coalesce, concat, concat_ws, get, greatest, least, create_map, nullif, pmod, size, struct, try_element_at = map(_plain, ("coalesce", "concat", "concat_ws", "get", "greatest", "least", "map", "nullif", "pmod", "size", "struct", "try_element_at"))
+# as pyspark.sql.functions has them, but that a plain str is a text, never a column's name
+_SAME = (
+    "array", "array_compact", "array_contains", "array_distinct", "array_intersect", "array_join", "array_min", "array_position", "array_sort", "ascii", "coalesce", "concat", "concat_ws", "flatten", "format_string", "get", "greatest", "least", "length",
+    "lower", "lpad", "nullif", "pmod", "regexp_extract", "regexp_replace", "replace", "reverse", "right", "rlike", "sequence", "size", "slice", "split", "struct", "substring", "translate", "trim", "try_element_at", "upper",
+)
+globals().update({name: _plain(name) for name in _SAME})
+create_map = _plain("map")
+
+
+def api(value):
+    """This module for Text, pyspark.sql.functions for a Column: what is written by either is the same."""
+    return sys.modules[__name__] if isinstance(value, Text) else functions
 
 
 def aggregate(values: Text, start, merge: Callable) -> Text:

@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from chemlake.functions.sql_text import api
+
 # Texts that stand for a missing value.
 MISSING = ("", "na", "n/a", "none", "null", "nan")
 INCHIKEY = "^[A-Z]{14}-[A-Z]{10}-[A-Z]$"
@@ -15,7 +17,8 @@ INCHIKEY = "^[A-Z]{14}-[A-Z]{10}-[A-Z]$"
 
 def squeeze(c: Column) -> Column:
     """White space (Unicode) run together to one space, and trimmed; null is ''."""
-    return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)\s+", " "))
+    x = api(c)
+    return x.trim(x.regexp_replace(x.coalesce(c, x.lit("")), x.lit(r"(?U)\s+"), x.lit(" ")))
 
 
 def text_or_null(c: Column) -> Column:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from chemlake.functions import cas
+from chemlake.functions import sql_text as S
+from chemlake.functions.sql_text import Text
 from chemlake.functions.text import squeeze
 
 
@@ -17,38 +19,43 @@ from chemlake.functions.text import squeeze
 DATE, SWAP, NEAR = 1, 2, 3
 
 
-def designation_key(c: Column) -> Column:
-    return F.upper(squeeze(c))
+def _column(text: Text) -> Column:
+    return F.expr(str(text))
+
+
+def designation_key(c: Text) -> Column:
+    return _column(S.upper(squeeze(c)))
 
 
 def explode_tokens(cells: DataFrame) -> DataFrame:
     """(row, code, name, pos, token) of cells (row, cas, code, name); all-zero tokens and blanks are left out."""
-    shown = cells.select("row", "code", "name", F.posexplode(F.transform(cas.tokens(F.col("cas")), squeeze)).alias("pos", "token"))
-    return shown.where((F.col("token") != "") & ~cas.all_zero(F.col("token")))
+    shown = cells.select("row", "code", "name", F.posexplode(_column(S.transform(cas.tokens(S.col("cas")), squeeze))).alias("pos", "token"))
+    return shown.where(_column((S.col("token") != "") & ~cas.all_zero(S.col("token"))))
 
 
 def evidence(tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Numbers known of each code and of each designation: valid ones, and those that a date hides."""
-    number = F.when(cas.valid(F.col("token")), F.col("token")).otherwise(cas.from_date(F.col("token")))
-    known = tokens.select(F.trim("code").alias("code"), designation_key(F.col("name")).alias("designation"), number.alias("cas")).where("cas IS NOT NULL")
+    t = S.col("token")
+    number = _column(S.when(cas.valid(t), t).otherwise(cas.from_date(t)))
+    known = tokens.select(F.trim("code").alias("code"), designation_key(S.col("name")).alias("designation"), number.alias("cas")).where("cas IS NOT NULL")
     return known.where("code <> ''").select("code", "cas").distinct(), known.where("designation <> ''").select("designation", "cas").distinct()
 
 
 def _edits(lost: DataFrame) -> DataFrame:
     """lost (token and so on) with one row per edit that gives a valid number, or one without number if none does: kind
     (DATE, SWAP or NEAR), place, cas, and via, the edited text."""
-    t, none = F.col("token"), F.array().cast("array<string>")
-    dated, shaped = cas.date_like(t), F.rlike(t, F.lit(cas.SHAPE))
-    texts = F.concat(F.when(F.rlike(t, F.lit("[0-9][-/]")), cas.swaps(t)).otherwise(none), F.array(F.lit("")), F.when(dated | shaped, cas.neighbour_digits(t)).otherwise(none))
+    t, none = S.col("token"), S.array().cast("array<string>")
+    dated, shaped = cas.date_like(t), S.rlike(t, cas.SHAPE)
+    texts = S.concat(S.when(S.rlike(t, "[0-9][-/]"), cas.swaps(t)).otherwise(none), S.array(""), S.when(dated | shaped, cas.neighbour_digits(t)).otherwise(none))
     # the empty text parts swaps from neighbouring keys, and leaves a row where there is no edit
-    spread = lost.withColumns({"_texts": texts, "_dated": dated, "_shaped": shaped}).withColumn("_parted", F.array_position("_texts", "") - 1)
-    spread = spread.select(*lost.columns, "_dated", "_shaped", "_parted", F.posexplode("_texts").alias("place", "via"))
-    v, swapped = F.col("via"), F.col("place") < F.col("_parted")
-    hidden, good = F.when(F.col("_dated"), cas.from_date(v)), cas.valid(v)
-    judged = spread.select(*lost.columns, "place", "via", hidden.alias("_hidden"), good.alias("_good"), swapped.alias("_swap"), "_shaped", (F.col("place") == F.col("_parted")).alias("_last"))
-    kind = F.when(F.col("_hidden").isNotNull(), DATE).when(F.col("_good") & F.col("_swap"), SWAP).when(F.col("_good") & F.col("_shaped"), NEAR)
-    found = judged.withColumn("kind", kind).where("kind IS NOT NULL OR _last")
-    return found.select(*lost.columns, "kind", "place", F.when(F.col("kind") == DATE, F.col("_hidden")).when(F.col("kind").isNotNull(), v).alias("cas"), "via")
+    spread = lost.selectExpr("*", f"{texts} AS _texts", f"{dated} AS _dated", f"{shaped} AS _shaped").selectExpr("*", "array_position(_texts, '') - 1 AS _parted")
+    spread = spread.selectExpr(*lost.columns, "_dated", "_shaped", "_parted", "posexplode(_texts) AS (place, via)")
+    v = S.col("via")
+    hidden = S.when(S.col("_dated"), cas.from_date(v))
+    judged = spread.selectExpr(*lost.columns, "place", "via", f"{hidden} AS _hidden", f"{cas.valid(v)} AS _good", "place < _parted AS _swap", "_shaped", "place = _parted AS _last")
+    kind = f"CASE WHEN _hidden IS NOT NULL THEN {DATE} WHEN _good AND _swap THEN {SWAP} WHEN _good AND _shaped THEN {NEAR} END"
+    found = judged.selectExpr("*", f"{kind} AS kind").where("kind IS NOT NULL OR _last")
+    return found.selectExpr(*lost.columns, "kind", "place", f"CASE WHEN kind = {DATE} THEN _hidden WHEN kind IS NOT NULL THEN via END AS cas", "via")
 
 
 def repair(tokens: DataFrame) -> DataFrame:
@@ -60,35 +67,33 @@ def repair(tokens: DataFrame) -> DataFrame:
     digit are missing; else it is invalid, with up to five suggestions.
     """
     by_code, by_name = evidence(tokens)
-    t = F.col("token")
-    keyed = tokens.withColumns({"code_key": F.coalesce(F.trim("code"), F.lit("")), "name_key": designation_key(F.col("name"))})
-    each = keyed.select("token", "code_key", "name_key").distinct()
-    hidden = cas.from_date(t)
-    sure = each.withColumn("fixed", F.when(cas.valid(t), t).otherwise(hidden))
-    known = sure.where("fixed IS NOT NULL").select("token", "code_key", "name_key", "fixed", F.when(F.col("fixed") == t, "valid").otherwise(F.format_string("valid (fixed from: %s)", t)).alias("status"))
+    t = S.col("token")
+    keyed = tokens.withColumns({"code_key": F.expr("coalesce(trim(code), '')"), "name_key": designation_key(S.col("name"))})
+    sure = keyed.select("token", "code_key", "name_key").distinct().withColumn("fixed", _column(S.when(cas.valid(t), t).otherwise(cas.from_date(t))))
+    known = sure.where("fixed IS NOT NULL").selectExpr("token", "code_key", "name_key", "fixed", "IF(fixed = token, 'valid', format_string('valid (fixed from: %s)', token)) AS status")
     open_ = sure.where("fixed IS NULL")
 
     spread = _edits(open_.select("token", "code_key", "name_key"))
     code_hit = by_code.select(F.col("code").alias("code_key"), "cas", F.lit(2).alias("two"))
     name_hit = by_name.select(F.col("designation").alias("name_key"), "cas", F.lit(1).alias("one"))
-    scored = spread.join(code_hit, ["code_key", "cas"], "left").join(name_hit, ["name_key", "cas"], "left").withColumn("score", F.coalesce("two", F.lit(0)) + F.coalesce("one", F.lit(0)))
+    scored = spread.join(code_hit, ["code_key", "cas"], "left").join(name_hit, ["name_key", "cas"], "left")
     # edits of one token, a few dozen at most, in order of place; of a number that several give, the first
-    each = F.when(F.col("cas").isNotNull(), F.struct("place", "kind", "cas", "via", (-F.col("score")).alias("rank")))
-    listed = scored.groupBy("token", "code_key", "name_key").agg(F.array_sort(F.collect_list(each)).alias("all")).withColumn("kind", F.array_min(F.transform("all", lambda x: x["kind"])))
-    listed = listed.withColumn("same", F.filter("all", lambda x: x["kind"] == F.col("kind"))).withColumn("numbers", F.transform("same", lambda x: x["cas"]))
-    listed = listed.withColumn("in_order", F.filter("same", lambda x, i: F.array_position("numbers", x["cas"]) == i + 1))
-    ranked = listed.withColumn("r", F.array_sort(F.transform("in_order", lambda x: F.struct(x["rank"].alias("rank"), x["place"].alias("place"), x["cas"].alias("cas"), x["via"].alias("via")))))
-    first, second = F.get("r", F.lit(0)), F.get("r", F.lit(1))
-    clear = (first["rank"] < 0) & (second["rank"].isNull() | (second["rank"] > first["rank"]))
-    alone = (F.col("kind") == SWAP) & (F.size("r") == 1)
-    label = F.when(F.col("kind") == DATE, F.format_string("valid (fixed via date-edit from: %s; via: %s)", t, first["via"])).when(F.col("kind") == SWAP, F.format_string("valid (fixed swap from: %s)", t)).otherwise(F.format_string("valid (fixed adjacent-key from: %s)", t))
-    said = F.when(F.col("kind") == DATE, F.transform(F.slice("in_order", 1, 5), lambda x: F.format_string("%s (via %s)", x["cas"], x["via"]))).otherwise(F.transform(F.slice("r", 1, 5), lambda x: x["cas"]))
-    dashed, checked, none = cas.from_digits(F.regexp_replace(t, "[^0-9]", "")), cas.with_check_digit(t), F.col("kind").isNull()
-    chosen = ranked.withColumns({"dashed": F.when(none, dashed), "checked": F.when(none, checked)}).select(
-        "token", "code_key", "name_key",
-        F.when(none, F.coalesce("dashed", "checked", t)).when(clear | alone, first["cas"]).otherwise(t).alias("fixed"),
-        F.when(F.col("dashed").isNotNull(), F.format_string("valid (fixed rehyphenated from: %s)", t)).when(F.col("checked").isNotNull(), F.format_string("valid (fixed checkdigit from: %s)", t))
-        .when(none, F.format_string("invalid (original: %s)", t)).when(clear | alone, label).otherwise(F.format_string("invalid (original: %s; suggestions: %s)", t, F.array_join(said, " | "))).alias("status"),
+    each = F.expr("CASE WHEN cas IS NOT NULL THEN struct(place, kind, cas, via, - (coalesce(two, 0) + coalesce(one, 0)) AS rank) END")
+    listed = scored.groupBy("token", "code_key", "name_key").agg(F.array_sort(F.collect_list(each)).alias("all")).selectExpr("*", "array_min(transform(all, x -> x.kind)) AS kind")
+    listed = listed.selectExpr("*", "filter(all, x -> x.kind = kind) AS same").selectExpr("*", "transform(same, x -> x.cas) AS numbers")
+    listed = listed.selectExpr("*", "filter(same, (x, i) -> array_position(numbers, x.cas) = i + 1) AS in_order")
+    ranked = listed.selectExpr("*", "array_sort(transform(in_order, x -> struct(x.rank AS rank, x.place AS place, x.cas AS cas, x.via AS via))) AS r")
+    dashed, checked = cas.from_digits(S.regexp_replace(t, "[^0-9]", "")), cas.with_check_digit(t)
+    told = ranked.selectExpr(
+        "token", "code_key", "name_key", "kind", "get(r, 0) AS first", f"CASE WHEN kind IS NULL THEN {dashed} END AS dashed", f"CASE WHEN kind IS NULL THEN {checked} END AS checked",
+        f"get(r, 0).rank < 0 AND (get(r, 1).rank IS NULL OR get(r, 1).rank > get(r, 0).rank) OR kind = {SWAP} AND size(r) = 1 AS clear",
+        f"array_join(IF(kind = {DATE}, transform(slice(in_order, 1, 5), x -> format_string('%s (via %s)', x.cas, x.via)), transform(slice(r, 1, 5), x -> x.cas)), ' | ') AS said",
+    )
+    label = f"CASE kind WHEN {DATE} THEN format_string('valid (fixed via date-edit from: %s; via: %s)', token, first.via) WHEN {SWAP} THEN format_string('valid (fixed swap from: %s)', token) ELSE format_string('valid (fixed adjacent-key from: %s)', token) END"
+    chosen = told.selectExpr(
+        "token", "code_key", "name_key", "CASE WHEN kind IS NULL THEN coalesce(dashed, checked, token) WHEN clear THEN first.cas ELSE token END AS fixed",
+        f"""CASE WHEN dashed IS NOT NULL THEN format_string('valid (fixed rehyphenated from: %s)', token) WHEN checked IS NOT NULL THEN format_string('valid (fixed checkdigit from: %s)', token)
+            WHEN kind IS NULL THEN format_string('invalid (original: %s)', token) WHEN clear THEN {label} ELSE format_string('invalid (original: %s; suggestions: %s)', token, said) END AS status""",
     )
     decided = known.union(chosen)
     return keyed.join(decided, ["token", "code_key", "name_key"]).select("row", "code", "name", "pos", "token", "fixed", "status")
