@@ -19,6 +19,11 @@ def prefix_fold(values: Column, join: Callable[[Column, Column], Column]) -> Col
     return F.aggregate(passes, values, once)
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value worked out once however often it is used; inside of other lambdas, too."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def unused_name(df: DataFrame, name: str) -> str:
     """A column name that df does not have."""
     have = {c.lower() for c in df.columns}

@@ -14,7 +14,7 @@ from math import exp, log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chemlake.llm.arrays import prefix_fold, unused_name
+from chemlake.llm.arrays import bound, prefix_fold, unused_name
 from chemlake.llm.workspace import Workspace
 
 #: Kinds in the order in which spans are listed; the first four have base patterns.
@@ -76,16 +76,26 @@ LABELERS = ("shape", "checksum", "gazetteer", "cue", "neighbours")
 ROUNDS = 50
 
 
-_EMPTY = "array<struct<begin:int,end:int,text:string>>"
+_EMPTY = "array<struct<begin:int,end:int,text:string,before:string,after:string>>"
 
 
 def matches(text: Column, pattern: str, needs: str) -> Column:
-    """Leftmost non-overlapping matches: begin, end (code points, end exclusive) and text of each."""
+    """Leftmost non-overlapping matches: begin, end (code points, end exclusive) and text of each, and CONTEXT characters before and after it.
+
+    All of it comes from the matches and the gaps between them, by folds over these, so the work is linear in the text.
+    """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.split(text, pattern, -1)
-    lengths = F.zip_with(found, F.slice(between, 1, F.size(found)), lambda m, b: F.length(m) + F.length(b))
-    ends = prefix_fold(lengths, lambda a, b: a + b)
-    spans = F.zip_with(found, ends, lambda m, e: F.struct((e - F.length(m)).alias("begin"), e.alias("end"), m.alias("text")))
+    gaps = F.split(text, pattern, -1)
+    firsts, lasts = F.slice(gaps, 1, F.size(found)), F.slice(gaps, 2, F.size(found))
+    ends = prefix_fold(F.zip_with(found, firsts, lambda m, g: F.length(m) + F.length(g)), lambda a, b: a + b)
+    last = lambda a, b: F.right(F.concat(a, b), F.lit(CONTEXT))
+    first = lambda a, b: F.left(F.concat(b, a), F.lit(CONTEXT))  # noqa: E731  the array is turned round
+    upto = prefix_fold(F.zip_with(firsts, found, last), last)
+    onward = F.reverse(prefix_fold(F.reverse(F.zip_with(found, lasts, lambda m, g: F.left(F.concat(m, g), F.lit(CONTEXT)))), first))
+    before = F.zip_with(F.concat(F.array(F.lit("")), F.slice(upto, 1, F.greatest(F.size(upto) - 1, F.lit(0)))), firsts, last)
+    after = F.zip_with(lasts, F.concat(F.slice(onward, 2, F.greatest(F.size(onward) - 1, F.lit(0))), F.array(F.lit(""))), lambda g, more: F.left(F.concat(g, more), F.lit(CONTEXT)))
+    zipped = F.arrays_zip(found.alias("text"), ends.alias("end"), before.alias("before"), after.alias("after"))
+    spans = F.transform(zipped, lambda z: F.struct((z["end"] - F.length(z["text"])).alias("begin"), z["end"].alias("end"), z["text"].alias("text"), z["before"].alias("before"), z["after"].alias("after")))
     none = F.array().cast(_EMPTY)
     held = F.contains(text, F.lit(needs)) if needs == "@" else F.rlike(text, F.lit(needs))
     return F.when(held & (F.regexp_count(text, F.lit(pattern)) > 0), spans).otherwise(none)
@@ -128,14 +138,12 @@ def _checked(kind: str, x: Column) -> Column:
     return F.rlike(value, F.lit("[0-9].*[0-9].*[0-9]")) & F.rlike(value, F.lit("[A-Za-z].*[A-Za-z].*[A-Za-z]"))
 
 
-def _described(text: Column, kind: str, spans: Column, base: Column | bool) -> Column:
+def _described(kind: str, spans: Column, base: Column | bool) -> Column:
     """Candidates with their votes and looks. A look is 'feature=value', a vote pattern a string of 0 and 1."""
     cue = rf"(?i)(?:{CUES[kind]})[^0-9A-Za-z]*\S{{0,12}}\s*$"
 
     def one(s: Column) -> Column:
-        x = s["text"]
-        before = F.substring(text, F.greatest(s["begin"] - CONTEXT + 1, F.lit(1)), F.least(s["begin"], F.lit(CONTEXT)))
-        after = F.substring(text, s["end"] + 1, F.lit(CONTEXT))
+        x, before, after = s["text"], s["before"], s["after"]
         glued = F.rlike(before, F.lit("[0-9A-Za-z_]$")) | F.rlike(after, F.lit("^[0-9A-Za-z_]"))
         digits = F.length(_digits(x))
         valid = F.coalesce(base(x), F.lit(False)) if callable(base) else F.lit(base)
@@ -166,7 +174,7 @@ def candidates(text: Column) -> Column:
         if patterns is BASE and kind == "card":
             spans = F.filter(spans, lambda s: F.length(_digits(s["text"])).between(13, 19))
         base = (lambda x, k=kind: strict(k, x)) if patterns is BASE else False
-        (digits if kind in DIGITS else others).append(_described(text, kind, spans, base))
+        (digits if kind in DIGITS else others).append(_described(kind, spans, base))
     with_digits = F.when(F.rlike(text, F.lit("[0-9]")), F.concat(*digits)).otherwise(F.array().cast(_CANDIDATES))
     return F.concat(with_digits, *others)
 
@@ -255,24 +263,49 @@ def find_personal_data(docs: DataFrame, model: Model | None = None, *, text: str
     weights = F.create_map(*[F.lit(x) for k, w in sorted(model.weights.items()) for x in (k, float(w))]) if model.weights else F.create_map().cast("map<string,double>")
     score = lambda c: F.aggregate(c["looks"], F.coalesce(F.try_element_at(weights, c["kind"]), F.lit(-1.0)), lambda s, look: s + F.coalesce(F.try_element_at(weights, F.concat_ws("|", c["kind"], look)), F.lit(0.0)))
     order = F.create_map(*[F.lit(x) for i, k in enumerate(KINDS) for x in (k, i)])
-    base = F.filter(F.col(out), lambda c: c["base"])
-    free = lambda c, others: ~F.exists(others, lambda b: (b["begin"] < c["end"]) & (c["begin"] < b["end"]))
     sound = lambda c: ~c["kind"].isin(*DIGITS) | (F.substring(c["votes"], 2, 1) == "1")
-    more = F.filter(F.col(out), lambda c: ~c["base"] & sound(c) & (score(c) > 0) & free(c, F.filter(F.col(out), lambda b: b["base"])))
-    plain = lambda c: F.struct(order[c["kind"]].alias("place"), c["begin"].alias("begin"), c["end"].alias("end"), c["kind"].alias("kind"), c["base"].alias("base"))
-    listed = F.array_sort(F.transform(F.concat(base, more), plain))
+    likely = F.filter(F.col(out), lambda c: c["base"] | (sound(c) & (score(c) > 0)))
+    plain = lambda c: F.struct(c["begin"].alias("begin"), c["end"].alias("end"), order[c["kind"]].alias("place"), c["kind"].alias("kind"), c["base"].alias("base"))
+    listed = F.array_sort(F.transform(bound(F.array_sort(F.transform(likely, plain)), _apart), lambda c: F.struct(c["place"].alias("place"), c["begin"].alias("begin"), c["end"].alias("end"), c["kind"].alias("kind"), c["base"].alias("base"))))
     named = F.transform(listed, lambda c: F.struct(c["kind"].alias("kind"), c["begin"].alias("begin"), c["end"].alias("end"), c["base"].alias("base")))
     return every.withColumn(out, F.when(F.size(out) > 0, named).otherwise(F.array().cast(_FOUND)))
 
 
+def _apart(spans: Column) -> Column:
+    """Of spans in order of begin and end, the base ones and those that touch none of these.
+
+    A span touches a base one that begins before it if the farthest end of those is beyond its begin, and one that
+    begins after it if the nearest begin of those is before its end: two folds, and no span is held against all others.
+    """
+    reach = prefix_fold(F.transform(spans, lambda s: F.when(s["base"], s["end"]).otherwise(-1)), F.greatest)
+    following = F.reverse(prefix_fold(F.reverse(F.transform(spans, lambda s: F.when(s["base"], s["begin"]).otherwise(2**31 - 1))), F.least))
+    zipped = F.arrays_zip(spans.alias("span"), reach.alias("reach"), following.alias("following"))
+    return F.transform(F.filter(zipped, lambda z: z["span"]["base"] | ((z["reach"] <= z["span"]["begin"]) & (z["following"] >= z["span"]["end"]))), lambda z: z["span"])
+
+
+#: The mark of byte order that a decoder of UTF-32 drops, whatever follows it.
+_MARK = "X'0000FEFF'"
+
+
 def masked(text: Column, spans: Column) -> Column:
-    """text with each span, or run of overlapping ones, replaced by [KIND] of its first."""
+    """text with each span, or run of overlapping ones, replaced by [KIND] of its first.
+
+    The places are found by one sort and one fold; the pieces between are cut from the text with four bytes to a
+    character, where a place is found without counting.  What all pieces need is bound once.
+    """
     by_place = F.array_sort(F.transform(spans, lambda s: F.struct(s["begin"].alias("begin"), (-s["end"]).alias("last"), s["kind"].alias("kind"))))
-    reach = prefix_fold(F.transform(by_place, lambda s: -s["last"]), F.greatest)
-    heads = F.filter(F.transform(by_place, lambda s, i: F.struct(s["begin"].alias("begin"), s["kind"].alias("kind"), (F.when(i == 0, 0).otherwise(F.get(reach, i - 1))).alias("before"), i.alias("at"))), lambda h: (h["at"] == 0) | (h["begin"] >= h["before"]))
-    parts = F.transform(heads, lambda h: F.concat(F.substring(text, h["before"] + 1, h["begin"] - h["before"]), F.lit("["), F.upper(h["kind"]), F.lit("]")))
-    rest = F.substring(text, F.array_max(reach) + 1, F.length(text) - F.array_max(reach))
-    return F.when(F.size(spans) > 0, F.concat(F.array_join(parts, ""), rest)).otherwise(text)
+
+    def cut(b: Column) -> Column:
+        reach = prefix_fold(F.transform(b["spans"], lambda s: -s["last"]), F.greatest)
+        # what stands after the last span is one more piece, without a mark
+        zipped = F.arrays_zip(b["spans"].alias("span"), F.concat(F.array(F.lit(0)), reach).alias("before"))
+        heads = F.filter(zipped, lambda z, i: z["span"].isNull() | (i == 0) | (z["span"]["begin"] >= z["before"]))
+        size = lambda h: F.coalesce((h["span"]["begin"] - h["before"]) * 4, F.lit(2**31 - 1))
+        piece = lambda h: F.decode(F.concat(F.expr(_MARK), F.substring(b["wide"], h["before"] * 4 + 1, size(h))), "UTF-32")
+        mark = lambda h: F.when(h["span"].isNotNull(), F.concat(F.lit("["), F.upper(h["span"]["kind"]), F.lit("]"))).otherwise("")
+        return F.array_join(F.transform(heads, lambda h: F.concat(piece(h), mark(h))), "")
+
+    return F.when(F.size(spans) > 0, bound(F.struct(by_place.alias("spans"), F.encode(text, "UTF-32").alias("wide")), cut)).otherwise(text)
 
 
 def mask_personal_data(docs: DataFrame, model: Model | None = None, *, text: str = "text") -> DataFrame:

@@ -96,9 +96,8 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document under the 49k vocabulary, each with id 1 at its end, as read back from the token files."""
-    docs = token_files.in_order(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     folder = f"{Workspace(spark).root}/token-files"
-    token_files.write_token_files(token_files.encode_ids(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1), folder)
+    token_files.encode_to_files(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), folder, end_id=1)
     return token_files.read_token_files(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 

@@ -1,8 +1,8 @@
 """Token ids in binary files of patched frame-of-reference blocks (operator 11).
 
-    encode_ids(docs, vocabulary)           doc_id, ids (binary: unsigned 32-bit integers, little-endian)
-    write_token_files(encoded, path)       files in ascending order of doc_id, and an index of them
-    read_token_files(spark, path)          doc_id, start, n_tokens, ids
+    encode_to_files(docs, vocabulary, path)    files in ascending order of doc_id, and an index of them
+    read_token_files(spark, path)              doc_id, start, n_tokens, ids (binary: unsigned 32-bit integers, little-endian)
+    encode_ids(docs, vocabulary)               doc_id, ids; write_token_files(encoded, path) writes such rows
 
 A file holds three streams of integers: token ids, lengths of documents, differences of their ids.  A stream is cut into
 blocks of BLOCK values.  A block subtracts its least value and packs the rest at the width that PERCENT of them need;
@@ -20,10 +20,12 @@ from __future__ import annotations
 import functools
 import json
 import re
+import struct
 import unicodedata
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -45,9 +47,9 @@ CHUNK_BLOCKS = 64
 #: Tokens after which a task goes on in another file.
 FILE_TOKENS = 1 << 26
 #: Pieces kept with their ids in each Python worker; beyond that the cache starts anew. Longer ones are encoded each time.
-CACHE_PIECES, CACHE_CHARS = 500_000, 48
+CACHE_PIECES, CACHE_CHARS = 400_000, 48
 #: Tokens that are handed on at once when files are read.
-READ_TOKENS = 1 << 20
+READ_TOKENS = 1 << 18
 
 MAGIC = b"PFORTOK1"
 INDEX = "_index.json"
@@ -60,20 +62,33 @@ _HEADER = np.dtype([("count", "<u4"), ("least", "<u8"), ("width", "u1"), ("place
 
 
 def bit_lengths(values: np.ndarray) -> np.ndarray:
-    """Bits of each unsigned 64-bit integer."""
-    high, low = (values >> np.uint64(32)).astype(np.float64), (values & np.uint64(0xFFFFFFFF)).astype(np.float64)
-    return np.where(high > 0, np.frexp(high)[1] + 32, np.frexp(low)[1]).astype(np.uint8)
+    """Bits of each unsigned 64-bit integer, read from the exponents of its halves as floating-point numbers."""
+    exponents = lambda x: (x.astype(np.float64).view(np.int64) >> 52).clip(1022) - 1022
+    if not len(values) or values.max() < 1 << 53:
+        return exponents(values).astype(np.uint8)
+    high = exponents(values >> np.uint64(32))
+    return np.where(high > 0, high + 32, exponents(values & np.uint64(0xFFFFFFFF))).astype(np.uint8)
 
 
 def pack(values: np.ndarray, width: int) -> np.ndarray:
-    """Rows of values as rows of bytes, `width` bits a value, lowest bit first."""
+    """Rows of values as rows of bytes, `width` bits a value, lowest bit first.
+
+    64 values make `width` words of 64 bits; each of the 64 places is packed for all rows at once.
+    """
     rows, n = values.shape
     if not width or not n:
         return np.zeros((rows, 0), np.uint8)
-    step = max(1, (width + 7) // 8)
-    raw = np.ascontiguousarray(values, "<u8").view(np.uint8).reshape(rows, n, 8)[:, :, :step]
-    bits = np.unpackbits(raw, axis=2, bitorder="little")[:, :, :width]
-    return np.packbits(bits.reshape(rows, n * width), axis=1, bitorder="little")
+    lanes = np.zeros((64, rows, -(-n // 64)), np.uint64)
+    padded = np.zeros((rows, lanes.shape[2] * 64), np.uint64)
+    padded[:, :n] = values
+    lanes[:] = padded.reshape(rows, -1, 64).transpose(2, 0, 1)
+    words = np.zeros((width, rows, lanes.shape[2]), np.uint64)
+    for k in range(64):
+        word, shift = divmod(k * width, 64)
+        words[word] |= lanes[k] << np.uint64(shift)
+        if shift + width > 64:
+            words[word + 1] |= lanes[k] >> np.uint64(64 - shift)
+    return np.ascontiguousarray(words.transpose(1, 2, 0), "<u8").view(np.uint8).reshape(rows, -1)[:, : packed_size(n, width)]
 
 
 def unpack(data: np.ndarray, n: int, width: int) -> np.ndarray:
@@ -81,10 +96,18 @@ def unpack(data: np.ndarray, n: int, width: int) -> np.ndarray:
     rows = len(data)
     if not width or not n:
         return np.zeros((rows, n), np.uint64)
-    bits = np.unpackbits(data, axis=1, count=n * width, bitorder="little").reshape(rows, n, width)
-    raw = np.zeros((rows, n, 8), np.uint8)
-    raw[:, :, : (width + 7) // 8] = np.packbits(bits, axis=2, bitorder="little")
-    return raw.view("<u8").reshape(rows, n).astype(np.uint64)
+    groups = -(-n // 64)
+    padded = np.zeros((rows, groups * width * 8), np.uint8)
+    padded[:, : data.shape[1]] = data
+    words = np.ascontiguousarray(padded.view("<u8").reshape(rows, groups, width).transpose(2, 0, 1))
+    out, mask = np.empty((rows, groups, 64), np.uint64), np.uint64((1 << width) - 1)
+    for k in range(64):
+        word, shift = divmod(k * width, 64)
+        lane = words[word] >> np.uint64(shift)
+        if shift + width > 64:
+            lane |= words[word + 1] << np.uint64(64 - shift)
+        out[:, :, k] = lane & mask
+    return out.reshape(rows, -1)[:, :n]
 
 
 def packed_size(n: int, width: int) -> int:
@@ -127,21 +150,25 @@ def _encode_rows(rows: np.ndarray) -> list[bytes]:
     return out
 
 
-def decode_block(data: bytes) -> np.ndarray:
-    """The values of one block."""
-    head = np.frombuffer(data, _HEADER, 1)[0]
-    n, width, at = int(head["count"]), int(head["width"]), _HEADER.itemsize
-
-    def part(count: int, bits: int) -> np.ndarray:
-        nonlocal at
-        size = packed_size(count, bits)
-        at += size
-        return unpack(np.frombuffer(data, np.uint8, size, at - size)[None], count, bits)[0]
-
-    values = part(n, width)
-    places, higher = part(int(head["exceptions"]), int(head["places"])), part(int(head["exceptions"]), int(head["higher"]))
-    values[places.astype(np.int64)] |= higher << np.uint64(width)
-    return values + head["least"]
+def decode_blocks(blocks: list[bytes]) -> list[np.ndarray]:
+    """The values of each block; blocks of one size and width are unpacked together."""
+    heads = [np.frombuffer(data, _HEADER, 1)[0] for data in blocks]
+    alike: dict[tuple[int, int], list[int]] = {}
+    for k, head in enumerate(heads):
+        alike.setdefault((int(head["count"]), int(head["width"])), []).append(k)
+    out: list[np.ndarray] = [np.zeros(0, np.uint64)] * len(blocks)
+    for (n, width), mine in [(k, all_[at : at + CHUNK_BLOCKS]) for k, all_ in alike.items() for at in range(0, len(all_), CHUNK_BLOCKS)]:
+        size = packed_size(n, width)
+        packed = np.frombuffer(b"".join(blocks[k][_HEADER.itemsize : _HEADER.itemsize + size] for k in mine), np.uint8).reshape(len(mine), size)
+        for k, values in zip(mine, unpack(packed, n, width), strict=True):
+            if n_odd := int(heads[k]["exceptions"]):
+                at = _HEADER.itemsize + size
+                place_size, higher_size = (packed_size(n_odd, int(heads[k][c])) for c in ("places", "higher"))
+                places = unpack(np.frombuffer(blocks[k], np.uint8, place_size, at)[None], n_odd, int(heads[k]["places"]))[0]
+                higher = unpack(np.frombuffer(blocks[k], np.uint8, higher_size, at + place_size)[None], n_odd, int(heads[k]["higher"]))[0]
+                values[places.astype(np.int64)] |= higher << np.uint64(width)
+            out[k] = values + heads[k]["least"]
+    return out
 
 
 # --- files ----------------------------------------------------------------------------------------------------------
@@ -232,7 +259,7 @@ class FileReader:
             return np.zeros(0, np.uint64)
         starts = self.trailer[stream]["starts"][begin // BLOCK : (end - 1) // BLOCK + 1]
         data = self._bytes(starts[0], self.ends[starts[-1]] - starts[0])
-        parts = [decode_block(data[s - starts[0] : self.ends[s] - starts[0]]) for s in starts]
+        parts = decode_blocks([data[s - starts[0] : self.ends[s] - starts[0]] for s in starts])
         return np.concatenate(parts)[begin % BLOCK : begin % BLOCK + end - begin]
 
     def documents(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -267,14 +294,20 @@ class _Written(WriterCommitMessage):
 
 
 class TokenFileWriter(DataSourceArrowWriter):
+    """Writes (doc_id, ids), or with the option vocabulary (doc_id, text), whose ids are made on the way."""
+
     def __init__(self, options: dict):
-        self.path = options["path"]
+        self.path, self.vocabulary, self.tail = options["path"], None, _tail(options.get("end_id"))
+        if options.get("vocabulary"):
+            with open(options["vocabulary"], "rb") as file:  # it travels with the tasks
+                self.vocabulary = file.read()
 
     def write(self, iterator):
         files, path = _files_of(self.path)
         files.create_dir(path, recursive=True)
         made, writer, out = [], None, None
         part = TaskContext.get().partitionId()
+        known = _piece_ids(self.vocabulary) if self.vocabulary else None
 
         def ended():
             made.append({"part": part, "seq": len(made), "file": name} | writer.close())
@@ -288,8 +321,9 @@ class TokenFileWriter(DataSourceArrowWriter):
                     name = f"tokens-{part:06d}-{len(made):04d}-{uuid.uuid4().hex}.pfor"
                     out = files.open_output_stream(f"{path}/{name}")
                     writer = FileWriter(out)
-                some = batch.slice(at, 256)
-                writer.add(some.column(0).to_pylist(), some.column(1).to_pylist())
+                some = batch.slice(at, 64)
+                values = some.column(1).to_pylist()
+                writer.add(some.column(0).to_pylist(), [known.ids(t or "") + self.tail for t in values] if known is not None else values)
                 at += some.num_rows
                 if writer.streams["ids"].values >= FILE_TOKENS:
                     ended()
@@ -395,7 +429,7 @@ class PieceIds(dict):
         self.special = re.compile(f"[^{re.escape(''.join(map(chr, PLAIN)))}]{added}").search
 
     def _kept(self, key: str, ids: list[int]) -> bytes:
-        data = np.array(ids, "<u4").tobytes()
+        data = struct.pack(f"<{len(ids)}I", *ids)
         if len(key) <= CACHE_CHARS:
             if len(self) >= CACHE_PIECES:
                 self.clear()
@@ -415,7 +449,8 @@ class PieceIds(dict):
         if not self.piecewise:
             return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if not self.special(text):
-            return b"".join(map(self.__getitem__, self.pieces(text.lower())))
+            found = self.pieces(text.lower())
+            return b"".join(itemgetter(*found)(self)) if len(found) > 1 else b"".join(map(self.__getitem__, found))
         special, pieces = self.special, self.pieces
         # split at white space of ASCII alone: what else counts as such is for the library to say
         return b"".join(self._word(w) if special(w) else b"".join(map(self.__getitem__, pieces(w.lower()))) for w in re.findall(r"[^\t-\r ]+", text))
@@ -426,6 +461,10 @@ def _piece_ids(vocabulary: bytes) -> PieceIds:
     return PieceIds(vocabulary)
 
 
+def _tail(end_id: str | int | None) -> bytes:
+    return b"" if end_id is None else struct.pack("<I", int(end_id))
+
+
 def encode_ids(docs: DataFrame, vocabulary_path: str, *, end_id: int | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, ids): token ids of each whole text under the library and vocabulary, then end_id, as unsigned 32-bit integers.
 
@@ -435,7 +474,7 @@ def encode_ids(docs: DataFrame, vocabulary_path: str, *, end_id: int | None = No
     small_batches(docs.sparkSession)
     with open(vocabulary_path, "rb") as file:
         vocabulary = file.read()
-    tail = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
+    tail = _tail(end_id)
 
     @F.arrow_udf("binary")
     def encode(texts: pa.Array) -> pa.Array:
@@ -461,6 +500,15 @@ def write_token_files(encoded: DataFrame, path: str) -> None:
     encoded.select("doc_id", "ids").write.format("token_files").mode("append").save(path)
 
 
+def encode_to_files(docs: DataFrame, vocabulary_path: str, path: str, *, end_id: int | None = None, doc_id: str = "doc_id", text: str = "text") -> None:
+    """encode_ids() of docs, in order of doc_id, as token files under a new folder: each task encodes what it writes."""
+    small_batches(docs.sparkSession)
+    docs.sparkSession.dataSource.register(TokenFiles)
+    rows = in_order(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")))
+    options = {"vocabulary": vocabulary_path} | ({} if end_id is None else {"end_id": str(end_id)})
+    rows.write.format("token_files").options(**options).mode("append").save(path)
+
+
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids): start counts the ids of all documents before it. A folder of no documents gives no rows."""
     spark.dataSource.register(TokenFiles)

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from math import exp, log, prod
 
 from pyspark.sql import functions as F
@@ -148,3 +149,16 @@ def test_repeated_rows_empty_tables_and_carried_columns(spark):
     out = pii.find_personal_data(docs, carry=["doc_id"])
     assert out.columns == ["doc_id", "personal"] and sorted(len(x.personal) for x in out.collect()) == [0, 1, 1]
     assert pii.find_personal_data(docs.limit(0), carry=["doc_id"]).collect() == []
+
+
+def test_many_spans_in_one_text_take_time_in_proportion(spark):
+    """A contact list of 21,000 addresses, numbers and secrets: found, told apart and masked in seconds, all of them."""
+    took = {}
+    for n in (700, 7_000):
+        text = "\n".join(f"név {i}: user{i}@site{i % 97}.example.org, +49 30 {1_000_000 + i}, token= Ab1{i:09d}Zz9" for i in range(n))
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        began = time.time()
+        out = pii.mask_personal_data(docs).first().text
+        took[n] = time.time() - began
+        assert out == "\n".join(f"név {i}: [EMAIL], [PHONE], [SECRET]" for i in range(n))
+    assert took[7_000] < 40, took

@@ -36,7 +36,14 @@ def test_blocks_round_trip(kind):
         }[kind].astype(np.uint64)
         blocks = token_files.encode_blocks(values)
         assert len(blocks) == -(-n // token_files.BLOCK)
-        assert np.array_equal(np.concatenate([token_files.decode_block(b) for b in blocks] or [values]), values)
+        assert np.array_equal(np.concatenate(token_files.decode_blocks(blocks) or [values]), values)
+        for width in (1, 7, 8, 31, 33, 63, 64):
+            low = values & np.uint64((1 << width) - 1)
+            packed = token_files.pack(low.reshape(1, -1), width)
+            bits = "".join(f"{int(v):0{width}b}"[::-1] for v in low[:200])
+            assert "".join(f"{b:08b}"[::-1] for b in packed[0, : len(bits) // 8]) == bits[: len(bits) // 8 * 8]
+            assert np.array_equal(token_files.unpack(packed, n, width)[0], low) and packed.shape[1] == token_files.packed_size(n, width)
+        assert token_files.bit_lengths(values).tolist() == [int(v).bit_length() for v in values]
     if kind == "outliers":  # two bits a value, and some bytes for each of the one in a hundred
         assert sum(map(len, blocks)) < n * 2 / 8 + n * 0.02 * 8 + 100
 
