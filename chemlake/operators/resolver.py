@@ -50,19 +50,23 @@ def source_rank(source: Column) -> Column:
 def resolve(rows: DataFrame, cache: DataFrame, providers: Sequence[tuple[str, DataFrame]] = ()) -> DataFrame:
     """One row per input row (row, name, cas): the best hit of its numbers, the other hits, and the mixture class.
 
-    Numbers are looked for in the cache first and only what it lacks among the providers.  A row without hit has source
-    unresolved.
+    The cache's answer to a number comes before those of the providers, in their order.  A row without hit has source
+    unresolved.  Row numbers differ.
     """
-    parts = rows.select("row", "name", F.col("cas").alias("cas_input"), F.posexplode(cas.slash_tokens(F.col("cas"))).alias("pos", "raw")).withColumn("cas", cas.resolver_cas(F.col("raw"))["cas"]).where(cas.resolver_valid(F.col("raw")))
-    hits = parts.join(cache.withColumn("source", F.lit("db2_cache")), "cas")
-    if providers:
-        misses = parts.join(cache, "cas", "left_anti")
-        hits = hits.select("row", "pos", "cas", "source", "smiles", "inchi", "inchi_key").unionByName(misses.join(from_providers(misses, providers), "cas").select("row", "pos", "cas", "source", "smiles", "inchi", "inchi_key"))
-    # the numbers of one cell
-    listed = hits.groupBy("row").agg(F.array_sort(F.collect_list(F.struct(source_rank(F.col("source")).alias("rank"), "pos", "cas", "source", "smiles", "inchi", "inchi_key"))).alias("hits"))
+    parts = rows.select("row", "name", F.col("cas").alias("cas_input"), F.posexplode_outer(cas.slash_tokens(F.col("cas"))).alias("pos", "raw"))
+    # of each number the cache's answer, else that of the first provider; one aggregate and one join by number
+    fields = ("smiles", "inchi", "inchi_key")
+    answers = cache.select("cas", F.lit(-1).alias("priority"), F.lit("db2_cache").alias("source"), *fields)
+    for priority, (name, table) in enumerate(providers):
+        answers = answers.unionByName(table.select("cas", F.lit(priority).alias("priority"), F.lit(name).alias("source"), *fields))
+    first = answers.where("cas IS NOT NULL").groupBy(F.col("cas").alias("_k")).agg(F.min_by(F.struct("source", *fields), "priority").alias("a"))
+    number = F.when(cas.resolver_valid(F.col("raw")), cas.resolver_cas(F.col("raw"))["cas"])
+    # what is no number is dealt by its row, so that it does not meet in one task; it finds nothing
+    asked = parts.withColumn("cas", number).withColumn("_k", F.coalesce("cas", F.concat(F.lit("row "), F.col("row").cast("string"))))
+    hit = F.when(F.col("a").isNotNull(), F.struct(source_rank(F.col("a.source")).alias("rank"), "pos", "cas", *[F.col(f"a.{c}").alias(c) for c in ("source", *fields)]))
+    out = asked.join(first, "_k", "left").groupBy("row", "name", "cas_input").agg(F.array_sort(F.collect_list(hit)).alias("hits"))
     best = F.get("hits", F.lit(0))
     others = F.array_join(F.transform(F.slice("hits", 2, F.greatest(F.size("hits") - 1, F.lit(0))), lambda h: h["cas"]), " | ")
-    out = rows.select("row", "name", F.col("cas").alias("cas_input")).join(listed, "row", "left")
     return out.select(
         "row", "name", "cas_input", best["cas"].alias("cas"), F.coalesce(best["source"], F.lit("unresolved")).alias("source"), best["smiles"].alias("smiles"),
         best["inchi"].alias("inchi"), best["inchi_key"].alias("inchi_key"), F.coalesce(others, F.lit("")).alias("alternates"),

@@ -9,16 +9,20 @@ Options: path; sheet (name or number; the first sheet where the name is missing
 from __future__ import annotations
 
 import glob
+import itertools
+import json
 import os
 import re
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from xml.etree import ElementTree
 from xml.sax.saxutils import escape
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -76,26 +80,56 @@ def read_rows(path: str, sheet: str = "0", fallback: bool = True) -> Iterator[li
                 row.clear()
 
 
-def write_rows(path: str, sheet: str, header: list[str], rows) -> None:
-    """A workbook of one sheet; it appears under its name when it is whole. More rows than a sheet holds are an error."""
-    draft = f"{path}.{uuid.uuid4().hex}.part"
+# The parts of a workbook beside its sheets.
+_TYPES = '<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/>{}</Types>'
+_SHEET_TYPE = '<Override PartName="/xl/worksheets/sheet{}.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>'
+_RELATIONS = '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">{}</Relationships>'
+_RELATION = '<Relationship Id="rId{}" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/{}" Target="{}"/>'
+_BOOK = '<workbook xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"><sheets>{}</sheets></workbook>'
+
+
+def write_sheets(path: str, sheets: Iterable[tuple[str, Sequence[str], Iterable]]) -> None:
+    """A workbook of sheets (name, header, rows), one after another; it appears under its name when it is whole. More rows than a sheet holds are an error."""
+    draft, names = f"{path}.{uuid.uuid4().hex}.part", []
     line = lambda values: "<row>" + "".join("<c/>" if v is None else f'<c t="inlineStr"><is><t xml:space="preserve">{escape(str(v))}</t></is></c>' for v in values) + "</row>"
     with zipfile.ZipFile(draft, "w", zipfile.ZIP_DEFLATED) as book:
-        book.writestr("[Content_Types].xml", '<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/><Override PartName="/xl/worksheets/sheet1.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/></Types>')
-        book.writestr("_rels/.rels", '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/officeDocument" Target="xl/workbook.xml"/></Relationships>')
-        book.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/worksheet" Target="worksheets/sheet1.xml"/></Relationships>')
-        book.writestr("xl/workbook.xml", f'<workbook xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"><sheets><sheet name="{escape(sheet)}" sheetId="1" r:id="rId1"/></sheets></workbook>')
-        with book.open("xl/worksheets/sheet1.xml", "w") as part:
-            part.write(b'<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>')
-            part.write(line(header).encode())
-            for k, row in enumerate(rows, 2):
-                if k > MOST_ROWS:
-                    raise ValueError(f"a sheet holds {MOST_ROWS} rows: write more partitions")
-                part.write(line(row).encode())
-            part.write(b"</sheetData></worksheet>")
+        for name, header, rows in sheets:
+            names.append(name)
+            with book.open(f"xl/worksheets/sheet{len(names)}.xml", "w") as part:
+                part.write(b'<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>')
+                part.write(line(header).encode())
+                for k, row in enumerate(rows, 2):
+                    if k > MOST_ROWS:
+                        raise ValueError(f"a sheet holds {MOST_ROWS} rows: write more partitions")
+                    part.write(line(row).encode())
+                part.write(b"</sheetData></worksheet>")
+        numbered = list(enumerate(names, 1))
+        book.writestr("[Content_Types].xml", _TYPES.format("".join(_SHEET_TYPE.format(k) for k, _ in numbered)))
+        book.writestr("_rels/.rels", _RELATIONS.format(_RELATION.format(1, "officeDocument", "xl/workbook.xml")))
+        book.writestr("xl/_rels/workbook.xml.rels", _RELATIONS.format("".join(_RELATION.format(k, "worksheet", f"worksheets/sheet{k}.xml") for k, _ in numbered)))
+        book.writestr("xl/workbook.xml", _BOOK.format("".join(f'<sheet name="{escape(name)}" sheetId="{k}" r:id="rId{k}"/>' for k, name in numbered)))
     os.replace(draft, path)
 
 
+def write_rows(path: str, sheet: str, header: list[str], rows) -> None:
+    """A workbook of one sheet."""
+    write_sheets(path, [(sheet, header, rows)])
+
+
+def write_workbook(tables: Mapping[str, DataFrame], path: str) -> None:
+    """One workbook of several tables, a sheet each under its name, at a new or empty folder; it appears when all of it is written.
+
+    A workbook is one file, so one task writes it; rows of a sheet beyond MOST_ROWS are an error.  Every value is a text.
+    """
+    register(next(iter(tables.values())).sparkSession)
+    sheets = [(name, df.columns) for name, df in tables.items()]
+    wide = max((len(columns) for _, columns in sheets), default=0)
+    texts = lambda df: [F.col(f"`{c}`").cast("string") for c in df.columns] + [F.lit(None).cast("string")] * (wide - len(df.columns))
+    parts = [df.select(F.lit(k).alias("sheet"), F.monotonically_increasing_id().alias("row"), F.array(*texts(df)).alias("cells")) for k, df in enumerate(tables.values())]
+    rows = reduce(DataFrame.unionByName, parts)
+    rows.repartition(1).sortWithinPartitions("sheet", "row").write.format("xlsx").option("sheets", json.dumps(sheets)).mode("append").save(path)
+
+
 @dataclass
 class _File(InputPartition):
     path: str
@@ -121,6 +155,18 @@ class _Written(WriterCommitMessage):
     draft: str
 
 
+def _split(sheets: list, iterator) -> Iterator[tuple[str, list[str], Iterable]]:
+    """Rows (sheet, row, cells) in order of their sheets as (name, header, rows) of every sheet, also of those without rows."""
+    groups = itertools.groupby(iterator, key=lambda r: r[0])
+    number, rows = next(groups, (None, ()))
+    for k, (name, header) in enumerate(sheets):
+        if number != k:
+            yield name, header, ()
+            continue
+        yield name, header, (r[2][: len(header)] for r in rows)
+        number, rows = next(groups, (None, ()))
+
+
 class XlsxWriter(DataSourceWriter):
     def __init__(self, schema: StructType, options: dict, overwrite: bool):
         self.names, self.options = schema.names, dict(options)
@@ -129,7 +175,10 @@ class XlsxWriter(DataSourceWriter):
 
     def write(self, iterator):
         draft = f"{self.options['path']}/part-{uuid.uuid4().hex}.xlsx.draft"
-        write_rows(draft, self.options.get("sheet", "Sheet1"), self.names, (tuple(r) for r in iterator))
+        if "sheets" in self.options:
+            write_sheets(draft, _split(json.loads(self.options["sheets"]), iterator))
+        else:
+            write_rows(draft, self.options.get("sheet", "Sheet1"), self.names, (tuple(r) for r in iterator))
         return _Written(draft)
 
     def commit(self, messages):

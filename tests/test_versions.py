@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from chemlake.sources import databases, versions
+from chemlake.sources import databases, versions, xlsx
 from chemlake.streaming import customer_stream
 
 SEEN = "customer_id string, cas_number_normalized string, timestamp_seen_utc string, code string, name string, cas_validity string"
@@ -118,3 +118,20 @@ def test_registry_in_a_database(spark):
     tables = connection.getMetaData().getTables(None, None, "REGISTRY_STAGE%", None)
     assert sorted(names) == ["cas_number_normalized", "inchi_key"] and not tables.next()
     connection.close()
+
+
+def test_a_workbook_of_several_tables(spark, tmp_path, monkeypatch):
+    """What a version holds as one workbook: a sheet for each table, in order, also for one without rows; none at all where a sheet fails."""
+    path, book = f"{tmp_path}/db", f"{tmp_path}/book"
+    registry = spark.range(2_500).selectExpr("CAST(id AS STRING) AS number", "IF(id % 2 = 0, NULL, '<&>') AS note", "id * 1.5 AS `a b`").repartition(3).orderBy("number")
+    versions.write(spark, path, {"registry": registry, "audit": spark.createDataFrame([("x", 1)], "event string, n int"), "rejected": spark.createDataFrame([], "reason string")})
+    kept = versions.tables(spark, path)
+    xlsx.write_workbook({n: kept[n].orderBy("number") if n == "registry" else kept[n] for n in ("registry", "audit", "rejected")}, book)
+    read = lambda sheet: spark.read.format("xlsx").option("sheet", sheet).option("fallback", "false").load(book)
+    assert read("registry").columns == ["number", "note", "a b"] and read("registry").count() == 2_500
+    assert tuple(read("registry").where("number = '7'").first()) == ("7", "<&>", "10.5") and read("registry").where("note IS NULL").count() == 1_250
+    assert [tuple(r) for r in read("audit").collect()] == [("x", "1")] and read("rejected").columns == ["reason"] and read("rejected").count() == 0
+    assert [r.number for r in read("registry").collect()] == sorted(map(str, range(2_500)))
+    with pytest.raises(Exception, match="no"):
+        xlsx.write_workbook({"a": kept["audit"], "b": kept["audit"].selectExpr("CAST(raise_error('no') AS STRING) AS e")}, f"{tmp_path}/none")
+    assert not [f for _, _, names in os.walk(f"{tmp_path}/none") for f in names if f.endswith(".xlsx")]
