@@ -47,7 +47,7 @@ CHUNK_BLOCKS = 64
 #: Tokens after which a task goes on in another file.
 FILE_TOKENS = 1 << 26
 #: Pieces kept with their ids in each Python worker; beyond that the cache starts anew. Longer ones are encoded each time.
-CACHE_PIECES, CACHE_CHARS = 400_000, 48
+CACHE_PIECES, CACHE_CHARS = 1_000_000, 48
 #: Tokens that are handed on at once when files are read.
 READ_TOKENS = 1 << 18
 
