@@ -317,6 +317,16 @@ O["merged_groups"] = f"""
 SELECT inchi_key, {', '.join(f"first({c} ORDER BY {_ORDER}) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in ("name_preferred", "computed_mw", "smiles", "timestamp_updated"))}, 'z' AS final_inchi
 FROM ({duck(inputs.REPEATED)}) GROUP BY inchi_key"""
 O["reindexed"] = f"SELECT _row AS key, inchi_key, CAST(NULL AS VARCHAR) AS cas_number, smiles, final_inchi, CAST(NULL AS VARCHAR) AS my_inchi, computed_mw FROM ({duck(inputs.REPEATED)})"
+_FIRST = ", ".join(f"first({c} ORDER BY _row) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in ("smiles", "computed_mw"))
+O["sanitized_rows"] = f"SELECT inchi_key, {_FIRST}, CAST(NULL AS VARCHAR) AS not_there, '2024-06-01T00:00:00Z' AS timestamp_updated FROM ({duck(inputs.PROPERTIES)}) WHERE inchi_key <> 'bad' GROUP BY inchi_key"
+O["sanitized_rejects"] = f"SELECT _row, CAST(NULL AS VARCHAR) AS inchi_key, smiles FROM ({duck(inputs.PROPERTIES)}) WHERE inchi_key = 'bad'"
+_EXPORT = (
+    "CAS_ID final_inchi final_smiles normalized_input computed_exact_mass computed_clogp computed_tpsa computed_hbd computed_hba computed_rot_bonds computed_ring_count computed_fraction_csp3 computed_molar_refractivity source_logp "
+    "computed_boiling_point_c computed_vapor_pressure_pa computed_density_g_ml computed_water_solubility_mg_l final_boiling_point_c final_vapor_pressure_pa final_water_solubility_mg_l final_density_g_ml final_mw final_exact_mass final_clogp "
+    "final_tpsa final_hbd final_hba final_rot_bonds final_ring_count final_fraction_csp3 final_molar_refractivity experimental_henry_constant_mol_m3_pa source_henry_constant henry_constant_mol_m3_Pa_25C log_henry_constant_mol_m3_Pa_25C "
+    "experimental_hsp_delta_d_mpa05 experimental_hsp_delta_p_mpa05 experimental_hsp_delta_h_mpa05 source_hsp computed_hsp_delta_d_mpa05 computed_hsp_delta_p_mpa05 computed_hsp_delta_h_mpa05 source_hsp_computed timestamp"
+).split()
+O["wide_export"] = f"SELECT upper(inchi_key) AS inchi_key, lower(inchi_key) AS final_inchikey, computed_mw, experimental_logp, {', '.join(f'CAST(NULL AS VARCHAR) AS {c}' for c in _EXPORT)} FROM ({duck(inputs.PROPERTIES)})"
 O["rejected_structures"] = """
 WITH c AS (SELECT p_partkey, p_partkey % 8 AS k FROM part WHERE p_partkey % 8 NOT IN (0, 6))
 SELECT p_partkey, ['', ' ', 'nbsp', 'C(', 'not a smiles', '', 'Zz.Yy'][k] AS smiles, CASE WHEN k <= 3 THEN 'empty' ELSE 'invalid' END AS reason FROM c"""

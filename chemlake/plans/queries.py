@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from chemlake.functions import cas, mixtures, smiles, text, units
 from chemlake.operators import identifiers as identifiers_of
-from chemlake.operators import canonical, descriptors, ingest, molecules, properties, provider, registry, resolver, structures, tokens
+from chemlake.operators import canonical, descriptors, governance, ingest, molecules, properties, provider, registry, resolver, structures, tokens
 from chemlake.plans import inputs, known_structures
 from chemlake.plans.inputs import derive
 from chemlake.sources import dumps, tables
@@ -364,6 +364,24 @@ def reindexed(spark, d):
     return canonical.to_allowlist(canonical.drop_variant_identifiers(derive(spark, d, inputs.REPEATED)).withColumn("key", F.col("_row")), ["key", *allowed])
 
 
+def sanitized_rows(spark, d):
+    """A tool's rows on their way into the canonical table: keys, times and columns as the allowlist has them."""
+    rows = derive(spark, d, inputs.PROPERTIES).withColumnRenamed("inchi_key", "computed_inchikey")
+    return governance.sanitize(rows, ["inchi_key", "smiles", "computed_mw", "not_there", "timestamp_updated"], AS_OF)[0]
+
+
+def sanitized_rejects(spark, d):
+    """The rows that have no valid key."""
+    rows = derive(spark, d, inputs.PROPERTIES).withColumnRenamed("inchi_key", "computed_inchikey")
+    return governance.sanitize(rows, ["inchi_key"], AS_OF)[1].select("_row", "inchi_key", "smiles")
+
+
+def wide_export(spark, d):
+    """Properties in the fixed columns of the export."""
+    rows = derive(spark, d, inputs.PROPERTIES).select(F.lower("inchi_key").alias("InChIKey"), "computed_mw", "experimental_logp", "alcohol_count")
+    return governance.export_wide(rows)
+
+
 def rejected_structures(spark, d):
     """Cells without a molecule, and why."""
     return molecules.rejected(_picked(spark, d, {"smiles": ["CCO", "", " ", "nbsp", "C(", "not a smiles", "C1CC1.[Na]", "Zz.Yy"]}))
@@ -457,7 +475,7 @@ QUERIES = (
     db2_upsert, best_identifiers, dump_rows, missing_requests, cas_tokens, cas_validity, cas_recovered, cas_swaps, cas_evidence, cas_repair, cas_fixed_cells, cas_first_tokens, cas_exploded_table, cas_first_valid, cas_run_counts, mixture_class, identifiers, ascii_names,
     db2_audit, db2_rejected, db2_summary, db1_dedupe, db1_rejects, db1_upsert, db1_merge_fields, promoted_keys, customer_feed, customer_map, cas_view, cas_view_exportable, cas_view_overlay,
     resolver_cache, resolver_winner, resolver_merge, name_rank, cache_ttl, unit_conversion, provider_units, provider_properties, fallback_estimates, final_fields, canonical_rows, canonical_winners, canonical_audit, henry_lookup,
-    solubility_parameters, computed_parameters, page_facts, page_discovery, entities, entity_shadows, json_values, cache_keys, listed_substances, mol_features, merged_groups, reindexed, rejected_structures, newest_versions, completed_structures, computed_descriptors, pattern_counts, smiles_clean,
+    solubility_parameters, computed_parameters, page_facts, page_discovery, entities, entity_shadows, json_values, cache_keys, listed_substances, mol_features, merged_groups, reindexed, sanitized_rows, sanitized_rejects, wide_export, rejected_structures, newest_versions, completed_structures, computed_descriptors, pattern_counts, smiles_clean,
 )
 
 

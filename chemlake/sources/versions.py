@@ -111,7 +111,7 @@ def write(spark: SparkSession, path: str, tables: Mapping[str, DataFrame], check
     written = {name: save(df, path, name) for name, df in tables.items()}
     if check:
         check({name: load(spark, path, said) for name, said in written.items()})
-    return commit(spark, path, before + 1, {"tables": content.get("tables", {}) | written})
+    return commit(spark, path, before + 1, content | {"tables": content.get("tables", {}) | written})
 
 
 def tables(spark: SparkSession, path: str, version: int | None = None) -> dict[str, DataFrame]:

@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from chemlake.operators import governance
 from chemlake.sources import databases, versions, xlsx
 from chemlake.streaming import customer_stream
 
@@ -135,3 +136,30 @@ def test_a_workbook_of_several_tables(spark, tmp_path, monkeypatch):
     with pytest.raises(Exception, match="no"):
         xlsx.write_workbook({"a": kept["audit"], "b": kept["audit"].selectExpr("CAST(raise_error('no') AS STRING) AS e")}, f"{tmp_path}/none")
     assert not [f for _, _, names in os.walk(f"{tmp_path}/none") for f in names if f.endswith(".xlsx")]
+
+
+def test_governed_columns(spark, tmp_path):
+    path = f"{tmp_path}/db"
+    with pytest.raises(ValueError):
+        governance.open_context(spark, path)
+    first = governance.open_context(spark, path, [" InChIKey ", "SMILES", "", "smiles", "CAS_ID", "mw"])
+    assert (first.version, first.allowlist, first.tables) == (1, ["inchi_key", "smiles", "cas_number", "mw"], {})
+    versions.write(spark, path, {"properties": spark.createDataFrame([("K",)], "inchi_key string")})
+    assert governance.change_allowlist(spark, path, drop=["mw", "none"], add=["logp", "InChI"]) == ["inchi_key", "smiles", "cas_number", "logp", "inchi"]
+    assert governance.change_allowlist(spark, path, drop=["none"]) == governance.open_context(spark, path, ["ignored"]).allowlist
+    last = governance.open_context(spark, path)
+    assert last.version == 3 and last.tables["properties"].count() == 1
+
+
+def test_rows_made_fit_for_an_allowlist(spark):
+    key, other = "ABCDEFGHIJKLMN-OPQRSTUVWX-Y", "BBCDEFGHIJKLMN-OPQRSTUVWX-Y"
+    rows = [(2, key.lower(), None, "C", None, "v"), (1, key, 1.0, None, "2024-01-01", "v"), (3, "no key", 5.0, "O", None, "v"), (4, None, 6.0, None, None, "v"), (5, other, None, None, None, "v")]
+    df = spark.createDataFrame(rows, "_row long, final_inchikey string, mw double, smiles string, timestamp_updated string, my_inchi string")
+    clean, rejected = governance.sanitize(df, ["inchi_key", "mw", "smiles", "timestamp_updated", "my_inchi"], "2024-06-01")
+    assert {tuple(r) for r in clean.collect()} == {(key, 1.0, "C", "2024-01-01", None), (other, None, None, "2024-06-01", None)}
+    assert sorted(r._row for r in rejected.collect()) == [3, 4] and "my_inchi" not in rejected.columns
+    with pytest.raises(ValueError):
+        governance.sanitize(df, ["mw"], "2024-06-01")
+    assert governance.sanitize(df.limit(0), ["inchi_key"], "x")[0].collect() == []
+    wide = governance.export_wide(df)
+    assert wide.columns == governance.EXPORTED and len(wide.columns) == 49 and governance.export_wide(spark.range(1)).columns == governance.EXPORTED
