@@ -1 +1 @@
-"""Training-data operators: ten operators over documents, embeddings, pages and conversations."""
+"""Training-data operators: thirteen operators over documents, embeddings, pages and conversations."""

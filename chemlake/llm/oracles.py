@@ -134,3 +134,33 @@ parts AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM parts)
 SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
 """
+
+# Remainders of one byte, by their rule; a row's checksum is folded over the digits of its id.
+_CRC_TABLE = "list_transform(range(256), lambda n: list_reduce(list_prepend(n::UBIGINT, [k::UBIGINT FOR k IN range(8)]), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END))"
+_CRC = "xor(list_reduce(list_prepend(4294967295::UBIGINT, [ascii(d)::UBIGINT FOR d IN string_split(doc_id::VARCHAR, '')]), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255)::BIGINT + 1])), 4294967295::UBIGINT)::BIGINT"
+
+OP13 = f"""
+WITH crc AS MATERIALIZED (SELECT {_CRC_TABLE} AS t),
+docs AS (
+    SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w, {_CRC} AS h FROM documents, crc
+),
+placed AS (SELECT *, len(w)::BIGINT AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a, (h // 10) % 8 AS g8 FROM docs),
+words AS MATERIALIZED (
+    SELECT k, i, CASE WHEN i >= a THEN w[a + (i - a) % (1 + (n - a) // (3 + g8)) + 1] ELSE w[i + 1] END AS word FROM (SELECT *, unnest(range(n)) AS i FROM placed)
+),
+sizes AS (SELECT k, n FROM placed),
+same AS (SELECT x.k, x.i, y.i - x.i AS q FROM words x JOIN words y ON x.k = y.k AND x.word = y.word AND x.i < y.i JOIN sizes s ON s.k = x.k WHERE 2 * (y.i - x.i) <= s.n),
+islands AS (SELECT k, q, i, i - row_number() OVER (PARTITION BY k, q ORDER BY i) AS island FROM same),
+stretches AS MATERIALIZED (SELECT k, q, min(i) AS start, count(*) + q AS length FROM islands GROUP BY k, q, island HAVING count(*) + q >= greatest(12, 2 * q)),
+runs AS MATERIALIZED (
+    SELECT * FROM stretches r WHERE NOT EXISTS (SELECT 1 FROM stretches s WHERE s.k = r.k AND s.q < r.q AND s.start <= r.start AND s.start + s.length >= r.start + r.length)
+),
+per_doc AS (
+    SELECT k, count(*) AS n_runs, string_agg(start || ',' || length || ',' || q || chr(10), '' ORDER BY start, q) AS lines, min([-length, start, q]) AS best FROM runs GROUP BY k
+),
+gone AS (SELECT DISTINCT w.k, w.i FROM words w JOIN runs r ON r.k = w.k AND w.i >= r.start + r.q AND w.i < r.start + r.length),
+kept AS (SELECT k, string_agg(word, ' ' ORDER BY i) AS text FROM words w WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.k = w.k AND g.i = w.i) GROUP BY k)
+SELECT p.doc_id, coalesce(d.n_runs, 0)::BIGINT AS n_runs, d.best[2]::BIGINT AS start, (-d.best[1])::BIGINT AS length, d.best[3]::BIGINT AS period,
+       (1000 * -d.best[1] // d.best[3])::BIGINT AS exponent_milli, sha256(coalesce(d.lines, '')) AS runs_sha256, sha256(coalesce(t.text, '')) AS collapsed_sha256
+FROM placed p LEFT JOIN per_doc d USING (k) LEFT JOIN kept t USING (k)
+"""

@@ -148,4 +148,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """The other queries are held against plain versions in tests/llm."""
-    return {"op1_near_vectors": oracles.OP1, "op4_repeats": oracles.OP4, "op7_preferences": oracles.OP7, "op8_minhash": oracles.OP8, "op12_source_divergence": oracles.OP12}
+    return {"op1_near_vectors": oracles.OP1, "op4_repeats": oracles.OP4, "op7_preferences": oracles.OP7, "op8_minhash": oracles.OP8, "op12_source_divergence": oracles.OP12, "op13_periodic_runs": oracles.OP13}

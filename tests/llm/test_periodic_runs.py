@@ -4,7 +4,9 @@ import hashlib
 import random
 import zlib
 
-from chemlake.llm import periodic_runs, queries
+import duckdb
+
+from chemlake.llm import oracles, periodic_runs, queries
 
 
 def brute_force(words, least):
@@ -81,6 +83,10 @@ def test_the_query_equals_its_definition(spark, tmp_path):
     spark.createDataFrame(docs, "doc_id long, text string, runs string").write.parquet(f"{tmp_path}/documents.parquet")
     found = queries.op13_periodic_runs(spark, str(tmp_path)).collect()
     assert sorted(map(tuple, found), key=str) == sorted((row_of(i, t) for i, t, _ in docs), key=str)
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet' WHERE doc_id IS NOT NULL")
+    columns = ", ".join(found[0].__fields__)
+    assert sorted(db.sql(f"SELECT {columns} FROM ({oracles.OP13})").fetchall(), key=str) == sorted((tuple(r) for r in found if r.doc_id is not None), key=str)
     assert sum(zlib.crc32(str(i).encode()) % 10 == 0 for i in range(420)) > 20
 
 
