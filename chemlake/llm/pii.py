@@ -84,20 +84,28 @@ def matches(text: Column, pattern: str, needs: str) -> Column:
 
     All of it comes from the matches and the gaps between them, by folds over these, so the work is linear in the text.
     """
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    firsts, lasts = F.slice(gaps, 1, F.size(found)), F.slice(gaps, 2, F.size(found))
-    ends = prefix_fold(F.zip_with(found, firsts, lambda m, g: F.length(m) + F.length(g)), lambda a, b: a + b)
     last = lambda a, b: F.right(F.concat(a, b), F.lit(CONTEXT))
     first = lambda a, b: F.left(F.concat(b, a), F.lit(CONTEXT))  # noqa: E731  the array is turned round
-    upto = prefix_fold(F.zip_with(firsts, found, last), last)
-    onward = F.reverse(prefix_fold(F.reverse(F.zip_with(found, lasts, lambda m, g: F.left(F.concat(m, g), F.lit(CONTEXT)))), first))
-    before = F.zip_with(F.concat(F.array(F.lit("")), F.slice(upto, 1, F.greatest(F.size(upto) - 1, F.lit(0)))), firsts, last)
-    after = F.zip_with(lasts, F.concat(F.slice(onward, 2, F.greatest(F.size(onward) - 1, F.lit(0))), F.array(F.lit(""))), lambda g, more: F.left(F.concat(g, more), F.lit(CONTEXT)))
-    zipped = F.arrays_zip(found.alias("text"), ends.alias("end"), before.alias("before"), after.alias("after"))
-    spans = F.transform(zipped, lambda z: F.struct((z["end"] - F.length(z["text"])).alias("begin"), z["end"].alias("end"), z["text"].alias("text"), z["before"].alias("before"), z["after"].alias("after")))
+    all_but = lambda x, start: F.slice(x, start, F.greatest(F.size(x) - 1, F.lit(0)))
+
+    def folded(b: Column) -> Column:
+        """Matches with the gap before and after each, and the folds over both."""
+        found, firsts, lasts = b["found"], F.slice(b["gaps"], 1, F.size(b["found"])), F.slice(b["gaps"], 2, F.size(b["found"]))
+        ends = prefix_fold(F.zip_with(found, firsts, lambda m, g: F.length(m) + F.length(g)), lambda a, b: a + b)
+        upto = prefix_fold(F.zip_with(firsts, found, last), last)
+        onward = F.reverse(prefix_fold(F.reverse(F.zip_with(found, lasts, lambda m, g: F.left(F.concat(m, g), F.lit(CONTEXT)))), first))
+        return bound(F.struct(found.alias("found"), firsts.alias("firsts"), lasts.alias("lasts"), ends.alias("ends"), upto.alias("upto"), onward.alias("onward")), placed)
+
+    def placed(b: Column) -> Column:
+        before = F.zip_with(F.concat(F.array(F.lit("")), all_but(b["upto"], 1)), b["firsts"], last)
+        after = F.zip_with(b["lasts"], F.concat(all_but(b["onward"], 2), F.array(F.lit(""))), lambda g, more: F.left(F.concat(g, more), F.lit(CONTEXT)))
+        zipped = F.arrays_zip(b["found"].alias("text"), b["ends"].alias("end"), before.alias("before"), after.alias("after"))
+        return F.transform(zipped, lambda z: F.struct((z["end"] - F.length(z["text"])).alias("begin"), z["end"].alias("end"), z["text"].alias("text"), z["before"].alias("before"), z["after"].alias("after")))
+
     none = F.array().cast(_EMPTY)
     held = F.contains(text, F.lit(needs)) if needs == "@" else F.rlike(text, F.lit(needs))
+    # what is used several times is bound, so that it is worked out once
+    spans = bound(F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"), F.split(text, pattern, -1).alias("gaps")), folded)
     return F.when(held & (F.regexp_count(text, F.lit(pattern)) > 0), spans).otherwise(none)
 
 
