@@ -298,16 +298,15 @@ O["missing_requests"] = "SELECT DISTINCT sha256('GET | http://x/' || event_type
 
 def _molecules_sql() -> str:
     """Every feature of every part's molecule, from what is known of the molecules; 0 or '' where nothing is."""
-    from chemlake.operators.molecules import FEATURES
     from chemlake.plans.known_molecules import KNOWN, features
-    from chemlake.plans.queries import MOLECULES
 
-    found = {s: features(s) for s in KNOWN}
+    # every feature is not 0 in some molecule
+    molecules, found = [*KNOWN, "not a smiles"], {s: features(s) for s in KNOWN}
     shown = lambda v: "'" + v.replace("'", "''") + "'" if isinstance(v, str) else f"{v}::DOUBLE" if isinstance(v, float) else str(v)
     empty = lambda name: "''" if name.endswith("Audit") else "'T1:0; T2:0'" if name.endswith("Summary") else "0.0::DOUBLE" if name in ("MolecularWeight", "FractionCSP3") else "0"
-    columns = [f"CASE smiles {' '.join(f'WHEN {shown(s)} THEN {shown(f[n])}' for s, f in found.items() if n in f)} ELSE {empty(n)} END AS {n}" if any(n in f for f in found.values()) else f"{empty(n)} AS {n}" for n in FEATURES]
-    names = ", ".join(shown(m) for m in MOLECULES)
-    return f"WITH m AS (SELECT p_partkey, [{names}][p_partkey % {len(MOLECULES)} + 1] AS smiles FROM part) SELECT p_partkey, smiles, {', '.join(columns)} FROM m"
+    columns = [f"CASE smiles {' '.join(f'WHEN {shown(s)} THEN {shown(f[n])}' for s, f in found.items() if n in f)} ELSE {empty(n)} END AS {n}" for n in dict.fromkeys(n for f in found.values() for n in f)]
+    names = ", ".join(shown(m) for m in molecules)
+    return f"WITH m AS (SELECT p_partkey, [{names}][p_partkey % {len(molecules)} + 1] AS smiles FROM part) SELECT p_partkey, smiles, {', '.join(columns)} FROM m"
 
 
 O["mol_features"] = _molecules_sql()

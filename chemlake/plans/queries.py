@@ -10,16 +10,13 @@ from pyspark.sql import functions as F
 from chemlake.functions import cas, mixtures, smiles, text, units
 from chemlake.operators import identifiers as identifiers_of
 from chemlake.operators import canonical, descriptors, governance, ingest, molecules, properties, provider, registry, resolver, structures, tokens
-from chemlake.plans import inputs, known_structures
+from chemlake.plans import inputs, known_molecules, known_structures
 from chemlake.plans.inputs import derive
 from chemlake.sources import dumps, tables
 
 AS_OF = "2024-06-01T00:00:00Z"
 #: Molecules that keys are mapped to.
-MOLECULES = (
-    "CCO", "CC(C)O", "CC(C)(C)O", "Oc1ccccc1", "CCC=O", "O=CC=CC", "O=Cc1ccccc1", "CC(=O)C", "CC(=O)OC", "O=C1CCCO1", "CC(=O)O", "CSSC", "CS(=O)(=O)C", "CS(C)=O",
-    "C[N+](=O)[O-]", "CC#N", "CN", "CNC", "CN(C)C", "c1ccncc1", "o1cccc1", "s1cccc1", "C1CO1", "COC", "COc1ccccc1", "ClCCl", "Oc1ccc(Cl)cc1", "O=C1CCCCCCCCCCC1", "C=C(C)C=C", "not a smiles",
-)
+MOLECULES = [*known_molecules.KNOWN, "not a smiles"]
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
