@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 NATURAL, FRAGRANCE, POLYMER = "natural product / UVCB", "fragrance mixture", "polymer / complex mixture"
 MANY, SINGLE = "mixture (multi-component structure)", "single substance"
 NAME_PARTS = {
-    NATURAL: "ess|essential oil|eo|abs|absolute|extract|ext|he|huile|resinoid|oleoresin|infusion|balsam|tincture",
-    FRAGRANCE: "mix|compound|accord|blend|fragrance|perfume|aroma",
-    POLYMER: "poly|polymer|copolymer|oligomer|resin",
+    NATURAL: ("ess", "essential oil", "eo", "abs", "absolute", "extract", "ext", "he", "huile", "resinoid", "oleoresin", "infusion", "balsam", "tincture"),
+    FRAGRANCE: ("mix", "compound", "accord", "blend", "fragrance", "perfume", "aroma"),
+    POLYMER: ("poly", "polymer", "copolymer", "oligomer", "resin"),
 }
 BLOCKS = ((90_000, None, NATURAL), (80_000, 89_999, FRAGRANCE), (60_000, 69_999, POLYMER))
 
@@ -37,7 +37,7 @@ def class_of_block(cas: Column) -> Column:
 def class_of_name(name: Column) -> Column:
     out = F.lit(None).cast("string")
     for label, parts in reversed(NAME_PARTS.items()):
-        out = F.when(F.rlike(F.lower(name), F.lit(parts)), label).otherwise(out)
+        out = F.when(F.rlike(F.lower(name), F.lit("|".join(parts))), label).otherwise(out)
     return out
 
 

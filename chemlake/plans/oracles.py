@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from chemlake.functions.mixtures import BLOCKS, NAME_PARTS
 from chemlake.plans import inputs, known_structures
 from chemlake.plans.inputs import duck, inchikey, number
 
@@ -112,8 +111,10 @@ O["cas_run_counts"] = f"""WITH {_REPAIR}, {_FIRST}, exploded AS (SELECT DISTINCT
 O["cas_exploded_table"] = f"WITH {_REPAIR} SELECT DISTINCT 'c1' AS customer_id, '2024-06-01T00:00:00Z' AS timestamp_seen_utc, code, name, fixed AS cas, status AS cas_validity FROM repaired"
 
 _BLOCK = "TRY_CAST(split_part(cas, '-', 1) AS BIGINT)"
-_CAS_KIND = "CASE " + " ".join(f"WHEN b >= {low}" + (f" AND b <= {high}" if high else "") + f" THEN '{label}'" for low, high, label in BLOCKS) + " END"
-_NAME_KIND = "CASE " + " ".join(f"WHEN regexp_matches(lower(name), '{parts}') THEN '{label}'" for label, parts in NAME_PARTS.items()) + " END"
+# What first blocks and parts of names stand for.
+_CAS_KIND = """CASE WHEN b >= 90000 THEN 'natural product / UVCB' WHEN b BETWEEN 80000 AND 89999 THEN 'fragrance mixture' WHEN b BETWEEN 60000 AND 69999 THEN 'polymer / complex mixture' END"""
+_NAME_KIND = """CASE WHEN regexp_matches(lower(name), 'ess|essential oil|eo|abs|absolute|extract|ext|he|huile|resinoid|oleoresin|infusion|balsam|tincture') THEN 'natural product / UVCB'
+    WHEN regexp_matches(lower(name), 'mix|compound|accord|blend|fragrance|perfume|aroma') THEN 'fragrance mixture' WHEN regexp_matches(lower(name), 'poly|polymer|copolymer|oligomer|resin') THEN 'polymer / complex mixture' END"""
 O["mixture_class"] = f"""
 WITH p AS (SELECT p_partkey, CAST(p_partkey * 97 % 99000 + 100 AS VARCHAR) || '-00-1' AS cas, p_name AS name, CASE WHEN p_partkey % 5 = 0 THEN 'C.C' ELSE 'CC' END AS smiles FROM part),
 k AS (SELECT *, {_BLOCK} AS b FROM p), j AS (SELECT p_partkey, coalesce({_CAS_KIND}, {_NAME_KIND}, CASE WHEN contains(smiles, '.') THEN 'mixture (multi-component structure)' END, 'single substance') AS kind, coalesce({_CAS_KIND}, 'single substance') AS block_kind FROM k)
