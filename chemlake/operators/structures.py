@@ -49,7 +49,7 @@ def complete_structures(df: DataFrame, smiles: str = "smiles", inchi: str = "inc
     becomes ''.  Without a molecule both texts stay as they are, the key is '' and the weight null.  Null counts as ''.
     """
     kept = [F.col(c) for c in df.columns if c not in (smiles, inchi, "inchi_key", "mw", "structure_error")]
-    text, spelled = F.coalesce(cut_smiles(F.col(smiles)), F.lit("")), F.coalesce(F.trim(F.translate(F.col(inchi), " ﻿", " ")), F.lit(""))
+    text, spelled = F.coalesce(cut_smiles(F.col(smiles)), F.lit("")), F.coalesce(F.trim(F.translate(F.col(inchi), "\u00a0\ufeff", " ")), F.lit(""))
     rows = df.select(F.struct(*kept).alias("_row"), F.coalesce(smiles, F.lit("")).alias("_smiles"), F.coalesce(inchi, F.lit("")).alias("_inchi"), text.alias("_text"), spelled.alias("_spelled"))
     named = F.startswith("_spelled", F.lit("InChI="))
     read = rows.withColumns({"_of_smiles": molecule(F.when(F.col("_text") != "", F.col("_text"))), "_of_inchi": molecule_of_inchi(F.when(named, F.col("_spelled")))})
