@@ -42,8 +42,8 @@ from chemlake.llm.workspace import small_batches
 
 #: Values in a block, and the share of them that its width holds without exceptions.
 BLOCK, PERCENT = 4096, 95
-#: Values that are packed at once.
-CHUNK_BLOCKS = 64
+#: Blocks that are packed at once, and values that are too few for that.
+CHUNK_BLOCKS, FEW = 64, 4096
 #: Tokens after which a task goes on in another file.
 FILE_TOKENS = 1 << 26
 #: Pieces kept with their ids in each Python worker; beyond that the cache starts anew. Longer ones are encoded each time.
@@ -73,11 +73,15 @@ def bit_lengths(values: np.ndarray) -> np.ndarray:
 def pack(values: np.ndarray, width: int) -> np.ndarray:
     """Rows of values as rows of bytes, `width` bits a value, lowest bit first.
 
-    64 values make `width` words of 64 bits; each of the 64 places is packed for all rows at once.
+    64 values make `width` words of 64 bits; each of the 64 places is packed for all rows at once.  Few values are
+    packed bit by bit, which takes fewer calls.
     """
     rows, n = values.shape
     if not width or not n:
         return np.zeros((rows, 0), np.uint8)
+    if rows * n < FEW:
+        bits = np.unpackbits(np.ascontiguousarray(values, "<u8").view(np.uint8).reshape(rows, n, 8), axis=2, bitorder="little")[:, :, :width]
+        return np.packbits(bits.reshape(rows, n * width), axis=1, bitorder="little")
     lanes = np.zeros((64, rows, -(-n // 64)), np.uint64)
     padded = np.zeros((rows, lanes.shape[2] * 64), np.uint64)
     padded[:, :n] = values
@@ -96,6 +100,11 @@ def unpack(data: np.ndarray, n: int, width: int) -> np.ndarray:
     rows = len(data)
     if not width or not n:
         return np.zeros((rows, n), np.uint64)
+    if rows * n < FEW:
+        bits = np.unpackbits(data, axis=1, count=n * width, bitorder="little").reshape(rows, n, width)
+        raw = np.zeros((rows, n, 8), np.uint8)
+        raw[:, :, : (width + 7) // 8] = np.packbits(bits, axis=2, bitorder="little")
+        return raw.view("<u8").reshape(rows, n).astype(np.uint64)
     groups = -(-n // 64)
     padded = np.zeros((rows, groups * width * 8), np.uint8)
     padded[:, : data.shape[1]] = data
@@ -407,6 +416,8 @@ NORMALISER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"},
 SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 #: Characters of which composing, lower case and kind are plain: printable ones of ASCII and Latin, and white space of ASCII.
 PLAIN = [*range(9, 14), *range(32, 127), *(c for c in range(0xA1, 0x180) if c != 0x130)]
+#: The bytes of these in UTF-8, and what else such bytes can make: controls and the no-break space (U+0130 is looked for by itself).
+_LATIN, _CONTROLS = bytes([*range(9, 14), *range(32, 127), *range(0x80, 0xC0), *range(0xC2, 0xC6)]), re.compile(rb"\xc2[\x80-\xa0]").search
 
 
 class PieceIds(dict):
@@ -425,8 +436,11 @@ class PieceIds(dict):
         self.piecewise = rules == NORMALISER and split and spec["model"]["type"] == "BPE" and not spec.get("post_processor")
         kinds = {k: "".join(chr(c) for c in PLAIN if unicodedata.category(chr(c))[0] == k) for k in "LN"}
         self.pieces = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{kinds['L']}]+|[{kinds['N']}]|[^\s{kinds['L']}{kinds['N']}]+").findall
-        added = "".join("|" + re.escape(t["content"]) for t in spec.get("added_tokens", []))
-        self.special = re.compile(f"[^{re.escape(''.join(map(chr, PLAIN)))}]{added}").search
+        self.added = [t["content"].encode() for t in spec.get("added_tokens", [])]
+
+    def plain(self, data: bytes) -> bool:
+        """Whether a text in UTF-8 holds PLAIN characters alone, and no string of an added token."""
+        return not (data.translate(None, _LATIN) or b"\xc4\xb0" in data or b"\xc2" in data and _CONTROLS(data) or any(a in data for a in self.added))
 
     def _kept(self, key: str, ids: list[int]) -> bytes:
         data = struct.pack(f"<{len(ids)}I", *ids)
@@ -448,12 +462,13 @@ class PieceIds(dict):
     def ids(self, text: str) -> bytes:
         if not self.piecewise:
             return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if not self.special(text):
+        data = text.encode("utf-8", "surrogatepass")
+        if self.plain(data):
             found = self.pieces(text.lower())
             return b"".join(itemgetter(*found)(self)) if len(found) > 1 else b"".join(map(self.__getitem__, found))
-        special, pieces = self.special, self.pieces
         # split at white space of ASCII alone: what else counts as such is for the library to say
-        return b"".join(self._word(w) if special(w) else b"".join(map(self.__getitem__, pieces(w.lower()))) for w in re.findall(r"[^\t-\r ]+", text))
+        words = [(w, w.decode("utf-8", "surrogatepass")) for w in data.split()]
+        return b"".join(b"".join(map(self.__getitem__, self.pieces(word.lower()))) if self.plain(w) else self._word(word) for w, word in words)
 
 
 @functools.lru_cache(maxsize=2)
