@@ -1,7 +1,7 @@
 """Computed descriptors of molecules: masses, polar surface, logP and refractivity by atom types, donors, acceptors, bonds.
 
 Atom types are rows of a table of patterns; the first that an atom fits decides.  Everything is an expression over a
-molecule's atoms, so a table of molecules is described without a shuffle.
+molecule's atoms; a table's distinct molecules are dealt to all cores and joined back.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from chemlake.functions.canonical_smiles import canonical_smiles
 from chemlake.functions.inchi import molecule_of_inchi
 from chemlake.functions.patterns import first_of, pattern_count
 from chemlake.functions.smiles import WEIGHTS, molecule
+from chemlake.operators.spread import distinct_rows
 
 # Masses of the most common isotopes.
 ISOTOPES = {"H": 1.00782503207, "B": 11.0093054, "C": 12.0, "N": 14.0030740048, "O": 15.99491461956, "F": 18.99840322, "Na": 22.9897692809, "Si": 27.9769265325, "P": 30.97376163, "S": 31.972071, "Cl": 34.96885268, "K": 38.96370668, "Br": 78.9183371, "I": 126.904473}
@@ -187,11 +188,13 @@ def describe(df: DataFrame, smiles: str = "smiles", inchi: str | None = None) ->
 
     The molecule is that of the SMILES, or where this is none that of the InChI.  Cells that are no molecule, null or
     empty have nulls; so has a mass where an element's weight is not known.  Columns of these names are replaced.
+    Each distinct pair of texts is described once.
     """
     text = F.trim(F.split_part(F.col(smiles), F.lit("|"), F.lit(1)))
-    read = molecule(text)
+    other = F.trim(F.col(inchi)) if inchi else F.lit("")
+    read = molecule(F.col("_text"))
     if inchi:
-        read = F.coalesce(read, molecule_of_inchi(F.trim(F.col(inchi))))
+        read = F.coalesce(read, molecule_of_inchi(F.col("_other")))
     kept = [c for c in df.columns if c not in {f"{p}_{d}" for d in DESCRIPTORS for p in ("computed", "source")}]
     carbons = "size(filter(molecule.atoms, a -> a.z = 'C'))"
     saturated = "size(filter(molecule.atoms, a -> a.z = 'C' AND size(a.n) + a.h = 4))"
@@ -208,11 +211,11 @@ def describe(df: DataFrame, smiles: str = "smiles", inchi: str | None = None) ->
         "fraction_csp3": F.round(F.col("_d.sp3"), 6),
         "molar_refractivity": F.round(F.col("_d.sums.m"), 6),
     }
-    rows = df.select(F.struct(*[F.col(c) for c in kept]).alias("_row"), read.alias("molecule"))
-    typed = rows.withColumn("_types", F.expr(_types()))
+    rows = df.select(F.struct(*[F.col(c) for c in kept]).alias("_row"), F.coalesce(text, F.lit("")).alias("_text"), F.coalesce(other, F.lit("")).alias("_other"))
+    typed = distinct_rows(rows, "_text", "_other").withColumn("molecule", read).withColumn("_types", F.expr(_types()))
     sums = "aggregate(_types, named_struct('p', 0D, 'm', 0D), (s, t) -> named_struct('p', s.p + t.heavy.p + coalesce(t.h * t.light.p, 0D), 'm', s.m + t.heavy.m + coalesce(t.h * t.light.m, 0D)))"
     found = typed.select(
-        "_row",
+        "_text", "_other",
         F.struct(
             F.col("molecule"), F.expr(_weights(WEIGHTS)).alias("mw"), F.expr(_weights(ISOTOPES)).alias("exact"), F.expr(sums).alias("sums"), F.expr(_surface()).alias("surface"),
             pattern_count(DONOR).alias("donors"), pattern_count(ACCEPTOR).alias("acceptors"), pattern_count(TURNING).alias("turning"), F.expr("size(molecule.rings)").alias("rings"),
@@ -221,4 +224,5 @@ def describe(df: DataFrame, smiles: str = "smiles", inchi: str | None = None) ->
     )
     known = F.col("_d.molecule").isNotNull()
     shown = [F.when(known, c).alias(f"computed_{d}") for d, c in out.items()]
-    return found.select("_row.*", *shown, *[F.when(known & out[d].isNotNull(), F.lit("computed")).alias(f"source_{d}") for d in DESCRIPTORS])
+    described = found.select("_text", "_other", *shown, *[F.when(known & out[d].isNotNull(), F.lit("computed")).alias(f"source_{d}") for d in DESCRIPTORS])
+    return rows.join(described, ["_text", "_other"]).select("_row.*", *[c for c in described.columns if c not in ("_text", "_other")])

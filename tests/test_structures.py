@@ -3,6 +3,7 @@
 import random
 from itertools import combinations, permutations
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -143,3 +144,37 @@ def test_descriptors_of_no_molecule_and_feeding_the_final_fields(spark):
     assert (out[1].computed_tpsa, out[1].final_tpsa, out[1].source_tpsa, out[1].final_clogp, out[1].final_smiles) == (20.23, "20.23", "computed", "-0.0014", "CCO") or (out[1].final_tpsa, out[1].source_tpsa) == (20.23, "computed")
     assert all(out[i].computed_tpsa is None and out[i].final_smiles is None and out[i].source_tpsa is None for i in (2, 3))
     assert out[4].computed_mw is None and out[4].source_mw is None and out[4].computed_hbd == 0
+
+
+def read_texts(monkeypatch, module, tmp_path, names):
+    """Files of a line for each text that the readers `names` of a module are given."""
+    def noted(name):
+        real = getattr(module, name)
+        log = str(tmp_path / name)
+
+        def reader(c):
+            @F.arrow_udf("string")
+            def note(texts: pa.Array) -> pa.Array:
+                with open(log, "a") as f:
+                    f.writelines(f"{t}\n" for t in texts.to_pylist() if t)
+                return texts
+
+            return real(note(c))
+
+        return reader
+
+    for name in names:
+        monkeypatch.setattr(module, name, noted(name))
+    return lambda name: (tmp_path / name).read_text().split()
+
+
+@pytest.mark.parametrize("kind", ["completed", "described", "counted"])
+def test_equal_texts_are_read_once_and_no_row_is_lost(spark, tmp_path, monkeypatch, kind):
+    texts = [("CCO", ""), ("COC", None), (None, "InChI=1S/CH4/h1H4"), ("C(C", None), (None, None)]
+    rows = spark.createDataFrame([(i, *texts[i % 5]) for i in range(200)], "i int, smiles string, inchi string")
+    module = descriptors if kind == "described" else structures
+    log = read_texts(monkeypatch, module, tmp_path, ["molecule"])
+    run = {"completed": structures.complete_structures, "described": lambda d: descriptors.describe(d, inchi="inchi"), "counted": structures.count_patterns}[kind]
+    found = run(rows).collect()
+    assert sorted(log("molecule")) == ["C(C", "CCO", "COC"]
+    assert sorted(r.i for r in found) == sorted(i for i in range(200) if kind != "counted" or i % 5 < 2)
