@@ -14,6 +14,7 @@ from chemlake.functions.patterns import pattern_count
 from chemlake.functions.smiles import molecule
 from chemlake.functions.text import cut_smiles
 from chemlake.operators.descriptors import weight
+from chemlake.operators.spread import distinct_rows
 
 # Named patterns of functional groups and motifs.
 PATTERNS = {
@@ -47,12 +48,14 @@ def complete_structures(df: DataFrame, smiles: str = "smiles", inchi: str = "inc
     The molecule is that of the SMILES, or where this cannot be read that of the InChI; the error says what failed on the
     way, even where the second one helps.  The InChI stays where it is of this molecule, and gives the key; another one
     becomes ''.  Without a molecule both texts stay as they are, the key is '' and the weight null.  Null counts as ''.
+    Each distinct pair of texts is read once.
     """
     kept = [F.col(c) for c in df.columns if c not in (smiles, inchi, "inchi_key", "mw", "structure_error")]
     text, spelled = F.coalesce(cut_smiles(F.col(smiles)), F.lit("")), F.coalesce(F.trim(F.translate(F.col(inchi), "\u00a0\ufeff", " ")), F.lit(""))
     rows = df.select(F.struct(*kept).alias("_row"), F.coalesce(smiles, F.lit("")).alias("_smiles"), F.coalesce(inchi, F.lit("")).alias("_inchi"), text.alias("_text"), spelled.alias("_spelled"))
     named = F.startswith("_spelled", F.lit("InChI="))
-    read = rows.withColumns({"_of_smiles": molecule(F.when(F.col("_text") != "", F.col("_text"))), "_of_inchi": molecule_of_inchi(F.when(named, F.col("_spelled")))})
+    each = distinct_rows(rows, "_text", "_spelled")
+    read = each.withColumns({"_of_smiles": molecule(F.when(F.col("_text") != "", F.col("_text"))), "_of_inchi": molecule_of_inchi(F.when(named, F.col("_spelled")))})
     found = read.withColumn("molecule", F.coalesce("_of_smiles", "_of_inchi"))
     spelt = found.withColumns({"_canonical": canonical_smiles(F.col("molecule")), "_same": F.when(F.col("_of_smiles").isNotNull(), canonical_smiles(F.col("_of_inchi")))})
     error = (
@@ -64,10 +67,10 @@ def complete_structures(df: DataFrame, smiles: str = "smiles", inchi: str = "inc
     )
     known = F.col("molecule").isNotNull()
     mine = F.col("_of_smiles").isNull() | F.col("_same").eqNullSafe(F.col("_canonical"))
-    ours = F.when(known, F.when(mine, F.col("_spelled")).otherwise("")).otherwise(F.col("_inchi"))
-    return spelt.select(
-        "_row.*", F.coalesce("_canonical", "_smiles").alias(smiles), ours.alias(inchi), F.when(known, F.coalesce(inchikey(ours), F.lit(""))).otherwise("").alias("inchi_key"),
-        weight().alias("mw"), error.alias("structure_error"),
+    ours = F.when(known, F.when(mine, F.col("_spelled")).otherwise(""))
+    completed = spelt.select("_text", "_spelled", "_canonical", ours.alias("_ours"), F.coalesce(inchikey(ours), F.lit("")).alias("_key"), weight().alias("_weight"), error.alias("_error"))
+    return rows.join(completed, ["_text", "_spelled"]).select(
+        "_row.*", F.coalesce("_canonical", "_smiles").alias(smiles), F.coalesce("_ours", "_inchi").alias(inchi), F.col("_key").alias("inchi_key"), F.col("_weight").alias("mw"), F.col("_error").alias("structure_error"),
     )
 
 
