@@ -76,6 +76,9 @@ def complete_structures(df: DataFrame, smiles: str = "smiles", inchi: str = "inc
 
 def count_patterns(df: DataFrame, patterns: Mapping[str, str] = PATTERNS, smiles: str = "smiles") -> DataFrame:
     """df once for each pattern that its molecule holds: pattern, n (different sets of atoms). Cells that are no molecule give no row."""
-    read = df.withColumn("molecule", molecule(F.col(smiles))).where("molecule IS NOT NULL")
+    # each distinct text is read and counted once; a filter on what is counted would be moved before that, onto every row
+    read = distinct_rows(df.select(F.col(smiles).alias("_s")).where("_s IS NOT NULL"), "_s").withColumn("molecule", molecule(F.col("_s")))
     counts = F.array(*[F.struct(F.lit(name).alias("pattern"), pattern_count(text).cast("int").alias("n")) for name, text in patterns.items()])
-    return read.withColumn("_counts", counts).select(*df.columns, F.explode(F.filter("_counts", lambda c: c["n"] > 0)).alias("_c")).select(*df.columns, "_c.pattern", "_c.n")
+    held = read.select("_s", F.filter(counts, lambda c: c["n"] > 0).alias("_counts"))
+    spread = df.join(held, F.col(smiles) == F.col("_s")).select(*df.columns, F.explode_outer("_counts").alias("_c"))
+    return spread.where("_c IS NOT NULL").select(*df.columns, "_c.pattern", "_c.n")
