@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from chemlake.operators.spread import spread
+
 
 def _digit_sum(body: str) -> str:
     return " + ".join(f"(CAST(floor({body} / {10**i}) AS BIGINT) % 10) * {i + 1}" for i in range(10))
@@ -105,10 +107,11 @@ def spark_sql(text: str) -> str:
     return text.replace('"CAS_ID"', "CAS_ID").replace('"InChIKey2"', "InChIKey2")
 
 
-def derive(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    """A derived input as a DataFrame."""
+def derive(spark: SparkSession, sf_dir: str, text: str, heavy: bool = False) -> DataFrame:
+    """A derived input as a DataFrame; heavy: rows that much is made of, dealt to all cores however few files they come in."""
     names = [t for t in ("part", "orders", "supplier", "customer", "lineitem", "events", "pages", "documents") if "{" + t + "}" in text]
-    return spark.sql(spark_sql(text), **{n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names})
+    read = lambda n: spark.read.parquet(f"{sf_dir}/{n}.parquet")
+    return spark.sql(spark_sql(text), **{n: spread(read(n)) if heavy else read(n) for n in names})
 
 
 def duck(text: str) -> str:

@@ -414,7 +414,7 @@ def smiles_clean(spark, d):
 
 def provider_properties(spark, d):
     """Properties out of a provider's nested answers."""
-    out = provider.properties(derive(spark, d, inputs.ANSWERS))
+    out = provider.properties(derive(spark, d, inputs.ANSWERS, heavy=True))
     shown = ("boiling_point_c", "vapor_pressure_pa", "density_g_ml", "refractive_index", "logp", "melting_point_c", "water_solubility_mg_l", "heat_of_vaporization_kj_mol")
     return out.select("p_partkey", *[F.round(f"experimental_{p}", 6).alias(p) for p in shown], "source_density_g_ml", "source_melting_point_c", "experimental_refractive_index_temperature_c", "warnings")
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from chemlake.functions import mixtures, text, units
 from chemlake.operators import canonical, identifiers, ingest, molecules, properties, provider, registry, resolver
+from chemlake.plans import inputs
 from chemlake.sources import dumps, tables, xlsx
 from chemlake.streaming import customer_stream
 
@@ -250,3 +251,10 @@ def test_kinds_of_columns_are_told_by_all_rows(spark):
 def test_rejected_structures(spark):
     rows = spark.createDataFrame([(1, None, "x"), (2, "", "x"), (3, "CCO", "x"), (4, "C(", "x"), (4, "C(", "x"), (5, " \t", "x")], "i int, smiles string, _other string")
     assert sorted((r.i, r.reason, r._other) for r in molecules.rejected(rows).collect()) == [(1, "empty", "x"), (2, "empty", "x"), (4, "invalid", "x"), (4, "invalid", "x"), (5, "empty", "x")]
+
+
+def test_heavy_rows_of_one_file_are_dealt_to_all_cores(spark, tmp_path):
+    spark.range(1_000).selectExpr("id AS p_partkey").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    dealt = inputs.derive(spark, str(tmp_path), "SELECT p_partkey FROM {part}", heavy=True)
+    tasks = dealt.groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) >= 4 and sum(r["count"] for r in tasks) == 1_000
