@@ -59,7 +59,10 @@ def promote_identifiers(df: DataFrame) -> DataFrame:
         smiles = F.coalesce(smiles, F.when(F.lower(F.trim("identifier_type")).isin("smiles", "smile"), text_or_null(F.col("normalized_input"))))
     keys = have(KEY_NAMES)
     key = first_inchikey(*keys) if keys else F.lit(None).cast("string")
-    return df.withColumns({KEY: key, "inchi": filled(INCHI_NAMES), "smiles": smiles})
+    found = df.withColumns({"_promoted_key": key, "inchi": filled(INCHI_NAMES), "smiles": smiles})
+    # a filter on a column that is generated stays above it; on one that is computed it would hold the whole of its making several times
+    made = found.withColumn("_promoted_key", F.explode_outer(F.array("_promoted_key")))
+    return made.withColumn(KEY, F.col("_promoted_key")).drop("_promoted_key")
 
 
 def split_by_key(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -363,13 +363,13 @@ def reindexed(spark, d):
 
 def sanitized_rows(spark, d):
     """A tool's rows on their way into the canonical table: keys, times and columns as the allowlist has them."""
-    rows = derive(spark, d, inputs.PROPERTIES).withColumnRenamed("inchi_key", "computed_inchikey")
+    rows = derive(spark, d, inputs.PROPERTIES, heavy=True).withColumnRenamed("inchi_key", "computed_inchikey")
     return governance.sanitize(rows, ["inchi_key", "smiles", "computed_mw", "not_there", "timestamp_updated"], AS_OF)[0]
 
 
 def sanitized_rejects(spark, d):
     """The rows that have no valid key."""
-    rows = derive(spark, d, inputs.PROPERTIES).withColumnRenamed("inchi_key", "computed_inchikey")
+    rows = derive(spark, d, inputs.PROPERTIES, heavy=True).withColumnRenamed("inchi_key", "computed_inchikey")
     return governance.sanitize(rows, ["inchi_key"], AS_OF)[1].select("_row", "inchi_key", "smiles")
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chemlake.functions import mixtures, text, units
-from chemlake.operators import canonical, identifiers, ingest, molecules, properties, provider, registry, resolver
+from chemlake.operators import canonical, governance, identifiers, ingest, molecules, properties, provider, registry, resolver
 from chemlake.plans import inputs
 from chemlake.sources import dumps, tables, xlsx
 from chemlake.streaming import customer_stream
@@ -258,3 +258,9 @@ def test_heavy_rows_of_one_file_are_dealt_to_all_cores(spark, tmp_path):
     dealt = inputs.derive(spark, str(tmp_path), "SELECT p_partkey FROM {part}", heavy=True)
     tasks = dealt.groupBy(F.spark_partition_id()).count().collect()
     assert len(tasks) >= 4 and sum(r["count"] for r in tasks) == 1_000
+
+
+def test_a_key_is_made_once_before_it_is_filtered(spark):
+    rows = spark.range(10).selectExpr("id AS _row", "upper(md5(CAST(id AS STRING))) AS computed_inchikey", "'C' AS smiles")
+    for made in governance.sanitize(rows, ["inchi_key", "smiles"], NOW):
+        assert made._jdf.queryExecution().optimizedPlan().toString().count("md5") == 1
