@@ -5,7 +5,8 @@ A file of a few megabytes is one task, and small shuffles are joined into one; n
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 #: Tasks for each core.
 TASKS = 4
@@ -19,3 +20,8 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 def distinct_rows(df: DataFrame, *columns: str) -> DataFrame:
     """Each combination of values of some columns once, dealt to all cores."""
     return spread(df.select(*columns).distinct(), *columns)
+
+
+def made_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """df with a column that is made once for each row: a filter on what is generated stays above it, one on what is computed repeats it below."""
+    return df.withColumn(name, F.explode_outer(F.array(value)))

@@ -13,6 +13,7 @@ from chemlake.functions import cas
 from chemlake.functions import sql_text as S
 from chemlake.functions.sql_text import Text
 from chemlake.functions.text import squeeze
+from chemlake.operators.spread import made_once
 
 
 #: Kinds of edits, in the order in which they count: of a date, a swap of neighbours, a neighbouring key.
@@ -37,7 +38,8 @@ def evidence(tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Numbers known of each code and of each designation: valid ones, and those that a date hides."""
     t = S.col("token")
     number = _column(S.when(cas.valid(t), t).otherwise(cas.from_date(t)))
-    known = tokens.select(F.trim("code").alias("code"), designation_key(S.col("name")).alias("designation"), number.alias("cas")).where("cas IS NOT NULL")
+    named = tokens.select(F.trim("code").alias("code"), designation_key(S.col("name")).alias("designation"), "token")
+    known = made_once(named, "cas", number).where("cas IS NOT NULL")
     return known.where("code <> ''").select("code", "cas").distinct(), known.where("designation <> ''").select("designation", "cas").distinct()
 
 
@@ -69,7 +71,7 @@ def repair(tokens: DataFrame) -> DataFrame:
     by_code, by_name = evidence(tokens)
     t = S.col("token")
     keyed = tokens.withColumns({"code_key": F.expr("coalesce(trim(code), '')"), "name_key": designation_key(S.col("name"))})
-    sure = keyed.select("token", "code_key", "name_key").distinct().withColumn("fixed", _column(S.when(cas.valid(t), t).otherwise(cas.from_date(t))))
+    sure = made_once(keyed.select("token", "code_key", "name_key").distinct(), "fixed", _column(S.when(cas.valid(t), t).otherwise(cas.from_date(t))))
     known = sure.where("fixed IS NOT NULL").selectExpr("token", "code_key", "name_key", "fixed", "IF(fixed = token, 'valid', format_string('valid (fixed from: %s)', token)) AS status")
     open_ = sure.where("fixed IS NULL")
 

@@ -25,7 +25,7 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def cas_tokens(spark, d):
     """One row per token of every cell."""
-    return tokens.explode_tokens(derive(spark, d, inputs.CELLS)).select("row", "pos", "token")
+    return tokens.explode_tokens(derive(spark, d, inputs.CELLS, heavy=True)).select("row", "pos", "token")
 
 
 def cas_validity(spark, d):
@@ -50,30 +50,30 @@ def cas_swaps(spark, d):
 
 def cas_evidence(spark, d):
     """Numbers known of each code."""
-    by_code, _ = tokens.evidence(tokens.explode_tokens(derive(spark, d, inputs.CELLS)))
+    by_code, _ = tokens.evidence(tokens.explode_tokens(derive(spark, d, inputs.CELLS, heavy=True)))
     return by_code
 
 
 def cas_repair(spark, d):
     """Every token with its repair and status."""
-    return tokens.repair(tokens.explode_tokens(derive(spark, d, inputs.CELLS)))
+    return tokens.repair(tokens.explode_tokens(derive(spark, d, inputs.CELLS, heavy=True)))
 
 
 def cas_fixed_cells(spark, d):
     """Every cell with its tokens repaired."""
-    cells = derive(spark, d, inputs.CELLS)
+    cells = derive(spark, d, inputs.CELLS, heavy=True)
     return tokens.fixed_cells(cells, tokens.repair(tokens.explode_tokens(cells)))
 
 
 def cas_first_tokens(spark, d):
     """The first token of every cell."""
-    cells = derive(spark, d, inputs.CELLS)
+    cells = derive(spark, d, inputs.CELLS, heavy=True)
     return tokens.first_tokens(cells, tokens.repair(tokens.explode_tokens(cells)))
 
 
 def cas_exploded_table(spark, d):
     """The customer's table of repaired numbers."""
-    cells = derive(spark, d, inputs.CELLS)
+    cells = derive(spark, d, inputs.CELLS, heavy=True)
     return tokens.exploded_table(tokens.repair(tokens.explode_tokens(cells)), "c1", AS_OF)
 
 
@@ -195,7 +195,7 @@ def resolver_cache(spark, d):
 
 def resolver_winner(spark, d):
     """The best hit of every cell, from cache and two providers."""
-    cells = derive(spark, d, inputs.CELLS)
+    cells = derive(spark, d, inputs.CELLS, heavy=True)
     provider = lambda m, k: derive(spark, d, f"SELECT {inputs.number('p_partkey')} AS cas, 'C{m}' AS smiles, '' AS inchi, {inputs.inchikey('p_partkey')} AS inchi_key FROM {{part}} WHERE p_partkey % {m} = {k}")
     return resolver.resolve(cells, resolver.registry_cache(_known(spark, d).withColumn("_row", F.lit(0))), [("pubchem", provider(2, 0)), ("cactus", provider(3, 0))])
 
@@ -431,13 +431,13 @@ def provider_units(spark, d):
 
 def cas_first_valid(spark, d):
     """The customer's first tokens, one row per code, name and number."""
-    cells = derive(spark, d, inputs.CELLS)
+    cells = derive(spark, d, inputs.CELLS, heavy=True)
     return tokens.first_valid(tokens.first_tokens(cells, tokens.repair(tokens.explode_tokens(cells))), "c1").select("customer_id", "code", "name", "cas")
 
 
 def cas_run_counts(spark, d):
     """Counts of a run of the cleaner."""
-    cells = derive(spark, d, inputs.CELLS)
+    cells = derive(spark, d, inputs.CELLS, heavy=True)
     repaired = tokens.repair(tokens.explode_tokens(cells))
     return tokens.run_counts(cells, tokens.exploded_table(repaired, "c1", AS_OF), tokens.first_valid(tokens.first_tokens(cells, repaired), "c1"))
 

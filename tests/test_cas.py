@@ -96,3 +96,10 @@ def test_customer_map_is_idempotent_and_takes_the_latest(spark):
     once = tokens.upsert_customer_map(old, new)
     assert sorted((r.cas_number_normalized, r.code) for r in once.collect()) == [("64-17-5", "1"), ("67-56-1", "2")]
     assert sorted(once.collect()) == sorted(tokens.upsert_customer_map(once, new).collect())
+
+
+def test_filters_do_not_repeat_how_numbers_are_made(spark):
+    found = spark.createDataFrame([(1, "50-00-0", "a", "b", 0, "50-00-0")], "row long, cas string, code string, name string, pos int, token string")
+    for known in tokens.evidence(found):
+        plan = known._jdf.queryExecution().optimizedPlan().toString()
+        assert not any("Filter" in line and "RLIKE" in line for line in plan.splitlines()) and known.count() == 1
