@@ -177,4 +177,6 @@ def test_equal_texts_are_read_once_and_no_row_is_lost(spark, tmp_path, monkeypat
     run = {"completed": structures.complete_structures, "described": lambda d: descriptors.describe(d, inchi="inchi"), "counted": structures.count_patterns}[kind]
     found = run(rows).collect()
     assert sorted(log("molecule")) == ["C(C", "CCO", "COC"]
-    assert sorted(r.i for r in found) == sorted(i for i in range(200) if kind != "counted" or i % 5 < 2)
+    # a molecule may hold several patterns
+    places = {r.i for r in found} if kind == "counted" else [r.i for r in found]
+    assert sorted(places) == [i for i in range(200) if kind != "counted" or i % 5 < 2]
