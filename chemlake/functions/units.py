@@ -12,6 +12,12 @@ DENSITY = {"g/ml": 1.0, "g/cm3": 1.0, "g/cc": 1.0, "kg/m3": 0.001, "mg/ml": 0.00
 SOLUBILITY = {"mg/l": 1.0, "g/l": 1000.0, "mg/ml": 1000.0, "ug/ml": 1.0, "ng/ml": 0.001, "g/ml": 1_000_000.0}
 MOLAR = {"mol/l": 1.0, "m": 1.0, "molar": 1.0, "mmol/l": 1e3, "mmolar": 1e3, "mm": 1e3, "umol/l": 1e6, "umolar": 1e6, "um": 1e6}
 OLD_TORR = 133.322
+#: Temperatures in Celsius: what is taken off, and what the rest is multiplied and divided by, in this order.
+KELVIN, FAHRENHEIT, AS_IS = (273.15, 1.0, 1.0), (32.0, 5.0, 9.0), (0.0, 1.0, 1.0)
+PROVIDER = {
+    **{u: (0.0, worth, 1.0) for u, worth in (PRESSURE | {"pascal": 1.0, "pascals": 1.0, "millibar": 100.0, "torr": OLD_TORR, "mmhg": OLD_TORR}).items()},
+    **dict.fromkeys(("k", "kelvin"), KELVIN), **dict.fromkeys(("f", "°f", "fahrenheit"), FAHRENHEIT), **dict.fromkeys(("c", "°c", "celsius"), AS_IS),
+}
 
 
 def is_missing(c: Column) -> Column:
@@ -41,20 +47,32 @@ def normal_unit(u: Column) -> Column:
 
 def split_units(rows: DataFrame, *columns: str) -> DataFrame:
     """rows with number and unit of texts '<number> <unit>' in <column>_number and <column>_unit; both null if the text is
-    something else. A projection of its own, so that each text is looked at once however often its parts are used."""
+    something else. Each text is looked at once however often its parts are used; they are generated, which puts what comes
+    before into a method of its own: the JVM compiles none of more than 8,000 bytes."""
     shape = rf"^\s*({NUMBER})\s*([^0-9\s].*?)?\s*$"
     out = {}
     for c in columns:
         t = F.col(c).cast("string")
         out[f"{c}_number"] = F.nullif(F.regexp_extract(t, shape, 1), F.lit("")).try_cast("double")
         out[f"{c}_unit"] = F.nullif(F.trim(F.regexp_extract(t, shape, 2)), F.lit(""))
-    return rows.withColumns(out)
+    made = rows.withColumn("_split", F.explode_outer(F.array(F.struct(*[part.alias(name) for name, part in out.items()]))))
+    return made.withColumns({name: F.col("_split")[name] for name in out}).drop("_split")
 
 
 def _worth(table: dict[str, float], unit: Column) -> Column:
     return F.try_element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), unit)
 
 
+def _steps(table: dict[str, tuple[float, float, float]], unit: Column) -> Column:
+    """struct<minus, times, over>; null for a unit that the table does not have."""
+    steps = {u: F.struct(*[F.lit(x).alias(n) for n, x in zip(("minus", "times", "over"), s, strict=True)]) for u, s in table.items()}
+    return F.try_element_at(F.create_map(*[x for u, s in steps.items() for x in (F.lit(u), s)]), unit)
+
+
+def _stepped(value: Column, steps: Column) -> Column:
+    return F.coalesce((value - steps["minus"]) * steps["times"] / steps["over"], value)
+
+
 def _struct(value: Column, warning: Column) -> Column:
     return F.struct(value.alias("value"), warning.alias("warning"))
 
@@ -143,19 +161,16 @@ def first_celsius(text: Column) -> Column:
     shape = r"([-+]?\d+(?:\.\d+)?)\s*([Kk]|°?C|°?F|fahrenheit|celsius)?"
     v = F.nullif(F.regexp_extract(text, shape, 1), F.lit("")).try_cast("double")
     u = F.replace(F.lower(F.regexp_extract(text, shape, 2)), F.lit("°"), F.lit(""))
-    return F.when(u == "k", v - 273.15).when(u.isin("f", "fahrenheit"), (v - 32.0) * 5.0 / 9.0).otherwise(v)
+    return _stepped(v, _steps({"k": KELVIN, "f": FAHRENHEIT, "fahrenheit": FAHRENHEIT}, u))
 
 
 def provider_unit(value: Column, unit: Column) -> Column:
     """struct<value, warning>: temperatures in Celsius and pressures in pascal by their unit's name (older torr); a value
     without unit, or of another unit, stays with a warning."""
-    u = F.lower(F.trim(unit))
-    worth = _worth(PRESSURE | {"pascal": 1.0, "pascals": 1.0, "millibar": 100.0, "torr": OLD_TORR, "mmhg": OLD_TORR}, u)
-    kelvin, celsius, fahrenheit = u.isin("k", "kelvin"), u.isin("c", "°c", "celsius"), u.isin("f", "°f", "fahrenheit")
-    changed = F.when(kelvin, value - 273.15).when(fahrenheit, (value - 32.0) * 5.0 / 9.0).otherwise(value * F.coalesce(worth, F.lit(1.0)))
+    steps = _steps(PROVIDER, F.lower(F.trim(unit)))
     strange = F.concat(F.lit("Unknown unit '"), unit, F.lit("' from provider; value kept unconverted."))
-    said = F.when(unit.isNull(), "Missing unit for provider property; value kept raw.").when(~(kelvin | celsius | fahrenheit) & worth.isNull(), strange)
-    return _struct(changed, F.when(value.isNotNull(), said))
+    said = F.when(unit.isNull(), "Missing unit for provider property; value kept raw.").when(steps.isNull(), strange)
+    return _struct(_stepped(value, steps), F.when(value.isNotNull(), said))
 
 
 def quantity_mpa05(c: Column) -> Column:
